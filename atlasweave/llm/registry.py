@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from atlasweave.llm import langid, packing, simhash, tokens
+from atlasweave.llm import langid, packing, simhash, tokens, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_exact_topk": topk.op1_exact_topk,
     "op2_packing": packing.op2_packing,
     "op4_simhash": simhash.op4_simhash,
     "op8_token_counts": tokens.op8_token_counts,
     "op10_language_id": langid.op10_language_id,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op1_exact_topk": topk.ORACLE}
