@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from atlasweave.llm import langid, packing, simhash, tokens, topk
+from atlasweave.llm import langid, packing, simhash, tokens, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_topk": topk.op1_exact_topk,
     "op2_packing": packing.op2_packing,
     "op4_simhash": simhash.op4_simhash,
     "op8_token_counts": tokens.op8_token_counts,
+    "op9_toxicity": toxicity.op9_toxicity,
     "op10_language_id": langid.op10_language_id,
 }
 ORACLE_SQL: dict[str, str] = {"op1_exact_topk": topk.ORACLE}
