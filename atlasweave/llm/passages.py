@@ -54,7 +54,7 @@ def normal_block(texts: list[str | None]) -> Block:
     for text in texts:
         raw = (text or "").encode("utf-16-le", "surrogatepass")
         if len(raw) != 2 * len(text or ""):
-            raw = _ASTRAL.sub("�", text).encode("utf-16-le", "surrogatepass")
+            raw = _ASTRAL.sub("\ufffd", text).encode("utf-16-le", "surrogatepass")
         parts.append(b"\x01\x00" + raw)
         lengths.append(len(raw) // 2 + 1)
     begins = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)

@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from atlasweave.llm import decontaminate, langid, packing, simhash, tokens, topk, toxicity
+from atlasweave.llm import chat, decontaminate, langid, licenses, packing, simhash, tokens, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_topk": topk.op1_exact_topk,
     "op2_packing": packing.op2_packing,
     "op3_decontamination": decontaminate.op3_decontamination,
     "op4_simhash": simhash.op4_simhash,
+    "op5_license_scan": licenses.op5_license_scan,
+    "op7_chat": chat.op7_chat,
     "op8_token_counts": tokens.op8_token_counts,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_language_id": langid.op10_language_id,
