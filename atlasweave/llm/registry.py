@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from atlasweave.llm import chat, decontaminate, langid, licenses, packing, simhash, tokens, topk, toxicity
+from atlasweave.llm import chat, decontaminate, langid, licenses, packing, pii, simhash, tokens, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_topk": topk.op1_exact_topk,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": decontaminate.op3_decontamination,
     "op4_simhash": simhash.op4_simhash,
     "op5_license_scan": licenses.op5_license_scan,
+    "op6_pii": pii.op6_pii,
     "op7_chat": chat.op7_chat,
     "op8_token_counts": tokens.op8_token_counts,
     "op9_toxicity": toxicity.op9_toxicity,
