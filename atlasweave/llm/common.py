@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import gc
 import tempfile
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -31,11 +34,32 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written once as a table in the shared checkpoint folder and read back."""
+    ensure_checkpoint_dir(df.sparkSession)
+    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def split_of(doc_id: Column) -> Column:
     """Fold of a document: crc32 of its id as text, modulo 3 (1 is held out)."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 3
 
 
+@contextlib.contextmanager
+def no_cycle_collection() -> Iterator[None]:
+    """Python's cycle collector off: walking millions of short strings again and again costs more
+    than the work on them, and they form no cycles."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 class TextBlocks:
     """Consecutive texts gathered into blocks of bounded size, so that numpy work is on long arrays
     and memory stays bounded whatever the batch; a text is never cut, so one longer than ``size``

@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import pickle
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,6 +86,14 @@ def worker_index(key: str, shared) -> SegmentIndex:
     return _indexes[key]
 
 
+def worker_search(key: str, shared, texts: list[str | None]) -> Iterator[tuple[int, list]]:
+    """(row, passages) of the texts that hold any."""
+    index = worker_index(key, shared)
+    for first, some in TextBlocks(1 << 20)(texts):
+        for i, hits in index.search(normal_block(some)).items():
+            yield first + i, hits
+
+
 def find_passages(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -107,44 +117,61 @@ def find_passages(
     broadcast in turn, so the benchmark may be of any size.
     """
     spark, kind = docs.sparkSession, docs.schema[key].dataType.simpleString()
+    names = [key, *(x.split()[0] for x in HIT.split(", "))]
 
     def scan(shared, name):
         def run(batches):
-            index = worker_index(name, shared)
             for batch in batches:
                 ids, columns = batch.column(0), ([], [], [], [], [], [])
-                for first, some in TextBlocks(1 << 20)(batch.column(1).to_pylist()):
-                    for i, hits in index.search(normal_block(some)).items():
-                        for hit in hits:
-                            for column, value in zip(columns, (first + i, *hit), strict=True):
-                                column.append(value)
+                for i, hits in worker_search(name, shared, batch.column(1).to_pylist()):
+                    for hit in hits:
+                        for column, value in zip(columns, (i, *hit), strict=True):
+                            column.append(value)
                 arrays = [pa.array(c, t) for c, t in zip(columns[1:], (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64()), strict=True)]
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array(columns[0], pa.int64())), *arrays], [key, *(x.split()[0] for x in HIT.split(", "))])
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(columns[0], pa.int64())), *arrays], names)
 
         return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, {HIT}")
 
-    found, held, size = [], [], 0
+    out = None
+    for shared, name in broadcast_blocks(spark, benchmark, q, rate, length, least, block_chars):
+        found = scan(shared, name)
+        out = found if out is None else out.unionAll(found)
+    return out if out is not None else spark.createDataFrame([], f"`{key}` {kind}, {HIT}")
+
+
+def broadcast_blocks(spark: SparkSession, benchmark: DataFrame, q: int, rate: float, length: int, least: int, block_chars: int) -> Iterator[tuple]:
+    """(broadcast index, its name) of each block of about ``block_chars`` characters of items."""
+    held, size = [], 0
     for row in [*benchmark.filter("item_id is not null and text is not null").select("item_id", "text").toLocalIterator(), None]:
         if row is not None:
             held.append((row["item_id"], row["text"]))
             size += len(row["text"])
         if held and (row is None or size >= block_chars):
             index = SegmentIndex(sorted(held), q, rate, length, least)
-            found.append(scan(spark.sparkContext.broadcast(pickle.dumps(index)), uuid.uuid4().hex))
+            yield spark.sparkContext.broadcast(pickle.dumps(index)), uuid.uuid4().hex
             held, size = [], 0
-    if not found:
-        return spark.createDataFrame([], f"`{key}` {kind}, {HIT}")
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionAll(more)
+
+
+def without_passages(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", q: int = 12, rate: float = 0.05, length: int = 100, least: int = 24, block_chars: int = 16 << 20
+) -> DataFrame:
+    """The rows of ``docs`` whose text holds no passage of the benchmark, as :func:`find_passages`
+    finds them; rows and columns are otherwise as they were. Nothing is shuffled."""
+    out = docs
+    for shared, name in broadcast_blocks(docs.sparkSession, benchmark, q, rate, length, least, block_chars):
+        out = out.filter(~_holds(shared, name)(F.col(text)))
     return out
 
 
-def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_passages(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+def _holds(shared, name: str):
+    @F.pandas_udf("boolean")
+    def holds(texts: pd.Series) -> pd.Series:
+        out = np.zeros(len(texts), bool)
+        out[[i for i, _ in worker_search(name, shared, texts.tolist())]] = True
+        return pd.Series(out)
 
+    return holds
 
-def without_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose text holds no passage of the benchmark."""
-    hits = find_passages(docs, benchmark, key=key).select(F.col(key).alias("__hit")).distinct()
-    return docs.join(hits, F.col(key).eqNullSafe(F.col("__hit")), "left_anti")
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_passages(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))

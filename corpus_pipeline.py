@@ -1,11 +1,65 @@
-"""A corpus pipeline of five stages over ``documents``: language, near-duplicates, benchmark
-passages, personal data, packing."""
+"""A corpus pipeline over ``documents``: language identification, near-duplicates, benchmark
+decontamination, personal data, packing.
+
+Each stage takes (spark, docs, sf_dir) and works on every row the stage before has kept.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from atlasweave.llm import decontaminate, langid, packing, pii, simhash
+from atlasweave.llm.common import read_table, split_of, written
+
+#: SQL expresses none of context trees, bit-majority fingerprints, alignment and packing.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents without a language: those without a letter, and null texts."""
+    trees = langid.train(docs.filter(split_of(F.col("doc_id")) != 1))
+    found = langid.identify(docs, trees)
+    return found.filter(F.col("lang_pred") != langid.UNDETERMINED).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps of each group of near copies the document with the least id, once; documents without an
+    id stay unless they are copies of one with an id."""
+    kept = simhash.near_duplicates(docs).filter("component_id is null or doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi").dropDuplicates(["doc_id", "text"])
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a passage of ``benchmark``."""
+    return decontaminate.without_passages(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal data by its kind; n_chars follows the new text."""
+    clean = pii.redact_personal_data(docs)
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs the texts into sequences of at most 2048 tokens: one row for each piece of a document."""
+    import public_tokenizers
+
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("language_id", language),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("personal_data", personal_data),
+    ("packing", pack),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; every stage but the last is written before the next reads it."""
+    docs = read_table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
