@@ -54,9 +54,9 @@ class CandidateBlock:
         best: list[list[tuple[int, int]]] = [[] for _ in range(n)]
         worst = np.full(n, -np.inf) if floor is None else floor.astype(np.float64).copy()
         small = self.small and float(np.abs(exact).max(initial=0)) * float(np.abs(self.vectors).max(initial=0)) * max(1, exact.shape[1]) < 2**52
-        for lo in range(0, len(self.ids), step):
-            hi = min(lo + step, len(self.ids))
-            live = np.flatnonzero(q_norm * self.norm[lo] * (1 + 1e-9) + 1e-6 >= worst)
+        cuts = [0, *range(min(64, step), len(self.ids), step), len(self.ids)]  # a short first one sets the bar
+        for lo, hi in zip(cuts, cuts[1:], strict=False):
+            live = np.flatnonzero(q_norm * self.norm[lo] * (1 + 1e-9) + 1e-6 >= worst) if hi > lo else ()
             if not len(live):
                 break  # lengths only descend from here
             partial, done = np.zeros((len(live), hi - lo)), 0
@@ -71,11 +71,15 @@ class CandidateBlock:
             r, c = np.nonzero(maybe)
             if not len(r):
                 continue
-            a, b = queries[live[r]], self.vectors[lo + c]
-            if small:
-                score = np.einsum("ij,ij->i", a.astype(np.float64), b.astype(np.float64)).astype(np.int64)
+            if small and maybe.mean() > 0.1:
+                score = (exact[live] @ self.vectors[lo:hi].T.astype(np.float64))[r, c].astype(np.int64)
+            elif small:
+                score = np.empty(len(r), np.int64)
+                for at in range(0, len(r), 1 << 15):
+                    a, b = exact[live[r[at : at + (1 << 15)]]], self.vectors[lo + c[at : at + (1 << 15)]]
+                    score[at : at + (1 << 15)] = np.einsum("ij,ij->i", a, b.astype(np.float64)).astype(np.int64)
             else:
-                score = np.array([sum(int(x) * int(y) for x, y in zip(u, v, strict=True)) for u, v in zip(a, b, strict=True)], dtype=object)
+                score = np.array([sum(int(x) * int(y) for x, y in zip(queries[live[i]], self.vectors[lo + j], strict=True)) for i, j in zip(r, c, strict=True)], dtype=object)
             ids = self.ids[lo + c]
             other = ids != query_ids[live[r]]
             r, score, ids = r[other], score[other], ids[other]
