@@ -115,8 +115,8 @@ def cut_into_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int
             for lo in range(0, batch.num_rows, 512):
                 some = batch.slice(lo, 512)
                 out = []
-                for doc, body in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True):
-                    ids = encoder.encode([body or ""])[0] + end
+                for doc, ids in zip(some.column(0).to_pylist(), encoder.values(some.column(1).to_pylist()), strict=True):
+                    ids += end
                     for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                         own = ids[at : at + 4 * capacity]
                         n = len(own) // 4

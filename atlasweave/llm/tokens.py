@@ -11,18 +11,21 @@ import json
 import os
 import re
 import uuid
+from array import array
 from collections import Counter
+from itertools import chain
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atlasweave.llm.common import read_table
+from atlasweave.llm.common import TextBlocks, no_cycle_collection, read_table
 
-#: Pre-tokens of a chunk of lower-case Latin-1 characters (fixed by the vocabulary file).
+#: How the vocabulary file splits (a fixed value), and the same for lower-case Latin-1 characters.
+LATIN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 LATIN_PRETOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\sa-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
-_ODD = re.compile(r"[^\x21-\x7e\xa1-\xac\xae-\xff]")
+_ODD = re.compile(r"[^\x21-\x3b\x3d-\x7e\xa1-\xac\xae-\xff]")  # outside Latin-1, or "<", which added tokens begin with
 _ASCII_SPACE = re.compile(r"[ \t\n\r\x0b\x0c]+")
 _PYTHON_ONLY_SPACE = re.compile(r"[\x1c-\x1f]")
 
@@ -35,75 +38,77 @@ def chunks_of(text: str) -> list[str]:
 
 
 class ChunkEncoder:
-    """Chunk -> ids (little-endian unsigned 32-bit) with a bounded cache in the worker.
+    """Chunk -> its ids (bytes, four to an id, little-endian) or their number, cached in the worker.
 
-    Frequent chunks may be given beforehand (``seed``); they are never evicted. Misses are split
-    into pre-tokens, and only pre-tokens not seen before reach the library, in batches.
+    Frequent chunks may be given beforehand (``seed``); they are never evicted. Misses of a whole
+    block of texts are split into pre-tokens together, and only pre-tokens not held yet reach the
+    library, in one batch. Both caches are bounded by ``limit`` entries.
     """
 
-    def __init__(self, path: str, seed: dict[str, bytes] | None = None, limit: int = 500_000, longest: int = 64):
+    def __init__(self, path: str, numbers: bool = False, seed: dict | None = None, limit: int = 1_000_000, longest: int = 64):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
-        self.limit, self.longest = limit, longest
+        self.numbers, self.limit, self.longest = numbers, limit, longest
         self.seed = seed or {}
-        self.chunks: dict[str, bytes] = dict(self.seed)
-        self.pieces: dict[str, bytes] = {}
+        self.chunks: dict = dict(self.seed)
+        self.pieces: dict = {}
         with open(path) as f:
             spec = json.load(f)
-        self.specials = [x["content"] for x in spec.get("added_tokens", ())]
-        split = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0].get("pattern", {}).get("Regex", "")
-        # the shortcut by pre-tokens is only known to hold for this pattern
-        self.by_pretoken = split == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [b"".join(i.to_bytes(4, "little") for i in e.ids) for e in self.library.encode_batch(texts, add_special_tokens=False)]
-
-    def learn(self, chunks: set[str]) -> dict[str, bytes]:
-        """Encodes the chunks not held yet; returns those too long to be kept."""
-        new = chunks.difference(self.chunks)
-        if not new:
-            return {}
-        if len(self.chunks) + len(new) > self.limit + len(self.seed):
+        parts = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        # the shortcut by pre-tokens is only known to hold for this pattern and these added tokens
+        self.by_pretoken = parts[0].get("pattern", {}).get("Regex") == LATIN_PATTERN and all("<" in x["content"] for x in spec.get("added_tokens", ()))
+
+    def _library(self, texts: list[str]) -> list:
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return list(map(len, found)) if self.numbers else [array("I", e.ids).tobytes() for e in found]
+
+    def _learn(self, chunks: set[str]) -> dict:
+        """Values of chunks not held; those too long to be kept are only returned."""
+        if len(self.chunks) + len(chunks) > self.limit + len(self.seed):
             self.chunks = dict(self.seed)
-            new = chunks.difference(self.chunks)
+        if len(self.pieces) > self.limit:
+            self.pieces = {}
         plain: dict[str, list[str]] = {}
         whole: list[str] = []
-        for c in new:
-            if self.by_pretoken and not _ODD.search(c) and not any(s in c for s in self.specials):
+        for c in chunks:
+            if self.by_pretoken and not _ODD.search(c):
                 plain[c] = LATIN_PRETOKEN.findall(c.lower())
             else:
                 whole.append(c)
-        if len(self.pieces) > self.limit:
-            self.pieces = {}
-        unseen = {p for ps in plain.values() for p in ps}.difference(self.pieces)
-        unseen = list(unseen)
+        unseen = list({p for ps in plain.values() for p in ps}.difference(self.pieces))
         self.pieces.update(zip(unseen, self._library(unseen), strict=True))
-        once: dict[str, bytes] = {}
-        pieces = self.pieces
-        for c, ps in plain.items():
-            ids = pieces[ps[0]] if len(ps) == 1 else b"".join([pieces[p] for p in ps])
-            (self.chunks if len(c) <= self.longest else once)[c] = ids
-        for c, ids in zip(whole, self._library(whole), strict=True):
-            (self.chunks if len(c) <= self.longest else once)[c] = ids
-        return once
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as bytes, four to an id."""
-        out = []
-        for text in texts:
-            chunks = chunks_of(text)
-            once = self.learn(set(chunks))
-            if once:
-                table = self.chunks
-                out.append(b"".join([table[c] if c in table else once[c] for c in chunks]))
-            else:
-                out.append(b"".join(map(self.chunks.__getitem__, chunks)))
+        get = self.pieces.__getitem__
+        join = sum if self.numbers else b"".join
+        made = {c: get(ps[0]) if len(ps) == 1 else join(map(get, ps)) for c, ps in plain.items()}
+        made.update(zip(whole, self._library(whole), strict=True))
+        self.chunks.update((c, v) for c, v in made.items() if len(c) <= self.longest)
+        return made
+
+    def values(self, texts: list[str | None]) -> list:
+        """For each text its ids as bytes, or their number."""
+        with no_cycle_collection():
+            return self._values(texts)
+
+    def _values(self, texts: list[str | None]) -> list:
+        out: list = []
+        for _, block in TextBlocks(1 << 20)(texts):
+            split = [chunks_of(t) for t in block]
+            every = list(chain.from_iterable(split))
+            found = list(map(self.chunks.get, every))
+            if None in found:
+                made = self._learn({c for c, v in zip(every, found, strict=True) if v is None})
+                found = [made[c] if v is None else v for c, v in zip(every, found, strict=True)]
+            at = 0
+            for chunks in split:
+                own = found[at : at + len(chunks)]
+                out.append(sum(own) if self.numbers else b"".join(own))
+                at += len(chunks)
         return out
 
 
-_encoders: dict[tuple, ChunkEncoder] = {}
+_encoders: dict[str, ChunkEncoder] = {}
 
 
 def worker_encoder(path: str) -> ChunkEncoder:
@@ -113,45 +118,17 @@ def worker_encoder(path: str) -> ChunkEncoder:
     return _encoders[path]
 
 
-class LengthTable:
-    """The two tiers: a table of frequent chunks' lengths, then the worker's own cache."""
-
-    def __init__(self, path: str, words: bytes, lengths: bytes):
-        self.path = path
-        self.frequent = dict(zip(words.decode().split("\n") if words else (), lengths, strict=True))
-        self.table = dict(self.frequent)
-        self.limit = 500_000
-
-    def counts(self, texts: list[str | None]) -> list[int]:
-        out, encoder = [], worker_encoder(self.path)
-        for text in texts:
-            chunks = chunks_of(text or "")
-            distinct = set(chunks)
-            new = distinct.difference(self.table)
-            if new:
-                if len(self.table) > self.limit:
-                    self.table = dict(self.frequent)
-                    new = distinct.difference(self.table)
-                once = encoder.learn(new)
-                lengths = {c: len(once[c] if c in once else encoder.chunks[c]) // 4 for c in new}
-                if once:
-                    table = self.table
-                    out.append(sum(table[c] if c in table else lengths[c] for c in chunks))
-                    continue
-                self.table.update(lengths)
-            out.append(sum(map(self.table.__getitem__, chunks)))
-        return out
-
-
-_tables: dict[str, LengthTable] = {}
+_counters: dict[str, ChunkEncoder] = {}
 
 
 def worker_counts(key: str, shared, texts: list[str | None]) -> list[int]:
-    """Counts with this worker's table for ``key``; one table at a time is held."""
-    if key not in _tables:
-        _tables.clear()
-        _tables[key] = LengthTable(*shared.value)
-    return _tables[key].counts(texts)
+    """Counts by the two tiers: the broadcast table of ``key``, then this worker's cache."""
+    if key not in _counters:
+        _counters.clear()
+        path, words, lengths = shared.value
+        seed = dict(zip(words.decode().split("\n") if words else (), lengths, strict=True))
+        _counters[key] = ChunkEncoder(path, numbers=True, seed=seed)
+    return _counters[key].values(texts)
 
 
 def frequent_chunks(docs: DataFrame, text: str, size: int, per_task: int, longest: int = 64) -> list[str]:
@@ -185,9 +162,7 @@ def count_tokens(
     """
     spark = docs.sparkSession
     words = frequent_chunks(docs, text, table_size, per_task)
-    encoder = ChunkEncoder(vocabulary)
-    once = encoder.learn(set(words))
-    sizes = [len(once[w] if w in once else encoder.chunks[w]) // 4 for w in words]
+    sizes = ChunkEncoder(vocabulary, numbers=True).values(words)
     kept = [(w, n) for w, n in zip(words, sizes, strict=True) if n < 256]
     shared = spark.sparkContext.broadcast((vocabulary, "\n".join(w for w, _ in kept).encode(), bytes(n for _, n in kept)))
     key = uuid.uuid4().hex
