@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "4g") -> SparkSession:
@@ -18,3 +20,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.driver.memory", memory)
         .getOrCreate()
     )
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Point the context at the shared checkpoint folder, the session's ``spark.checkpoint.dir``; only
+    where that is unset (local tests) is a temporary one made."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="atlasweave-"))
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared checkpoint folder, which outlives any executor."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
