@@ -2,8 +2,8 @@
 
 Templates are winnowed: of every ``window`` consecutive q-gram hashes the least is kept, so any
 stretch of ``window + q - 1`` characters that a text shares with a template shares a fingerprint.
-Fingerprints found in a text vote for (template, diagonal band); bands with enough votes are
-aligned in full.
+Fingerprints found in a text vote for (template, diagonal band); bands with enough votes and enough
+shared 4-grams (by the q-gram lemma for the edits allowed) are aligned in full.
 """
 
 from __future__ import annotations
@@ -60,6 +60,18 @@ class LicenseIndex:
         #: an edit breaks at most q fingerprints; at least one has to be left
         self.votes = np.maximum(1, np.array([len(c) for c in chosen], np.int64) - q * self.edits)
         self.index = GramIndex(patterns, q, chosen)
+        #: sorted 4-grams of each template, and how many of its 4-grams an alignment leaves at least
+        self.fours = [np.unique(gram_keys(p, 4)) for p in patterns]
+        self.shared = sizes + 1 - 4 * (self.edits + 1)
+
+    def possible(self, p: int, window: np.ndarray) -> bool:
+        """Whether the stretch of text has enough of the template's 4-grams, each counted as often as
+        it occurs; no alignment within the edits has fewer."""
+        if self.shared[p] <= 0:
+            return True
+        keys = gram_keys(window, 4)
+        at = np.minimum(np.searchsorted(self.fours[p], keys), len(self.fours[p]) - 1)
+        return int((self.fours[p][at] == keys).sum()) >= self.shared[p]
 
     def search(self, block: Block) -> dict[int, list[tuple[str, float, int, int, int]]]:
         found: dict[tuple[int, str], list[tuple[int, int, int, int]]] = {}
@@ -68,6 +80,8 @@ class LicenseIndex:
         for text, p, low, _ in regions(self.index, block, self.edits + 1, self.votes):
             codes = block.codes[block.starts[text] : block.starts[text + 1]]
             half, budget = int(self.edits[p]) + 1, int(self.edits[p])
+            if not self.possible(p, codes[max(0, low - budget) : low + 2 * half + budget + len(self.index.patterns[p])]):
+                continue
             hit = banded(self.index.patterns[p], codes, low + half, half + budget, budget)
             if hit:
                 found.setdefault((text, self.names[p]), []).append((*hit, len(self.index.patterns[p])))
@@ -98,7 +112,7 @@ def worker_index(key: str, shared) -> LicenseIndex:
 
 
 def scan_licenses(
-    docs: DataFrame, templates: dict[str, list[str]] | None = None, text: str = "text", key: str = "doc_id", q: int = 8, window: int = 4, coverage: float = 0.85
+    docs: DataFrame, templates: dict[str, list[str]] | None = None, text: str = "text", key: str = "doc_id", q: int = 12, window: int = 4, coverage: float = 0.85
 ) -> DataFrame:
     """(key, license, coverage, start, end, edits): each stretch of a text that matches a template.
 
