@@ -249,10 +249,11 @@ def redact_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every found span of ``text`` replaced by its kind in brackets; all other columns,
     rows and null texts stay as they are. The texts are gone through twice: to count votes, and
     to decide and redact."""
-    spans = candidate_spans(plain(F.col(text)))
-    weights = classifier(vote_counts(docs.select(spans.alias("candidates"))))
-    made = docs.withColumn("__spans", accepted(spans, weights))
-    return made.withColumn(text, F.when(F.col(text).isNotNull(), redacted(F.col(text), F.col("__spans")))).drop("__spans")
+    # each step is a column of its own, so that no expression is worked out more than once a row
+    seen = docs.withColumn("__t", plain(F.col(text))).withColumn("__c", candidate_spans(F.col("__t"))).drop("__t")
+    weights = classifier(vote_counts(seen.select("__c"), "__c"))
+    made = seen.withColumn("__s", accepted(F.col("__c"), weights)).drop("__c")
+    return made.withColumn(text, F.when(F.col(text).isNotNull(), redacted(F.col(text), F.col("__s")))).drop("__s")
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
