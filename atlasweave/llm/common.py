@@ -4,34 +4,20 @@ from __future__ import annotations
 
 import contextlib
 import gc
-import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from typing import Any
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from atlasweave.session import checkpointed, ensure_checkpoint_dir
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Point the context at the cluster's shared checkpoint folder.
+__all__ = ["TextBlocks", "checkpointed", "no_cycle_collection", "read_table", "resident", "split_of", "written"]
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset (local tests)
-    is a temporary one made.
-    """
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="atlasweave-"))
 
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared checkpoint folder, which outlives any executor."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -60,6 +46,18 @@ def no_cycle_collection() -> Iterator[None]:
             gc.enable()
 
 
+_resident: dict[str, Any] = {}
+
+
+def resident(key: str, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives for ``key``, kept in this worker process for later tasks. Only the one asked
+    for last is kept, so a worker that serves many operators holds the model or cache of one."""
+    if key not in _resident:
+        _resident.clear()
+        _resident[key] = make()
+    return _resident[key]
+
+
 class TextBlocks:
     """Consecutive texts gathered into blocks of bounded size, so that numpy work is on long arrays
     and memory stays bounded whatever the batch; a text is never cut, so one longer than ``size``
@@ -80,10 +78,3 @@ class TextBlocks:
             held += len(text)
         if block:
             yield first, block
-
-
-def segment_sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Sums of the rows of ``values`` between consecutive ``starts`` (the last one is the end)."""
-    total = np.zeros((len(values) + 1, *values.shape[1:]), dtype=np.float64)
-    np.cumsum(values, axis=0, out=total[1:])
-    return total[starts[1:]] - total[starts[:-1]]

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atlasweave.llm.common import TextBlocks, read_table
+from atlasweave.llm.common import TextBlocks, read_table, resident
 from atlasweave.llm.passages import Block, GramIndex, banded, best_spans, normal, normal_block, regions
 
 HIT = "item_id long, start int, end int, edits int, matched double"
@@ -76,14 +76,8 @@ class SegmentIndex:
         return out
 
 
-_indexes: dict[str, SegmentIndex] = {}
-
-
 def worker_index(key: str, shared) -> SegmentIndex:
-    if key not in _indexes:
-        _indexes.clear()
-        _indexes[key] = pickle.loads(shared.value)
-    return _indexes[key]
+    return resident(key, lambda: pickle.loads(shared.value))
 
 
 def worker_search(key: str, shared, texts: list[str | None]) -> Iterator[tuple[int, list]]:

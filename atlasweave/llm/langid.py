@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atlasweave.llm.common import TextBlocks, read_table, split_of
+from atlasweave.llm.common import TextBlocks, read_table, resident, split_of
 
 LETTER = re.compile(r"[^\W\d_]")
 UNDETERMINED = "und"
@@ -158,14 +158,8 @@ def predict(trees: ContextTrees, texts: list[str | None]) -> tuple[list[str], np
     return names, score, rate
 
 
-_trees: dict[str, ContextTrees] = {}
-
-
 def worker_trees(key: str, shared) -> ContextTrees:
-    if key not in _trees:
-        _trees.clear()
-        _trees[key] = pickle.loads(shared.value)
-    return _trees[key]
+    return resident(key, lambda: pickle.loads(shared.value))
 
 
 def train(labelled: DataFrame, order: int = 4, per_language: int = 400, longest: int = 65_536, text: str = "text", lang: str = "lang", key: str = "doc_id") -> ContextTrees:
@@ -183,13 +177,13 @@ def train(labelled: DataFrame, order: int = 4, per_language: int = 400, longest:
     return ContextTrees(samples, order)
 
 
-def identify(docs: DataFrame, trees: ContextTrees, text: str = "text") -> DataFrame:
+def identify(docs: DataFrame, trees: ContextTrees, text: str = "text", out: str | None = None) -> DataFrame:
     """``docs`` with lang_pred, score (0 to 1) and bits_per_byte of every whole text.
 
     Null texts and texts without a letter are ``und`` with score 0; so is every text if nothing was
     learned. Ties go to the language that sorts first. Repeated rows stay; an empty table gives an
-    empty result; columns of those three names are replaced. The trees' size is bounded by the
-    sample they were counted on.
+    empty result; columns of those three names are replaced, unless ``out`` names one column to
+    hold all three. The trees' size is bounded by the sample they were counted on.
     """
     shared, key = docs.sparkSession.sparkContext.broadcast(pickle.dumps(trees)), uuid.uuid4().hex
 
@@ -198,6 +192,8 @@ def identify(docs: DataFrame, trees: ContextTrees, text: str = "text") -> DataFr
         names, score, rate = predict(worker_trees(key, shared), texts.tolist())
         return pd.DataFrame({"lang_pred": names, "score": score, "bits_per_byte": rate})
 
+    if out is not None:
+        return docs.withColumn(out, run(F.col(text)))
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score", "bits_per_byte")]
     made = docs.select(*kept, run(F.col(text)).alias("__found"))
     return made.select(*kept, "__found.*")

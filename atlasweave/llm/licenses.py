@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from atlasweave.llm.common import TextBlocks, read_table
+from atlasweave.llm.common import TextBlocks, read_table, resident
 from atlasweave.llm.passages import Block, GramIndex, banded, best_spans, gram_keys, normal, normal_block, regions
 
 #: Short notices and opening passages of common licenses (fixed texts).
@@ -101,14 +101,8 @@ def codes_at_space(block: Block, text: int, at: int) -> bool:
     return int(block.codes[block.starts[text] + at]) == 32
 
 
-_indexes: dict[str, LicenseIndex] = {}
-
-
 def worker_index(key: str, shared) -> LicenseIndex:
-    if key not in _indexes:
-        _indexes.clear()
-        _indexes[key] = pickle.loads(shared.value)
-    return _indexes[key]
+    return resident(key, lambda: pickle.loads(shared.value))
 
 
 def scan_licenses(

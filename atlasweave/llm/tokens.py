@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atlasweave.llm.common import TextBlocks, no_cycle_collection, read_table
+from atlasweave.llm.common import TextBlocks, no_cycle_collection, read_table, resident
 
 #: How the vocabulary file splits (a fixed value), and the same for lower-case Latin-1 characters.
 LATIN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -108,27 +108,20 @@ class ChunkEncoder:
         return out
 
 
-_encoders: dict[str, ChunkEncoder] = {}
-
-
 def worker_encoder(path: str) -> ChunkEncoder:
     """The encoder of this worker process; workers outlive tasks, so its cache does as well."""
-    if path not in _encoders:
-        _encoders[path] = ChunkEncoder(path)
-    return _encoders[path]
-
-
-_counters: dict[str, ChunkEncoder] = {}
+    return resident(f"encoder:{path}", lambda: ChunkEncoder(path))
 
 
 def worker_counts(key: str, shared, texts: list[str | None]) -> list[int]:
     """Counts by the two tiers: the broadcast table of ``key``, then this worker's cache."""
-    if key not in _counters:
-        _counters.clear()
+
+    def make() -> ChunkEncoder:
         path, words, lengths = shared.value
         seed = dict(zip(words.decode().split("\n") if words else (), lengths, strict=True))
-        _counters[key] = ChunkEncoder(path, numbers=True, seed=seed)
-    return _counters[key].values(texts)
+        return ChunkEncoder(path, numbers=True, seed=seed)
+
+    return resident(key, make).values(texts)
 
 
 def frequent_chunks(docs: DataFrame, text: str, size: int, per_task: int, longest: int = 64) -> list[str]:

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atlasweave.llm.common import TextBlocks, no_cycle_collection, read_table, split_of
+from atlasweave.llm.common import TextBlocks, no_cycle_collection, read_table, resident, split_of
 
 WORD = re.compile(r"\w+")
 WINDOW = 64
@@ -260,14 +260,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = 1500, lon
     return usable.join(F.broadcast(chosen.select("doc_id", "toxic")), "doc_id").collect()  # at most about 2 * per_class rows
 
 
-_models: dict[str, ToxicModel] = {}
-
-
 def worker_model(key: str, shared) -> ToxicModel:
-    if key not in _models:
-        _models.clear()
-        _models[key] = pickle.loads(shared.value)
-    return _models[key]
+    return resident(key, lambda: pickle.loads(shared.value))
 
 
 def _results(model: ToxicModel, texts: list[str | None], spans: bool, threshold: float) -> tuple[np.ndarray, list]:

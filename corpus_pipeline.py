@@ -19,8 +19,8 @@ ORACLE_SQL = None
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language: those without a letter, and null texts."""
     trees = langid.train(docs.filter(split_of(F.col("doc_id")) != 1))
-    found = langid.identify(docs, trees)
-    return found.filter(F.col("lang_pred") != langid.UNDETERMINED).select(*docs.columns)
+    found = langid.identify(docs, trees, out="__language")
+    return found.filter(F.col("__language.lang_pred") != langid.UNDETERMINED).drop("__language")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +38,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data by its kind; n_chars follows the new text."""
     clean = pii.redact_personal_data(docs)
-    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    if "n_chars" in docs.columns:
+        clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return clean.select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
