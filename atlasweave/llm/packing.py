@@ -104,11 +104,11 @@ class Places:
         return sequence, offset
 
 
-def cut_into_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, text: str, key: str) -> DataFrame:
+def cut_into_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, text: str, key: str, cache: int) -> DataFrame:
     """One row a piece; (part, ordinal) numbers the pieces of a length within the task that made them."""
 
     def cut(batches):
-        encoder, part = worker_encoder(vocabulary), TaskContext.get().partitionId()
+        encoder, part = worker_encoder(vocabulary, cache), TaskContext.get().partitionId()
         seen: Counter[int] = Counter()
         end = end_id.to_bytes(4, "little")
         for batch in batches:
@@ -129,19 +129,22 @@ def cut_into_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, PIECES)
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = 2048, end_id: int = 0, text: str = "text", key: str = "doc_id") -> DataFrame:
+def pack_documents(
+    docs: DataFrame, vocabulary: str, capacity: int = 2048, end_id: int = 0, text: str = "text", key: str = "doc_id", cache: int = 1_000_000
+) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset: one row for each piece.
 
     A null or empty text is the end id alone; a null key stays null; repeated rows are packed each
     by itself; an empty table gives an empty result; other columns are ignored. Sequences are
-    gapless from offset 0 and none is longer than ``capacity``.
+    gapless from offset 0 and none is longer than ``capacity``. ``cache`` bounds the entries of each
+    worker's two caches, so it trades memory for time and nothing else.
 
     The pieces are made once and kept in the checkpoint folder, since ranks refer to the tasks that
     made them. A rank is the ordinal within the task plus the count of the tasks before it, so no
     length, however frequent, is gathered in one place: the join key is (task, length).
     """
     spark = docs.sparkSession
-    pieces = checkpointed(cut_into_pieces(docs, vocabulary, capacity, end_id, text, key))
+    pieces = checkpointed(cut_into_pieces(docs, vocabulary, capacity, end_id, text, key, cache))
     sizes = pieces.groupBy("part", "length").agg(F.count("*").alias("n"))
     before = sizes.withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)))
     histogram = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `capacity` rows

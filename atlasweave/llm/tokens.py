@@ -108,9 +108,9 @@ class ChunkEncoder:
         return out
 
 
-def worker_encoder(path: str) -> ChunkEncoder:
+def worker_encoder(path: str, limit: int) -> ChunkEncoder:
     """The encoder of this worker process; workers outlive tasks, so its cache does as well."""
-    return resident(f"encoder:{path}", lambda: ChunkEncoder(path))
+    return resident(f"encoder:{path}:{limit}", lambda: ChunkEncoder(path, limit=limit))
 
 
 def worker_counts(key: str, shared, texts: list[str | None]) -> list[int]:

@@ -47,7 +47,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs the texts into sequences of at most 2048 tokens: one row for each piece of a document."""
     import public_tokenizers
 
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    # the executors' heaps are full of what earlier stages left, so the caches are smaller than alone
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), cache=250_000)
 
 
 STAGES = [
