@@ -44,3 +44,21 @@ def coordinate(c: Column) -> Column:
     """A coordinate as double: text with "null" in it and blanks are null."""
     text = c.cast("string")
     return F.when(text.rlike("(?i)null") | (F.trim(text) == ""), F.lit(None)).otherwise(text.try_cast("double"))
+
+
+def azimuthal_equidistant(lon: Column, lat: Column) -> tuple[Column, Column]:
+    """Metres east and north in the world azimuthal equidistant projection about (0, 0), on the sphere."""
+    f, turn = F.radians(lat), F.radians(lon)
+    c = F.acos(F.cos(f) * F.cos(turn))
+    k = F.when(c == 0, F.lit(1.0)).otherwise(c / F.sin(c)) * (EARTH_KM * 1000)
+    return k * F.cos(f) * F.sin(turn), k * F.sin(f)
+
+
+def equidistant_conic(lon: Column, lat: Column, lat1: float = 20.0, lat2: float = -23.0, lat0: float = 0.0, lon0: float = 25.0) -> tuple[Column, Column]:
+    """Metres east and north in an equidistant conic projection on the sphere; Africa's parallels by default."""
+    p1, p2, p0 = (math.radians(x) for x in (lat1, lat2, lat0))
+    n = (math.cos(p1) - math.cos(p2)) / (p2 - p1)
+    g = math.cos(p1) / n + p1
+    rho, theta = F.lit(g) - F.radians(lat), F.lit(n) * (F.radians(lon) - math.radians(lon0))
+    r = EARTH_KM * 1000
+    return F.lit(r) * rho * F.sin(theta), F.lit(r) * (F.lit(g - p0) - rho * F.cos(theta))

@@ -94,7 +94,9 @@ def block_match(
     theirs = table.select(
         (unique_key(match_levels).cast("string") if match_levels else F.lit("")).alias("block"), F.col(f"{match_name}_cleaned").alias("clean"), F.col(f"{match_name}_uuid").alias("uuid"), F.col(match_order).cast("long").alias("pos")
     ).filter("clean <> '' and block is not null")
-    uuids = theirs.groupBy("block", "clean").agg(joined_values(F.col("uuid"), F.col("pos")).alias("uuid"), F.min("pos").alias("pos"))
+    # one row a uuid before they are gathered: a name that many records have is one entry
+    single = theirs.groupBy("block", "clean", "uuid").agg(F.min("pos").alias("pos"))
+    uuids = single.groupBy("block", "clean").agg(joined_values(F.col("uuid"), F.col("pos")).alias("uuid"), F.min("pos").alias("pos"))
     names = own.filter("__block is not null").select(F.col("__block").alias("block"), F.col("__clean").alias("clean")).distinct()
     equal = names.join(uuids.select("block", "clean"), ["block", "clean"], "left_semi")
     same = equal.select("block", "clean", F.col("clean").alias("name"), F.lit(100.0).alias("score"), F.lit("identical").alias("method"), F.lit("YES").alias("result"))
@@ -125,7 +127,8 @@ def distance_match(
     theirs = table.select(F.col(f"{match_name}_cleaned").alias("__n"), F.col(f"{match_name}_uuid").alias("__u"), F.col(match_order).cast("long").alias("__pos"), F.col(match_point[0]).alias("__mlon"), F.col(match_point[1]).alias("__mlat")).filter("__n <> ''")
     own = df.select(F.col(row_id).alias("__id"), preclean(F.col(name)).alias("__clean"), F.col(point[0]).alias("__lon"), F.col(point[1]).alias("__lat"))
     near = near_pairs(own, theirs, metres, ("__lon", "__lat"), ("__mlon", "__mlat"))
-    named = near.groupBy("__id", "__clean", "__n").agg(F.min("__pos").alias("__pos"), joined_values(F.col("__u"), F.col("__pos")).alias("__u"))
+    single = near.groupBy("__id", "__clean", "__n", "__u").agg(F.min("__pos").alias("__pos"))
+    named = single.groupBy("__id", "__clean", "__n").agg(F.min("__pos").alias("__pos"), joined_values(F.col("__u"), F.col("__pos")).alias("__u"))
     listed = named.groupBy("__id", "__clean").agg(F.array_sort(F.collect_list(F.struct("__pos", "__n", "__u"))).alias("__l"))
     found = listed.withColumn("__m", cascade(measure)(F.col("__clean"), F.transform("__l", lambda x: x["__n"])))
     uuid = F.filter("__l", lambda x: x["__n"] == F.col("__m.name"))[0]["__u"]
@@ -168,7 +171,8 @@ def resolve_by_attribute(df: DataFrame, row_id: str, uuid: str, part: str, resul
     top = scored.join(ids, F.col(row_id) == F.col("__i"), "left_semi").groupBy(F.col(row_id).alias("__i")).agg(F.max("__n").alias("__max"))
     marked = scored.join(top, F.col(row_id) == F.col("__i"), "left")
     kept = marked.filter(F.col("__max").isNull() | (F.col("__n") == F.col("__max")))
-    lists = kept.filter(F.col("__max").isNotNull()).groupBy(F.col("__i").alias("__j")).agg(joined_values(F.col(part), F.col(order)).alias("__list"))
+    single = kept.filter(F.col("__max").isNotNull()).groupBy(F.col("__i").alias("__j"), F.col(part).alias("__part")).agg(F.min(order).alias("__first"))
+    lists = single.groupBy("__j").agg(joined_values(F.col("__part"), F.col("__first")).alias("__list"))
     one = kept.join(lists, F.col("__i") == F.col("__j"), "left").withColumn(uuid, F.coalesce("__list", uuid)).drop("__i", "__max", "__j", "__list")
     parts = one.filter((F.col(result) == "YES") & F.col(part).isNotNull() & (F.col(part) != " ")).groupBy(F.col(part).alias("__p")).agg(F.count("*").alias("c")).filter("c > 1").select("__p")
     held = one.join(parts, F.col(part) == F.col("__p"), "left_semi").groupBy(F.col(part).alias("__p"), F.col(row_id).alias("__i")).agg(F.max("__n").alias("__n"))

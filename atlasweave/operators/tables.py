@@ -81,8 +81,10 @@ def first_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Da
 
 
 def with_repeat_flag(df: DataFrame, column: str, order: str, out: str = "was_dupe") -> DataFrame:
-    """True on every row of a value but its first."""
-    return df.withColumn(out, F.row_number().over(Window.partitionBy(column).orderBy(order)) > 1)
+    """True on every row of a value but its first; ``order`` tells rows apart."""
+    first = df.groupBy(F.col(column).alias("__k")).agg(F.min(order).alias("__first"))
+    joined = df.join(first, F.col(column).eqNullSafe(F.col("__k")), "left")
+    return joined.withColumn(out, ~F.col(order).eqNullSafe(F.col("__first"))).drop("__k", "__first")
 
 
 def joined_values(value: Column, order: Column, sep: str = "/") -> Column:

@@ -434,6 +434,19 @@ def haversine_pairs(spark, sf):
     return _sql(spark, sf, CUSTOMER_POINTS, "customer").select("k", geo.rounded_km(F.col("lon").cast("double"), F.col("lat").cast("double"), F.lit(0.2), F.lit(0.1)).alias("km"))
 
 
+AZ_C = "acos(cos(radians(lat)) * cos(radians(lon)))"
+CONIC_N = "((cos(radians(20)) - cos(radians(-23))) / (radians(-23) - radians(20)))"
+CONIC_G = f"(cos(radians(20)) / {CONIC_N} + radians(20))"
+
+
+@query(f"""SELECT k, round({AZ_C} / sin({AZ_C}) * 6371000 * cos(radians(lat)) * sin(radians(lon)), 2) AS ax, round({AZ_C} / sin({AZ_C}) * 6371000 * sin(radians(lat)), 2) AS ay,
+round(6371000 * ({CONIC_G} - radians(lat)) * sin({CONIC_N} * radians(lon - 25)), 2) AS cx, round(6371000 * ({CONIC_G} - ({CONIC_G} - radians(lat)) * cos({CONIC_N} * radians(lon - 25))), 2) AS cy FROM ({CUSTOMER_POINTS}) WHERE lat > 0 AND lon > 0""")
+def projections(spark, sf):
+    c, _ = _points(spark, sf)
+    (ax, ay), (cx, cy) = geo.azimuthal_equidistant(F.col("lon"), F.col("lat")), geo.equidistant_conic(F.col("lon"), F.col("lat"))
+    return c.filter("lat > 0 and lon > 0").select("k", *[F.round(v, 2).alias(n) for n, v in (("ax", ax), ("ay", ay), ("cx", cx), ("cy", cy))])
+
+
 def _points(spark, sf) -> tuple[DataFrame, DataFrame]:
     c = _sql(spark, sf, CUSTOMER_POINTS, "customer").withColumns({x: F.col(x).cast("double") for x in ("lat", "lon")})
     s = _sql(spark, sf, SUPPLIER_POINTS, "supplier").withColumns({x: F.col(x).cast("double") for x in ("slat", "slon")})
@@ -630,6 +643,21 @@ def admin_labels(spark, sf):
     return spark.createDataFrame(rows, "iso string, lvl int, label string")
 
 
+@query()
+def config_pipeline(spark, sf):
+    """clean and match from configuration mappings, through files."""
+    from atlasweave.plans.run import run_clean, run_match
+
+    path = _shared(spark)
+    save_table(_sql(spark, sf, POI, "part").select("name", "kind", "brand"), f"{path}/in/poi.csv")
+    save_table(_sql(spark, sf, TABLE, "part").select("mname", "madmin1", "madmin2", "mkind"), f"{path}/in/table.csv")
+    general = {"data_source": "WHO", "poi_input_dir": f"{path}/in", "poi_input_filename": "poi.csv", "poi_output_dir": path, "country_ISO": "moz", "poi_name_field": "name", "poi_type_field": "kind", "boundary1": "brand"}
+    run_clean(spark, {"about_POI_table": general, "preprocessing1": {"poi_output_extension_type": ".csv"}})
+    inputs = {"it_input_dir": path, "it_input_filename": "poi_preprocessing1.csv", "it_output_dir": path, "it_output_filename": "matched.csv", "it_poi_name": "g3_hltfac", "it_admin2": "g3_prov", "it_id": "None"}
+    inputs |= {"mt_input_dir": f"{path}/in", "mt_input_filename": "table.csv", "mt_output_dir": path, "mt_output_filename": "table_matched.csv", "mt_poi_name": "mname", "mt_admin2": "madmin2", "match_by_distance": "False"}
+    return load_table(spark, run_match(spark, {"inputs": inputs})[0])
+
+
 @query()
 def pipeline_clean(spark, sf):
     config = CleanConfig("name", "moz", "WHO", "k", type="kind", boundaries={1: "brand"}, language="French", date="20240101")
