@@ -26,6 +26,8 @@ from atlasweave.llm.common import TextBlocks, no_cycle_collection, read_table, r
 LATIN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 LATIN_PRETOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\sa-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
 _ODD = re.compile(r"[^\x21-\x3b\x3d-\x7e\xa1-\xac\xae-\xff]")  # outside Latin-1, or "<", which added tokens begin with
+#: Byte-level vocabularies write bytes that are no visible Latin-1 character as U+0100 and on, in order.
+STAND_INS = {b: 256 + n for n, b in enumerate([*range(0x21), *range(0x7F, 0xA1), 0xAD])}
 _ASCII_SPACE = re.compile(r"[ \t\n\r\x0b\x0c]+")
 _PYTHON_ONLY_SPACE = re.compile(r"[\x1c-\x1f]")
 
@@ -42,7 +44,7 @@ class ChunkEncoder:
 
     Frequent chunks may be given beforehand (``seed``); they are never evicted. Misses of a whole
     block of texts are split into pre-tokens together, and only pre-tokens not held yet reach the
-    library, in one batch. Both caches are bounded by ``limit`` entries.
+    library's merges. Both caches are bounded by ``limit`` entries.
     """
 
     def __init__(self, path: str, numbers: bool = False, seed: dict | None = None, limit: int = 1_000_000, longest: int = 64):
@@ -56,9 +58,19 @@ class ChunkEncoder:
         self.pieces: dict = {}
         with open(path) as f:
             spec = json.load(f)
-        parts = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        parts = [*((spec.get("pre_tokenizer") or {}).get("pretokenizers") or ()), {}, {}]
         # the shortcut by pre-tokens is only known to hold for this pattern and these added tokens
-        self.by_pretoken = parts[0].get("pattern", {}).get("Regex") == LATIN_PATTERN and all("<" in x["content"] for x in spec.get("added_tokens", ()))
+        self.by_pretoken = (
+            parts[0].get("pattern", {}).get("Regex") == LATIN_PATTERN
+            and (parts[1].get("type"), parts[1].get("add_prefix_space")) == ("ByteLevel", False)
+            and all("<" in x["content"] for x in spec.get("added_tokens", ()))
+        )
+
+    def _merged(self, pieces: list[str]) -> list:
+        """Values of pre-tokens, straight from the library's merges: each byte as its stand-in character."""
+        split = self.library.model.tokenize
+        found = [split(p if p.isascii() else p.encode().decode("latin-1").translate(STAND_INS)) for p in pieces]
+        return list(map(len, found)) if self.numbers else [array("I", [t.id for t in f]).tobytes() for f in found]
 
     def _library(self, texts: list[str]) -> list:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
@@ -73,12 +85,16 @@ class ChunkEncoder:
         plain: dict[str, list[str]] = {}
         whole: list[str] = []
         for c in chunks:
-            if self.by_pretoken and not _ODD.search(c):
+            if self.by_pretoken and c.isascii() and c.isalpha():
+                plain[c] = [c.lower()]
+            elif self.by_pretoken and c.isascii() and c[:-1].isalpha() and c[-1] != "<":
+                plain[c] = [c[:-1].lower(), c[-1]]  # a word and one sign or digit
+            elif self.by_pretoken and not _ODD.search(c):
                 plain[c] = LATIN_PRETOKEN.findall(c.lower())
             else:
                 whole.append(c)
         unseen = list({p for ps in plain.values() for p in ps}.difference(self.pieces))
-        self.pieces.update(zip(unseen, self._library(unseen), strict=True))
+        self.pieces.update(zip(unseen, self._merged(unseen), strict=True))
         get = self.pieces.__getitem__
         join = sum if self.numbers else b"".join
         made = {c: get(ps[0]) if len(ps) == 1 else join(map(get, ps)) for c, ps in plain.items()}
@@ -93,7 +109,7 @@ class ChunkEncoder:
 
     def _values(self, texts: list[str | None]) -> list:
         out: list = []
-        for _, block in TextBlocks(1 << 20)(texts):
+        for _, block in TextBlocks(1 << 18)(texts):
             split = [chunks_of(t) for t in block]
             every = list(chain.from_iterable(split))
             found = list(map(self.chunks.get, every))
