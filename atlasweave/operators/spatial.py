@@ -104,10 +104,14 @@ def nearest_polygon(points: DataFrame, row_id: str, lon: str, lat: str, polygons
     aside = F.lit(up) / F.cos(F.radians(F.least(F.lit(89.0), F.greatest(F.abs("__y0"), F.abs("__y1")) + up)))
     columns = F.sequence(F.floor((F.col("__x0") - aside) / cell), F.floor((F.col("__x1") + aside) / cell))
     rows = F.sequence(F.floor((F.col("__y0") - up) / cell), F.floor((F.col("__y1") + up) / cell))
-    filed = boxed.withColumn("__col", F.explode(columns)).withColumn("__row", F.explode(rows)).drop("__x0", "__x1", "__y0", "__y1")
+    filed = boxed.withColumn("__col", F.explode(columns)).withColumn("__row", F.explode(rows)).withColumn("__aside", aside)
     placed = points.filter(F.col(lon).isNotNull() & F.col(lat).isNotNull()).select(F.col(row_id).alias("__id"), F.col(lon).alias("__lon"), F.col(lat).alias("__lat"))
     placed = placed.withColumn("__col", F.floor(F.col("__lon") / cell)).withColumn("__row", F.floor(F.col("__lat") / cell))
-    met = placed.join(filed, ["__col", "__row"]).withColumn("__d", ring_distance(F.col("__lon"), F.col("__lat"), F.col(ring))).filter(F.col("__d") <= metres)
+    # the box first, widened by the radius: few pairs are measured
+    boxes = placed.join(filed, ["__col", "__row"]).filter(
+        F.col("__lon").between(F.col("__x0") - F.col("__aside"), F.col("__x1") + F.col("__aside")) & F.col("__lat").between(F.col("__y0") - up, F.col("__y1") + up)
+    )
+    met = boxes.withColumn("__d", ring_distance(F.col("__lon"), F.col("__lat"), F.col(ring))).filter(F.col("__d") <= metres)
     best = met.groupBy("__id").agg(F.min_by(F.struct("__d", *polygons.columns), F.struct("__d", order)).alias("__s"))
     return points.join(best, F.col(row_id) == F.col("__id"), "left").select(*points.columns, *[F.col(f"__s.{c}").alias(c) for c in polygons.columns], F.col("__s.__d").alias(out))
 
