@@ -92,6 +92,8 @@ class Places:
 
     def of(self, length: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sequence, offset = np.empty(len(length), np.int64), np.empty(len(length), np.int64)
+        if not len(length):
+            return sequence, offset
         order = np.argsort(length, kind="stable")
         cuts = np.flatnonzero(np.diff(length[order], prepend=-1))
         for i, j in zip(cuts, [*cuts[1:], len(order)], strict=True):

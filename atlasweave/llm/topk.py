@@ -83,6 +83,8 @@ class CandidateBlock:
             ids = self.ids[lo + c]
             other = ids != query_ids[live[r]]
             r, score, ids = r[other], score[other], ids[other]
+            if not len(r):
+                continue
             order = np.lexsort((ids, -score, r)) if small else np.array(sorted(range(len(r)), key=lambda i: (r[i], -score[i], ids[i])), dtype=np.int64)
             r, score, ids = r[order], score[order], ids[order]
             starts = np.flatnonzero(np.diff(r, prepend=-1))
