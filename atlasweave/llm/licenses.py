@@ -1,15 +1,17 @@
-"""License scans: winnowed template fingerprints, an inverted index, banded alignment.
+"""License scans: q-grams of templates, an inverted index, banded alignment.
 
-Templates are winnowed: of every ``window`` consecutive q-gram hashes the least is kept, so any
-stretch of ``window + q - 1`` characters that a text shares with a template shares a fingerprint.
-Fingerprints found in a text vote for (template, diagonal band); bands with enough votes and enough
-shared 4-grams (by the q-gram lemma for the edits allowed) are aligned in full.
+An alignment of a template of m characters within k edits leaves at least m + 1 - q * (k + 1) of its
+q-grams. With 4-grams that is more than none for every template at a coverage of 0.85, so all of them
+are indexed; those found in a text vote for (template, diagonal band), and bands with that many votes
+are aligned in full. No match within the edits is lost. With a ``window`` over 1 templates are
+winnowed: of every ``window`` consecutive q-gram hashes the least is kept.
 """
 
 from __future__ import annotations
 
 import pickle
 import uuid
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -51,14 +53,17 @@ class LicenseIndex:
         for name in sorted(templates):
             for t in templates[name]:
                 codes = normal(t)
-                if len(codes) >= q + window - 1:
+                if len(codes):
                     self.names.append(name)
                     patterns.append(codes)
         chosen = [winnow(gram_keys(p, q), window) for p in patterns]
         sizes = np.array([len(p) for p in patterns], np.int64)
         self.edits = np.floor(sizes * (1 - coverage)).astype(np.int64)
-        #: an edit breaks at most q fingerprints; at least one has to be left
-        self.votes = np.maximum(1, np.array([len(c) for c in chosen], np.int64) - q * self.edits)
+        #: an edit breaks at most q fingerprints
+        votes = np.array([len(c) for c in chosen], np.int64) - q * self.edits
+        #: templates that may be left without fingerprint are aligned with the whole text
+        self.unsure = np.flatnonzero(votes < 1)
+        self.votes = np.where(votes < 1, np.iinfo(np.int64).max, votes)
         self.index = GramIndex(patterns, q, chosen)
         #: sorted 4-grams of each template, and how many of its 4-grams an alignment leaves at least
         self.fours = [np.unique(gram_keys(p, 4)) for p in patterns]
@@ -77,7 +82,13 @@ class LicenseIndex:
         found: dict[tuple[int, str], list[tuple[int, int, int, int]]] = {}
         if not self.names:
             return {}
-        for text, p, low, _ in regions(self.index, block, self.edits + 1, self.votes):
+        everywhere = (
+            (text, int(p), low, 0)
+            for text in range(len(block.starts) - 1)
+            for p in self.unsure
+            for low in range(-int(self.edits[p]), int(block.starts[text + 1] - block.starts[text]), int(self.edits[p]) + 1)
+        )
+        for text, p, low, _ in chain(regions(self.index, block, self.edits + 1, self.votes), everywhere):
             codes = block.codes[block.starts[text] : block.starts[text + 1]]
             half, budget = int(self.edits[p]) + 1, int(self.edits[p])
             if not self.possible(p, codes[max(0, low - budget) : low + 2 * half + budget + len(self.index.patterns[p])]):
@@ -106,15 +117,15 @@ def worker_index(key: str, shared) -> LicenseIndex:
 
 
 def scan_licenses(
-    docs: DataFrame, templates: dict[str, list[str]] | None = None, text: str = "text", key: str = "doc_id", q: int = 12, window: int = 4, coverage: float = 0.85
+    docs: DataFrame, templates: dict[str, list[str]] | None = None, text: str = "text", key: str = "doc_id", q: int = 4, window: int = 1, coverage: float = 0.85
 ) -> DataFrame:
     """(key, license, coverage, start, end, edits): each stretch of a text that matches a template.
 
     ``coverage`` is 1 less the edits a character of the template, at least the parameter; offsets
     are code points, end exclusive. Of overlapping matches of one license the closest is kept. Null
     and empty texts match nothing; repeated rows are reported each; an empty table gives an empty
-    result; other columns are ignored. Templates shorter than ``q + window - 1`` characters in
-    normal form have no guaranteed fingerprint and aren't searched.
+    result; other columns are ignored. Templates too short for a q-gram to survive the edits are
+    aligned with every text in full.
     """
     kind = docs.schema[key].dataType.simpleString()
     index = LicenseIndex(TEMPLATES if templates is None else templates, q, window, coverage)
