@@ -249,11 +249,7 @@ def _prepared(name: str, candidates: Sequence[str]) -> tuple[str, list[str], dic
     return processed(name), list(back), back
 
 
-def match_rapid(name: str, candidates: Sequence[str]) -> Scored:
-    """(match, score, method, YES or NO) of the first measure whose best candidate is good enough."""
-    if not candidates:
-        return None, 0.0, "levenshtein", "NO"
-    own, forms, back = _prepared(name, candidates)
+def _early_rapid(name: str, own: str, forms: list[str], back: dict[str, str]) -> Scored:
     best, edit = best_of(own, forms, lev_sim)
     if edit == 100:
         return back[best], 100.0, "identical", "YES"
@@ -263,18 +259,10 @@ def match_rapid(name: str, candidates: Sequence[str]) -> Scored:
         found, value = best_of(own, forms, score)
         if value >= least:
             return back[found], value, method, "YES"
-    for score, method in ((partial_ratio, "partial_ratio"), (partial_token_ratio, "partial_token_ratio")):
-        found, value = top_then_ratio(own, forms, score, ratio)
-        if value >= 50:
-            return back[found], value, method, "YES"
     return back[best], edit, "levenshtein", "NO"
 
 
-def match_sequence(name: str, candidates: Sequence[str]) -> Scored:
-    """The same with measures over matching blocks."""
-    if not candidates:
-        return None, 0.0, "fuzz_ratio", "NO"
-    own, forms, back = _prepared(name, candidates)
+def _early_sequence(name: str, own: str, forms: list[str], back: dict[str, str]) -> Scored:
     best, value = best_of(own, forms, seq_ratio)
     if value == 100:
         return back[best], 100.0, "identical", "YES"
@@ -283,12 +271,60 @@ def match_sequence(name: str, candidates: Sequence[str]) -> Scored:
     found, score = best_of(own, forms, seq_token_sort_ratio)
     if score >= 78:
         return back[found], float(score), "fuzz_token_ratio", "YES"
-    found, score = top_then_ratio(own, forms, seq_partial_token_set_ratio, seq_ratio)
-    if score >= 50:
-        return back[found], float(score), "partial_ratio", "YES"
     return back[best], float(value), "fuzz_ratio", "NO"
 
 
+#: Measures of each cascade that one best candidate decides, and the partial stages after them:
+#: (method, score, second score).
+EARLY = {"rapid": _early_rapid, "sequence": _early_sequence}
+PARTIAL = {
+    "rapid": [("partial_ratio", partial_ratio, ratio), ("partial_token_ratio", partial_token_ratio, ratio)],
+    "sequence": [("partial_ratio", seq_partial_token_set_ratio, seq_ratio)],
+}
+
+
+def match_rapid(name: str, candidates: Sequence[str], kind: str = "rapid") -> Scored:
+    """(match, score, method, YES or NO) of the first measure whose best candidate is good enough."""
+    if not candidates:
+        return None, 0.0, "levenshtein" if kind == "rapid" else "fuzz_ratio", "NO"
+    own, forms, back = _prepared(name, candidates)
+    early = EARLY[kind](name, own, forms, back)
+    if early[3] == "YES":
+        return early
+    for method, score, second in PARTIAL[kind]:
+        found, value = top_then_ratio(own, forms, score, second)
+        if value >= 50:
+            return back[found], float(value), method, "YES"
+    return early
+
+
+def match_sequence(name: str, candidates: Sequence[str]) -> Scored:
+    """The same with measures over matching blocks."""
+    return match_rapid(name, candidates, "sequence")
+
+
+def match_part(name: str, candidates: Sequence[str], kind: str, least: float = 85, k: int = 5) -> tuple[Scored, list[tuple[int, float, str]]]:
+    """What some of the candidates give: the result before the partial stages and, if that is NO, the
+    (partial stage, score, candidate) of the k best of each that reach ``least``."""
+    own, forms, back = _prepared(name, candidates)
+    early, top = EARLY[kind](name, own, forms, back), []
+    for stage, (_, score, _) in enumerate(PARTIAL[kind]) if early[3] == "NO" else ():
+        scored = sorted(((score(own, c), -i, c) for i, c in enumerate(forms)), reverse=True)[:k]
+        top += [(stage, float(s), back[c]) for s, _, c in scored if s >= least]
+    return early, top
+
+
+def match_merged(name: str, top: Sequence[tuple[int, float, int, str]], kind: str, k: int = 5) -> Scored | None:
+    """The result of the partial stages over all candidates, from the (stage, score, position, candidate)
+    of :func:`match_part` of all parts; None if no stage finds any."""
+    for stage, (method, _, second) in enumerate(PARTIAL[kind]):
+        _, forms, back = _prepared(name, [c for _, _, _, c in sorted((x for x in top if x[0] == stage), key=lambda x: (-x[1], x[2], x[3]))])
+        found, value = best_of(processed(name), forms[:k], second)
+        if value >= 50:
+            return back[found], float(value), method, "YES"
+    return None
+
+
 CASCADES = {"rapid": match_rapid, "sequence": match_sequence}
 PAIR_MEASURES: dict[str, Callable[[str, str], float]] = {
     "lev_sim": lev_sim, "jaro": jaro, "jaro_winkler": jaro_winkler, "indel_ratio": ratio, "partial_ratio": partial_ratio,

@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 from atlasweave.functions import geo
 from atlasweave.functions.ids import code_of, unique_key
-from atlasweave.functions.similarity import CASCADES, cascade
+from atlasweave.functions.similarity import CASCADES, cascade, match_merged, match_part
 from atlasweave.functions.text import preclean
 from atlasweave.operators.spatial import near_pairs
 from atlasweave.operators.tables import joined_values, overlap
 
 #: Most names and most candidates that one task compares at a time.
 GROUP = 2000
+MATCH = "struct<name:string,score:double,method:string,result:string>"
 #: Methods of each cascade from the first to the last.
 STAGES = {
     "rapid": ["identical", "levenshtein", "jaro_winkler_similarity", "fuzz_ratio", "token_ratio", "partial_ratio", "partial_token_ratio"],
@@ -37,31 +38,45 @@ def best_in_blocks(names: DataFrame, candidates: DataFrame, kind: str = "rapid",
     of ``candidates(block, clean, pos)``, ties to the least pos. Names whose block has none are left out.
 
     Blocks are cut into groups on both sides, so that no block, however large, meets in one task.
-    A pair of groups runs the cascade; of a name's groups the earliest stage wins, then the
-    score, then the position. A later stage looks at the same candidates as an earlier one did, so
-    this is the cascade over the whole block, but for the five best that partial stages look at,
-    which are five a group.
+    A pair of groups runs the cascade up to the partial stages; of a name's groups the earliest
+    stage wins, then the score, then the position. Groups that find none return their five best of
+    each partial stage, which are merged to the five best of the block before the second ratio is
+    taken. So this is the cascade over the whole block, however it is cut.
     """
     n_candidates = candidates.groupBy("block").agg(F.sequence(F.lit(0), F.ceil(F.count("*") / group).cast("int") - 1).alias("__g"))
     n_names = names.groupBy("block").agg(F.sequence(F.lit(0), F.ceil(F.count("*") / group).cast("int") - 1).alias("__g"))
     left = _in_groups(names.select("block", "clean"), group, "a", n_candidates).select("block", "clean", "a", F.explode("__g").alias("b"))
     right = _in_groups(candidates.select("block", "clean", "pos"), group, "b", n_names).select("block", "clean", "pos", "b", F.explode("__g").alias("a"))
     match, order = CASCADES[kind], {m: i for i, m in enumerate(STAGES[kind])}
+    left = left.join(n_candidates.select("block", (F.size("__g") > 1).alias("cut")), "block")
 
     def run(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
         theirs = theirs.sort_values(["pos", "clean"])
         position = dict(zip(theirs["clean"], theirs["pos"], strict=True))
         listed, rows = theirs["clean"].tolist(), []
-        for block, clean in zip(mine["block"], mine["clean"], strict=True) if listed else ():
-            name, score, method, result = match(clean, listed)
+        for block, clean, cut in zip(mine["block"], mine["clean"], mine["cut"], strict=True) if listed else ():
+            (name, score, method, result), top = match_part(clean, listed, kind) if cut else (match(clean, listed), [])
             stage = order[method] if result == "YES" else len(order)
             rows.append((block, clean, name, score, method, result, stage, position[name]))
+            # candidates for a partial stage: rows without result
+            rows += [(block, clean, c, s, None, None, partial, position[c]) for partial, s, c in top]
         return pd.DataFrame(rows, columns=["block", "clean", "name", "score", "method", "result", "stage", "pos"])
 
+    @F.pandas_udf(MATCH)
+    def merged(names: pd.Series, stages: pd.Series, scores: pd.Series, places: pd.Series, listed: pd.Series) -> pd.DataFrame:
+        rows = [match_merged(n, list(zip(*top, strict=True)), kind) or (None,) * 4 for n, *top in zip(names, stages, scores, places, listed, strict=True)]
+        return pd.DataFrame(rows, columns=["name", "score", "method", "result"])
+
     schema = "block string, clean string, name string, score double, method string, result string, stage int, pos long"
     met = left.groupBy("block", "a", "b").cogroup(right.groupBy("block", "a", "b")).applyInPandas(run, schema)
-    best = met.groupBy("block", "clean").agg(F.min_by(F.struct("name", "score", "method", "result"), F.struct("stage", -F.col("score"), "pos")).alias("m"))
-    return best.select("block", "clean", "m.*")
+    final, entry = F.col("result").isNotNull(), F.struct("stage", "score", "pos", "name")
+    best = met.groupBy("block", "clean").agg(
+        F.min_by(F.struct("name", "score", "method", "result"), F.when(final, F.struct("stage", -F.col("score"), "pos", "name"))).alias("m"), F.collect_list(F.when(~final, entry)).alias("t")
+    )
+    parts = [F.col(f"t.{f}") for f in ("stage", "score", "pos", "name")]
+    late = best.withColumn("p", merged("clean", *parts))
+    # a match before the partial stages, or what the partial stages of all groups find, or the best NO
+    return late.select("block", "clean", F.when((F.col("m.result") == "YES") | F.col("p.result").isNull(), F.col("m")).otherwise(F.col("p")).alias("m")).select("block", "clean", "m.*")
 
 
 def with_match_code(match: DataFrame, name: str, levels: Sequence[str], kind: str | None) -> DataFrame:
