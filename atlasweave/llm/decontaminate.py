@@ -1,10 +1,10 @@
 """Benchmark decontamination by the q-gram lemma.
 
-Benchmark items are cut into overlapping segments, so that a passage of an item is found as well as
-the whole. A segment of m characters within k edits of some stretch of a text shares at least
+Benchmark items are cut into overlapping segments, one every q characters, so that every stretch of
+``length`` characters of an item holds a whole one wherever it begins. A segment of m characters within k edits of some stretch of a text shares at least
 m + 1 - q * (k + 1) of its q-grams with it, on diagonals that differ by at most k. Shared q-grams
 are counted in overlapping bands of diagonals; bands that reach the bound are verified by banded
-alignment.
+alignment. Items too short for that are looked up as they are.
 """
 
 from __future__ import annotations
@@ -25,22 +25,73 @@ from atlasweave.llm.passages import Block, GramIndex, banded, best_spans, normal
 HIT = "item_id long, start int, end int, edits int, matched double"
 
 
+class SegmentGrams(GramIndex):
+    """q-grams of whole items, each stored once; a shared one counts for all segments that hold it."""
+
+    def __init__(self, items: list[np.ndarray], q: int, size: int, stride: int):
+        super().__init__(items, q)
+        self.size, self.stride = size, stride
+        #: where the last segment of each item starts, and how many segments come before the item's
+        self.last = np.array([max(0, len(c) - size) for c in items], np.int64)
+        counts = -(-self.last // stride) + 1
+        self.before = np.cumsum(counts) - counts
+        #: item of each segment, where it starts there and how long it is
+        self.item = np.repeat(np.arange(len(items)), counts)
+        self.start = np.minimum((np.arange(len(self.item)) - self.before[self.item]) * stride, self.last[self.item])
+        self.sizes = np.minimum(size, np.array([len(c) for c in items], np.int64)[self.item])
+
+    def segment(self, p: int) -> np.ndarray:
+        at = int(self.start[p])
+        return self.patterns[int(self.item[p])][at : at + self.size]
+
+    def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        at, item, position = super().hits(codes)
+        first = np.maximum(0, -(-(position + self.q - self.size) // self.stride))
+        end = np.where(position >= self.last[item], -(-self.last[item] // self.stride), position // self.stride) + 1
+        n = np.maximum(0, end - first)
+        p = np.repeat(self.before[item] + first, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        return np.repeat(at, n), p, np.repeat(position, n) - self.start[p]
+
+
+class ShortItems:
+    """Items below the q-gram lemma's reach, found where a text has them as whole words, unedited.
+    Scripts that don't part words (beyond U+0E00) have them anywhere."""
+
+    def __init__(self, items: list[tuple[int, np.ndarray]]):
+        self.items: dict[int, dict[bytes, list[int]]] = {}
+        for i, codes in items:
+            self.items.setdefault(len(codes), {}).setdefault(codes.tobytes(), []).append(i)
+
+    def search(self, block: Block) -> Iterator[tuple[int, int, int, int]]:
+        """(text, item, start, end) of each, among the codes of its text."""
+        codes, raw = np.append(block.codes, np.uint16(32)), block.codes.tobytes()
+        loose = (codes <= 32) | (codes >= 0x0E00)
+        begins = np.flatnonzero((loose[:-1] | loose[1:])[:-1]) + 1 if len(codes) > 1 else np.zeros(0, np.int64)
+        begins = begins[codes[begins] > 32]
+        for n, known in sorted(self.items.items()):
+            at = begins[begins + n < len(codes)]
+            at = at[loose[at + n] | loose[at + n - 1]]
+            for k in at.tolist():
+                for i in known.get(raw[2 * k : 2 * (k + n)], ()):
+                    text = int(np.searchsorted(block.starts, k, side="right")) - 1
+                    if k + n <= block.starts[text + 1]:
+                        start = k - int(block.starts[text])
+                        yield text, i, start, start + n
+
+
 class SegmentIndex:
     """Segments of a bounded block of benchmark items."""
 
     def __init__(self, items: list[tuple[int, str]], q: int, rate: float, length: int, least: int):
-        self.items = [(i, c) for i, c in ((i, normal(t)) for i, t in items) if len(c) >= max(least, q)]
-        self.segments: list[tuple[int, int]] = []  # item, where the segment starts in it
-        patterns = []
-        for k, (_, codes) in enumerate(self.items):
-            last = max(0, len(codes) - length)
-            for at in sorted({*range(0, last, length // 2), last}):
-                self.segments.append((k, at))
-                patterns.append(codes[at : at + length])
-        sizes = np.array([len(p) for p in patterns], np.int64)
-        self.edits = np.minimum((sizes * rate).astype(np.int64), (sizes - q) // q)
+        whole = [(i, normal(t)) for i, t in items]
+        self.items = [(i, c) for i, c in whole if len(c) >= max(least, q)]
+        self.short = ShortItems([(i, c) for i, c in whole if 0 < len(c) < max(least, q)])
+        # any stretch of ``length`` holds a segment, and with it at most as many edits as the stretch
+        self.index = SegmentGrams([c for _, c in self.items], q, max(q, length - q + 1), q)
+        sizes = self.index.sizes
+        full = np.array([len(c) for _, c in self.items], np.int64)[self.index.item]
+        self.edits = np.minimum((np.minimum(full, length) * rate).astype(np.int64), (sizes - q) // q)
         self.least = sizes + 1 - q * (self.edits + 1)
-        self.index = GramIndex(patterns, q)
 
     def search(self, block: Block) -> dict[int, list[tuple[int, int, int, int, float]]]:
         """Per text (item, start, end, edits, share of the item's characters) of each passage found."""
@@ -48,14 +99,14 @@ class SegmentIndex:
         for text, p, low, _ in regions(self.index, block, self.edits + 1, self.least):
             codes = block.codes[block.starts[text] : block.starts[text + 1]]
             half = int(self.edits[p]) + 1
-            hit = banded(self.index.patterns[p], codes, low + half, half + int(self.edits[p]), int(self.edits[p]))
+            hit = banded(self.index.segment(p), codes, low + half, half + int(self.edits[p]), int(self.edits[p]))
             if hit:
                 found.setdefault((text, p), []).append(hit)
         per_item: dict[tuple[int, int], list[tuple[int, int, int, int, int]]] = {}
         for (text, p), hits in found.items():
-            k, at = self.segments[p]
+            k, at = int(self.index.item[p]), int(self.index.start[p])
             for edits, start, end in best_spans(hits):
-                per_item.setdefault((text, k), []).append((start, end, edits, at, at + len(self.index.patterns[p])))
+                per_item.setdefault((text, k), []).append((start, end, edits, at, at + int(self.index.sizes[p])))
         out: dict[int, list[tuple[int, int, int, int, float]]] = {}
         for (text, k), spans in sorted(per_item.items()):
             spans.sort()
@@ -73,6 +124,9 @@ class SegmentIndex:
                     covered[x[3] : x[4]] = True
                 out.setdefault(text, []).append((self.items[k][0], int(places[start]), int(places[end - 1]) + 1, max(x[2] for x in group), float(covered.mean())))
                 group = [s] if s else []
+        for text, i, start, end in self.short.search(block):
+            places = block.places[block.starts[text] : block.starts[text + 1]]
+            out.setdefault(text, []).append((i, int(places[start]), int(places[end - 1]) + 1, 0, 1.0))
         return out
 
 
@@ -103,9 +157,10 @@ def find_passages(
     benchmark item, by code point offsets; ``matched`` is the share of the item it covers, ``edits``
     the most edits of any segment.
 
-    A passage is found if it holds a segment of ``length`` characters in normal form (any stretch of
-    1.5 times that does; shorter items count as a whole) within ``rate`` edits a character. Items
-    with fewer than ``least`` characters are too common to tell and aren't searched. Null texts and
+    A passage is found if it holds a stretch of ``length`` characters of an item in normal form,
+    wherever that begins, or the whole of a shorter item, within ``rate`` edits a character. Items
+    with fewer than ``least`` characters are found unedited, as whole words; items without letters
+    and digits match nothing. Null texts and
     items match nothing; repeated rows are reported each; empty tables give an empty result; other
     columns are ignored. The items are gathered in blocks of ``block_chars`` characters, each
     broadcast in turn, so the benchmark may be of any size.

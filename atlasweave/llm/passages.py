@@ -130,6 +130,12 @@ def banded(pattern: np.ndarray, text: np.ndarray, shift: int, slack: int, budget
     """The cheapest alignment of the whole pattern with a stretch of ``text`` whose diagonal (text
     position less pattern position) is within ``slack`` of ``shift``: (edits, start, end), or None
     beyond ``budget`` edits. Of equal ones the first that ends is taken."""
+    lo, hi = max(0, shift - slack), min(shift + slack, len(text) - len(pattern))
+    if budget >= 0 and len(pattern) and lo <= hi:  # unedited: nothing is cheaper
+        equal = (np.lib.stride_tricks.sliding_window_view(text[lo : hi + len(pattern)], len(pattern)) == pattern).all(axis=1)
+        if equal.any():
+            at = lo + int(equal.argmax())
+            return 0, at, at + len(pattern)
     width = 2 * slack + 1
     big = 1 << 20
     diagonals = shift - slack + np.arange(width)
@@ -176,7 +182,7 @@ def regions(index: GramIndex, block: Block, band: np.ndarray, least: np.ndarray)
     column = np.floor_divide(diagonal, half)
     base = int(column.min()) - 1
     n_columns = int(column.max()) - base + 2
-    n_patterns = len(index.patterns)
+    n_patterns = len(band)
     both = np.concatenate([column, column - 1]) - base
     key = (np.concatenate([text, text]) * n_patterns + np.concatenate([pattern, pattern])) * n_columns + both
     found, counts = np.unique(key, return_counts=True)
