@@ -32,6 +32,9 @@ class BracketTemplate:
     strings can stand inside one, and taking it away again gives the text back.
     """
 
+    #: each turn is formatted by itself, whatever stands before it
+    turn_local = True
+
     _escape = re.compile(r"[\\\[\]<]")
     _unescape = re.compile(r"\\(.)", re.DOTALL)
     _body = r"((?:[^\\\[\]<]|\\.)*+)"
@@ -85,16 +88,17 @@ def common_prefix(a: str, b: str) -> int:
 class Incremental:
     """The spans of one conversation's turns, one turn at a time.
 
-    Renders the whole prefix for the first ``lookback`` turns; from then on the first turn and the
-    last ``lookback`` ones, so a conversation of any length takes bounded memory and time in
-    proportion to its turns. That is exact for templates whose output for a turn depends on the
-    first turn and on no more than ``lookback`` turns before it.
+    Renders the whole prefix, exact for any template: memory in proportion to the conversation and
+    time to its square. A template that declares itself ``turn_local`` (an attribute: its output for
+    a turn depends on the first turn and on no more than ``lookback`` turns before it) gets the first
+    turn and the last ``lookback`` ones from the turn on that has more before it, so a conversation
+    of any length takes bounded memory and time in proportion to its turns.
     """
 
     def __init__(self, render: Callable[[list[Turn]], str], lookback: int = 16):
-        self.render, self.lookback = render, lookback
+        self.render, self.lookback = render, lookback if getattr(render, "turn_local", False) else None
         self.head: list[Turn] = []
-        self.tail: deque[Turn] = deque(maxlen=lookback)
+        self.tail: deque[Turn] = deque(maxlen=self.lookback)
         self.before: str | None = ""
 
     def add(self, role: str, text: str) -> tuple[str, int, int, bool]:
@@ -152,7 +156,8 @@ def format_conversations(turns: DataFrame, render: Callable[[list[Turn]], str],
     Turns are ordered by turn, then role, then text, nulls first; repeated rows are turns each; null
     roles and texts count as empty; rows with a null conversation form one of their own; other
     columns are ignored; an empty table gives an empty result. Turns are sorted by Spark and read
-    one by one, so no conversation is ever held in memory.
+    one by one; of a conversation only ``lookback`` turns are held if the template is ``turn_local``,
+    else the turns so far.
     """
 
     def run(batches):
