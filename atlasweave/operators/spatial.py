@@ -10,6 +10,7 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from atlasweave.functions import geo
 from atlasweave.functions.similarity import pair_measure
@@ -70,6 +71,23 @@ def overlaps(df: DataFrame, row_id: str, name: str, lon: str, lat: str, metres:
 def ring_distance(lon: Column, lat: Column, ring: Column) -> Column:
     """Metres from a point to a polygon given by its exterior ring (array of struct x, y), 0 inside;
     flat metres around the point."""
+    return polygon_distance(lon, lat, F.array(ring))
+
+
+def polygon_rings(df: DataFrame, column: str) -> Column:
+    """All rings of a polygon column as one array of rings: the column is one exterior ring (an array
+    of struct x, y), an array of rings, or an array of parts that are each an array of rings."""
+    depth, kind = 0, df.schema[column].dataType
+    while isinstance(kind, ArrayType):
+        depth, kind = depth + 1, kind.elementType
+    if depth not in (1, 2, 3):
+        raise ValueError(f"{column} is no ring, array of rings or array of parts")
+    return (F.array(F.col(column)), F.col(column), F.flatten(column))[depth - 1]
+
+
+def polygon_distance(lon: Column, lat: Column, rings: Column) -> Column:
+    """Metres from a point to a polygon given by the rings of all its parts, exterior ones and holes,
+    0 inside; flat metres around the point. A point is inside if it is in an odd number of rings."""
     across = F.cos(F.radians(lat)) * METRES_PER_DEGREE
 
     def span(e: Column) -> Column:
@@ -86,8 +104,11 @@ def ring_distance(lon: Column, lat: Column, ring: Column) -> Column:
         between = (a["y"] > lat) != (b["y"] > lat)
         return between & (lon < (b["x"] - a["x"]) * (lat - a["y"]) / F.when(between, b["y"] - a["y"]).otherwise(F.lit(1.0)) + a["x"])
 
-    following = F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1))
-    edges = F.zip_with(ring, following, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    def of_ring(ring: Column) -> Column:
+        following = F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1))
+        return F.zip_with(ring, following, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+
+    edges = F.flatten(F.transform(rings, of_ring))
     inside = F.size(F.filter(edges, crosses)) % 2 == 1
     return F.when(inside, F.lit(0.0)).otherwise(F.array_min(F.transform(edges, span)))
 
@@ -96,9 +117,10 @@ def nearest_polygon(points: DataFrame, row_id: str, lon: str, lat: str, polygons
     """``points`` with the nearest polygon's columns (none of them named as the points') within
     ``metres`` and the distance ``out``; null if none is; of equals the first by ``order``.
 
-    Polygons are put into all ``cell`` degree cells that their box and the radius touch.
+    ``ring`` is any column that :func:`polygon_rings` takes. Polygons are put into all ``cell`` degree cells that their box and the radius touch.
     """
-    xs, ys = F.transform(F.col(ring), lambda p: p["x"]), F.transform(F.col(ring), lambda p: p["y"])
+    rings = polygon_rings(polygons, ring)
+    xs, ys = F.transform(F.flatten(rings), lambda p: p["x"]), F.transform(F.flatten(rings), lambda p: p["y"])
     up = metres / METRES_PER_DEGREE
     boxed = polygons.withColumns({"__x0": F.array_min(xs), "__x1": F.array_max(xs), "__y0": F.array_min(ys), "__y1": F.array_max(ys)})
     aside = F.lit(up) / F.cos(F.radians(F.least(F.lit(89.0), F.greatest(F.abs("__y0"), F.abs("__y1")) + up)))
@@ -111,7 +133,7 @@ def nearest_polygon(points: DataFrame, row_id: str, lon: str, lat: str, polygons
     boxes = placed.join(filed, ["__col", "__row"]).filter(
         F.col("__lon").between(F.col("__x0") - F.col("__aside"), F.col("__x1") + F.col("__aside")) & F.col("__lat").between(F.col("__y0") - up, F.col("__y1") + up)
     )
-    met = boxes.withColumn("__d", ring_distance(F.col("__lon"), F.col("__lat"), F.col(ring))).filter(F.col("__d") <= metres)
+    met = boxes.withColumn("__d", polygon_distance(F.col("__lon"), F.col("__lat"), rings)).filter(F.col("__d") <= metres)
     best = met.groupBy("__id").agg(F.min_by(F.struct("__d", *polygons.columns), F.struct("__d", order)).alias("__s"))
     return points.join(best, F.col(row_id) == F.col("__id"), "left").select(*points.columns, *[F.col(f"__s.{c}").alias(c) for c in polygons.columns], F.col("__s.__d").alias(out))
 
@@ -140,10 +162,11 @@ def check_by_settlement(points: DataFrame, row_id: str, lon: str, lat: str, sett
 
 def border_distance(points: DataFrame, lon: str, lat: str, name: str, asked: Column, boundary: DataFrame, ring: str, order: str, boundary_name: str, out: str) -> DataFrame:
     """Km from each point for which ``asked`` holds to the nearest vertex of the boundary of its own
-    ``name`` (the first by ``order`` of that clean name); nearest in degrees. Null elsewhere."""
-    clean = boundary.select(preclean(F.col(boundary_name)).alias("__n"), F.col(ring).alias("__v"), F.col(order).alias("__o"))
-    first = clean.groupBy("__n").agg(F.min_by("__v", "__o").alias("__v"))
-    joined = points.join(first, F.col(name) == F.col("__n"), "left")
+    ``name``, with all its parts and holes (rows of one clean name are parts, taken by ``order``);
+    nearest in degrees. Null elsewhere."""
+    clean = boundary.select(preclean(F.col(boundary_name)).alias("__n"), F.flatten(polygon_rings(boundary, ring)).alias("__v"), F.col(order).alias("__o")).filter("__v is not null")
+    whole = clean.groupBy("__n").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("__o", "__v"))), lambda r: r["__v"])).alias("__v"))
+    joined = points.join(whole, F.col(name) == F.col("__n"), "left")
     x, y = F.col(lon), F.col(lat)
 
     def nearer(best: Column, p: Column) -> Column:

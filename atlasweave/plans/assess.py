@@ -35,7 +35,8 @@ class AssessConfig:
 
 
 def assess(df: DataFrame, boundary: DataFrame, settlements: DataFrame, config: AssessConfig) -> DataFrame:
-    """``df`` with all quality columns; boundaries and settlements have an exterior ``ring``."""
+    """``df`` with all quality columns; boundaries and settlements have a ``ring``, which is a
+    ring, an array of rings or an array of parts that are each an array of rings."""
     c = config
     if not (c.admin1 or c.admin2):
         raise ValueError("admin1 or admin2 is needed")

@@ -17,7 +17,7 @@ from atlasweave.plans.assess import AssessConfig, assess
 from atlasweave.plans.clean import CleanConfig, clean
 from atlasweave.plans.match import MatchConfig, match
 from atlasweave.sources.dictionaries import Dictionaries, load_dictionaries, poi_labels
-from atlasweave.sources.tables import check_files, config_section, is_true, load_table, save_table
+from atlasweave.sources.tables import check_files, config_section, is_true, load_polygons, load_table, save_table
 
 ROW = "_rid"
 
@@ -62,7 +62,7 @@ def run_assess(spark: SparkSession, source: str | Mapping[str, Any]) -> str:
         _value(s.get("admin1_bdry_var", "")), _value(s.get("admin2_bdry_var", "")), boundary_order="bid", settlement_order="sid", language=g.get("language", ""),
     )
     points = _numbered(load_table(spark, path, config.lat, config.long))
-    made = assess(points, _numbered(load_table(spark, s["admin_bdry_file"]), "bid"), _numbered(load_table(spark, s["path_sett_extent"]), "sid"), config)
+    made = assess(points, _numbered(load_polygons(spark, s["admin_bdry_file"]), "bid"), _numbered(load_polygons(spark, s["path_sett_extent"]), "sid"), config)
     return save_table(made.drop(ROW), _step_path(g, 2, s.get("poi_output_extension_type", ".gpkg")))
 
 

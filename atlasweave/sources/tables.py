@@ -8,6 +8,7 @@ those exist, and points and polygons are columns otherwise (long and lat; a ring
 from __future__ import annotations
 
 import configparser
+import struct
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -70,6 +71,45 @@ def _layer(spark: SparkSession, path: str, layer: str | None) -> DataFrame:
     return spark.createDataFrame(frame.assign(geometry=frame.geometry.to_wkb()))
 
 
+def polygon_parts(blob: bytes | None) -> list[list[list[tuple[float, float]]]] | None:
+    """The parts of a polygon or multipolygon in well-known binary, each its exterior ring and holes of
+    (x, y), with z, m and srid left out; None for other geometries."""
+    if blob is None:
+        return None
+    at = 0
+
+    def take(form: str) -> tuple:
+        nonlocal at
+        found = struct.unpack_from(form, blob, at)
+        at += struct.calcsize(form)
+        return found
+
+    def geometry() -> list | None:
+        end = "<" if take("B")[0] else ">"
+        code = take(f"{end}I")[0]
+        more = (code >> 31 & 1) + (code >> 30 & 1)  # extended: z and m as flags
+        if code >> 29 & 1:
+            take(f"{end}I")
+        code &= 0x1FFFFFFF
+        more, code = more + (0, 1, 1, 2)[code // 1000 % 4], code % 1000
+        if code == 3:
+            return [[[take(f"{end}{2 + more}d")[:2] for _ in range(take(f"{end}I")[0])] for _ in range(take(f"{end}I")[0])]]
+        if code == 6:
+            return [part for _ in range(take(f"{end}I")[0]) for part in geometry()]
+        return None
+
+    return geometry()
+
+
+def load_polygons(spark: SparkSession, path: str) -> DataFrame:
+    """A table of any known type with ``ring``: if it has none, the parts of the polygons of its
+    geometry (well-known binary, degrees), null where that is no polygon."""
+    df = load_table(spark, path)
+    if "ring" in df.columns or dict(df.dtypes).get("geometry") != "binary":
+        return df
+    return df.withColumn("ring", F.udf(polygon_parts, "array<array<array<struct<x:double,y:double>>>>")("geometry"))
+
+
 def load_table(spark: SparkSession, path: str, lat: str = "", long: str = "", null: str | None = NULL_TOKEN, strip_headers: bool = True, schema: str | None = None) -> DataFrame:
     """A table of any known type. CSV columns are text unless a schema is given; a CSV that isn't
     UTF-8 is read as ISO-8859-1. The null token becomes null, coordinates doubles (a value that
