@@ -87,8 +87,8 @@ class ChunkEncoder:
         for c in chunks:
             if self.by_pretoken and c.isascii() and c.isalpha():
                 plain[c] = [c.lower()]
-            elif self.by_pretoken and c.isascii() and c[:-1].isalpha() and c[-1] != "<":
-                plain[c] = [c[:-1].lower(), c[-1]]  # a word and one sign or digit
+            elif self.by_pretoken and c.isascii() and c[:-1].isalpha() and c.isprintable() and c[-1] != "<":
+                plain[c] = [c[:-1].lower(), c[-1]]  # a word and one visible sign or digit: control characters have stand-ins
             elif self.by_pretoken and not _ODD.search(c):
                 plain[c] = LATIN_PRETOKEN.findall(c.lower())
             else:

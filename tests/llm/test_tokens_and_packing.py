@@ -5,6 +5,8 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from atlasweave.llm.packing import Places, fullest, minimum_bin_slack, pack_documents
 from atlasweave.llm.tokens import ChunkEncoder, count_tokens
@@ -30,6 +32,24 @@ def test_encoder_equals_library(library):
         assert small.values(TEXTS) == [np.array(ids(library, t), "<u4").tobytes() for t in TEXTS]
 
 
+PLAIN = ChunkEncoder(PATH)
+NUMBERS = ChunkEncoder(PATH, numbers=True, limit=50)
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.text(st.characters(max_codepoint=0x24F), max_size=40), max_size=4))
+def test_encoder_equals_library_on_any_characters(texts):
+    want = [PLAIN.library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert PLAIN.values(texts) == [np.array(w, "<u4").tobytes() for w in want]
+    assert NUMBERS.values(texts) == [len(w) for w in want]
+
+
+def test_every_character_after_before_and_inside_a_word():
+    texts = [t for c in map(chr, range(0x250)) for t in (f"abc{c}", f"{c}abc", f"ab{c}c d{c}", f"Ab{c}{c}", f"7{c}")]
+    want = [e.ids for e in PLAIN.library.encode_batch(texts, add_special_tokens=False)]
+    assert PLAIN.values(texts) == [np.array(w, "<u4").tobytes() for w in want]
+
+
 def test_counts(spark, odd, none, library):
     got = count_tokens(odd, PATH, table_size=5, per_task=3)
     assert set(got.columns) == set(odd.columns) | {"n_bytes", "n_tokens", "over_limit"}
