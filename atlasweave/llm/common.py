@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from atlasweave.session import checkpointed, ensure_checkpoint_dir
 
-__all__ = ["TextBlocks", "checkpointed", "no_cycle_collection", "read_table", "resident", "split_of", "written"]
+__all__ = ["TextBlocks", "checkpointed", "fresh_names", "no_cycle_collection", "read_table", "resident", "split_of", "written"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,14 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def fresh_names(columns: Iterable[str], n: int) -> list[str]:
+    """``n`` names that no column has, in any case, and that need no quotes."""
+    start, taken = "__", [c.lower() for c in columns]
+    while any(c.startswith(start) for c in taken):
+        start += "_"
+    return [f"{start}x{i}" for i in range(n)]
+
+
 def split_of(doc_id: Column) -> Column:
     """Fold of a document: crc32 of its id as text, modulo 3 (1 is held out)."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 3

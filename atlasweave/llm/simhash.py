@@ -18,8 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atlasweave.llm.common import TextBlocks, checkpointed, read_table
+from atlasweave.llm.common import TextBlocks, checkpointed, fresh_names, read_table
 from atlasweave.operators.components import components
+from atlasweave.operators.skew import MOST_HOT, looked_up_by_key
 
 SEED = 42
 #: A table entry with more fingerprints than this is filed again under a finer key.
@@ -62,15 +63,18 @@ def fingerprints(texts: list[str | None], width: int = 3) -> np.ndarray:
 
 
 def with_fingerprints(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """(key, fp): the fingerprint as a signed long."""
+    """(id, fp, a, b): the key, the fingerprint as a signed long, and a 128-bit hash of the text in two
+    longs, which tells rows of one key apart. Null texts hash unlike empty ones."""
     kind = docs.schema[key].dataType.simpleString()
+    there = F.col(text).isNotNull()
+    own = docs.select(F.col(key).alias("id"), F.xxhash64(F.lit(1), there, text).alias("a"), F.xxhash64(F.lit(2), there, text).alias("b"), F.col(text).alias("text"))
 
     def run(batches):
         for batch in batches:
-            fp = fingerprints(batch.column(1).to_pylist(), width)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], [key, "fp"])
+            fp = fingerprints(batch.column(3).to_pylist(), width)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64)), batch.column(1), batch.column(2)], ["id", "fp", "a", "b"])
 
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, fp long")
+    return own.mapInArrow(run, f"id {kind}, fp long, a long, b long")
 
 
 def _probes(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -191,6 +195,19 @@ def links(prints: DataFrame, radius: int = 3, largest: int = LARGEST_ENTRY) -> D
     return edges
 
 
+def _grouped(prints: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
+    """Of stored ``prints(id, fp, a, b)``: (fp, component_id, n) of every fingerprint, n being how many
+    rows have it, and (root, least): the first row of every component, by its key (null ones last) and
+    its text's hash, once for each of its fingerprints."""
+    row = F.struct(F.col("id").isNull().alias("no"), "id", "a", "b")
+    distinct = checkpointed(prints.groupBy("fp").agg(F.min(row).alias("first"), F.count("*").alias("n")))
+    roots = components(links(distinct, radius))
+    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    sizes = rooted.groupBy("root").agg(F.min("first").alias("least"), F.count("*").alias("k"))
+    named = checkpointed(looked_up_by_key(checkpointed(rooted), checkpointed(sizes), "root", "k"))
+    return named.select("fp", F.col("least.id").alias("component_id"), "n"), named.select("root", "least")
+
+
 def near_duplicates(docs: DataFrame, radius: int = 3, width: int = 3, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, fingerprint, component_id) for every row of ``docs``.
 
@@ -198,14 +215,60 @@ def near_duplicates(docs: DataFrame, radius: int = 3, width: int = 3, text: str
     through any documents. Null and empty texts have fingerprint zero and are linked like others;
     repeated rows stay; a null key stays and never names a component; other columns are ignored;
     an empty table gives an empty result. Copies are folded to one fingerprint before linking, so
-    a group of copies costs as much as one document.
+    a group of copies costs as much as one document, and what a frequent fingerprint gets is broadcast.
     """
     prints = checkpointed(with_fingerprints(docs, key, text, width))
-    distinct = checkpointed(prints.groupBy("fp").agg(F.min(key).alias("least")))
-    roots = components(links(distinct, radius))
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
-    return prints.join(named, "fp").select(key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    named, _ = _grouped(prints, radius)
+    found = looked_up_by_key(prints.select("id", "fp"), named, "fp", "n")
+    return found.select(F.col("id").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, radius: int = 3, width: int = 3, text: str = "text", key: str = "doc_id", most: int = 500_000) -> DataFrame:
+    """The rows of ``docs`` without those that near-duplicate another: of each component of
+    :func:`near_duplicates` one row stays, whole, the one with the least key (null ones last), of
+    equal keys with the least hash of the text, of rows alike in both any one.
+
+    Null and empty texts are near-duplicates of each other; an empty table gives an empty one; columns
+    may have any names, and none is added. ``docs`` should be stored: it is read more than once. The rows that
+    go are known by key and text hash. Up to ``most`` of those are broadcast, and then only rows alike in key
+    and text are shuffled with their texts; beyond that the frequent ones are, and the rest joined by a shuffle.
+    """
+    prints = checkpointed(with_fingerprints(docs, key, text, width))
+    _, first = _grouped(prints, radius)
+    kept = first.select("least.id", "least.a", "least.b").distinct().withColumn("stays", F.lit(True))
+    # of every (key, text) how many rows there are; those that go, and those of which one stays
+    rows = prints.groupBy("id", "a", "b").agg(F.count("*").alias("n"))
+    same = [rows[c].eqNullSafe(kept[c]) for c in ("id", "a", "b")]
+    marked = rows.join(kept, same[0] & same[1] & same[2], "left").select(rows["id"], rows["a"], rows["b"], "n", F.coalesce("stays", F.lit(False)).alias("stays"))
+    decided = checkpointed(marked.filter("n > 1 or not stays"))
+    count, total, repeats = decided.agg(F.count("*"), F.sum("n"), F.count_if("stays")).first()
+    if not count:
+        return docs
+    names = fresh_names(docs.columns, 5)
+    there = F.col(text).isNotNull()
+    hashed = docs.withColumns(dict(zip(names, (F.col(key), F.xxhash64(F.lit(1), there, text), F.xxhash64(F.lit(2), there, text)), strict=False)))
+    other = decided.toDF(*(f"{x}k" for x in names[:3]), *names[3:])
+    n, stays = names[3:]
+    on = [F.col(x).eqNullSafe(F.col(f"{x}k")) for x in names[:3]]
+    on = on[0] & on[1] & on[2]
+
+    def split(df: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Rows that ``keys`` say nothing of, and those of which it says that one stays."""
+        return df.join(keys, on, "left_anti"), df.join(keys.filter(F.col(stays)), on, "left_semi")
+
+    if count <= most:
+        left, parts = hashed, [F.broadcast(other)]
+    else:  # all keys with many rows are among these; the others are shuffled
+        bar = max(64, total // MOST_HOT)
+        left, parts = hashed, [F.broadcast(other.filter(F.col(n) > bar)), other.filter(F.col(n) <= bar)]
+    repeated = []
+    for keys in parts:
+        left, some = split(left, keys)
+        repeated.append(some)
+    out = left.drop(*names)
+    for some in repeated if repeats else ():
+        out = out.unionAll(some.dropDuplicates(names[:3]).drop(*names))
+    return out
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

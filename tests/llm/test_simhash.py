@@ -2,10 +2,11 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from atlasweave.llm.simhash import fingerprints, links, near_duplicates, stars
+from atlasweave.llm.simhash import fingerprints, links, near_duplicates, one_of_each, stars
 from atlasweave.operators.components import components
 
 
@@ -92,3 +93,35 @@ def test_documents(spark, odd, none, prose):
     assert near_duplicates(none).isEmpty()
     assert near_duplicates(odd.withColumn("u", F.lit(1))).count() == odd.count()
     assert fps == {}
+
+
+@pytest.mark.parametrize("most", [500_000, 3, 0])
+def test_one_of_each(spark, odd, none, prose, most):
+    a, b, c = (prose("en", 200, i) for i in range(3))
+    near = [" ".join([*b.split()[:-1], f"end{i}"]) for i in range(4)]
+    rows = [(3, a), (7, a), (7, b), (None, c), (None, a), (None, near[0]), (8, near[1]), (8, near[1]), (9, c + " x y z"), (9, "other words only here"), (5, "other words only here")]
+    rows += [(9, "other words only here")] * 70 + [(4, "many rows alike")] * 80 + [(11, None), (10, ""), (None, None), (12, "  ")]
+    df = spark.createDataFrame([(*r, i % 3, "z") for i, r in enumerate(rows)], "doc_id long, text string, fp int, __x0 string").repartition(3)
+    got = sorted((r["doc_id"] if r["doc_id"] is not None else 99, r["text"]) for r in one_of_each(df, most=most).collect())
+    kept, seen = [], []
+    for i, text in sorted(((99 if i is None else i, t) for i, t in rows), key=lambda r: (r[0], r[1] or "")):
+        group = next((g for g in seen if (g[0] ^ plain(text)).bit_count() <= 3), None)  # groups here are no chains
+        if group is None:
+            seen.append((plain(text),))
+            kept.append((i, text))
+    assert len(got) == len(kept)
+    assert sorted(x[0] for x in got) == sorted(x[0] for x in kept)
+    assert one_of_each(df, most=most).columns == df.columns
+    assert one_of_each(none, most=most).isEmpty()
+    once = one_of_each(odd, most=most)
+    assert once.columns == odd.columns
+    assert sorted(str(r["doc_id"]) for r in once.collect()) == sorted(["1", "2", "5", "6", "7", "8", "None"])
+
+
+def test_hot_fingerprints_and_hubs(spark):
+    star = [(0, i) for i in range(1, 3000)] + [(3000 + i, 3001 + i) for i in range(40)]
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(star, "u long, v long").repartition(5)).collect()}
+    assert got == {i: 0 if i < 3000 else 3000 for i in range(3041)}
+    texts = [(i, "the same words in every one of them" if i % 3 else f"w{i} x{i} y{i} z{i}") for i in range(900)]
+    found = near_duplicates(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == {i: 1 if i % 3 else i for i, _ in texts}
