@@ -24,10 +24,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of near copies the document with the least id, once; documents without an
-    id stay unless they are copies of one with an id."""
-    kept = simhash.near_duplicates(docs).filter("component_id is null or doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi").dropDuplicates(["doc_id", "text"])
+    """Keeps one row of each group of near copies, the one with the least id. Rows without an id are
+    taken like others and come last; of repeated rows one stays."""
+    return simhash.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
