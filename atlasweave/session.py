@@ -24,10 +24,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Point the context at the shared checkpoint folder, the session's ``spark.checkpoint.dir``; only
-    where that is unset (local tests) is a temporary one made."""
+    where that is unset and the master is local is a temporary one made. On a cluster a folder of the
+    driver's machine would be of no use, so there it is an error."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="atlasweave-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="atlasweave-"))
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
