@@ -13,17 +13,22 @@ from pyspark.sql import functions as F
 
 from atlasweave.session import checkpointed, ensure_checkpoint_dir
 
-__all__ = ["TextBlocks", "checkpointed", "fresh_names", "no_cycle_collection", "read_table", "resident", "split_of", "written"]
+__all__ = ["TextBlocks", "checkpointed", "fresh_names", "no_cycle_collection", "read_table", "resident", "shared_path", "split_of", "written"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_path(spark: SparkSession) -> str:
+    """A new name for a table in the shared checkpoint folder; whoever owns that folder clears it."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` written once as a table in the shared checkpoint folder and read back."""
-    ensure_checkpoint_dir(df.sparkSession)
-    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    path = shared_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from atlasweave.llm.topk import CandidateBlock, top_k, whole_numbers
+from atlasweave.llm.topk import CandidateBlock, Questions, top_k, whole_numbers
 
 
 def brute(vectors, queries, k):
@@ -29,8 +29,28 @@ def test_large_numbers_are_exact():
     import numpy as np
 
     big = 3_000_000_000
-    block = CandidateBlock(np.array([1, 2]), np.array([[big, 1], [big, 2]]))
-    assert block.search(np.array([9]), np.array([[1, 1]]), 2) == [(9, 2, big + 2), (9, 1, big + 1)]
+    asked = Questions(np.array([9]), np.array([[1, 1]]), 2)
+    asked.search(CandidateBlock(np.array([1, 2]), np.array([[big, 1], [big, 2]])))
+    asked.search(CandidateBlock(np.array([3]), np.array([[big, 2]])))
+    assert asked.found().to_pydict() == {"query_id": [9, 9], "vec_id": [2, 3], "score": [big + 2, big + 2]}
+
+
+def test_repeated_ids_count_once_by_their_best(spark):
+    r = random.Random(5)
+    rows = [(i % 60, [r.randint(-9, 9) for _ in range(4)]) for i in range(150)]
+    rows += rows[:20] * 3
+    df = spark.createDataFrame(rows, "vec_id long, v array<long>").repartition(5)
+    best = {}
+    for q, a in rows:
+        for i, b in rows:
+            if i != q and q % 10 == 0:
+                score = sum(x * y for x, y in zip(a, b, strict=True))
+                best[q, i] = max(best.get((q, i), score), score)
+    want = set()
+    for q in {q for q, _ in best}:
+        ranked = sorted((-s, i) for (p, i), s in best.items() if p == q)[:5]
+        want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(ranked)}
+    assert {tuple(x) for x in top_k(df, df.filter("vec_id % 10 = 0"), 5, rows=9, round_bytes=100).collect()} == want
 
 
 def test_components_and_empty(spark):
