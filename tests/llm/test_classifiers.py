@@ -85,6 +85,47 @@ def test_marginals_are_exact():
     assert np.abs(toxicity.marginals(scores, lengths, t) - want).max() < 1e-9
 
 
+def test_gradient_equals_numeric_differentiation():
+    r = np.random.default_rng(2)
+    lengths = np.array([4, 1, 0, 7, 66])
+    tokens = r.integers(0, 6, lengths.sum())
+    y = r.integers(0, 2, lengths.sum()).astype(bool)
+    model = toxicity.ToxicModel(list("abcde"))
+    params = [model.own, model.left, model.right, model.transitions]
+    for p in params:
+        p += r.normal(size=p.shape)
+
+    def loss():
+        """Negative log-likelihood by plain recursion over whole sequences."""
+        scores, total, at = model.scores(tokens, lengths), 0.0, 0
+        for n in lengths:
+            e, own, at = scores[at : at + n], y[at : at + n].astype(int), at + n
+            if not n:
+                continue
+            f = np.array([0.0, e[0]])
+            gold = e[0] * own[0]
+            for i in range(1, n):
+                f = np.array([np.logaddexp(f[0] + model.transitions[0, b], f[1] + model.transitions[1, b]) + b * e[i] for b in (0, 1)])
+                gold += model.transitions[own[i - 1], own[i]] + own[i] * e[i]
+            total += np.logaddexp(*f) - gold
+        return total
+
+    for p, g in zip(params, toxicity.gradient(model, tokens, lengths, y), strict=True):
+        for k in np.ndindex(p.shape):
+            p[k] += 1e-5
+            up = loss()
+            p[k] -= 2e-5
+            slope = (up - loss()) / 2e-5
+            p[k] += 1e-5
+            assert abs(slope - g[k]) < 1e-4
+
+
+def test_words_keep_their_places():
+    for text in ["Vile WORDS", "İstanbul vile", "ẞ İ vile", "Ünï vile"]:
+        assert [w.lower() for w in toxicity.WORD.findall(toxicity.spoken(text))] == toxicity.words_of(text)
+        assert len(toxicity.spoken(text)) == len(text)
+
+
 def test_toxicity(spark, odd, none, prose):
     bad = ["vile", "nasty", "awful", "wicked"]
     rows = []
