@@ -5,8 +5,8 @@ each: strict pattern, gazetteer (known endings, issuers, calling codes), context
 it), shape (digit counts, checksums) and boundary. The votes of all candidates are counted by
 pattern, of which there are at most 2^5 a kind; expectation-maximisation on those counts estimates
 how reliable each labeler is for each kind, and its posteriors train the final classifier, a
-logistic regression on the votes. Strict candidates stay as they are; the classifier adds looser
-ones.
+logistic regression on the votes and on what the span itself looks like, which no labeler sees.
+Strict candidates stay as they are; the classifier adds looser ones.
 
 Spans are found by a regular expression that puts marks around its matches; the text between the
 marks tells the offsets. Patterns are possessive, so texts of any length match without recursion.
@@ -16,15 +16,16 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atlasweave.llm.common import checkpointed, read_table
+from atlasweave.llm.common import checkpointed, fresh_names, read_table, written
 
 KINDS = ("email", "ip", "card", "phone")
 OPEN, CLOSE, OTHER = "\u0001", "\u0002", "\u0003"
 FOUND = "array<struct<start:int,end:int,value:string>>"
-CANDIDATES = "array<struct<kind:string,start:int,end:int,strict:boolean,votes:string>>"
+CANDIDATES = "array<struct<kind:string,start:int,end:int,strict:boolean,votes:string,looks:string>>"
 
 #: Strict patterns. A match starts where a run of its first characters does; the lookbehind says so
 #: (\G where the match before ended inside the run), which keeps long runs from being tried at
@@ -57,6 +58,8 @@ CONTEXT = {
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 IP_PARTS = rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"
 LABELERS = ("strict", "gazetteer", "context", "shape", "boundary")
+#: What a span looks like, a pattern each: length, signs inside, order of letters and digits.
+LOOKS = (r"^.{12}", r"^.{17}", r"^.{25}", " ", r"[0-9]-[0-9]", r"[0-9]\.[0-9]", r"[()\[\]]", "[A-Z]", "^[+(]", r"[0-9]{6}", r"(?i)^[a-z]+[ @(\[]", "^0")
 
 
 def plain(text: Column) -> Column:
@@ -126,7 +129,8 @@ def _candidates(text: Column, kind: str, found: Column, strict: bool) -> Column:
         around = F.concat(F.substr(text, F.greatest(x["start"], F.lit(1)), F.least(x["start"], F.lit(1))), F.lit("|"), F.substr(text, x["end"] + 1, F.lit(1)))
         hard = _strict(kind, value) if strict else F.lit(False)
         votes = F.concat(bit(hard), bit(value.rlike(GAZETTEER[kind])), bit(before.rlike(CONTEXT[kind])), bit(_shape(kind, value)), bit(~around.rlike(r"[\p{L}\p{N}_]")))
-        return F.struct(F.lit(kind).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), hard.alias("strict"), votes.alias("votes"))
+        looks = F.concat(*[bit(value.rlike(pattern)) for pattern in LOOKS])
+        return F.struct(F.lit(kind).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), hard.alias("strict"), votes.alias("votes"), looks.alias("looks"))
 
     return F.transform(found, vote)
 
@@ -170,30 +174,32 @@ def estimate(counts: dict[tuple[str, str], int], rounds: int = 50) -> dict[tuple
     return out
 
 
-def _features(kind: str, votes: str) -> list[float]:
-    return [1.0, *(1.0 if kind == k else 0.0 for k in KINDS), *(float(b) for b in votes)]
+def _features(kind: str, votes: str, looks: str) -> list[float]:
+    return [1.0, *(1.0 if kind == k else 0.0 for k in KINDS), *(float(b) for b in votes + looks)]
 
 
-def classifier(counts: dict[tuple[str, str], int], rounds: int = 400, step: float = 0.5) -> list[float]:
-    """Weights of a logistic regression on kind and votes, trained on the posteriors: every pattern
-    in proportion to its count, by gradient descent."""
-    belief, total = estimate(counts), sum(counts.values())
-    weights = [0.0] * (1 + len(KINDS) + len(LABELERS))
-    rows = [(_features(*k), belief[k], n / total) for k, n in sorted(counts.items())]
+def classifier(counts: dict[tuple[str, str, str], int], rounds: int = 400, step: float = 0.5) -> list[float]:
+    """Weights of a logistic regression on kind, votes and looks, trained on the posteriors: every
+    pattern in proportion to its count, by gradient descent."""
+    by_votes: dict[tuple[str, str], int] = {}
+    for (kind, votes, _), n in counts.items():
+        by_votes[kind, votes] = by_votes.get((kind, votes), 0) + n
+    belief, total = estimate(by_votes), sum(counts.values())
+    weights = np.zeros(1 + len(KINDS) + len(LABELERS) + len(LOOKS))
+    rows = sorted(counts.items())
+    x = np.array([_features(*k) for k, _ in rows]).reshape(len(rows), len(weights))
+    y, share = np.array([belief[k[:2]] for k, _ in rows]), np.array([n / total for _, n in rows])
     for _ in range(rounds if rows else 0):
-        grad = [1e-4 * w for w in weights]
-        for x, y, share in rows:
-            p = 1 / (1 + math.exp(-max(-40.0, min(40.0, sum(w * f for w, f in zip(weights, x, strict=True))))))
-            for j, f in enumerate(x):
-                grad[j] += share * (p - y) * f
-        weights = [w - step * g for w, g in zip(weights, grad, strict=True)]
-    return weights
+        p = 1 / (1 + np.exp(-np.clip(x @ weights, -40, 40)))
+        weights -= step * ((share * (p - y)) @ x + 1e-4 * weights)
+    return weights.tolist()
 
 
-def vote_counts(candidates: DataFrame, column: str = "candidates") -> dict[tuple[str, str], int]:
-    """How often each (kind, votes) occurs: a table of at most 2^5 rows a kind."""
-    rows = candidates.select(F.explode(column).alias("c")).groupBy("c.kind", "c.votes").count().collect()
-    return {(r["kind"], r["votes"]): r["count"] for r in rows}
+def vote_counts(candidates: DataFrame, column: str = "candidates") -> dict[tuple[str, str, str], int]:
+    """How often each (kind, votes, looks) occurs: a table bounded by the patterns there are, 2^17 a
+    kind, of which few hundred occur."""
+    rows = candidates.select(F.explode(column).alias("c")).groupBy("c.kind", "c.votes", "c.looks").count().collect()
+    return {(r["kind"], r["votes"], r["looks"]): r["count"] for r in rows}
 
 
 def accepted(candidates: Column, weights: list[float], threshold: float = 0.5) -> Column:
@@ -205,8 +211,9 @@ def accepted(candidates: Column, weights: list[float], threshold: float = 0.5) -
         score = F.lit(weights[0])
         for k, w in zip(KINDS, weights[1 : 1 + len(KINDS)], strict=True):
             score = score + F.when(c["kind"] == k, F.lit(w)).otherwise(0.0)
+        bits = F.concat(c["votes"], c["looks"])
         for j, w in enumerate(weights[1 + len(KINDS) :]):
-            score = score + F.substr(c["votes"], F.lit(j + 1), F.lit(1)).cast("double") * w
+            score = score + F.substr(bits, F.lit(j + 1), F.lit(1)).cast("double") * w
         apart = ~F.exists(strict, lambda s: (s["kind"] == c["kind"]) & (s["start"] < c["end"]) & (c["start"] < s["end"]))
         return c["strict"] | (apart & (score >= math.log(threshold / (1 - threshold))))
 
@@ -240,20 +247,26 @@ def find_personal_data(docs: DataFrame, text: str = "text", key: str = "doc_id")
     gives an empty result. Candidates are kept in the checkpoint folder between counting the votes
     and deciding, so texts are read once.
     """
-    got = checkpointed(docs.select(F.col(key), plain(F.col(text)).alias("__t")).select(key, candidate_spans(F.col("__t")).alias("candidates")))
+    (clean,) = fresh_names([key], 1)
+    got = checkpointed(docs.select(F.col(key), plain(F.col(text)).alias(clean)).select(key, candidate_spans(F.col(clean)).alias("candidates")))
     counts = vote_counts(got)
     return got.withColumn("found", accepted(F.col("candidates"), classifier(counts)))
 
 
 def redact_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every found span of ``text`` replaced by its kind in brackets; all other columns,
-    rows and null texts stay as they are. The texts are gone through twice: to count votes, and
-    to decide and redact."""
+    rows (repeated ones too) and null texts stay as they are; an empty table gives an empty one;
+    columns may have any names.
+
+    Candidates are found once: they are written with the documents to the checkpoint folder, by
+    columns, so that counting the votes reads them alone.
+    """
+    clean, candidates, spans = fresh_names(docs.columns, 3)
     # each step is a column of its own, so that no expression is worked out more than once a row
-    seen = docs.withColumn("__t", plain(F.col(text))).withColumn("__c", candidate_spans(F.col("__t"))).drop("__t")
-    weights = classifier(vote_counts(seen.select("__c"), "__c"))
-    made = seen.withColumn("__s", accepted(F.col("__c"), weights)).drop("__c")
-    return made.withColumn(text, F.when(F.col(text).isNotNull(), redacted(F.col(text), F.col("__s")))).drop("__s")
+    seen = written(docs.withColumn(clean, plain(F.col(text))).withColumn(candidates, candidate_spans(F.col(clean))).drop(clean))
+    weights = classifier(vote_counts(seen, candidates))
+    made = seen.withColumn(spans, accepted(F.col(candidates), weights)).drop(candidates)
+    return made.withColumn(text, F.when(F.col(text).isNotNull(), redacted(F.col(text), F.col(spans)))).drop(spans)
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
