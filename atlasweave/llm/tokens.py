@@ -17,6 +17,7 @@ from itertools import chain
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -140,10 +141,25 @@ def worker_counts(key: str, shared, texts: list[str | None]) -> list[int]:
     return resident(key, make).values(texts)
 
 
-def frequent_chunks(docs: DataFrame, text: str, size: int, per_task: int, longest: int = 64) -> list[str]:
-    """The most frequent chunks of all texts: each task counts its own rows and hands over at most
-    ``per_task`` sums, so no pre-token is shuffled. The list only decides what is looked up
-    quickly, never a count."""
+SUMS = "node long, chunks string, sums array<long>"
+
+
+def _summary(node: int, seen: Counter[str], most: int) -> pa.RecordBatch:
+    """One row: the ``most`` most frequent chunks, which hold no line feed, and their sums."""
+    top = sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:most]
+    columns = [[node], ["\n".join(c for c, _ in top)], [[n for _, n in top]]]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.list_(pa.int64())), strict=True)], [x.split()[0] for x in SUMS.split(", ")])
+
+
+def frequent_chunks(docs: DataFrame, text: str, size: int, per_task: int, longest: int = 64, fan: int = 100) -> list[str]:
+    """The most frequent chunks of all texts. Each task counts its own rows and hands over one row, a
+    summary of its ``per_task`` most frequent chunks; summaries are merged ``fan`` at a time, level
+    by level, into summaries of at most ``size`` chunks, until one is left. So no chunk is shuffled
+    by itself, and no task holds more than ``fan`` summaries: three levels take a million tasks, and the
+    driver gets one row. The list only decides what is looked up quickly, never a count."""
+
+    def pruned(seen: Counter[str]) -> Counter[str]:
+        return Counter(dict(seen.most_common(100_000))) if len(seen) > 300_000 else seen
 
     def count(batches):
         seen: Counter[str] = Counter()
@@ -151,13 +167,22 @@ def frequent_chunks(docs: DataFrame, text: str, size: int, per_task: int, longes
             for t in batch.column(0).to_pylist():
                 if t:
                     seen.update(chunks_of(t))
-            if len(seen) > 300_000:
-                seen = Counter(dict(seen.most_common(100_000)))
-        top = [(c, n) for c, n in seen.most_common(per_task) if len(c) <= longest]
-        yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], ["chunk", "n"])
+            seen = pruned(seen)
+        yield _summary(TaskContext.get().partitionId(), Counter({c: n for c, n in seen.items() if len(c) <= longest}), per_task)
 
-    sums = docs.select(text).mapInArrow(count, "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
-    return [r[0] for r in sums.orderBy(F.desc("n"), "chunk").limit(size).collect()]
+    def merge(key, table):
+        seen: Counter[str] = Counter()
+        for chunks, sums in zip(table.column("chunks"), table.column("sums"), strict=True):
+            sums = sums.as_py()
+            seen.update(dict(zip(chunks.as_py().split("\n") if sums else (), sums, strict=True)))
+            seen = pruned(seen)
+        return pa.Table.from_batches([_summary(key[0].as_py(), seen, size)])
+
+    sums = docs.select(text).mapInArrow(count, SUMS)
+    for _ in range(3):
+        sums = sums.withColumn("node", F.floor(F.col("node") / fan)).groupBy("node").applyInArrow(merge, SUMS)
+    found = sums.select("chunks").collect()  # one row
+    return [c for r in found for c in r["chunks"].split("\n") if c]
 
 
 def count_tokens(

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from atlasweave.llm.packing import Places, fullest, minimum_bin_slack, pack_documents
-from atlasweave.llm.tokens import ChunkEncoder, count_tokens
+from atlasweave.llm.tokens import ChunkEncoder, count_tokens, frequent_chunks
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 TEXTS = ["a<|endoftext|>b don't I'LL x\x1cy ÅÅ Å σΣ　ß ½² 你好 \x85a\xa0b", "", None, "'s'S", "Ⅷ①12", "<|ENDOFTEXT|>", "Σ ΟΔΟΣ", "x" * 300, "é e ́", "İ İ"]
@@ -60,6 +60,17 @@ def test_counts(spark, odd, none, library):
     assert {r["doc_id"]: r["n_tokens"] for r in count_tokens(more, PATH).collect()} == {i: len(ids(library, t)) for i, t in enumerate(TEXTS)}
 
 
+def test_frequent_chunks(spark, none):
+    r = random.Random(8)
+    texts = [" ".join(f"w{int(r.paretovariate(0.7))}" for _ in range(200)) for _ in range(60)]
+    want = Counter(w for t in texts for w in t.split())
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(13)
+    for fan in (3, 100):  # several levels of summaries
+        assert frequent_chunks(df, "text", 10_000, 10_000, fan=fan) == [w for w, _ in sorted(want.items(), key=lambda x: (-x[1], x[0]))]
+        assert len(frequent_chunks(df, "text", 30, 100, fan=fan)) == 30
+    assert frequent_chunks(none, "text", 30, 10) == []
+
+
 def test_fullest():
     r = random.Random(4)
     for _ in range(200):
