@@ -44,8 +44,8 @@ class SegmentGrams(GramIndex):
         at = int(self.start[p])
         return self.patterns[int(self.item[p])][at : at + self.size]
 
-    def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        at, item, position = super().hits(codes)
+    def expanded(self, at: np.ndarray, lo: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        at, item, position = super().expanded(at, lo, n)
         first = np.maximum(0, -(-(position + self.q - self.size) // self.stride))
         end = np.where(position >= self.last[item], -(-self.last[item] // self.stride), position // self.stride) + 1
         n = np.maximum(0, end - first)

@@ -110,21 +110,34 @@ class GramIndex:
         self.position = (np.concatenate(positions) if positions else np.zeros(0, np.int64))[order]
         self.bitmap = np.zeros(1 << _BITS, bool)
         self.bitmap[self._slot(self.keys)] = True
+        self.sizes = np.array([len(p) for p in patterns], np.int64)
+
+    def longest_of(self, pattern: np.ndarray) -> np.ndarray:
+        """How far into each pattern a q-gram may stand at most."""
+        return self.sizes[pattern]
 
     @staticmethod
     def _slot(keys: np.ndarray) -> np.ndarray:
         return (keys >> np.uint64(64 - _BITS)).astype(np.int64)
 
-    def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(position in codes, pattern, position in the pattern) of every shared q-gram."""
+    def lookups(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(positions in codes whose q-gram is stored, its first entry, how many it has)."""
         keys = gram_keys(codes, self.q)
         at = np.flatnonzero(self.bitmap[self._slot(keys)])
         own = keys[at]
         lo, hi = np.searchsorted(self.keys, own), np.searchsorted(self.keys, own, side="right")
-        n = hi - lo
+        some = hi > lo
+        return at[some], lo[some], (hi - lo)[some]
+
+    def expanded(self, at: np.ndarray, lo: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(position in codes, pattern, position in the pattern) of every shared q-gram of some lookups."""
         which = np.repeat(lo, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
         return np.repeat(at, n), self.owner[which], self.position[which]
 
+    def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same of all."""
+        return self.expanded(*self.lookups(codes))
+
 
 def banded(pattern: np.ndarray, text: np.ndarray, shift: int, slack: int, budget: int) -> tuple[int, int, int] | None:
     """The cheapest alignment of the whole pattern with a stretch of ``text`` whose diagonal (text
@@ -167,29 +180,80 @@ def banded(pattern: np.ndarray, text: np.ndarray, shift: int, slack: int, budget
     return (int(cost[k]), int(start[k]), int(ends[k])) if cost[k] <= budget else None
 
 
-def regions(index: GramIndex, block: Block, band: np.ndarray, least: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+def local(pattern: np.ndarray, text: np.ndarray, lo: int, hi: int) -> tuple[int, int, int, int, int, int] | None:
+    """The best alignment of some stretch of the pattern with some stretch of ``text`` on the diagonals
+    from ``lo`` to ``hi``: (matched characters, edits, start and end in the pattern, start and end in
+    the text), None if nothing matches. An edit costs one and a half matches."""
+    diagonals = lo + np.arange(hi - lo + 1)
+    steps, far = np.arange(len(diagonals)), -(1 << 30)
+    score, matched, edits = (np.zeros(len(diagonals), np.int64) for _ in range(3))
+    p0, t0 = np.zeros(len(diagonals), np.int64), diagonals.copy()
+    best = (0, None)
+    for i, c in enumerate(pattern):
+        at = diagonals + i
+        there = (at >= 0) & (at < len(text))
+        same = np.zeros(len(diagonals), bool)
+        same[there] = text[at[there]] == c
+        through = np.where(there, score + np.where(same, 2, -3), far)
+        down = np.append(score[1:], far) - 3  # the pattern's character has no partner
+        skip = down > through
+        source = np.where(skip, np.minimum(steps + 1, len(steps) - 1), steps)
+        now = np.where(skip, down, through)
+        matched, edits, p0, t0 = matched[source] + (same & ~skip), edits[source] + (skip | ~same), p0[source], t0[source]
+        # characters of the text without partner: a running maximum along the band
+        greatest = np.maximum.accumulate(now + 3 * steps)
+        source = np.maximum.accumulate(np.where(now + 3 * steps == greatest, steps, 0))
+        edits, matched, p0, t0 = edits[source] + steps - source, matched[source], p0[source], t0[source]
+        score = greatest - 3 * steps
+        none = score <= 0
+        score[none], matched[none], edits[none], p0[none] = 0, 0, 0, i + 1
+        t0 = np.where(none, diagonals + i + 1, t0)
+        k = int(score.argmax())
+        if score[k] > best[0]:
+            best = (int(score[k]), (int(matched[k]), int(edits[k]), int(p0[k]), i + 1, int(t0[k]), int(diagonals[k]) + i + 1))
+    return best[1]
+
+
+def regions(index: GramIndex, block: Block, band: np.ndarray, least: np.ndarray, most: int = 1 << 21) -> Iterator[tuple[int, int, int, int]]:
     """(text, pattern, least diagonal, shared q-grams) of the diagonal bands with ``least`` or more.
 
     Bands of pattern p are 2 * band[p] diagonals wide and overlap by half, so that any alignment
     whose diagonals differ by at most band[p] lies whole in one. Diagonals are within the text.
+
+    Shared q-grams are looked at ``most`` at a time, in the order of the texts, and of what was counted
+    only bands that later ones may still add to are kept: a q-gram that every pattern has, in a text
+    of any length, takes memory by the number of patterns alone.
     """
-    at, pattern, position = index.hits(block.codes)
-    if not len(at):
-        return
-    text = np.searchsorted(block.starts, at, side="right") - 1
-    diagonal = at - block.starts[text] - position
-    half = band[pattern]
-    column = np.floor_divide(diagonal, half)
-    base = int(column.min()) - 1
-    n_columns = int(column.max()) - base + 2
-    n_patterns = len(band)
-    both = np.concatenate([column, column - 1]) - base
-    key = (np.concatenate([text, text]) * n_patterns + np.concatenate([pattern, pattern])) * n_columns + both
-    found, counts = np.unique(key, return_counts=True)
-    owner = found // n_columns % n_patterns
-    for k in np.flatnonzero(counts >= least[owner]):
-        p = int(owner[k])
-        yield int(found[k] // n_columns // n_patterns), p, (int(found[k] % n_columns) + base) * int(band[p]), int(counts[k])
+    at, lo, n = index.lookups(block.codes)
+    n_patterns, offset = len(band), int(band.max(initial=0)) + 1
+    span = len(block.codes) + 2 * max((len(p) for p in index.patterns), default=0) + 4 * offset
+    # one number a band: text, pattern and column (never below -offset - the longest pattern)
+    shift = span // 2
+    held, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    done = 0
+    while done < len(at):
+        upto = max(done + 1, int(np.searchsorted(np.cumsum(n[done:]), most, side="right")) + done)
+        where, pattern, position = index.expanded(at[done:upto], lo[done:upto], n[done:upto])
+        done = upto
+        text = np.searchsorted(block.starts, where, side="right") - 1
+        column = np.floor_divide(where - block.starts[text] - position, band[pattern])
+        both = np.concatenate([column, column - 1]) + shift
+        key = (np.concatenate([text, text]) * n_patterns + np.concatenate([pattern, pattern])) * span + both
+        own, times = np.unique(key, return_counts=True)
+        if len(held):
+            merged, inverse = np.unique(np.concatenate([held, own]), return_inverse=True)
+            own, times = merged, np.bincount(inverse, weights=np.concatenate([counts, times])).astype(np.int64)
+        over = np.ones(len(own), bool)
+        if done < len(at):  # what q-grams from here on may still add to
+            next_text = int(np.searchsorted(block.starts, at[done], side="right")) - 1
+            p, low = own // span % n_patterns, own % span - shift
+            reach = int(at[done] - block.starts[next_text]) - index.longest_of(p)
+            over = (own // span // n_patterns < next_text) | ((low + 2) * band[p] <= reach)
+        held, counts = own[~over], times[~over]
+        own, times = own[over], times[over]
+        for k in np.flatnonzero(times >= least[own // span % n_patterns]):
+            p = int(own[k] // span % n_patterns)
+            yield int(own[k] // span // n_patterns), p, (int(own[k] % span) - shift) * int(band[p]), int(times[k])
 
 
 def best_spans(found: Iterable[tuple[int, int, int]]) -> list[tuple[int, int, int]]:

@@ -5,9 +5,9 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from atlasweave.llm.decontaminate import find_passages, without_passages
-from atlasweave.llm.licenses import scan_licenses, winnow
-from atlasweave.llm.passages import banded, normal, normal_block
+from atlasweave.llm.decontaminate import SegmentGrams, find_passages, without_passages
+from atlasweave.llm.licenses import TEMPLATES, Scanner, scan_licenses, winnow
+from atlasweave.llm.passages import GramIndex, banded, local, normal, normal_block, regions
 
 
 def plain_best(pattern, text):
@@ -106,3 +106,85 @@ def test_winnow():
     assert all(any(i <= c < i + 4 and keys[c] == keys[i : i + 4].min() for c in chosen) for i in range(197))
     assert len(winnow(keys[:3], 4)) == 1
     assert len(winnow(keys[:0], 4)) == 0
+
+
+def plain_local(pattern, text):
+    """Score of the best local alignment: 2 a match, -3 an edit."""
+    best, row = 0, [0] * (len(text) + 1)
+    for x in pattern:
+        last, row = row, [0]
+        for j, y in enumerate(text, 1):
+            row.append(max(0, last[j - 1] + (2 if x == y else -3), last[j] - 3, row[j - 1] - 3))
+        best = max(best, *row)
+    return best
+
+
+def test_local_alignment():
+    r = random.Random(5)
+    codes = lambda s: np.array([ord(c) for c in s], np.uint16)
+    for _ in range(150):
+        pattern = [r.choice("abc") for _ in range(14)]
+        text = [r.choice("abc") for _ in range(r.randint(0, 9))] + pattern[3:11] + [r.choice("abc") for _ in range(5)]
+        for _ in range(r.randint(0, 3)):
+            k = r.randrange(len(text))
+            text[k : k + 1] = r.choice([[], ["a"], ["b", "c"]])
+        got = local(codes(pattern), codes(text), -len(pattern), len(text))
+        assert 2 * got[0] - 3 * got[1] == plain_local(pattern, text)
+        part, stretch = pattern[got[2] : got[3]], text[got[4] : got[5]]
+        assert plain_local(part, stretch) == 2 * got[0] - 3 * got[1]
+        assert len(part) <= got[0] + got[1] >= len(stretch)
+    assert local(codes("abc"), codes("xyz"), -3, 3) is None
+
+
+def test_regions_in_slices():
+    r = random.Random(6)
+    items = ["".join(r.choice("ab c") for _ in range(r.randint(30, 90))) for _ in range(20)]
+    texts = ["".join(r.choice("ab c") for _ in range(r.randint(0, 400))) + r.choice(items) for _ in range(12)] + ["", None]
+    block = normal_block(texts)
+    for index in (GramIndex([normal(t) for t in items], 4), SegmentGrams([normal(t) for t in items], 4, 20, 4)):
+        n = len(index.sizes)
+        band, least = np.array([1 + i % 3 for i in range(n)]), np.array([6 + i % 4 for i in range(n)])
+        want = sorted(regions(index, block, band, least))
+        assert want
+        for most in (1, 50, 3000):
+            assert sorted(regions(index, block, band, least, most)) == want
+
+
+def test_license_bodies_in_part(spark, prose):
+    body = " ".join(TEMPLATES["MIT"][-1].split())
+    words = body.split()
+    half = " ".join(words[: len(words) // 2])
+    r = random.Random(9)
+    docs = [
+        (1, "Copyright me. " + body + " and code"),
+        (2, prose("fr", 40, 1) + " " + half + " " + prose("fr", 40, 2)),
+        (3, prose("de", 30, 1) + " " + edited(r, body, len(body) // 25)),
+        (4, "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+        (5, prose("en", 300, 4)),
+        (6, half + " " + prose("fr", 200, 5) + " " + half),
+        (7, TEMPLATES["BSD-3-Clause"][0]),
+        (8, TEMPLATES["AGPL-3.0"][0]),
+        (9, TEMPLATES["GPL-2.0"][1] + "\n\n" + TEMPLATES["ISC"][0]),
+    ]
+    rows = {}
+    for x in scan_licenses(spark.createDataFrame(docs, "doc_id long, text string")).collect():
+        rows.setdefault(x["doc_id"], []).append(x)
+    text = dict(docs)
+    best = {i: max(found, key=lambda x: x["matched"]) for i, found in rows.items()}
+    assert {i: x["license"] for i, x in best.items()} == {1: "MIT", 2: "MIT", 3: "MIT", 4: "MIT", 6: "MIT", 7: "BSD-3-Clause", 8: "AGPL-3.0", 9: best[9]["license"]}
+    assert best[1]["coverage"] == 1.0
+    assert text[1][best[1]["start"] : best[1]["end"]].startswith("Permission is hereby")
+    assert 0.4 < best[2]["coverage"] < 0.6
+    assert normal(text[2][best[2]["start"] : best[2]["end"]]).tobytes().startswith(normal(half).tobytes()[:400])
+    assert best[3]["coverage"] > 0.9
+    assert [(x["coverage"], x["edits"]) for x in rows[4]] == [(1.0, 0)]
+    assert sum(0.4 < x["coverage"] < 0.6 for x in rows[6]) == 2
+    assert best[7]["coverage"] == best[8]["coverage"] == 1.0
+    assert {x["license"] for x in rows[9] if x["coverage"] > 0.9} == {"GPL-2.0", "ISC"}
+    # every stretch of a body that is long enough is found, wherever it begins
+    codes = normal(body)
+    index = Scanner(TEMPLATES, 4, 1, 0.85, 12, 8, 60).bodies
+    plain = "".join(map(chr, codes))
+    starts = list(range(0, len(plain) - 70, 7))
+    found = index.search(normal_block(["zq zq " + plain[at : at + 70] + " zq zq" for at in starts]))
+    assert sorted(found) == list(range(len(starts)))
