@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from atlasweave.llm.common import read_table
 
 Turn = tuple[str, str]
-#: Stands for a turn's text while its surroundings are looked for; a private-use character.
-PROBE = "\ue000"
+#: One of these, private-use characters, stands for a turn's text while its surroundings are looked for.
+PROBES = [*map(chr, range(0xE000, 0xF900)), *map(chr, range(0xF0000, 0xFFFFE))]
 
 
 class BracketTemplate:
@@ -108,10 +108,11 @@ class Incremental:
         after = self.render([*prefix, (role, text)])
         kept = common_prefix(before, after)
         piece = after[kept:]
-        probed = self.render([*prefix, (role, PROBE)])
+        mark = next(c for c in PROBES if c not in role and c not in after and c not in before)
+        probed = self.render([*prefix, (role, mark)])
         probe = probed[common_prefix(before, probed) :]
-        at = probe.find(PROBE)
-        lead, trail = (at, len(probe) - at - len(PROBE)) if at >= 0 else (0, 0)
+        at = probe.find(mark)
+        lead, trail = (at, len(probe) - at - 1) if at >= 0 else (0, 0)
         if at < 0 or lead + trail > len(piece):
             lead, trail = 0, len(piece)  # the template leaves the text out: nothing to train on
         full = len(self.tail) == self.lookback
@@ -155,9 +156,10 @@ def format_conversations(turns: DataFrame, render: Callable[[list[Turn]], str],
 
     Turns are ordered by turn, then role, then text, nulls first; repeated rows are turns each; null
     roles and texts count as empty; rows with a null conversation form one of their own; other
-    columns are ignored; an empty table gives an empty result. Turns are sorted by Spark and read
-    one by one; of a conversation only ``lookback`` turns are held if the template is ``turn_local``,
-    else the turns so far.
+    columns are ignored; an empty table gives an empty result. Turns are sorted by Spark (which spills)
+    and read one by one; of a conversation only ``lookback`` turns are held if the template is
+    ``turn_local``, else the turns so far. What is rendered depends on the turns before, so one
+    conversation is one task's work, however long.
     """
 
     def run(batches):

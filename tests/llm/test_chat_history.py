@@ -42,3 +42,16 @@ def test_only_a_declared_template_gets_a_window(spark):
     own = lambda turns: "".join(f"{i} {role}: {text}\n" for i, (role, text) in enumerate(turns))
     df = spark.createDataFrame([(1, i, *t) for i, t in enumerate(TURNS)], "conv_id long, turn long, role string, text string")
     assert "".join(r["piece"] for r in format_conversations(df, own).orderBy("n").collect()) == numbered(TURNS)
+
+
+def test_probe_characters_in_roles_and_texts():
+    turns = [("user", "a  b"), ("assistant", ""), ("", ""), ("assistant", "")]
+    state, plain = Incremental(BracketTemplate()), BracketTemplate()
+    for turn in turns:
+        piece, start, end, rewrites = state.add(*turn)
+        assert (plain.unescape(piece[start:end]), rewrites) == (turn[1], False)
+    repeating = lambda turns: "".join(f"<{r}|{t}|{turns[0][1]}>" for r, t in turns)
+    state = Incremental(repeating)
+    state.add(*turns[0])
+    piece, start, end, _ = state.add(*turns[1])
+    assert piece[start:end] == ""
