@@ -28,7 +28,7 @@ def _value(x: Any) -> str:
 
 
 def _numbered(df: DataFrame, out: str = ROW) -> DataFrame:
-    plain = [c for c, t in df.dtypes if not t.startswith(("array", "map", "struct"))]
+    plain = [f"`{c}`" for c, t in df.dtypes if not t.startswith(("array", "map", "struct"))]
     return with_row_id(df, plain, out)
 
 

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atlasweave.sources.tables import load_table
+from atlasweave.sources.files import listed
+from atlasweave.sources.tables import exists, load_table
 
 #: Country names by ISO code (fixed values).
 COUNTRY_NAMES = {
@@ -66,26 +66,38 @@ class Dictionaries:
     abbreviations: list[str] = field(default_factory=list)
 
 
-def dictionary_path(folder: str, iso: str, kind: str, what: str) -> str:
-    return f"{folder}/{kind}/{iso}_{what}_dictionary.csv"
+def dictionary_path(spark: SparkSession, folder: str, iso: str, kind: str, what: str) -> str:
+    """The dictionary's workbook, or the CSV where there is none."""
+    paths = [f"{folder}/{kind}/{iso}_{what}_dictionary.{suffix}" for suffix in ("xlsx", "csv")]
+    return paths[0] if exists(spark, paths[0]) else paths[1]
+
+
+def _bounded(table: DataFrame, columns: list[str], most: int = 200_000) -> list:
+    """Rows of a curated list, in their order; more than ``most`` are an error, not a driver's load."""
+    rows = table.select(*columns).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a dictionary of over {most} rows")
+    return rows
 
 
 def spelling_from(table: DataFrame) -> dict[str, list[str]]:
     """word -> misspellings in the order of the table's rows."""
     out: dict[str, list[str]] = {}
-    for r in table.select("word", "misspelling").filter("word is not null and misspelling is not null").toLocalIterator():
+    for r in _bounded(table.filter("word is not null and misspelling is not null"), ["word", "misspelling"]):
         out.setdefault(r["word"], []).append(r["misspelling"])
     return out
 
 
 def load_dictionaries(spark: SparkSession, iso: str, kind: str, folder: str) -> Dictionaries:
-    spelling = spelling_from(load_table(spark, dictionary_path(folder, iso, kind, "spelling")))
-    rows = load_table(spark, dictionary_path(folder, iso, kind, "type")).select("type", "abbreviation").collect()
+    spelling = spelling_from(load_table(spark, dictionary_path(spark, folder, iso, kind, "spelling")))
+    rows = _bounded(load_table(spark, dictionary_path(spark, folder, iso, kind, "type")), ["type", "abbreviation"])
     return Dictionaries(spelling, [r["type"] for r in rows if r["type"]], [r["abbreviation"] for r in rows if r["abbreviation"]])
 
 
 def dictionary_report(spark: SparkSession, folder: str) -> DataFrame:
-    """How many countries and dictionaries each kind of point of interest has under ``folder``."""
-    found = [(p.parent.name, p.name.split("_")[0], p.name.split("_")[1]) for p in sorted(Path(folder).glob("*/*_dictionary.*"))]
+    """How many countries and dictionaries each kind of point of interest has under ``folder``, on any
+    file system that Spark knows."""
+    parts = [path.replace("\\", "/").split("/")[-2:] for path in listed(spark, f"{folder}/*/*_dictionary.*")]
+    found = [(kind, name.split("_")[0], name.split("_")[1]) for kind, name in parts]
     rows = spark.createDataFrame(found, "kind string, iso string, what string")
     return rows.groupBy("kind").agg(F.count_distinct("iso").alias("countries"), F.count_if(F.col("what") == "spelling").alias("spelling"), F.count_if(F.col("what") == "type").alias("types"))

@@ -1,8 +1,8 @@
 """Readers and writers by file type, checks before reading, configuration.
 
-Tables are CSV, JSON, ORC or parquet through Spark's readers, so any file system that Spark knows
-will do. Workbooks and vector layers need libraries that Spark has none of: they are read where
-those exist, and points and polygons are columns otherwise (long and lat; a ring of x, y).
+Tables are CSV, JSON, ORC or parquet through Spark's readers, workbooks (.xlsx), shapefiles and
+geopackages through readers of this package, so any file system that Spark knows will do. Old
+workbooks (.xls) and layers of .gdb folders need libraries and are read where those exist.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atlasweave.functions.geo import coordinate
+from atlasweave.sources.layers import read_geopackage, read_shapefile, write_geopackage, write_shapefile
+from atlasweave.sources.workbooks import read_workbook, write_workbook
 
 FILE_TYPES = {".csv": "csv", ".xlsx": "excel", ".xls": "excel", ".shp": "shape", ".gpkg": "gpkg", ".parquet": "parquet", ".json": "json", ".orc": "orc"}
 NULL_TOKEN = "<NULL>"
@@ -56,15 +58,17 @@ def _read_csv(spark: SparkSession, path: str, schema: str | None, encoding: str)
 
 
 def _sheets(spark: SparkSession, path: str) -> DataFrame:
-    """All sheets of a workbook, one after another; needs a reader for workbooks on the driver."""
+    """All sheets of a workbook, one after another; an old one (.xls) needs a reader on the driver."""
+    if path.lower().endswith(".xlsx"):
+        return read_workbook(spark, path)
     import pandas as pd
 
-    sheets = pd.read_excel(path, sheet_name=None)
+    sheets = pd.read_excel(path, sheet_name=None, dtype=str)
     return spark.createDataFrame(pd.concat(sheets.values(), ignore_index=True))
 
 
 def _layer(spark: SparkSession, path: str, layer: str | None) -> DataFrame:
-    """A vector layer with its geometry as well-known binary; needs a vector reader on the driver."""
+    """A layer of a .gdb folder with its geometry as well-known binary; needs a reader on the driver."""
     import geopandas
 
     frame = geopandas.read_file(path, layer=layer) if layer else geopandas.read_file(path)
@@ -125,15 +129,17 @@ def load_table(spark: SparkSession, path: str, lat: str = "", long: str = "", nu
         df = spark.read.format(kind).load(path)
     elif kind == "excel":
         df = _sheets(spark, path)
-    elif kind in ("shape", "gpkg"):
-        df = _layer(spark, path, None)
+    elif kind == "shape":
+        df = read_shapefile(spark, path)
+    elif kind == "gpkg":
+        df = read_geopackage(spark, path)
     elif kind == "feature":
         folder, _, layer = path.rpartition("/")
         df = _layer(spark, folder, layer)
     else:
         raise ValueError(f"unknown kind of file: {path}")
     if null is not None:
-        df = df.replace(null, None, subset=[c for c, t in df.dtypes if t == "string"])
+        df = df.select(*[F.nullif(F.col(f"`{c}`"), F.lit(null)).alias(c) if t == "string" else F.col(f"`{c}`") for c, t in df.dtypes])
     if strip_headers:
         df = df.toDF(*[c.strip() for c in df.columns])
     for c in (lat, long):
@@ -150,9 +156,14 @@ def with_coordinate(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.when(known, value).otherwise(F.raise_error(F.concat(F.lit(f"{column}: no coordinate: "), text)).cast("double")))
 
 
+def _stem(path: str) -> str:
+    return path.replace("\\", "/").rpartition("/")[2].rpartition(".")[0]
+
+
 def save_table(df: DataFrame, path: str) -> str:
     """Writes by the path's type and returns where: text formats lose geometry, vector formats
-    without geometry fall back to CSV; '' if the type is unknown."""
+    without geometry fall back to a workbook; '' if the type is unknown. Old workbooks (.xls) are
+    written as new ones; layers of .gdb folders need a writer on the driver."""
     kind = file_type(path)
     flat = df.drop("geometry", "SHAPE")
     if kind == "csv":
@@ -162,16 +173,24 @@ def save_table(df: DataFrame, path: str) -> str:
         df.write.mode("overwrite").format(kind).save(path)
         return path
     if kind == "excel":
-        flat.toPandas().to_excel(path, sheet_name=path.replace("\\", "/").rpartition("/")[2].rpartition(".")[0][:31], index=False)
+        path = path if path.lower().endswith(".xlsx") else path.rpartition(".")[0] + ".xlsx"
+        write_workbook(flat, path, _stem(path))
         return path
     if kind in ("shape", "gpkg", "feature"):
         if "geometry" not in df.columns:
-            return save_table(df, path.rpartition(".")[0] + ".csv")
-        import geopandas
-
-        frame = vector_ready(df, kind).toPandas()
-        frame["geometry"] = geopandas.GeoSeries.from_wkb(frame["geometry"])
-        geopandas.GeoDataFrame(frame, crs="EPSG:4326").to_file(path)
+            return save_table(df, path.rpartition(".")[0] + ".xlsx")
+        ready = vector_ready(df, kind)
+        if kind == "shape":
+            write_shapefile(ready, path)
+        elif kind == "gpkg":
+            write_geopackage(ready, path, _stem(path))
+        else:
+            import geopandas
+
+            folder, _, layer = path.rpartition("/")
+            frame = ready.toPandas()
+            frame["geometry"] = geopandas.GeoSeries.from_wkb(frame["geometry"])
+            geopandas.GeoDataFrame(frame, crs="EPSG:4326").to_file(folder, layer=layer, driver="OpenFileGDB")
         return path
     return ""
 
