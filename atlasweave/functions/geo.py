@@ -32,12 +32,22 @@ def cell_row(lat: Column, metres: float) -> Column:
     return F.floor(lat / cell_degrees(metres)).cast("long")
 
 
-def cell_column(lon: Column, row: Column, metres: float) -> Column:
-    """Column of a longitude in a row of cells: columns of a row are as wide, at the row's edge that
-    is nearer to the pole, as its cells are high."""
+def cell_columns(row: Column, metres: float) -> Column:
+    """How many equal columns a row of cells has around the globe: at the row's edge that is nearer to
+    the pole, where they are narrowest, none is narrower, straight through, than a cell is high. One
+    near the poles, where any two longitudes may be close."""
     step = cell_degrees(metres)
-    edge = F.radians(F.least(F.lit(89.0), F.greatest(F.abs(row * step), F.abs((row + 1) * step))))
-    return F.floor(lon * F.cos(edge) / step).cast("long")
+    edge = F.radians(F.least(F.lit(90.0), F.greatest(F.abs(row * step), F.abs((row + 1) * step))))
+    most = F.floor(360 * F.cos(edge) / step).cast("long")
+    # an arc is longer than its chord: two columns fewer make up for it
+    return F.when(most < 8, F.lit(1).cast("long")).otherwise(most - 2)
+
+
+def cell_column(lon: Column, row: Column, metres: float) -> Column:
+    """Column of a longitude in a row of cells, counted eastward from the 180th meridian."""
+    count = cell_columns(row, metres)
+    around = F.pmod(lon + 180, F.lit(360.0))
+    return F.least(F.floor(around / 360 * count).cast("long"), count - 1)
 
 
 def coordinate(c: Column) -> Column:

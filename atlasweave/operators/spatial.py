@@ -17,6 +17,7 @@ from atlasweave.functions.similarity import pair_measure
 from atlasweave.functions.text import preclean
 from atlasweave.operators.components import components
 from atlasweave.operators.tables import with_row_id
+from atlasweave.session import checkpointed
 
 METRES_PER_DEGREE = geo.EARTH_KM * 1000 * math.pi / 180
 
@@ -26,8 +27,9 @@ def _cells(df: DataFrame, lon: str, lat: str, metres: float, around: bool) -> Da
     if not around:
         return df.withColumn("__row", row).withColumn("__col", geo.cell_column(F.col(lon), F.col("__row"), metres))
     rows = df.withColumn("__row", F.explode(F.array(row - 1, row, row + 1)))
-    column = geo.cell_column(F.col(lon), F.col("__row"), metres)
-    return rows.withColumn("__col", F.explode(F.array(column - 1, column, column + 1)))
+    column, count = geo.cell_column(F.col(lon), F.col("__row"), metres), geo.cell_columns(F.col("__row"), metres)
+    # the neighbours of the first column are the second and, across the 180th meridian, the last
+    return rows.withColumn("__col", F.explode(F.array_distinct(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.pmod(column + d, count)))))
 
 
 def near_pairs(left: DataFrame, right: DataFrame, metres: float, left_point: tuple[str, str], right_point: tuple[str, str], out: str = "dist_km") -> DataFrame:
@@ -119,10 +121,12 @@ def nearest_polygon(points: DataFrame, row_id: str, lon: str, lat: str, polygons
 
     ``ring`` is any column that :func:`polygon_rings` takes. Polygons are put into all ``cell`` degree cells that their box and the radius touch.
     """
-    rings = polygon_rings(polygons, ring)
-    xs, ys = F.transform(F.flatten(rings), lambda p: p["x"]), F.transform(F.flatten(rings), lambda p: p["y"])
+    points_of = F.flatten(polygon_rings(polygons, ring))
+    xs, ys = F.transform(points_of, lambda p: p["x"]), F.transform(points_of, lambda p: p["y"])
     up = metres / METRES_PER_DEGREE
-    boxed = polygons.withColumns({"__x0": F.array_min(xs), "__x1": F.array_max(xs), "__y0": F.array_min(ys), "__y1": F.array_max(ys)})
+    # boxes go into cells, rings stay with their polygon until a box says that they are needed
+    numbered = checkpointed(polygons.withColumn("__pid", F.monotonically_increasing_id()))
+    boxed = numbered.select("__pid", F.array_min(xs).alias("__x0"), F.array_max(xs).alias("__x1"), F.array_min(ys).alias("__y0"), F.array_max(ys).alias("__y1"))
     aside = F.lit(up) / F.cos(F.radians(F.least(F.lit(89.0), F.greatest(F.abs("__y0"), F.abs("__y1")) + up)))
     columns = F.sequence(F.floor((F.col("__x0") - aside) / cell), F.floor((F.col("__x1") + aside) / cell))
     rows = F.sequence(F.floor((F.col("__y0") - up) / cell), F.floor((F.col("__y1") + up) / cell))
@@ -133,9 +137,10 @@ def nearest_polygon(points: DataFrame, row_id: str, lon: str, lat: str, polygons
     boxes = placed.join(filed, ["__col", "__row"]).filter(
         F.col("__lon").between(F.col("__x0") - F.col("__aside"), F.col("__x1") + F.col("__aside")) & F.col("__lat").between(F.col("__y0") - up, F.col("__y1") + up)
     )
-    met = boxes.withColumn("__d", polygon_distance(F.col("__lon"), F.col("__lat"), rings)).filter(F.col("__d") <= metres)
-    best = met.groupBy("__id").agg(F.min_by(F.struct("__d", *polygons.columns), F.struct("__d", order)).alias("__s"))
-    return points.join(best, F.col(row_id) == F.col("__id"), "left").select(*points.columns, *[F.col(f"__s.{c}").alias(c) for c in polygons.columns], F.col("__s.__d").alias(out))
+    met = boxes.select("__id", "__lon", "__lat", "__pid").join(numbered, "__pid").withColumn("__d", polygon_distance(F.col("__lon"), F.col("__lat"), polygon_rings(numbered, ring))).filter(F.col("__d") <= metres)
+    best = met.groupBy("__id").agg(F.min_by(F.struct("__d", "__pid"), F.struct("__d", order)).alias("__s")).select("__id", "__s.*")
+    found = best.join(numbered, "__pid").select("__id", "__d", F.struct(*polygons.columns).alias("__p"))
+    return points.join(found, F.col(row_id) == F.col("__id"), "left").select(*points.columns, *[F.col(f"__p.{c}").alias(c) for c in polygons.columns], F.col("__d").alias(out))
 
 
 def check_by_admin(points: DataFrame, row_id: str, lon: str, lat: str, name: str, boundary: DataFrame, ring: str, order: str, boundary_name: str, prefix: str, metres: float = 250.0) -> DataFrame:
