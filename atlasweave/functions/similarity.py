@@ -6,6 +6,7 @@ Two empty strings are identical (100), an empty and a full one share nothing (0)
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Sequence
 from difflib import SequenceMatcher
 from functools import lru_cache
@@ -31,7 +32,9 @@ def levenshtein_similarity(a: Column, b: Column) -> Column:
     return F.when(longest == 0, F.lit(1.0)).otherwise(1 - F.levenshtein(a, b) / longest)
 
 
+@lru_cache(maxsize=65_536)
 def _masks(text: str) -> dict[str, int]:
+    """Where each character stands, a bit a place; not to be changed."""
     out: dict[str, int] = {}
     for i, c in enumerate(text):
         out[c] = out.get(c, 0) | 1 << i
@@ -137,12 +140,18 @@ def partial_ratio(a: str, b: str) -> float:
     return best
 
 
+@lru_cache(maxsize=65_536)
 def _sorted_tokens(text: str) -> str:
     return " ".join(sorted(text.split()))
 
 
+@lru_cache(maxsize=65_536)
+def _token_set(text: str) -> frozenset[str]:
+    return frozenset(text.split())
+
+
 def _token_sets(a: str, b: str) -> tuple[str, str, str]:
-    x, y = set(a.split()), set(b.split())
+    x, y = _token_set(a), _token_set(b)
     return " ".join(sorted(x & y)), " ".join(sorted(x - y)), " ".join(sorted(y - x))
 
 
@@ -185,8 +194,12 @@ def seq_token_sort_ratio(a: str, b: str) -> int:
 
 def seq_partial_ratio(a: str, b: str) -> int:
     """The best :func:`seq_ratio` of the shorter string with the windows that matching blocks point to."""
+    if a == b:
+        return 100
     if len(a) > len(b):
         a, b = b, a
+    if not a:
+        return 0
     best = 0.0
     for block in SequenceMatcher(None, a, b).get_matching_blocks():
         at = max(0, block[1] - block[0])
@@ -214,13 +227,77 @@ def seq_partial_token_set_ratio(a: str, b: str) -> int:
     return _seq_token_set(a, b, seq_partial_ratio)
 
 
+@lru_cache(maxsize=65_536)
+def _counts(text: str) -> Counter[str]:
+    return Counter(text)
+
+
+def shared(a: str, b: str) -> int:
+    """How many characters two strings share, wherever they stand: no common subsequence is longer."""
+    x, y = _counts(a), _counts(b)
+    if len(x) > len(y):
+        x, y = y, x
+    return sum(min(n, y[c]) for c, n in x.items() if c in y)
+
+
+def _whole_bound(a: str, b: str) -> float:
+    total = len(a) + len(b)
+    return 200.0 * shared(a, b) / total if total else 100.0
+
+
+def _edit_bound(a: str, b: str) -> float:
+    longest = max(len(a), len(b))
+    return 100.0 * shared(a, b) / longest + 1e-9 if longest else 100.0
+
+
+def _winkler_bound(a: str, b: str) -> float:
+    m = shared(a, b)
+    share = (m / len(a) + m / len(b) + 1) / 3 if m else float(not a and not b)
+    return 100.0 * (share + 0.4 * (1 - share)) + 1e-9
+
+
+def _partial_bound(a: str, b: str) -> float:
+    least, m = min(len(a), len(b)), shared(a, b)
+    return 200.0 * m / (least + m) if m else 100.0 * (not least)
+
+
+def _token_bound(a: str, b: str, bound: Callable[[str, str], float]) -> float:
+    """Of measures of sorted tokens and of what either string has alone: if they share no token and
+    repeat none, these are the same."""
+    x, y = _token_set(a), _token_set(b)
+    if not x.isdisjoint(y) or len(x) < len(a.split()) or len(y) < len(b.split()):
+        return 100.0
+    return bound(_sorted_tokens(a), _sorted_tokens(b))
+
+
+def _seq_token_bound(a: str, b: str) -> float:
+    a, b = processed(a), processed(b)
+    return _seq_bound(_sorted_tokens(a), _sorted_tokens(b))
+
+
+def _seq_bound(a: str, b: str) -> float:
+    return round(_whole_bound(a, b)) if a or b else 100.0
+
+
+#: A number that no score exceeds, quickly found.
+BOUNDS: dict[Callable[[str, str], float], Callable[[str, str], float]] = {
+    lev_sim: _edit_bound, jaro_winkler: _winkler_bound, ratio: _whole_bound, partial_ratio: _partial_bound, seq_ratio: _seq_bound,
+    token_ratio: lambda a, b: _token_bound(a, b, _whole_bound), partial_token_ratio: lambda a, b: _token_bound(a, b, _partial_bound),
+    seq_token_sort_ratio: _seq_token_bound,
+}
+
 Scored = tuple[str | None, float, str, str]
 
 
-def best_of(name: str, candidates: Sequence[str], score: Callable[[str, str], float]) -> tuple[str | None, float]:
-    """The candidate with the greatest score, the first of equals."""
-    best, value = None, -1.0
+def best_of(name: str, candidates: Sequence[str], score: Callable[[str, str], float], least: float = 0.0) -> tuple[str | None, float]:
+    """The candidate with the greatest score, the first of equals. Candidates that can't exceed the
+    best so far, or can't reach ``least``, aren't scored: below that any result will do."""
+    best, value, bound = None, -1.0, BOUNDS.get(score)
     for c in candidates:
+        if best is not None and bound is not None:
+            most = bound(name, c)
+            if most <= value or most < least:
+                continue
         s = score(name, c)
         if s > value:
             best, value = c, s
@@ -229,10 +306,17 @@ def best_of(name: str, candidates: Sequence[str], score: Callable[[str, str], fl
     return best, value
 
 
+def top_of(name: str, candidates: Sequence[str], score: Callable[[str, str], float], least: float, k: int) -> list[tuple[float, str]]:
+    """The k best that reach ``least``, the first of equals first; others aren't scored where a bound says so."""
+    bound = BOUNDS.get(score)
+    able = ((i, c) for i, c in enumerate(candidates) if bound is None or bound(name, c) >= least)
+    scored = sorted(((score(name, c), -i, c) for i, c in able), reverse=True)[:k]
+    return [(s, c) for s, _, c in scored if s >= least]
+
+
 def top_then_ratio(name: str, candidates: Sequence[str], score, second, least: float = 85, k: int = 5) -> tuple[str | None, float]:
     """Of the k best by ``score`` that reach ``least``, the best by ``second``."""
-    scored = sorted(((score(name, c), -i, c) for i, c in enumerate(candidates)), reverse=True)[:k]
-    kept = [c for s, _, c in scored if s >= least]
+    kept = [c for _, c in top_of(name, candidates, score, least, k)]
     return best_of(name, kept, second) if kept else (None, -1.0)
 
 
@@ -256,7 +340,7 @@ def _early_rapid(name: str, own: str, forms: list[str], back: dict[str, str]) ->
     if edit_accepts(len(name), edit, 82):
         return back[best], edit, "levenshtein", "YES"
     for score, least, method in ((jaro_winkler, 87, "jaro_winkler_similarity"), (ratio, 85, "fuzz_ratio"), (token_ratio, 87, "token_ratio")):
-        found, value = best_of(own, forms, score)
+        found, value = best_of(own, forms, score, least)
         if value >= least:
             return back[found], value, method, "YES"
     return back[best], edit, "levenshtein", "NO"
@@ -268,7 +352,7 @@ def _early_sequence(name: str, own: str, forms: list[str], back: dict[str, str])
         return back[best], 100.0, "identical", "YES"
     if edit_accepts(len(name), value, 78):
         return back[best], float(value), "fuzz_ratio", "YES"
-    found, score = best_of(own, forms, seq_token_sort_ratio)
+    found, score = best_of(own, forms, seq_token_sort_ratio, 78)
     if score >= 78:
         return back[found], float(score), "fuzz_token_ratio", "YES"
     return back[best], float(value), "fuzz_ratio", "NO"
@@ -309,8 +393,7 @@ def match_part(name: str, candidates: Sequence[str], kind: str, least: float = 8
     own, forms, back = _prepared(name, candidates)
     early, top = EARLY[kind](name, own, forms, back), []
     for stage, (_, score, _) in enumerate(PARTIAL[kind]) if early[3] == "NO" else ():
-        scored = sorted(((score(own, c), -i, c) for i, c in enumerate(forms)), reverse=True)[:k]
-        top += [(stage, float(s), back[c]) for s, _, c in scored if s >= least]
+        top += [(stage, float(s), back[c]) for s, c in top_of(own, forms, score, least, k)]
     return early, top
 
 

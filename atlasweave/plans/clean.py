@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from atlasweave.functions import text
 from atlasweave.functions.ids import with_required_fields
-from atlasweave.functions.similarity import seq_ratio
+from atlasweave.functions.similarity import best_of, seq_ratio
 from atlasweave.sources.dictionaries import Dictionaries, admin_label, poi_labels
 from atlasweave.sources.tables import check_columns
 
@@ -31,30 +34,32 @@ class CleanConfig:
 
 def map_type(df: DataFrame, column: str, out: str, score: str, dictionary: Dictionaries) -> DataFrame:
     """The dictionary's type closest to ``column`` and how close; abbreviations come first and stand
-    for their (last) type. Null stays null, and an empty dictionary maps all to null. Distinct
-    values only are compared."""
+    for their (last) type. Null stays null, and an empty dictionary maps all to null.
+
+    Types are few and repeat: a task compares each it meets once and keeps up to 100,000 results. So
+    ``df`` is gone through once, without a shuffle.
+    """
     entries = [*dictionary.abbreviations, *dictionary.types]
     full = dict(zip(dictionary.abbreviations, dictionary.types, strict=False))
+    lowered = [e.lower() for e in entries]
 
-    @F.pandas_udf("struct<t:string,s:int>")
-    def best(values):
-        import pandas as pd
+    def closest(value: str) -> tuple[str | None, int]:
+        found, s = best_of(value.lower(), lowered, seq_ratio)
+        entry = entries[lowered.index(found)] if found is not None else None
+        return full.get(entry, entry), int(s) if found is not None else 0
 
-        rows = []
-        for v in values:
-            scored = [(seq_ratio(v.lower(), e.lower()), -i, e) for i, e in enumerate(entries)]
-            s, _, e = max(scored) if scored else (None, 0, None)
-            rows.append((full.get(e, e), s))
-        return pd.DataFrame(rows, columns=["t", "s"])
+    @F.pandas_udf("struct<t:string,s:int>")
+    def best(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        known = lru_cache(maxsize=100_000)(closest)
+        for values in batches:
+            yield pd.DataFrame([(None, None) if v is None else known(v) for v in values], columns=["t", "s"])
 
-    values = df.select(F.col(column).alias("__v")).filter("__v is not null").distinct().withColumn("__b", best("__v"))
-    joined = df.join(values, F.col(column) == F.col("__v"), "left")
-    return joined.withColumns({out: F.col("__b.t"), score: F.col("__b.s")}).drop("__v", "__b")
+    mapped = df.withColumn("__b", best(F.col(column)))
+    return mapped.withColumns({out: F.col("__b.t"), score: F.col("__b.s")}).drop("__b")
 
 
 def clean(df: DataFrame, config: CleanConfig, dictionary: Dictionaries) -> DataFrame:
-    """``df`` with standard boundary names, name, type, scores, metadata and checks. All but the type
-    mapping is one projection, without a shuffle."""
+    """``df`` with standard boundary names, name, type, scores, metadata and checks, without a shuffle."""
     check_columns(df, "input", [config.name, config.type, config.lat, config.long, *config.boundaries.values()])
     name, kind = poi_labels(config.poi_kind)
     out = text.with_standard_names(df, {c: admin_label(config.iso, level) for level, c in sorted(config.boundaries.items()) if c})
