@@ -29,6 +29,10 @@ def _accented() -> tuple[str, str]:
 _ACCENTED, _PLAIN = _accented()
 
 
+#: A private-use character that stands in no name.
+MARK = "\uf8ff"
+
+
 def java_literal(text: str) -> str:
     """``text`` as a regular expression that matches it."""
     return re.sub(r"([\\^$.|?*+()\[\]{}])", r"\\\1", text)
@@ -49,7 +53,9 @@ def transliterate(c: Column) -> Column:
 
 def title_case(c: Column) -> Column:
     """Every letter after a non-letter upper, every other one lower: ``john's 3rd`` is ``John'S 3Rd``."""
-    return F.array_join(F.transform(F.split(c, "(?<=[^a-zA-Z])"), F.initcap), "")
+    # a space after every non-letter tells initcap; the mark before it, which finds it again, is none of the text's
+    spaced = F.regexp_replace(F.translate(c, MARK, "\u0001"), "([^a-zA-Z])", f"$1{MARK} ")
+    return F.replace(F.initcap(spaced), F.lit(f"{MARK} "), F.lit(""))
 
 
 def squeeze(c: Column) -> Column:
@@ -63,8 +69,8 @@ def preclean(c: Column, remove_accent: bool = True) -> Column:
     c = F.coalesce(c.cast("string"), F.lit(""))
     if remove_accent:
         c = transliterate(c)
-    c = F.when(c == "&", F.lit("and")).otherwise(c)
-    c = title_case(c)
+    # a pattern rather than a case: c is written once, so a chain of steps doesn't double
+    c = title_case(F.regexp_replace(c, r"\A&\z", "and"))
     for pattern, by in ((r" And\b", " and"), (r"`S\b", " `s"), (r" Iii\b", " 3"), (r" Ii\b", " 2"), (r" I\b", " 1"), (r" Iv\b", " 4"), (r" V\b", " 5")):
         c = F.regexp_replace(c, pattern, by)
     c = F.regexp_replace(c, "([0-9]+)", " $1 ")
@@ -79,7 +85,7 @@ def correct_spelling(c: Column, dictionary: Mapping[str, Iterable[str]]) -> Colu
         wrong = list(wrong)
         if wrong:
             c = F.regexp_replace(c, "(?i)" + "|".join(rf"\b{w}\b" for w in wrong), replacement(word))
-    return F.when(c == " De ", F.lit(" de ")).otherwise(c)
+    return F.regexp_replace(c, r"\A De \z", " de ")
 
 
 def _python_title(text: str) -> str:

@@ -80,6 +80,25 @@ def first_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Da
     return ranked.filter("__r = 1").drop("__r")
 
 
+def top_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
+    """The first ``k`` rows of each key in the given order; fewer if the key has fewer. Each task
+    passes on ``k`` rows a key at most."""
+    ranked = df.withColumn("__r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return ranked.filter(F.col("__r") <= k).drop("__r")
+
+
+def with_group_max(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
+    """``out``: the greatest ``value`` of the rows with the same keys (nulls are a key), aggregated
+    before it is joined back."""
+    names = [f"__k{i}" for i in range(len(keys))]
+    top = df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]).agg(F.max(value).alias("__max"))
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names, strict=True)]
+    condition = same[0]
+    for c in same[1:]:
+        condition = condition & c
+    return df.drop(out).join(top, condition).withColumn(out, F.col("__max")).drop("__max", *names)
+
+
 def with_repeat_flag(df: DataFrame, column: str, order: str, out: str = "was_dupe") -> DataFrame:
     """True on every row of a value but its first; ``order`` tells rows apart."""
     first = df.groupBy(F.col(column).alias("__k")).agg(F.min(order).alias("__first"))
@@ -99,6 +118,12 @@ def overlap(left: Sequence[str], right: Sequence[str]) -> Column:
     return F.size(F.array_intersect(text(left), text(right)))
 
 
+def difference(left: Column, right: Column) -> Column:
+    """Words of ``left``, upper case, once each and in order, that ``right`` lacks; null if there are none."""
+    words = lambda c: F.split(F.upper(c), " ")
+    return F.nullif(F.array_join(F.array_except(words(left), words(right)), " "), F.lit(""))
+
+
 def union_all(tables: Sequence[DataFrame]) -> DataFrame:
     """All rows of all tables, by name; a missing column is null."""
     out = tables[0]

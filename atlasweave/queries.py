@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atlasweave.functions import geo, phonetic, similarity, text
@@ -237,9 +237,10 @@ def dup_flag(spark, sf):
     return tables.with_duplicate_flag(_read(spark, sf, "part"), "p_name").select("p_partkey", "p_name_isUnique")
 
 
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')")
 def not_in_anti(spark, sf):
-    return tables.drop_where(_read(spark, sf, "customer"), _read(spark, sf, "orders"), "c_custkey", "o_custkey").select("c_custkey")
+    urgent = _read(spark, sf, "orders").filter("o_orderpriority = '1-URGENT'")  # every customer has some order
+    return tables.drop_where(_read(spark, sf, "customer"), urgent, "c_custkey", "o_custkey").select("c_custkey")
 
 
 @query("SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)")
@@ -265,9 +266,7 @@ def uuid_string_agg(spark, sf):
 
 @query("SELECT l_orderkey, l_linenumber, max(l_quantity) OVER (PARTITION BY l_partkey, l_returnflag) AS top FROM lineitem")
 def group_max_broadcast(spark, sf):
-    lines = _read(spark, sf, "lineitem")
-    top = lines.groupBy("l_partkey", "l_returnflag").agg(F.max("l_quantity").alias("top"))
-    return lines.join(top, ["l_partkey", "l_returnflag"]).select("l_orderkey", "l_linenumber", "top")
+    return tables.with_group_max(_read(spark, sf, "lineitem"), ["l_partkey", "l_returnflag"], "l_quantity", "top").select("l_orderkey", "l_linenumber", "top")
 
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey, l_suppkey) = 1")
@@ -282,8 +281,7 @@ def second_occurrence(spark, sf):
 
 @query("SELECT o_custkey, o_orderkey, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) <= 5")
 def top5(spark, sf):
-    own = _read(spark, sf, "orders").withColumn("r", F.row_number().over(Window.partitionBy("o_custkey").orderBy(F.desc("o_totalprice"), "o_orderkey")))
-    return own.filter("r <= 5").select("o_custkey", "o_orderkey", "o_totalprice")
+    return tables.top_rows(_read(spark, sf, "orders"), ["o_custkey"], [F.desc("o_totalprice"), F.col("o_orderkey")], 5).select("o_custkey", "o_orderkey", "o_totalprice")
 
 
 @query("SELECT c_name AS name, c_nationkey AS nation, c_mktsegment AS segment FROM customer UNION ALL SELECT s_name, s_nationkey, NULL FROM supplier")
@@ -299,9 +297,7 @@ def row_numbers(spark, sf):
 
 @query("SELECT p_partkey, list_aggregate(list_filter(a, lambda x, i: NOT list_contains(b, x) AND list_position(a, x) = i), 'string_agg', ' ') AS diff FROM (SELECT p_partkey, string_split(upper(p_type), ' ') AS a, string_split(upper(concat(p_name, ' standard large')), ' ') AS b FROM part)")
 def token_setdiff(spark, sf):
-    words = lambda c: F.split(F.upper(c), " ")
-    diff = F.array_join(F.array_except(words(F.col("p_type")), words(F.concat("p_name", F.lit(" standard large")))), " ")
-    return _read(spark, sf, "part").select("p_partkey", F.nullif(diff, F.lit("")).alias("diff"))
+    return _read(spark, sf, "part").select("p_partkey", tables.difference(F.col("p_type"), F.concat("p_name", F.lit(" standard large"))).alias("diff"))
 
 
 @query("""SELECT l_orderkey, l_linenumber, CAST(len(list_intersect([CAST(l_suppkey AS STRING), l_returnflag, l_linestatus], [CAST(l_partkey AS STRING), 'A', 'F'])) AS INTEGER) AS shared FROM lineitem""")
@@ -375,6 +371,42 @@ SQL["measure_lev_sim"] = f"""SELECT DISTINCT l.block, l.clean, r.cand, round(100
 FROM ({LEFT_NAMES}) l JOIN ({RIGHT_NAMES}) r ON l.block = r.block"""
 
 
+def lcs_sql(a: str, b: str) -> str:
+    """Length of the longest common subsequence: a row of the table for each character of ``b``."""
+    start, rest = f"list_transform(range(0, length({a}) + 1), lambda i: CAST(0 AS BIGINT))", f"list_transform(string_split({b}, ''), lambda c: [CAST(unicode(c) AS BIGINT)])"
+    cell = f"CASE WHEN k = 1 THEN 0 ELSE greatest(r[k], r[k - 1] + CASE WHEN unicode({a}[k - 1]) = c[1] THEN 1 ELSE 0 END) END"
+    row = f"list_transform(range(1, length({a}) + 2), lambda j: list_max(list_transform(range(1, j + 1), lambda k: {cell})))"
+    return f"(CASE WHEN {a} = '' OR {b} = '' THEN 0 ELSE list_reduce(list_prepend({start}, {rest}), lambda r, c: {row})[-1] END)"
+
+
+def ratio_sql(a: str, b: str) -> str:
+    return f"(CASE WHEN {a} = '' AND {b} = '' THEN 100 ELSE 200.0 * {lcs_sql(a, b)} / (length({a}) + length({b})) END)"
+
+
+def _tokens_sql(words: str) -> str:
+    return f"coalesce(list_aggregate(list_sort({words}), 'string_agg', ' '), '')"
+
+
+#: Of every pair of names: their tokens in order, those that both have, those that one has, and all of either set.
+TOKEN_PAIRS = f"""WITH pairs AS (SELECT DISTINCT l.clean, r.cand FROM ({LEFT_NAMES}) l JOIN ({RIGHT_NAMES}) r ON l.block = r.block),
+w AS (SELECT *, list_filter(string_split(clean, ' '), lambda x: x <> '') AS x, list_filter(string_split(cand, ' '), lambda x: x <> '') AS y FROM pairs),
+t AS (SELECT clean, cand, len(x) = 0 OR len(y) = 0 AS none, {_tokens_sql('x')} AS sx, {_tokens_sql('y')} AS sy, {_tokens_sql('list_distinct(list_filter(x, lambda z: list_contains(y, z)))')} AS common,
+  {_tokens_sql('list_distinct(list_filter(x, lambda z: NOT list_contains(y, z)))')} AS ox, {_tokens_sql('list_distinct(list_filter(y, lambda z: NOT list_contains(x, z)))')} AS oy FROM w),
+u AS (SELECT *, trim(concat(common, ' ', ox)) AS wx, trim(concat(common, ' ', oy)) AS wy FROM t),
+m AS (SELECT clean, cand, {ratio_sql('clean', 'cand')} AS indel_ratio, {ratio_sql('sx', 'sy')} AS token_sort_ratio,
+  CASE WHEN none THEN 0 WHEN common <> '' AND (ox = '' OR oy = '') THEN 100
+    WHEN common = '' THEN {ratio_sql('wx', 'wy')} ELSE greatest({ratio_sql('wx', 'wy')}, 200.0 * length(common) / (length(common) + length(wx)), 200.0 * length(common) / (length(common) + length(wy))) END AS token_set_ratio FROM u)"""
+for _name in ("indel_ratio", "token_sort_ratio", "token_set_ratio", "token_ratio"):
+    _score = "greatest(token_sort_ratio, token_set_ratio)" if _name == "token_ratio" else _name
+    SQL[f"measure_{_name}"] = f"""{TOKEN_PAIRS}
+SELECT DISTINCT l.block, l.clean, r.cand, CAST(round({_score}, 4) AS DOUBLE) AS score FROM ({LEFT_NAMES}) l JOIN ({RIGHT_NAMES}) r ON l.block = r.block JOIN m ON m.clean = l.clean AND m.cand = r.cand"""
+
+
+@query("SELECT p_partkey, trim(regexp_replace(lower(concat(p_type, ' # ', p_brand, '!')), '[^a-z0-9]', ' ', 'g')) AS processed FROM part")
+def processed_names(spark, sf):
+    return _read(spark, sf, "part").select("p_partkey", similarity.processed_column(F.concat("p_type", F.lit(" # "), "p_brand", F.lit("!"))).alias("processed"))
+
+
 def _cascade(kind):
     def run(spark, sf):
         names = _sql(spark, sf, LEFT_NAMES, "part")
@@ -435,16 +467,17 @@ def haversine_pairs(spark, sf):
 
 
 AZ_C = "acos(cos(radians(lat)) * cos(radians(lon)))"
+AZ_K = f"CASE WHEN lat = 0 AND lon = 0 THEN 1 ELSE {AZ_C} / sin({AZ_C}) END"
 CONIC_N = "((cos(radians(20)) - cos(radians(-23))) / (radians(-23) - radians(20)))"
 CONIC_G = f"(cos(radians(20)) / {CONIC_N} + radians(20))"
 
 
-@query(f"""SELECT k, round({AZ_C} / sin({AZ_C}) * 6371000 * cos(radians(lat)) * sin(radians(lon)), 2) AS ax, round({AZ_C} / sin({AZ_C}) * 6371000 * sin(radians(lat)), 2) AS ay,
-round(6371000 * ({CONIC_G} - radians(lat)) * sin({CONIC_N} * radians(lon - 25)), 2) AS cx, round(6371000 * ({CONIC_G} - ({CONIC_G} - radians(lat)) * cos({CONIC_N} * radians(lon - 25))), 2) AS cy FROM ({CUSTOMER_POINTS}) WHERE lat > 0 AND lon > 0""")
+@query(f"""SELECT k, round({AZ_K} * 6371000 * cos(radians(lat)) * sin(radians(lon)), 2) AS ax, round({AZ_K} * 6371000 * sin(radians(lat)), 2) AS ay,
+round(6371000 * ({CONIC_G} - radians(lat)) * sin({CONIC_N} * radians(lon - 25)), 2) AS cx, round(6371000 * ({CONIC_G} - ({CONIC_G} - radians(lat)) * cos({CONIC_N} * radians(lon - 25))), 2) AS cy FROM ({CUSTOMER_POINTS})""")
 def projections(spark, sf):
     c, _ = _points(spark, sf)
     (ax, ay), (cx, cy) = geo.azimuthal_equidistant(F.col("lon"), F.col("lat")), geo.equidistant_conic(F.col("lon"), F.col("lat"))
-    return c.filter("lat > 0 and lon > 0").select("k", *[F.round(v, 2).alias(n) for n, v in (("ax", ax), ("ay", ay), ("cx", cx), ("cy", cy))])
+    return c.select("k", *[F.round(v, 2).alias(n) for n, v in (("ax", ax), ("ay", ay), ("cx", cx), ("cy", cy))])
 
 
 def _points(spark, sf) -> tuple[DataFrame, DataFrame]:
@@ -538,7 +571,9 @@ def overlap_flag(spark, sf):
 # resolvers: order lines as matches of an order (id) with parts (uuid)
 MATCHES = """SELECT ((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 1000 + l_suppkey AS row, l_orderkey % 400 AS id, CAST(l_partkey % 150 AS STRING) AS part, CASE l_linenumber % 3 WHEN 0 THEN 'admin2/ identical' WHEN 1 THEN 'admin2/ partial_ratio' ELSE 'admin2/ levenshtein' END AS kind,
 CAST(70 + l_quantity % 30 AS DOUBLE) AS score, CASE WHEN l_returnflag = 'R' THEN 'NO' ELSE 'YES' END AS result, l_linestatus AS a, CAST(l_suppkey % 5 AS STRING) AS b, CAST(l_partkey % 150 AS STRING) AS uuid FROM lineitem"""
-RECORDS = "SELECT p_partkey AS pos, CAST(p_partkey % 150 AS STRING) AS u, CASE WHEN p_size % 2 = 0 THEN 'O' ELSE 'F' END AS ma, CAST(p_size % 5 AS STRING) AS mb FROM part WHERE p_partkey < 150"
+RECORDS = "SELECT p_partkey AS pos, CAST(p_partkey % 150 AS STRING) AS u, CASE WHEN p_size % 2 = 0 THEN 'O' ELSE 'F' END AS ma, CAST(p_size % 5 AS STRING) AS mb FROM part"
+# a uuid that several records have stands for the first of them
+FIRST_RECORDS = f"SELECT u, arg_min(ma, pos) AS ma, arg_min(mb, pos) AS mb FROM ({RECORDS}) GROUP BY u"
 
 
 @query(f"""WITH m AS ({MATCHES}), a AS (SELECT *, max(score) OVER (PARTITION BY part, kind, result) AS mx FROM m),
@@ -549,7 +584,7 @@ def best_match_resolve(spark, sf):
     return linkage.resolve_by_best_match(_sql(spark, sf, MATCHES, "lineitem"), "part", "id", "kind", "score", "result", "row").select("row", "id", "result")
 
 
-@query(f"""WITH j AS (SELECT m.*, len(list_intersect([m.a, m.b], [r.ma, r.mb])) AS n FROM ({MATCHES}) m LEFT JOIN ({RECORDS}) r ON r.u = m.part),
+@query(f"""WITH j AS (SELECT m.*, len(list_intersect([m.a, m.b], [r.ma, r.mb])) AS n FROM ({MATCHES}) m LEFT JOIN ({FIRST_RECORDS}) r ON r.u = m.part),
 i AS (SELECT id FROM j WHERE result = 'YES' GROUP BY 1 HAVING count(*) > 1), x AS (SELECT id, max(n) AS mx FROM j WHERE id IN (SELECT id FROM i) GROUP BY 1),
 k AS (SELECT j.*, x.mx FROM j LEFT JOIN x ON x.id = j.id WHERE mx IS NULL OR n = mx),
 f AS (SELECT id, part, min(row) AS o FROM k WHERE mx IS NOT NULL GROUP BY 1, 2), l AS (SELECT id, string_agg(part, '/' ORDER BY o) AS list FROM f GROUP BY 1),
@@ -563,11 +598,12 @@ def attr_resolve(spark, sf):
 
 
 PLACED = f"SELECT row, id, part, result, {LAT.format(k='id')} AS lat, {LONG.format(k='id')} AS lon FROM ({MATCHES})"
-PLACES = f"SELECT p_partkey AS pos, CAST(p_partkey % 150 AS STRING) AS u, {LAT.format(k='p_partkey')} AS plat, {LONG.format(k='p_partkey')} AS plon FROM part WHERE p_partkey < 150"
+PLACES = f"SELECT p_partkey AS pos, CAST(p_partkey % 150 AS STRING) AS u, {LAT.format(k='p_partkey')} AS plat, {LONG.format(k='p_partkey')} AS plon FROM part"
+FIRST_PLACES = f"SELECT u, arg_min(plat, pos) AS plat, arg_min(plon, pos) AS plon FROM ({PLACES}) GROUP BY u"
 PLACE_KM = HAVERSINE.format(a="lat", b="plat", x="lon", y="plon")
 
 
-@query(f"""WITH m AS (SELECT m.*, round_even(100 * {PLACE_KM}, 0) / 100 AS d FROM ({PLACED}) m LEFT JOIN ({PLACES}) r ON r.u = m.part),
+@query(f"""WITH m AS (SELECT m.*, round_even(100 * {PLACE_KM}, 0) / 100 AS d FROM ({PLACED}) m LEFT JOIN ({FIRST_PLACES}) r ON r.u = m.part),
 i AS (SELECT id, count(*) AS c, arg_min(part, [d, row]) AS keep, min(d) AS md FROM m WHERE result = 'YES' GROUP BY 1 HAVING count(*) > 1),
 o AS (SELECT m.* FROM m LEFT JOIN i ON i.id = m.id AND md * 1000 <= 5000 WHERE keep IS NULL OR part = keep),
 p AS (SELECT part, arg_min(id, [d, row]) AS win, min(d) AS md FROM o WHERE result = 'YES' GROUP BY 1 HAVING count(*) > 1)

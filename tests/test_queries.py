@@ -7,7 +7,6 @@ from atlasweave.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents".split()
-SLOW = {"pipeline_match_distance"}
 
 
 @pytest.fixture(scope="module")
@@ -34,6 +33,6 @@ def test_against_sql(spark, con, name):
     assert got == wanted
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_runs(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
