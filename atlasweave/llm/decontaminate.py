@@ -149,7 +149,7 @@ def find_passages(
     key: str = "doc_id",
     q: int = 12,
     rate: float = 0.05,
-    length: int = 100,
+    length: int = 75,
     least: int = 24,
     block_chars: int = 16 << 20,
 ) -> DataFrame:
@@ -202,7 +202,7 @@ def broadcast_blocks(spark: SparkSession, benchmark: DataFrame, q: int, rate: fl
 
 
 def without_passages(
-    docs: DataFrame, benchmark: DataFrame, text: str = "text", q: int = 12, rate: float = 0.05, length: int = 100, least: int = 24, block_chars: int = 16 << 20
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", q: int = 12, rate: float = 0.05, length: int = 75, least: int = 24, block_chars: int = 16 << 20
 ) -> DataFrame:
     """The rows of ``docs`` whose text holds no passage of the benchmark, as :func:`find_passages`
     finds them; rows and columns are otherwise as they were. Nothing is shuffled."""
