@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from atlasweave.llm.common import TextBlocks, read_table, resident
-from atlasweave.llm.passages import Block, GramIndex, banded, best_spans, gram_keys, local, normal, normal_block, regions
+from atlasweave.llm.passages import Block, GramIndex, banded, best_spans, gram_keys, local, normal, normal_block, regions, unedited
 
 _AS_IS = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
 WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT
@@ -168,14 +168,27 @@ class LicenseIndex:
             for p in self.unsure
             for low in range(-int(self.edits[p]), int(block.starts[text + 1] - block.starts[text]), int(self.edits[p]) + 1)
         )
+        exact: dict[int, list[tuple[int, int]]] = {}
+        others = []
         for text, p, low, _ in chain(regions(self.index, block, self.edits + 1, self.votes), everywhere):
-            codes = block.codes[block.starts[text] : block.starts[text + 1]]
+            pattern, codes = self.index.patterns[p], block.codes[block.starts[text] : block.starts[text + 1]]
             half, budget = int(self.edits[p]) + 1, int(self.edits[p])
-            if not self.possible(p, codes[max(0, low - budget) : low + 2 * half + budget + len(self.index.patterns[p])]):
+            if not self.possible(p, codes[max(0, low - budget) : low + 2 * half + budget + len(pattern)]):
                 continue
-            hit = banded(self.index.patterns[p], codes, low + half, half + budget, budget)
+            at = unedited(pattern, codes, low + half, half + budget)
+            if at is None:
+                others.append((text, p, low, half, budget))
+            else:
+                exact.setdefault(text, []).append((at, at + len(pattern)))
+                found.setdefault((text, self.names[p]), []).append((0, at, at + len(pattern), len(pattern)))
+        for text, p, low, half, budget in others:
+            pattern = self.index.patterns[p]
+            # wherever it aligned, it would overlap an unedited template that is as long, and be dropped
+            if any(b - a >= len(pattern) and low + 2 * half + budget < b and low - budget + len(pattern) - budget > a for a, b in exact.get(text, ())):
+                continue
+            hit = banded(pattern, block.codes[block.starts[text] : block.starts[text + 1]], low + half, half + budget, budget)
             if hit:
-                found.setdefault((text, self.names[p]), []).append((*hit, len(self.index.patterns[p])))
+                found.setdefault((text, self.names[p]), []).append((*hit, len(pattern)))
         out: dict[int, list[Hit]] = {}
         for (text, name), hits in sorted(found.items()):
             size = {h[:3]: h[3] for h in hits}
@@ -219,13 +232,14 @@ class BodyIndex:
                 yield int(key[own[0]] // len(self.names)), int(key[own[0]] % len(self.names)), least, most, first, last
 
     def search(self, block: Block, whole: dict[int, list[Hit]] | None = None) -> dict[int, list[Hit]]:
-        """Parts of ``least`` characters and more; ``whole``: notices found, whose places are not
-        looked at again for bodies of the same license of which little more can be there."""
+        """Parts of ``least`` characters and more; ``whole``: notices found, whose places are not looked at
+        again for bodies of which no more can be there, or of the same license little more."""
         out: dict[int, list[Hit]] = {}
         for text, p, lo, hi, first, last in self.runs(block):
             if whole and text in whole:
                 at = int(block.places[min(int(block.starts[text]) + max(0, lo + first), len(block.places) - 1)])
-                if any(w[0] == self.names[p] and w[2] <= at < w[3] and 2 * (last + self.index.q - first + 2 * self.window) <= 3 * w[5] for w in whole[text]):
+                most = last + self.index.q - first + 2 * self.window
+                if any(w[2] <= at < w[3] and (2 * most <= 3 * w[5] if w[0] == self.names[p] else w[4] == 0 and most <= w[5]) for w in whole[text]):
                     continue
             codes, pattern = block.codes[block.starts[text] : block.starts[text + 1]], self.index.patterns[p]
             a, b, margin = first, last + self.index.q, 48

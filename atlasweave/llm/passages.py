@@ -139,16 +139,22 @@ class GramIndex:
         return self.expanded(*self.lookups(codes))
 
 
+def unedited(pattern: np.ndarray, text: np.ndarray, shift: int, slack: int) -> int | None:
+    """Where the pattern first stands as it is in ``text``, within ``slack`` of ``shift``; None if it doesn't."""
+    lo, hi = max(0, shift - slack), min(shift + slack, len(text) - len(pattern))
+    if len(pattern) and lo <= hi:
+        equal = (np.lib.stride_tricks.sliding_window_view(text[lo : hi + len(pattern)], len(pattern)) == pattern).all(axis=1)
+        if equal.any():
+            return lo + int(equal.argmax())
+    return None
+
+
 def banded(pattern: np.ndarray, text: np.ndarray, shift: int, slack: int, budget: int) -> tuple[int, int, int] | None:
     """The cheapest alignment of the whole pattern with a stretch of ``text`` whose diagonal (text
     position less pattern position) is within ``slack`` of ``shift``: (edits, start, end), or None
     beyond ``budget`` edits. Of equal ones the first that ends is taken."""
-    lo, hi = max(0, shift - slack), min(shift + slack, len(text) - len(pattern))
-    if budget >= 0 and len(pattern) and lo <= hi:  # unedited: nothing is cheaper
-        equal = (np.lib.stride_tricks.sliding_window_view(text[lo : hi + len(pattern)], len(pattern)) == pattern).all(axis=1)
-        if equal.any():
-            at = lo + int(equal.argmax())
-            return 0, at, at + len(pattern)
+    if budget >= 0 and (at := unedited(pattern, text, shift, slack)) is not None:  # nothing is cheaper
+        return 0, at, at + len(pattern)
     width = 2 * slack + 1
     big = 1 << 20
     diagonals = shift - slack + np.arange(width)
