@@ -387,19 +387,57 @@ def _tokens_sql(words: str) -> str:
     return f"coalesce(list_aggregate(list_sort({words}), 'string_agg', ' '), '')"
 
 
-#: Of every pair of names: their tokens in order, those that both have, those that one has, and all of either set.
-TOKEN_PAIRS = f"""WITH pairs AS (SELECT DISTINCT l.clean, r.cand FROM ({LEFT_NAMES}) l JOIN ({RIGHT_NAMES}) r ON l.block = r.block),
+def _windows_sql(a: str, b: str) -> str:
+    """Stretches of ``b`` as long as ``a``, also those that hang over its ends."""
+    return f"unnest(list_transform(range(1 - length({a}), length({b})), lambda i: substr({b}, greatest(i, 0) + 1, i + length({a}) - greatest(i, 0))))"
+
+
+def measures_sql(pairs: str) -> str:
+    """CTEs after which ``m`` has the measures of all distinct ``pairs(clean, cand)``. On the way: tokens in
+    order, those that both have, those that one has, all of either set; windows for the partial ones."""
+    windows = f"""SELECT a, b, sa, {_windows_sql('sa', 'sb')} AS win FROM o WHERE sa <> '' UNION ALL SELECT a, b, sb, {_windows_sql('sb', 'sa')} FROM o WHERE sa <> '' AND length(sa) = length(sb)"""
+    return f"""pairs AS (SELECT DISTINCT clean, cand FROM ({pairs})),
 w AS (SELECT *, list_filter(string_split(clean, ' '), lambda x: x <> '') AS x, list_filter(string_split(cand, ' '), lambda x: x <> '') AS y FROM pairs),
-t AS (SELECT clean, cand, len(x) = 0 OR len(y) = 0 AS none, {_tokens_sql('x')} AS sx, {_tokens_sql('y')} AS sy, {_tokens_sql('list_distinct(list_filter(x, lambda z: list_contains(y, z)))')} AS common,
+t AS (SELECT clean, cand, len(x) = 0 OR len(y) = 0 AS none, {_tokens_sql('x')} AS sx, {_tokens_sql('y')} AS sy, {_tokens_sql('list_distinct(list_filter(x, lambda z: list_contains(y, z)))')} AS shared,
   {_tokens_sql('list_distinct(list_filter(x, lambda z: NOT list_contains(y, z)))')} AS ox, {_tokens_sql('list_distinct(list_filter(y, lambda z: NOT list_contains(x, z)))')} AS oy FROM w),
-u AS (SELECT *, trim(concat(common, ' ', ox)) AS wx, trim(concat(common, ' ', oy)) AS wy FROM t),
-m AS (SELECT clean, cand, {ratio_sql('clean', 'cand')} AS indel_ratio, {ratio_sql('sx', 'sy')} AS token_sort_ratio,
-  CASE WHEN none THEN 0 WHEN common <> '' AND (ox = '' OR oy = '') THEN 100
-    WHEN common = '' THEN {ratio_sql('wx', 'wy')} ELSE greatest({ratio_sql('wx', 'wy')}, 200.0 * length(common) / (length(common) + length(wx)), 200.0 * length(common) / (length(common) + length(wy))) END AS token_set_ratio FROM u)"""
-for _name in ("indel_ratio", "token_sort_ratio", "token_set_ratio", "token_ratio"):
-    _score = "greatest(token_sort_ratio, token_set_ratio)" if _name == "token_ratio" else _name
-    SQL[f"measure_{_name}"] = f"""{TOKEN_PAIRS}
-SELECT DISTINCT l.block, l.clean, r.cand, CAST(round({_score}, 4) AS DOUBLE) AS score FROM ({LEFT_NAMES}) l JOIN ({RIGHT_NAMES}) r ON l.block = r.block JOIN m ON m.clean = l.clean AND m.cand = r.cand"""
+u AS (SELECT *, trim(concat(shared, ' ', ox)) AS wx, trim(concat(shared, ' ', oy)) AS wy FROM t),
+o AS (SELECT a, b, CASE WHEN length(a) <= length(b) THEN a ELSE b END AS sa, CASE WHEN length(a) <= length(b) THEN b ELSE a END AS sb FROM (SELECT clean AS a, cand AS b FROM t UNION SELECT sx, sy FROM t UNION SELECT ox, oy FROM t)),
+v AS ({windows}),
+d AS (SELECT sa, win, {ratio_sql('sa', 'win')} AS r FROM (SELECT DISTINCT sa, win FROM v)),
+pr AS (SELECT a, b, max(r) AS pr FROM v JOIN d ON v.sa = d.sa AND v.win = d.win GROUP BY a, b UNION ALL SELECT a, b, CASE WHEN sb = '' THEN 100 ELSE 0 END FROM o WHERE sa = ''),
+n AS (SELECT u.*, {ratio_sql('clean', 'cand')} AS indel_ratio, {ratio_sql('sx', 'sy')} AS token_sort_ratio, p.pr AS partial_ratio,
+  CASE WHEN none THEN 0 WHEN shared <> '' AND (ox = '' OR oy = '') THEN 100
+    WHEN shared = '' THEN {ratio_sql('wx', 'wy')} ELSE greatest({ratio_sql('wx', 'wy')}, 200.0 * length(shared) / (length(shared) + length(wx)), 200.0 * length(shared) / (length(shared) + length(wy))) END AS token_set_ratio,
+  CASE WHEN none THEN 0 WHEN shared <> '' THEN 100 ELSE greatest(s.pr, o.pr) END AS partial_token_ratio
+  FROM u JOIN pr p ON p.a = clean AND p.b = cand JOIN pr s ON s.a = sx AND s.b = sy JOIN pr o ON o.a = ox AND o.b = oy),
+m AS (SELECT clean, cand, 100.0 * (1 - levenshtein(clean, cand) / greatest(length(clean), length(cand))) AS lev_sim, 100.0 * jaro_winkler_similarity(clean, cand) AS jaro_winkler,
+  indel_ratio, token_sort_ratio, token_set_ratio, greatest(token_sort_ratio, token_set_ratio) AS token_ratio, partial_ratio, partial_token_ratio FROM n)"""
+
+
+BRAND_PAIRS = f"SELECT l.block, l.clean, r.cand, r.pos FROM ({LEFT_NAMES}) l JOIN ({RIGHT_NAMES}) r ON l.block = r.block"
+for _name in ("indel_ratio", "token_sort_ratio", "token_set_ratio", "token_ratio", "partial_ratio", "partial_token_ratio"):
+    SQL[f"measure_{_name}"] = f"""WITH {measures_sql(BRAND_PAIRS)} SELECT DISTINCT c.block, c.clean, c.cand, CAST(round({_name}, 4) AS DOUBLE) AS score FROM ({BRAND_PAIRS}) c JOIN m ON m.clean = c.clean AND m.cand = c.cand"""
+
+
+def cascade_sql(pairs: str) -> str:
+    """The rapid cascade of ``pairs(block, clean, cand, pos)``, whose names are their own processed forms:
+    (block, clean, name, score, method, result)."""
+    early = ("lev_sim", "jaro_winkler", "indel_ratio", "token_ratio")
+    best = ", ".join(f"max({x}) AS {x}, arg_max(cand, [round({x}, 9), -CAST(pos AS DOUBLE)]) AS {x}_c" for x in early)
+    late = "".join(
+        f""", {x}_5 AS (SELECT block, clean, max(indel_ratio) AS {x}_s, arg_max(cand, [round(indel_ratio, 9), -CAST(k AS DOUBLE)]) AS {x}_c FROM
+  (SELECT *, row_number() OVER (PARTITION BY block, clean ORDER BY round({x}, 9) DESC, pos) AS k FROM c) WHERE k <= 5 AND {x} >= 85 GROUP BY 1, 2)"""
+        for x in ("partial_ratio", "partial_token_ratio")
+    )
+    steps = [("lev_sim = 100", "lev_sim_c", "100", "identical"), ("(length(g.clean) <= 4 AND lev_sim >= 70) OR (length(g.clean) = 5 AND lev_sim >= 75) OR lev_sim >= 82", "lev_sim_c", "lev_sim", "levenshtein")]
+    steps += [(f"{x} >= {least}", f"{x}_c", x, method) for x, least, method in (("jaro_winkler", 87, "jaro_winkler_similarity"), ("indel_ratio", 85, "fuzz_ratio"), ("token_ratio", 87, "token_ratio"))]
+    steps += [(f"{x}_s >= 50", f"{x}_c", f"{x}_s", x) for x in ("partial_ratio", "partial_token_ratio")]
+    case = lambda k, last: "CASE " + " ".join(f"WHEN {s[0]} THEN {s[k]}" for s in steps) + f" ELSE {last} END"
+    steps = [(a, b, c, f"'{d}'", "'YES'") for a, b, c, d in steps]
+    return f"""WITH q AS ({pairs}), {measures_sql('SELECT clean, cand FROM q')}, c AS (SELECT q.block, q.pos, m.* FROM q JOIN m ON m.clean = q.clean AND m.cand = q.cand),
+g AS (SELECT block, clean, {best} FROM c GROUP BY 1, 2){late}
+SELECT g.block, g.clean, {case(1, 'lev_sim_c')} AS name, CAST({case(2, 'lev_sim')} AS DOUBLE) AS score, {case(3, "'levenshtein'")} AS method, {case(4, "'NO'")} AS result FROM g
+LEFT JOIN partial_ratio_5 p ON p.block = g.block AND p.clean = g.clean LEFT JOIN partial_token_ratio_5 t ON t.block = g.block AND t.clean = g.clean"""
 
 
 @query("SELECT p_partkey, trim(regexp_replace(lower(concat(p_type, ' # ', p_brand, '!')), '[^a-z0-9]', ' ', 'g')) AS processed FROM part")
@@ -419,6 +457,7 @@ def _cascade(kind):
 
 for _kind in similarity.CASCADES:
     query()(_cascade(_kind))
+SQL["cascade_rapid"] = f"SELECT block, clean, name, round(score, 4) AS score, method, result FROM ({cascade_sql(BRAND_PAIRS)})"
 
 
 @query()
@@ -432,16 +471,30 @@ INPUT = f"SELECT p_partkey AS id, {DISTORT} AS poi, p_brand AS admin2, substr(p_
 TABLE = f"SELECT p_partkey AS pos, p_name AS mname, p_brand AS madmin2, substr(p_brand, 1, 7) AS madmin1, p_type AS mkind, {LAT.format(k='(p_partkey + 1)')} AS mlat, {LONG.format(k='(p_partkey + 1)')} AS mlon FROM part"
 
 
-@query()
+def block_match_sql(level: str, block: str, match_block: str, code: str) -> str:
+    """The match columns of INPUT in blocks; ``code`` is the text that a record's code is made of."""
+    records = f"(SELECT pos, {match_block} AS block, {preclean_sql('mname')} AS cand, madmin1, madmin2, mkind FROM ({TABLE}))"
+    return f"""WITH i AS (SELECT id, {block} AS block, {preclean_sql('poi')} AS name FROM ({INPUT})), r AS (SELECT pos, block, cand, upper(substr(md5({code}), 1, 10)) AS code FROM {records} WHERE cand <> ''),
+e AS (SELECT block, cand, min(pos) AS pos, string_agg(code, '/' ORDER BY first) AS codes FROM (SELECT block, cand, code, min(pos) AS first, min(pos) AS pos FROM r GROUP BY 1, 2, 3) GROUP BY 1, 2),
+h AS ({cascade_sql("SELECT DISTINCT i.block, lower(i.name) AS clean, lower(e.cand) AS cand, e.pos FROM i JOIN e ON e.block = i.block")}),
+j AS (SELECT i.*, e.cand, e.codes, h.score, h.method, coalesce(h.result, 'NO') AS found FROM i LEFT JOIN h ON h.block = i.block AND h.clean = lower(i.name) LEFT JOIN e ON e.block = h.block AND lower(e.cand) = h.name)
+SELECT id, CASE WHEN found = 'YES' THEN cand ELSE name END AS poi_updated, cand AS poi_match_name, codes AS poi_match_uuid, found AS poi_match_result, round(score, 4) AS poi_match_score, concat('{level}', method) AS poi_match_type FROM j"""
+
+
+def _rounded_match(df: DataFrame) -> DataFrame:
+    return df.select("id", *[F.round(c, 4).alias(c) if c == "poi_match_score" else c for c in linkage.match_columns("poi")])
+
+
+@query(block_match_sql("admin2/ ", "concat(admin1, '_', admin2)", "concat(madmin1, '_', madmin2)", "concat_ws('_', block, mkind, cand)"))
 def block_match_admin2(spark, sf):
     found = linkage.block_match(_sql(spark, sf, INPUT, "part"), "poi", _sql(spark, sf, TABLE, "part"), "mname", "pos", "admin2", ["admin1", "admin2"], ["madmin1", "madmin2"], "mkind")
-    return found.select("id", *linkage.match_columns("poi"))
+    return _rounded_match(found)
 
 
-@query()
+@query(block_match_sql("", "''", "''", "cand"))
 def block_match_unblocked(spark, sf):
     found = linkage.block_match(_sql(spark, sf, INPUT, "part"), "poi", _sql(spark, sf, TABLE, "part"), "mname", "pos")
-    return found.select("id", *linkage.match_columns("poi"))
+    return _rounded_match(found)
 
 
 @query(f"""WITH i AS (SELECT id, {preclean_sql('poi')} AS clean, admin2 FROM ({INPUT})), m AS (SELECT DISTINCT {preclean_sql('mname')} AS clean, madmin2 FROM ({TABLE}))
