@@ -14,6 +14,7 @@ from atlasweave.functions.similarity import CASCADES, cascade, match_merged, mat
 from atlasweave.functions.text import preclean
 from atlasweave.operators.spatial import near_pairs
 from atlasweave.operators.tables import joined_values, overlap
+from atlasweave.session import checkpointed
 
 #: Most names and most candidates that one task compares at a time.
 GROUP = 2000
@@ -112,7 +113,8 @@ def block_match(
     # one row a uuid before they are gathered: a name that many records have is one entry
     single = theirs.groupBy("block", "clean", "uuid").agg(F.min("pos").alias("pos"))
     uuids = single.groupBy("block", "clean").agg(joined_values(F.col("uuid"), F.col("pos")).alias("uuid"), F.min("pos").alias("pos"))
-    names = own.filter("__block is not null").select(F.col("__block").alias("block"), F.col("__clean").alias("clean")).distinct()
+    uuids = checkpointed(uuids)
+    names = checkpointed(own.filter("__block is not null").select(F.col("__block").alias("block"), F.col("__clean").alias("clean")).distinct())
     equal = names.join(uuids.select("block", "clean"), ["block", "clean"], "left_semi")
     same = equal.select("block", "clean", F.col("clean").alias("name"), F.lit(100.0).alias("score"), F.lit("identical").alias("method"), F.lit("YES").alias("result"))
     others = names.join(equal, ["block", "clean"], "left_anti")
@@ -166,7 +168,7 @@ def resolve_by_best_match(df: DataFrame, uuid: str, row_id: str, kind: str, scor
     one = df.join(top, (F.col(uuid) == F.col("__u")) & (F.col(kind) == F.col("__k")) & (F.col(result) == F.col("__r")), "left")
     one = one.withColumn(result, F.when(F.col(score).eqNullSafe(F.col("__max")) & F.col("__max").isNotNull(), F.col(result)).otherwise("NO")).drop("__u", "__k", "__r", "__max")
     rank = F.when(F.contains(F.col(kind), F.lit("partial")), 0).when(F.contains(F.col(kind), F.lit("identical")), 2).otherwise(1)
-    ranked = one.withColumn("__rank", F.coalesce(rank, F.lit(1)))
+    ranked = checkpointed(one.withColumn("__rank", F.coalesce(rank, F.lit(1))))
     best = ranked.filter(F.col(uuid).isNotNull()).groupBy(F.col(uuid).alias("__u"), F.col(result).alias("__r")).agg(F.max("__rank").alias("__max"))
     two = ranked.join(best, (F.col(uuid) == F.col("__u")) & (F.col(result) == F.col("__r")), "left")
     two = two.withColumn(result, F.when(F.col("__rank") == F.col("__max"), F.col(result)).otherwise("NO")).drop("__u", "__r", "__max", "__rank")
@@ -177,18 +179,21 @@ def resolve_by_best_match(df: DataFrame, uuid: str, row_id: str, kind: str, scor
 def resolve_by_attribute(df: DataFrame, row_id: str, uuid: str, part: str, result: str, columns: Sequence[str], match: DataFrame, match_uuid: str, match_columns_: Sequence[str], match_order: str, order: str) -> DataFrame:
     """First, of ids with more than one YES row only the parts that share most attributes stay, and
     ``uuid`` becomes those parts joined. Then, of parts with more than one YES row a single id that
-    shares most leaves all rows of the other ids NO."""
+    shares most leaves all rows of the other ids NO.
+
+    Tables that several steps read are checkpointed, so that nothing is worked out twice."""
     names = [f"__m{i}" for i in range(len(match_columns_))]
     first = match.groupBy(F.col(match_uuid).alias("__u")).agg(F.min_by(F.struct(*[F.col(c).alias(n) for c, n in zip(match_columns_, names, strict=True)]), match_order).alias("__s"))
     joined = df.join(first.select("__u", "__s.*"), F.col(part) == F.col("__u"), "left")
-    scored = joined.withColumn("__n", overlap(columns, names)).drop("__u", *names)
+    scored = checkpointed(joined.withColumn("__n", overlap(columns, names)).drop("__u", *names))
     ids = scored.filter(F.col(result) == "YES").groupBy(F.col(row_id).alias("__i")).agg(F.count("*").alias("c")).filter("c > 1 and __i is not null").select("__i")
     top = scored.join(ids, F.col(row_id) == F.col("__i"), "left_semi").groupBy(F.col(row_id).alias("__i")).agg(F.max("__n").alias("__max"))
     marked = scored.join(top, F.col(row_id) == F.col("__i"), "left")
-    kept = marked.filter(F.col("__max").isNull() | (F.col("__n") == F.col("__max")))
+    kept = checkpointed(marked.filter(F.col("__max").isNull() | (F.col("__n") == F.col("__max"))))
     single = kept.filter(F.col("__max").isNotNull()).groupBy(F.col("__i").alias("__j"), F.col(part).alias("__part")).agg(F.min(order).alias("__first"))
     lists = single.groupBy("__j").agg(joined_values(F.col("__part"), F.col("__first")).alias("__list"))
     one = kept.join(lists, F.col("__i") == F.col("__j"), "left").withColumn(uuid, F.coalesce("__list", uuid)).drop("__i", "__max", "__j", "__list")
+    one = checkpointed(one)
     parts = one.filter((F.col(result) == "YES") & F.col(part).isNotNull() & (F.col(part) != " ")).groupBy(F.col(part).alias("__p")).agg(F.count("*").alias("c")).filter("c > 1").select("__p")
     held = one.join(parts, F.col(part) == F.col("__p"), "left_semi").groupBy(F.col(part).alias("__p"), F.col(row_id).alias("__i")).agg(F.max("__n").alias("__n"))
     best = held.groupBy("__p").agg(F.max("__n").alias("__max"))
@@ -231,11 +236,12 @@ def resolve_by_distance(df: DataFrame, row_id: str, part: str, result: str, poin
     """First, ids with more than one YES row keep their nearest part if it is within ``metres``, and
     lose the rows of the others. Then, parts with more than one YES row keep their nearest id, if
     near enough, as YES; the other rows become NO."""
-    measured = match_distance(df, part, point, match, match_uuid, match_point, match_order, "__d")
+    measured = checkpointed(match_distance(df, part, point, match, match_uuid, match_point, match_order, "__d"))
     yes = F.col(result) == "YES"
     ids = measured.filter(yes).groupBy(F.col(row_id).alias("__i")).agg(F.count("*").alias("c"), F.min_by(F.struct("__d", F.col(part).alias("p")), F.struct(F.col("__d").isNull(), "__d", order)).alias("b")).filter("c > 1")
     near = ids.filter(F.col("b.__d") * 1000 <= metres).select("__i", F.col("b.p").alias("__keep"))
     one = measured.join(near, F.col(row_id) == F.col("__i"), "left").filter(F.col("__keep").isNull() | (F.col(part) == F.col("__keep"))).drop("__i", "__keep")
+    one = checkpointed(one)
     parts = one.filter(yes & (F.col(part) != " ")).groupBy(F.col(part).alias("__p")).agg(F.count("*").alias("c"), F.min_by(F.struct("__d", F.col(row_id).alias("i")), F.struct(F.col("__d").isNull(), "__d", order)).alias("b")).filter("c > 1")
     won = parts.filter(F.col("b.__d") * 1000 <= metres).select("__p", F.col("b.i").alias("__win"))
     two = one.join(won, F.col(part) == F.col("__p"), "left")

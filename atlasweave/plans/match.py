@@ -68,7 +68,7 @@ def match(df: DataFrame, other: DataFrame, config: MatchConfig) -> tuple[DataFra
         left = linkage.excluded(table, muuid, near, uuid, (F.col(score) >= c.least_score) & (F.col(result) == "YES"))
         rest = near.filter(F.col(result) == "NO")
 
-    rest = linkage.block_match(rest, a1, table, m1, c.match_order)
+    rest = checkpointed(linkage.block_match(rest, a1, table, m1, c.match_order))
     rest = checkpointed(linkage.block_match(rest, a2, table, m2, c.match_order, "admin1", [f"{a1}_updated"], [f"{m1}_cleaned"]))
     admin2 = ([f"{a1}_updated", f"{a2}_updated"], [f"{m1}_cleaned", f"{m2}_cleaned"])
     inside = rest.filter(F.col(f"{a2}_match_result") == "YES")
@@ -102,7 +102,7 @@ def match(df: DataFrame, other: DataFrame, config: MatchConfig) -> tuple[DataFra
     if c.by_distance:
         out = linkage.resolve_by_distance(out, c.row_id, part, result, c.point, table, muuid, c.match_point, c.match_order, c.row_id, c.metres)
         out = linkage.match_distance(out, part, c.point, table, muuid, c.match_point, c.match_order)
-    out = resolved(checkpointed(out))
+    out = checkpointed(resolved(checkpointed(out)))
     out = out.withColumns({part: F.coalesce(part, F.lit(" ")), uuid: F.coalesce(uuid, F.lit(" "))})
     out = tables.with_group_size(tables.with_group_size(out, [part], "one_to_many_dup"), [c.row_id], "many_to_one_dup")
     out = checkpointed(out)
