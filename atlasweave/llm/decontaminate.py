@@ -1,7 +1,8 @@
 """Benchmark decontamination by the q-gram lemma.
 
 Benchmark items are cut into overlapping segments, one every q characters, so that every stretch of
-``length`` characters of an item holds a whole one wherever it begins. A segment of m characters within k edits of some stretch of a text shares at least
+``length`` characters of an item (75, about the thirteen words that are usual) holds a whole one
+wherever it begins. A segment of m characters within k edits of some stretch of a text shares at least
 m + 1 - q * (k + 1) of its q-grams with it, on diagonals that differ by at most k. Shared q-grams
 are counted in overlapping bands of diagonals; bands that reach the bound are verified by banded
 alignment. Items too short for that are looked up as they are.
@@ -205,7 +206,8 @@ def without_passages(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", q: int = 12, rate: float = 0.05, length: int = 75, least: int = 24, block_chars: int = 16 << 20
 ) -> DataFrame:
     """The rows of ``docs`` whose text holds no passage of the benchmark, as :func:`find_passages`
-    finds them; rows and columns are otherwise as they were. Nothing is shuffled."""
+    finds them; rows, repeated ones too, and columns of any names are otherwise as they were. Null texts
+    hold none, an empty benchmark drops nothing, an empty table gives an empty one. Nothing is shuffled."""
     out = docs
     for shared, name in broadcast_blocks(docs.sparkSession, benchmark, q, rate, length, least, block_chars):
         out = out.filter(~_holds(shared, name)(F.col(text)))

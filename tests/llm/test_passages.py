@@ -188,3 +188,19 @@ def test_license_bodies_in_part(spark, prose):
     starts = list(range(0, len(plain) - 70, 7))
     found = index.search(normal_block(["zq zq " + plain[at : at + 70] + " zq zq" for at in starts]))
     assert sorted(found) == list(range(len(starts)))
+
+
+def test_very_long_texts(spark, prose):
+    item = prose("en", 40, "far")
+    filler = prose("de", 20_000, "long")
+    long = (filler + " ") * 20  # over a million characters: a block of its own
+    docs = [(1, long + item + " " + long[:1000] + " Released under the MIT License."), (2, None), (3, ""), (1, "short"), (None, "zz " + item)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert len(docs[0][1]) > 1 << 20
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    hits = find_passages(df, bench).collect()
+    assert sorted((h["doc_id"], h["item_id"], h["edits"]) for h in hits if h["doc_id"]) == [(1, 7, 0)]
+    assert sum(h["doc_id"] is None for h in hits) == 1
+    found = next(h for h in hits if h["doc_id"])
+    assert list(normal(docs[0][1][found["start"] : found["end"]])) == list(normal(item))
+    assert [(x["doc_id"], x["license"], x["start"]) for x in scan_licenses(df).collect()] == [(1, "MIT", docs[0][1].index("Released"))]
