@@ -650,6 +650,17 @@ def attr_resolve(spark, sf):
     return found.select("row", "id", "uuid", "result")
 
 
+SEVERAL = f"SELECT row, a, b, CASE WHEN row % 4 = 0 THEN part ELSE concat(part, '/', CAST(CAST(uuid AS INT) * 7 % 160 AS STRING), '/', CAST(CAST(uuid AS INT) * 11 % 150 AS STRING)) END AS uuid FROM ({MATCHES})"
+
+
+@query(f"""WITH m AS ({SEVERAL}), p AS (SELECT row, uuid, a, b, unnest(string_split(uuid, '/')) AS part, generate_subscripts(string_split(uuid, '/'), 1) AS i FROM m),
+n AS (SELECT p.*, len(list_intersect([p.a, p.b], [r.ma, r.mb])) AS n FROM p LEFT JOIN ({FIRST_RECORDS}) r ON r.u = p.part), x AS (SELECT *, max(n) OVER (PARTITION BY row) AS mx FROM n)
+SELECT row, CASE WHEN contains(any_value(uuid), '/') THEN string_agg(part, '/' ORDER BY i) FILTER (n = mx) ELSE any_value(uuid) END AS uuid FROM x GROUP BY row""")
+def attr_best_parts(spark, sf):
+    found = linkage.best_parts_by_attribute(_sql(spark, sf, SEVERAL, "lineitem"), "row", "uuid", ["a", "b"], _sql(spark, sf, RECORDS, "part"), "u", ["ma", "mb"], "pos")
+    return found.select("row", "uuid")
+
+
 PLACED = f"SELECT row, id, part, result, {LAT.format(k='id')} AS lat, {LONG.format(k='id')} AS lon FROM ({MATCHES})"
 PLACES = f"SELECT p_partkey AS pos, CAST(p_partkey % 150 AS STRING) AS u, {LAT.format(k='p_partkey')} AS plat, {LONG.format(k='p_partkey')} AS plon FROM part"
 FIRST_PLACES = f"SELECT u, arg_min(plat, pos) AS plat, arg_min(plon, pos) AS plon FROM ({PLACES}) GROUP BY u"
@@ -783,10 +794,10 @@ def pipeline_match_distance(spark, sf):
     return match(*_match_inputs(spark, sf), _match_config(True))[0]
 
 
-@query()
+@query(block_match_sql("", "admin2", "madmin2", "concat_ws('_', block, cand)"))
 def stream_match(spark, sf):
     path = _shared(spark)
     _sql(spark, sf, INPUT, "part").write.parquet(f"{path}/in")
     stream = spark.readStream.schema(spark.read.parquet(f"{path}/in").schema).parquet(f"{path}/in")
     match_stream(stream, "poi", _sql(spark, sf, TABLE, "part"), "mname", "pos", ["admin2"], ["madmin2"], f"{path}/out", f"{path}/state").awaitTermination()
-    return spark.read.parquet(f"{path}/out").select("id", *linkage.match_columns("poi"))
+    return _rounded_match(spark.read.parquet(f"{path}/out"))

@@ -97,3 +97,16 @@ def test_configuration_equals_calls(spark, tmp_path):
     plain = lambda df: sorted(tuple("" if x in (None, " ") else str(x) for x in r) for r in df.select(*columns).collect())
     assert plain(got) == plain(wanted)
     assert DICTIONARY.types == TYPES
+
+
+def test_admin_check_query(spark, con):
+    near = {k: (nation, d) for k, _, _, nation, d in con.execute(NEAREST_SQL).fetchall()}
+    clean = dict(con.execute(f"SELECT DISTINCT admin2, {preclean_sql('admin2')} FROM ({BOXES})").fetchall())
+    for r in QUERIES["admin_check"](spark, SF).collect():
+        if r["k"] not in near:
+            assert (r["admin2_bry_clean"], r["admin2_bryMatch"], r["metres"]) == (None, "NO", None)
+            continue
+        own, name = f"Nation {r['k'] % 25}", clean[near[r["k"]][0]]
+        yes = seq(own, name) >= 75 or seq_set(own, name, seq) >= 98
+        assert (r["admin2_bry_clean"], r["admin2_bryMatch"]) == (name, "YES" if yes else "NO")
+        assert r["metres"] == pytest.approx(near[r["k"]][1], abs=0.01)
