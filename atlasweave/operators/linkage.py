@@ -206,13 +206,14 @@ def resolve_by_attribute(df: DataFrame, row_id: str, uuid: str, part: str, resul
 
 def best_parts_by_attribute(df: DataFrame, row_id: str, uuid: str, columns: Sequence[str], match: DataFrame, match_uuid: str, match_columns_: Sequence[str], match_order: str) -> DataFrame:
     """``df`` with ``uuid``, several joined by "/", cut down to those whose first record shares most
-    attributes with the row, in their order; one alone, null and unknown ones stay as they are."""
+    attributes with the row, in their order; one alone, null and unknown ones stay as they are. Rows
+    with one id are taken to be alike."""
     names = [f"__m{i}" for i in range(len(match_columns_))]
     first = match.groupBy(F.col(match_uuid).alias("__u")).agg(F.min_by(F.struct(*[F.col(c).alias(n) for c, n in zip(match_columns_, names, strict=True)]), match_order).alias("__s"))
     parts = df.filter(F.contains(F.col(uuid), F.lit("/"))).select(F.col(row_id).alias("__i"), *columns, F.posexplode(F.split(uuid, "/")).alias("__at", "__part"))
     scored = parts.join(first.select("__u", "__s.*"), F.col("__part") == F.col("__u"), "left").withColumn("__n", overlap(columns, names))
     # of one row's own parts
-    listed = scored.groupBy("__i").agg(F.array_sort(F.collect_list(F.struct((-F.col("__n")).alias("n"), F.col("__at").alias("at"), F.col("__part").alias("part")))).alias("__l"))
+    listed = scored.groupBy("__i").agg(F.array_sort(F.collect_set(F.struct((-F.col("__n")).alias("n"), F.col("__at").alias("at"), F.col("__part").alias("part")))).alias("__l"))
     kept = listed.select("__i", F.array_join(F.transform(F.filter("__l", lambda x: x["n"] == F.col("__l")[0]["n"]), lambda x: x["part"]), "/").alias("__best"))
     return df.join(kept, F.col(row_id) == F.col("__i"), "left").withColumn(uuid, F.coalesce("__best", uuid)).drop("__i", "__best")
 

@@ -653,9 +653,9 @@ def attr_resolve(spark, sf):
 SEVERAL = f"SELECT row, a, b, CASE WHEN row % 4 = 0 THEN part ELSE concat(part, '/', CAST(CAST(uuid AS INT) * 7 % 160 AS STRING), '/', CAST(CAST(uuid AS INT) * 11 % 150 AS STRING)) END AS uuid FROM ({MATCHES})"
 
 
-@query(f"""WITH m AS ({SEVERAL}), p AS (SELECT row, uuid, a, b, unnest(string_split(uuid, '/')) AS part, generate_subscripts(string_split(uuid, '/'), 1) AS i FROM m),
-n AS (SELECT p.*, len(list_intersect([p.a, p.b], [r.ma, r.mb])) AS n FROM p LEFT JOIN ({FIRST_RECORDS}) r ON r.u = p.part), x AS (SELECT *, max(n) OVER (PARTITION BY row) AS mx FROM n)
-SELECT row, CASE WHEN contains(any_value(uuid), '/') THEN string_agg(part, '/' ORDER BY i) FILTER (n = mx) ELSE any_value(uuid) END AS uuid FROM x GROUP BY row""")
+@query(f"""WITH m AS (SELECT *, row_number() OVER () AS rid FROM ({SEVERAL})), p AS (SELECT rid, row, uuid, a, b, unnest(string_split(uuid, '/')) AS part, generate_subscripts(string_split(uuid, '/'), 1) AS i FROM m),
+n AS (SELECT p.*, len(list_intersect([p.a, p.b], [r.ma, r.mb])) AS n FROM p LEFT JOIN ({FIRST_RECORDS}) r ON r.u = p.part), x AS (SELECT *, max(n) OVER (PARTITION BY rid) AS mx FROM n)
+SELECT row, CASE WHEN contains(any_value(uuid), '/') THEN string_agg(part, '/' ORDER BY i) FILTER (n = mx) ELSE any_value(uuid) END AS uuid FROM x GROUP BY rid, row""")
 def attr_best_parts(spark, sf):
     found = linkage.best_parts_by_attribute(_sql(spark, sf, SEVERAL, "lineitem"), "row", "uuid", ["a", "b"], _sql(spark, sf, RECORDS, "part"), "u", ["ma", "mb"], "pos")
     return found.select("row", "uuid")
