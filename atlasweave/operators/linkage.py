@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from atlasweave.functions import geo
 from atlasweave.functions.ids import code_of, unique_key
-from atlasweave.functions.similarity import CASCADES, cascade, match_merged, match_part
+from atlasweave.functions.similarity import CASCADES, match_merged, match_part
 from atlasweave.functions.text import preclean
 from atlasweave.operators.spatial import near_pairs
 from atlasweave.operators.tables import joined_values, overlap
@@ -135,27 +135,33 @@ def distance_match(
     """``df`` with the six match columns of ``name``, matched with the names within ``metres`` of each
     row; (long, lat) columns on both sides. One row a row; no candidate is NO with nothing else.
 
-    The candidates of a row are gathered distinct, so many records at one spot weigh as their names.
+    Rows and records at one spot are folded: spots are paired, each spot with a row is a block whose
+    candidates are the distinct names around it, and a name is matched once a spot.
     """
     df = df.drop(*match_columns(name))
     table = match.withColumn(f"{match_name}_cleaned", preclean(F.col(match_name)))
     if f"{match_name}_uuid" not in table.columns:
         table = table.withColumn(f"{match_name}_uuid", code_of(unique_key(code_columns)))
-    theirs = table.select(F.col(f"{match_name}_cleaned").alias("__n"), F.col(f"{match_name}_uuid").alias("__u"), F.col(match_order).cast("long").alias("__pos"), F.col(match_point[0]).alias("__mlon"), F.col(match_point[1]).alias("__mlat")).filter("__n <> ''")
-    own = df.select(F.col(row_id).alias("__id"), preclean(F.col(name)).alias("__clean"), F.col(point[0]).alias("__lon"), F.col(point[1]).alias("__lat"))
-    near = near_pairs(own, theirs, metres, ("__lon", "__lat"), ("__mlon", "__mlat"))
-    single = near.groupBy("__id", "__clean", "__n", "__u").agg(F.min("__pos").alias("__pos"))
-    named = single.groupBy("__id", "__clean", "__n").agg(F.min("__pos").alias("__pos"), joined_values(F.col("__u"), F.col("__pos")).alias("__u"))
-    listed = named.groupBy("__id", "__clean").agg(F.array_sort(F.collect_list(F.struct("__pos", "__n", "__u"))).alias("__l"))
-    found = listed.withColumn("__m", cascade(measure)(F.col("__clean"), F.transform("__l", lambda x: x["__n"])))
-    uuid = F.filter("__l", lambda x: x["__n"] == F.col("__m.name"))[0]["__u"]
-    coded = found.select("__id", "__m", uuid.alias("__uuid"))
-    joined = df.join(coded, F.col(row_id) == F.col("__id"), "left")
-    result = F.coalesce(F.col("__m.result"), F.lit("NO"))
+    theirs = table.select(F.col(f"{match_name}_cleaned").alias("clean"), F.col(f"{match_name}_uuid").alias("uuid"), F.col(match_order).cast("long").alias("pos"), F.col(match_point[0]).alias("__mlon"), F.col(match_point[1]).alias("__mlat")).filter("clean <> ''")
+    theirs = checkpointed(theirs.groupBy("__mlon", "__mlat", "clean", "uuid").agg(F.min("pos").alias("pos")))
+    lon, lat = F.col(point[0]), F.col(point[1])
+    spot = F.when(lon.isNotNull() & lat.isNotNull(), F.concat_ws(" ", lon.cast("string"), lat.cast("string")))
+    own = df.withColumns({"__block": spot, "__clean": preclean(F.col(name))})
+    names = checkpointed(own.filter("__block is not null").groupBy("__block", "__clean").agg(F.first(lon).alias("__lon"), F.first(lat).alias("__lat")))
+    spots = names.groupBy("__block").agg(F.first("__lon").alias("__lon"), F.first("__lat").alias("__lat"))
+    around = near_pairs(spots, theirs.select("__mlon", "__mlat").distinct(), metres, ("__lon", "__lat"), ("__mlon", "__mlat")).select(F.col("__block").alias("block"), "__mlon", "__mlat")
+    single = around.join(theirs, ["__mlon", "__mlat"]).groupBy("block", "clean", "uuid").agg(F.min("pos").alias("pos"))
+    candidates = checkpointed(single.groupBy("block", "clean").agg(F.min("pos").alias("pos"), joined_values(F.col("uuid"), F.col("pos")).alias("uuid")))
+    found = best_in_blocks(names.select(F.col("__block").alias("block"), F.col("__clean").alias("clean")), candidates, measure)
+    coded = found.join(candidates.select("block", F.col("clean").alias("name"), "uuid"), ["block", "name"], "left")
+    coded = coded.select(F.col("block").alias("__fb"), F.col("clean").alias("__fc"), *[F.col(c).alias(f"__{c}") for c in ("name", "score", "method", "result", "uuid")])
+    joined = own.join(coded, (F.col("__block") == F.col("__fb")) & (F.col("__clean") == F.col("__fc")), "left")
+    result = F.coalesce(F.col("__result"), F.lit("NO"))
     radius = int(metres) if float(metres).is_integer() else metres
     # matched or not, the name is the best candidate's
-    columns = (F.col("__m.name"), F.col("__m.name"), F.col("__uuid"), result, F.col("__m.score"), F.concat(F.col("__m.method"), F.lit(f" in {radius} distance")))
-    return joined.withColumns(dict(zip(match_columns(name), columns, strict=True))).drop("__id", "__m", "__uuid")
+    columns = (F.col("__name"), F.col("__name"), F.col("__uuid"), result, F.col("__score"), F.concat(F.col("__method"), F.lit(f" in {radius} distance")))
+    made = joined.withColumns(dict(zip(match_columns(name), columns, strict=True)))
+    return made.drop("__block", "__clean", "__fb", "__fc", "__name", "__score", "__method", "__result", "__uuid")
 
 
 def resolve_by_best_match(df: DataFrame, uuid: str, row_id: str, kind: str, score: str, result: str, order: str) -> DataFrame:
