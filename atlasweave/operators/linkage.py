@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from atlasweave.functions import geo
 from atlasweave.functions.ids import code_of, unique_key
-from atlasweave.functions.similarity import CASCADES, match_merged, match_part
+from atlasweave.functions.similarity import CASCADES, cascade, match_merged, match_part
 from atlasweave.functions.text import preclean
 from atlasweave.operators.spatial import near_pairs
 from atlasweave.operators.tables import joined_values, overlap
@@ -152,7 +152,16 @@ def distance_match(
     around = near_pairs(spots, theirs.select("__mlon", "__mlat").distinct(), metres, ("__lon", "__lat"), ("__mlon", "__mlat")).select(F.col("__block").alias("block"), "__mlon", "__mlat")
     single = around.join(theirs, ["__mlon", "__mlat"]).groupBy("block", "clean", "uuid").agg(F.min("pos").alias("pos"))
     candidates = checkpointed(single.groupBy("block", "clean").agg(F.min("pos").alias("pos"), joined_values(F.col("uuid"), F.col("pos")).alias("uuid")))
-    found = best_in_blocks(names.select(F.col("__block").alias("block"), F.col("__clean").alias("clean")), candidates, measure)
+    asked = names.select(F.col("__block").alias("block"), F.col("__clean").alias("clean"))
+    # the few names around most spots are one list; where they are more than a group, blocks are cut
+    counts = candidates.groupBy("block").agg(F.count("*").alias("n"))
+    crowded = counts.filter(F.col("n") > GROUP).select("block")
+    few = candidates.join(counts.filter(F.col("n") <= GROUP).select("block"), "block", "left_semi")
+    listed = few.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("pos", "clean"))).alias("l"))
+    matched = asked.join(listed, "block").withColumn("m", cascade(measure)(F.col("clean"), F.transform("l", lambda x: x["clean"])))
+    found = matched.select("block", "clean", "m.name", "m.score", "m.method", "m.result")
+    if not crowded.isEmpty():
+        found = found.unionByName(best_in_blocks(asked.join(crowded, "block", "left_semi"), candidates.join(crowded, "block", "left_semi"), measure))
     coded = found.join(candidates.select("block", F.col("clean").alias("name"), "uuid"), ["block", "name"], "left")
     coded = coded.select(F.col("block").alias("__fb"), F.col("clean").alias("__fc"), *[F.col(c).alias(f"__{c}") for c in ("name", "score", "method", "result", "uuid")])
     joined = own.join(coded, (F.col("__block") == F.col("__fb")) & (F.col("__clean") == F.col("__fc")), "left")
