@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from atlasweave.llm import chat, decontaminate, langid, licenses, packing, pii, simhash, tokens, topk, toxicity
+from atlasweave.llm import audit, chat, decontaminate, langid, licenses, packing, pii, simhash, tokens, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_topk": topk.op1_exact_topk,
@@ -19,5 +19,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": tokens.op8_token_counts,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_language_id": langid.op10_language_id,
+    "op11_filter_audit": audit.op11_filter_audit,
 }
-ORACLE_SQL: dict[str, str] = {"op1_exact_topk": topk.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op1_exact_topk": topk.ORACLE, "op11_filter_audit": audit.ORACLE}
