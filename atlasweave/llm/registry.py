@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from atlasweave.llm import audit, chat, decontaminate, langid, licenses, packing, pii, simhash, tokens, topk, toxicity, variants
+from atlasweave.llm import audit, chat, decontaminate, langid, licenses, packing, pii, pitman, simhash, tokens, topk, toxicity, variants
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_topk": topk.op1_exact_topk,
@@ -21,5 +21,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": langid.op10_language_id,
     "op11_filter_audit": audit.op11_filter_audit,
     "op12_spelling_variants": variants.op12_spelling_variants,
+    "op13_lm_scores": pitman.op13_lm_scores,
 }
 ORACLE_SQL: dict[str, str] = {"op1_exact_topk": topk.ORACLE, "op11_filter_audit": audit.ORACLE}
