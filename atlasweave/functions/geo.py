@@ -51,9 +51,20 @@ def cell_column(lon: Column, row: Column, metres: float) -> Column:
 
 
 def coordinate(c: Column) -> Column:
-    """A coordinate as double: text with "null" in it and blanks are null."""
+    """A coordinate as double: text with "null" in it, blanks, NaN and infinities are null."""
     text = c.cast("string")
-    return F.when(text.rlike("(?i)null") | (F.trim(text) == ""), F.lit(None)).otherwise(text.try_cast("double"))
+    value = F.when(text.rlike("(?i)null") | (F.trim(text) == ""), F.lit(None)).otherwise(text.try_cast("double"))
+    return F.when(finite(value), value)
+
+
+def finite(c: Column) -> Column:
+    """Whether a number is one: NaN is above all others."""
+    return F.abs(c) < F.lit(math.inf)
+
+
+def is_point(lon: Column, lat: Column) -> Column:
+    """Whether both coordinates are there and are numbers."""
+    return F.coalesce(finite(lon) & finite(lat), F.lit(False))
 
 
 def azimuthal_equidistant(lon: Column, lat: Column) -> tuple[Column, Column]:

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def fresh_names(columns: Iterable[str], n: int) -> list[str]:
+    """``n`` names that no column has, in any case, and that need no quotes."""
+    start, taken = "__", [c.lower() for c in columns]
+    while any(c.startswith(start) for c in taken):
+        start += "_"
+    return [f"{start}x{i}" for i in range(n)]
+
+
 def unique_key(columns: Sequence[str], sep: str = "_") -> Column:
     """One column as it is; several as text with ``sep`` between, null as ``nan``."""
     if not columns:

@@ -6,20 +6,14 @@ also into the neighbouring cells, and only points that share a cell are measured
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
 
 from atlasweave.functions import geo
 from atlasweave.functions.similarity import pair_measure
 from atlasweave.functions.text import preclean
-from atlasweave.operators.components import components
-from atlasweave.operators.tables import with_row_id
-from atlasweave.session import checkpointed
-
-METRES_PER_DEGREE = geo.EARTH_KM * 1000 * math.pi / 180
+from atlasweave.operators.density import density_clusters
+from atlasweave.operators.nearest import METRES_PER_DEGREE, nearest_polygon, polygon_rings
 
 
 def _cells(df: DataFrame, lon: str, lat: str, metres: float, around: bool) -> DataFrame:
@@ -34,32 +28,16 @@ def _cells(df: DataFrame, lon: str, lat: str, metres: float, around: bool) -> Da
 
 def near_pairs(left: DataFrame, right: DataFrame, metres: float, left_point: tuple[str, str], right_point: tuple[str, str], out: str = "dist_km") -> DataFrame:
     """All pairs within ``metres`` (points are (long, lat) columns; the tables share no column name),
-    with the unrounded distance in km. Rows without a point pair with nothing."""
-    a = _cells(left.filter(F.col(left_point[0]).isNotNull() & F.col(left_point[1]).isNotNull()), *left_point, metres, False)
-    b = _cells(right.filter(F.col(right_point[0]).isNotNull() & F.col(right_point[1]).isNotNull()), *right_point, metres, True)
+    with the unrounded distance in km. Rows without a point (null, NaN) pair with nothing."""
+    a = _cells(left.filter(geo.is_point(*map(F.col, left_point))), *left_point, metres, False)
+    b = _cells(right.filter(geo.is_point(*map(F.col, right_point))), *right_point, metres, True)
     pairs = a.join(b, ["__row", "__col"]).withColumn(out, geo.haversine_km(F.col(left_point[0]), F.col(left_point[1]), F.col(right_point[0]), F.col(right_point[1])))
     return pairs.filter(F.col(out) * 1000 <= metres).drop("__row", "__col")
 
 
-def clusters(df: DataFrame, row_id: str, lon: str, lat: str, metres: float, out: str | None = None) -> DataFrame:
-    """``df`` with the density cluster (two points at least) of each row: 1, 2, ... in row order,
-    rows without neighbour -1, -2, ... in row order; rows without a point null.
-
-    With two points at least every point that has a neighbour is a core point, so clusters are the
-    components of the graph of pairs within ``metres``. Rows at one spot are folded first.
-    """
-    out = out or f"geo_dbscan_r{int(metres)}_cluster_id"
-    points = df.filter(F.col(lon).isNotNull() & F.col(lat).isNotNull())
-    spots = points.groupBy(F.col(lon).alias("x"), F.col(lat).alias("y")).agg(F.min(row_id).alias("u"), F.count("*").alias("n"))
-    other = spots.select(F.col("x").alias("x2"), F.col("y").alias("y2"), F.col("u").alias("v"))
-    edges = near_pairs(spots.select("x", "y", "u"), other, metres, ("x", "y"), ("x2", "y2")).filter("u < v").select("u", "v")
-    roots = components(edges).withColumnRenamed("node", "u")
-    named = spots.join(roots, "u", "left").withColumn("root", F.coalesce("root", "u"))
-    sizes = named.groupBy("root").agg((F.sum("n") > 1).alias("many"))
-    many = with_row_id(sizes.filter("many").select("root"), ["root"], "k").select("root", (F.col("k") + 1).alias("id"))
-    single = with_row_id(sizes.filter("not many").select("root"), ["root"], "k").select("root", (-F.col("k") - 1).alias("id"))
-    numbered = named.join(many.unionAll(single), "root").select("x", "y", F.col("id").alias(out))
-    return df.drop(out).join(numbered, (F.col(lon) == F.col("x")) & (F.col(lat) == F.col("y")), "left").drop("x", "y")
+def clusters(df: DataFrame, row_id: str, lon: str, lat: str, metres: float, out: str | None = None, min_samples: int = 2) -> DataFrame:
+    """``df`` with the density cluster of each row: see :func:`density.density_clusters`."""
+    return density_clusters(df, row_id, lon, lat, metres, out or f"geo_dbscan_r{int(metres)}_cluster_id", min_samples)
 
 
 def overlaps(df: DataFrame, row_id: str, name: str, lon: str, lat: str, metres: float = 1.0, out: str = "is_overlap") -> DataFrame:
@@ -76,17 +54,6 @@ def ring_distance(lon: Column, lat: Column, ring: Column) -> Column:
     return polygon_distance(lon, lat, F.array(ring))
 
 
-def polygon_rings(df: DataFrame, column: str) -> Column:
-    """All rings of a polygon column as one array of rings: the column is one exterior ring (an array
-    of struct x, y), an array of rings, or an array of parts that are each an array of rings."""
-    depth, kind = 0, df.schema[column].dataType
-    while isinstance(kind, ArrayType):
-        depth, kind = depth + 1, kind.elementType
-    if depth not in (1, 2, 3):
-        raise ValueError(f"{column} is no ring, array of rings or array of parts")
-    return (F.array(F.col(column)), F.col(column), F.flatten(column))[depth - 1]
-
-
 def polygon_distance(lon: Column, lat: Column, rings: Column) -> Column:
     """Metres from a point to a polygon given by the rings of all its parts, exterior ones and holes,
     0 inside; flat metres around the point. A point is inside if it is in an odd number of rings."""
@@ -115,34 +82,6 @@ def polygon_distance(lon: Column, lat: Column, rings: Column) -> Column:
     return F.when(inside, F.lit(0.0)).otherwise(F.array_min(F.transform(edges, span)))
 
 
-def nearest_polygon(points: DataFrame, row_id: str, lon: str, lat: str, polygons: DataFrame, ring: str, order: str, metres: float, out: str, cell: float = 0.25) -> DataFrame:
-    """``points`` with the nearest polygon's columns (none of them named as the points') within
-    ``metres`` and the distance ``out``; null if none is; of equals the first by ``order``.
-
-    ``ring`` is any column that :func:`polygon_rings` takes. Polygons are put into all ``cell`` degree cells that their box and the radius touch.
-    """
-    points_of = F.flatten(polygon_rings(polygons, ring))
-    xs, ys = F.transform(points_of, lambda p: p["x"]), F.transform(points_of, lambda p: p["y"])
-    up = metres / METRES_PER_DEGREE
-    # boxes go into cells, rings stay with their polygon until a box says that they are needed
-    numbered = checkpointed(polygons.withColumn("__pid", F.monotonically_increasing_id()))
-    boxed = numbered.select("__pid", F.array_min(xs).alias("__x0"), F.array_max(xs).alias("__x1"), F.array_min(ys).alias("__y0"), F.array_max(ys).alias("__y1"))
-    aside = F.lit(up) / F.cos(F.radians(F.least(F.lit(89.0), F.greatest(F.abs("__y0"), F.abs("__y1")) + up)))
-    columns = F.sequence(F.floor((F.col("__x0") - aside) / cell), F.floor((F.col("__x1") + aside) / cell))
-    rows = F.sequence(F.floor((F.col("__y0") - up) / cell), F.floor((F.col("__y1") + up) / cell))
-    filed = boxed.withColumn("__col", F.explode(columns)).withColumn("__row", F.explode(rows)).withColumn("__aside", aside)
-    placed = points.filter(F.col(lon).isNotNull() & F.col(lat).isNotNull()).select(F.col(row_id).alias("__id"), F.col(lon).alias("__lon"), F.col(lat).alias("__lat"))
-    placed = placed.withColumn("__col", F.floor(F.col("__lon") / cell)).withColumn("__row", F.floor(F.col("__lat") / cell))
-    # the box first, widened by the radius: few pairs are measured
-    boxes = placed.join(filed, ["__col", "__row"]).filter(
-        F.col("__lon").between(F.col("__x0") - F.col("__aside"), F.col("__x1") + F.col("__aside")) & F.col("__lat").between(F.col("__y0") - up, F.col("__y1") + up)
-    )
-    met = boxes.select("__id", "__lon", "__lat", "__pid").join(numbered, "__pid").withColumn("__d", polygon_distance(F.col("__lon"), F.col("__lat"), polygon_rings(numbered, ring))).filter(F.col("__d") <= metres)
-    best = met.groupBy("__id").agg(F.min_by(F.struct("__d", "__pid"), F.struct("__d", order)).alias("__s")).select("__id", "__s.*")
-    found = best.join(numbered, "__pid").select("__id", "__d", F.struct(*polygons.columns).alias("__p"))
-    return points.join(found, F.col(row_id) == F.col("__id"), "left").select(*points.columns, *[F.col(f"__p.{c}").alias(c) for c in polygons.columns], F.col("__d").alias(out))
-
-
 def check_by_admin(points: DataFrame, row_id: str, lon: str, lat: str, name: str, boundary: DataFrame, ring: str, order: str, boundary_name: str, prefix: str, metres: float = 250.0) -> DataFrame:
     """Adds ``<prefix>_clean``, ``dist_to_<prefix>`` and ``<prefix>Match``: YES if the nearest
     boundary's name is close to the row's, NO otherwise, also if either is missing."""
@@ -160,7 +99,7 @@ def check_by_settlement(points: DataFrame, row_id: str, lon: str, lat: str, sett
     """Adds settlement_type and dist_to_settlement_type: the nearest settlement's type, "Out of a
     settlement" from ``outside`` metres on or if there is none within ``metres``."""
     own = settlements.select(F.col(kind).alias("__s_kind"), F.col(ring).alias("__s_ring"), F.col(order).alias("__s_order"))
-    near = nearest_polygon(points, row_id, lon, lat, own, "__s_ring", "__s_order", metres, "dist_to_settlement_type", cell=1.0)
+    near = nearest_polygon(points, row_id, lon, lat, own, "__s_ring", "__s_order", metres, "dist_to_settlement_type")
     out = F.when(F.col("dist_to_settlement_type").isNull() | (F.col("dist_to_settlement_type") >= outside), "Out of a settlement").otherwise(F.col("__s_kind"))
     return near.withColumn("settlement_type", out).drop("__s_kind", "__s_ring", "__s_order")
 
