@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from atlasweave.functions import geo
+from atlasweave.functions.candidates import Candidates, match, match_part
 from atlasweave.functions.ids import code_of, unique_key
-from atlasweave.functions.similarity import CASCADES, cascade, match_merged, match_part
+from atlasweave.functions.similarity import cascade, match_merged
 from atlasweave.functions.text import preclean
+from atlasweave.operators.skew import joined_by_key
 from atlasweave.operators.spatial import near_pairs
 from atlasweave.operators.tables import joined_values, overlap
 from atlasweave.session import checkpointed
@@ -40,7 +42,8 @@ def best_in_blocks(names: DataFrame, candidates: DataFrame, kind: str = "rapid",
 
     Blocks are cut into groups on both sides, so that no block, however large, meets in one task.
     A pair of groups runs the cascade up to the partial stages; of a name's groups the earliest
-    stage wins, then the score, then the position. Groups that find none return their five best of
+    stage wins, then the score, then the position. Within a pair of groups a name is scored against those
+    candidates alone whose bounds, worked out for all of them at once, say that they could win. Groups that find none return their five best of
     each partial stage, which are merged to the five best of the block before the second ratio is
     taken. So this is the cascade over the whole block, however it is cut.
     """
@@ -48,15 +51,15 @@ def best_in_blocks(names: DataFrame, candidates: DataFrame, kind: str = "rapid",
     n_names = names.groupBy("block").agg(F.sequence(F.lit(0), F.ceil(F.count("*") / group).cast("int") - 1).alias("__g"))
     left = _in_groups(names.select("block", "clean"), group, "a", n_candidates).select("block", "clean", "a", F.explode("__g").alias("b"))
     right = _in_groups(candidates.select("block", "clean", "pos"), group, "b", n_names).select("block", "clean", "pos", "b", F.explode("__g").alias("a"))
-    match, order = CASCADES[kind], {m: i for i, m in enumerate(STAGES[kind])}
+    order = {m: i for i, m in enumerate(STAGES[kind])}
     left = left.join(n_candidates.select("block", (F.size("__g") > 1).alias("cut")), "block")
 
     def run(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
         theirs = theirs.sort_values(["pos", "clean"])
         position = dict(zip(theirs["clean"], theirs["pos"], strict=True))
-        listed, rows = theirs["clean"].tolist(), []
-        for block, clean, cut in zip(mine["block"], mine["clean"], mine["cut"], strict=True) if listed else ():
-            (name, score, method, result), top = match_part(clean, listed, kind) if cut else (match(clean, listed), [])
+        listed, rows = Candidates(theirs["clean"].tolist()), []
+        for block, clean, cut in zip(mine["block"], mine["clean"], mine["cut"], strict=True) if len(listed) else ():
+            (name, score, method, result), top = match_part(clean, listed, kind) if cut else (match(clean, listed, kind), [])
             stage = order[method] if result == "YES" else len(order)
             rows.append((block, clean, name, score, method, result, stage, position[name]))
             # candidates for a partial stage: rows without result
@@ -121,7 +124,7 @@ def block_match(
     found = same.unionByName(best_in_blocks(others, uuids, measure))
     coded = found.join(uuids.select("block", F.col("clean").alias("name"), "uuid"), ["block", "name"], "left")
     coded = coded.select(F.col("block").alias("__fb"), F.col("clean").alias("__fc"), *[F.col(c).alias(f"__{c}") for c in ("name", "score", "method", "result", "uuid")])
-    joined = own.join(coded, (F.col("__block") == F.col("__fb")) & (F.col("__clean") == F.col("__fc")), "left")
+    joined = joined_by_key(own, checkpointed(coded), {"__block": "__fb", "__clean": "__fc"})
     label = F.concat(F.lit(f"{level}/ " if level else ""), F.col("__method"))
     result = F.coalesce(F.col("__result"), F.lit("NO"))
     columns = (F.when(result == "YES", F.col("__name")).otherwise(F.col("__clean")), F.col("__name"), F.col("__uuid"), result, F.col("__score"), label)
@@ -164,7 +167,7 @@ def distance_match(
         found = found.unionByName(best_in_blocks(asked.join(crowded, "block", "left_semi"), candidates.join(crowded, "block", "left_semi"), measure))
     coded = found.join(candidates.select("block", F.col("clean").alias("name"), "uuid"), ["block", "name"], "left")
     coded = coded.select(F.col("block").alias("__fb"), F.col("clean").alias("__fc"), *[F.col(c).alias(f"__{c}") for c in ("name", "score", "method", "result", "uuid")])
-    joined = own.join(coded, (F.col("__block") == F.col("__fb")) & (F.col("__clean") == F.col("__fc")), "left")
+    joined = joined_by_key(own, checkpointed(coded), {"__block": "__fb", "__clean": "__fc"})
     result = F.coalesce(F.col("__result"), F.lit("NO"))
     radius = int(metres) if float(metres).is_integer() else metres
     # matched or not, the name is the best candidate's
@@ -199,7 +202,7 @@ def resolve_by_attribute(df: DataFrame, row_id: str, uuid: str, part: str, resul
     Tables that several steps read are checkpointed, so that nothing is worked out twice."""
     names = [f"__m{i}" for i in range(len(match_columns_))]
     first = match.groupBy(F.col(match_uuid).alias("__u")).agg(F.min_by(F.struct(*[F.col(c).alias(n) for c, n in zip(match_columns_, names, strict=True)]), match_order).alias("__s"))
-    joined = df.join(first.select("__u", "__s.*"), F.col(part) == F.col("__u"), "left")
+    joined = joined_by_key(df, first.select("__u", "__s.*"), {part: "__u"})
     scored = checkpointed(joined.withColumn("__n", overlap(columns, names)).drop("__u", *names))
     ids = scored.filter(F.col(result) == "YES").groupBy(F.col(row_id).alias("__i")).agg(F.count("*").alias("c")).filter("c > 1 and __i is not null").select("__i")
     top = scored.join(ids, F.col(row_id) == F.col("__i"), "left_semi").groupBy(F.col(row_id).alias("__i")).agg(F.max("__n").alias("__max"))
@@ -239,7 +242,7 @@ def match_points(match: DataFrame, match_uuid: str, point: tuple[str, str], orde
 
 
 def _with_distance(df: DataFrame, part: str, point: tuple[str, str], points: DataFrame, out: str) -> DataFrame:
-    joined = df.join(points, F.col(part) == F.col("__u"), "left")
+    joined = joined_by_key(df, points, {part: "__u"})
     return joined.withColumn(out, geo.rounded_km(F.col(point[0]), F.col(point[1]), F.col("__mlon"), F.col("__mlat"))).drop("__u", "__mlon", "__mlat")
 
 

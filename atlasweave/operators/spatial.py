@@ -10,10 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from atlasweave.functions import geo
+from atlasweave.functions.ids import fresh_names
 from atlasweave.functions.similarity import pair_measure
 from atlasweave.functions.text import preclean
 from atlasweave.operators.density import density_clusters
 from atlasweave.operators.nearest import METRES_PER_DEGREE, nearest_polygon, polygon_rings
+from atlasweave.operators.skew import joined_by_key
+from atlasweave.session import checkpointed
 
 
 def _cells(df: DataFrame, lon: str, lat: str, metres: float, around: bool) -> DataFrame:
@@ -42,10 +45,13 @@ def clusters(df: DataFrame, row_id: str, lon: str, lat: str, metres: float, out:
 
 def overlaps(df: DataFrame, row_id: str, name: str, lon: str, lat: str, metres: float = 1.0, out: str = "is_overlap") -> DataFrame:
     """YES on rows whose cluster has two rows at least and more than one value of ``name`` (null is one)."""
-    made = clusters(df, row_id, lon, lat, metres, "__c")
+    c, of, mixed, n = fresh_names([*df.columns, out], 4)
+    made = checkpointed(clusters(df, row_id, lon, lat, metres, c))
     value = F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit(""))
-    mixed = made.filter("__c > 0").groupBy("__c").agg((F.count_distinct(value) > 1).alias("__m"))
-    return made.join(mixed, "__c", "left").withColumn(out, F.when(F.col("__m"), "YES").otherwise("NO")).drop("__c", "__m")
+    # two values are told from one by the least and the greatest
+    kinds = made.filter(F.col(c) > 0).groupBy(F.col(c).alias(of)).agg((F.min(value) < F.max(value)).alias(mixed), F.count("*").alias(n))
+    flagged = joined_by_key(made, checkpointed(kinds), {c: of}, n)
+    return flagged.withColumn(out, F.when(F.col(mixed), "YES").otherwise("NO")).drop(c, of, mixed)
 
 
 def ring_distance(lon: Column, lat: Column, ring: Column) -> Column:
@@ -91,7 +97,7 @@ def check_by_admin(points: DataFrame, row_id: str, lon: str, lat: str, name: str
     # the measures run once for each pair of names, not for each row
     pairs = near.select(F.col(name).alias("__a"), F.col(f"{prefix}_clean").alias("__c")).filter("__a <> '' and __c <> ''").distinct()
     scored = pairs.withColumn("__yes", (pair_measure("seq_ratio")("__a", "__c") >= 75) | (pair_measure("seq_token_set_ratio")("__a", "__c") >= 98))
-    joined = near.join(scored, (F.col(name) == F.col("__a")) & (F.col(f"{prefix}_clean") == F.col("__c")), "left")
+    joined = joined_by_key(near, checkpointed(scored), {name: "__a", f"{prefix}_clean": "__c"})
     return joined.withColumn(f"{prefix}Match", F.when(F.col("__yes"), "YES").otherwise("NO")).drop("__a", "__c", "__yes", "__b_name", "__b_ring", "__b_order")
 
 

@@ -7,8 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from atlasweave.functions.ids import unique_key
+from atlasweave.functions.ids import fresh_names, unique_key
 from atlasweave.functions.text import transliterate
+from atlasweave.operators.skew import joined_by_key
 from atlasweave.session import checkpointed
 
 
@@ -50,13 +51,18 @@ def drop_where(df: DataFrame, keys: DataFrame, column: str, key: str | None = No
     return df.join(keys.select(F.col(key or column).alias("__k")).distinct(), F.col(column) == F.col("__k"), "left_anti")
 
 
+def _as_text(key: Column) -> Column:
+    """A key that is never null: null is unlike any text."""
+    return F.coalesce(F.concat(F.lit("="), key.cast("string")), F.lit(""))
+
+
 def with_group_size(df: DataFrame, columns: Sequence[str], out: str = "count") -> DataFrame:
-    """The number of rows with the same key. Counted before the join back, so a key with many rows
-    is aggregated where its rows are."""
-    key = unique_key(columns)
-    keyed = df.drop(out).withColumn("__k", key)
-    sizes = keyed.groupBy("__k").agg(F.count("*").alias(out))
-    return keyed.join(sizes.withColumnRenamed("__k", "__j"), F.col("__k").eqNullSafe(F.col("__j")), "left").drop("__k", "__j")
+    """The number of rows with the same key (nulls are a key). Counted before the join back, and rows of keys
+    with many stay where they are in it."""
+    k, j, n = fresh_names([*df.columns, out], 3)
+    keyed = df.drop(out).withColumn(k, _as_text(unique_key(columns)))
+    sizes = checkpointed(keyed.groupBy(F.col(k).alias(j)).agg(F.count("*").alias(out)).withColumn(n, F.col(out)))
+    return joined_by_key(keyed, sizes, {k: j}, n).drop(k, j)
 
 
 def with_duplicate_flag(df: DataFrame, column: str) -> DataFrame:
@@ -90,13 +96,10 @@ def top_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int
 def with_group_max(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
     """``out``: the greatest ``value`` of the rows with the same keys (nulls are a key), aggregated
     before it is joined back."""
-    names = [f"__k{i}" for i in range(len(keys))]
-    top = df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]).agg(F.max(value).alias("__max"))
-    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names, strict=True)]
-    condition = same[0]
-    for c in same[1:]:
-        condition = condition & c
-    return df.drop(out).join(top, condition).withColumn(out, F.col("__max")).drop("__max", *names)
+    k, j, n, top = fresh_names([*df.columns, out], 4)
+    keyed = df.withColumn(k, F.concat_ws("\x01", *[_as_text(F.col(f"`{c}`")) for c in keys]))
+    tops = checkpointed(keyed.groupBy(F.col(k).alias(j)).agg(F.max(value).alias(top), F.count("*").alias(n)))
+    return joined_by_key(keyed.drop(out) if out not in keys else keyed, tops, {k: j}, n).withColumn(out, F.col(top)).drop(k, j, top)
 
 
 def with_repeat_flag(df: DataFrame, column: str, order: str, out: str = "was_dupe") -> DataFrame:

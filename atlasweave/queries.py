@@ -613,6 +613,20 @@ def dbscan_clusters(spark, sf):
     return spatial.clusters(c, "k", "lon", "lat", 60, "cluster").select("k", "cluster")
 
 
+DENSE_SQL = f"""WITH RECURSIVE p AS ({CUSTOMER_POINTS}), e AS (SELECT a.k AS u, b.k AS v FROM p a, p b WHERE 1000 * {PAIR_KM} <= 150),
+core AS (SELECT u AS k FROM e GROUP BY u HAVING count(*) >= 4), ce AS (SELECT u, v FROM e WHERE u IN (SELECT k FROM core) AND v IN (SELECT k FROM core)),
+reach AS (SELECT k, k AS r FROM core UNION SELECT reach.k, ce.v FROM reach JOIN ce ON ce.u = reach.r),
+root AS (SELECT k, min(r) AS root FROM reach GROUP BY k), num AS (SELECT k, dense_rank() OVER (ORDER BY root) AS c FROM root),
+near AS (SELECT u AS k, min(c) AS c FROM e JOIN num ON num.k = e.v GROUP BY u)
+SELECT p.k, CAST(coalesce(c, -row_number() OVER (PARTITION BY c IS NULL ORDER BY p.k)) AS BIGINT) AS cluster FROM p LEFT JOIN near ON near.k = p.k"""
+
+
+@query(DENSE_SQL)
+def dbscan_min_samples(spark, sf):
+    c, _ = _points(spark, sf)
+    return spatial.clusters(c, "k", "lon", "lat", 150, "cluster", 4).select("k", "cluster")
+
+
 @query(f"""WITH c AS (SELECT x.k, x.cluster, n.c_mktsegment AS seg FROM ({CLUSTER_SQL}) x JOIN customer n ON c_custkey = x.k), m AS (SELECT cluster, count(DISTINCT seg) > 1 AS many FROM c WHERE cluster > 0 GROUP BY 1)
 SELECT k, CASE WHEN many THEN 'YES' ELSE 'NO' END AS is_overlap FROM c LEFT JOIN m ON m.cluster = c.cluster""")
 def overlap_flag(spark, sf):
@@ -678,6 +692,28 @@ def dist_resolve(spark, sf):
     return linkage.resolve_by_distance(placed, "id", "part", "result", ("lon", "lat"), places, "u", ("plon", "plat"), "pos", "row", 5000).select("row", "id", "result")
 
 
+@query(f"""SELECT row, round_even(100 * {PLACE_KM}, 0) / 100 AS km FROM ({PLACED}) m LEFT JOIN ({FIRST_PLACES}) r ON r.u = m.part""")
+def match_distance(spark, sf):
+    placed = _sql(spark, sf, PLACED, "lineitem").withColumns({c: F.col(c).cast("double") for c in ("lat", "lon")})
+    places = _sql(spark, sf, PLACES, "part").withColumns({c: F.col(c).cast("double") for c in ("plat", "plon")})
+    return linkage.match_distance(placed, "part", ("lon", "lat"), places, "u", ("plon", "plat"), "pos", "km").select("row", "km")
+
+
+COMPOSITE = f"SELECT row, id, result, CASE WHEN row % 4 = 0 THEN part ELSE concat(part, '/', CAST(CAST(part AS INT) * 7 % 160 AS STRING), '/', CAST(CAST(part AS INT) * 11 % 150 AS STRING)) END AS uuid, lat, lon FROM ({PLACED})"
+
+
+@query(f"""WITH m AS ({COMPOSITE}), g AS (SELECT uuid, arg_min(lat, row) AS lat, arg_min(lon, row) AS lon FROM m WHERE result = 'YES' AND contains(uuid, '/') GROUP BY 1),
+p AS (SELECT uuid, lat, lon, unnest(string_split(uuid, '/')) AS part, generate_subscripts(string_split(uuid, '/'), 1) AS i FROM g),
+d AS (SELECT uuid, part, round_even(100 * {PLACE_KM}, 0) / 100 AS d, i FROM p LEFT JOIN ({FIRST_PLACES}) r ON r.u = p.part),
+b AS (SELECT uuid, part, d, row_number() OVER (PARTITION BY uuid ORDER BY d NULLS LAST, i) AS n FROM d)
+SELECT row, CASE WHEN b.uuid IS NULL THEN m.uuid WHEN d * 1000 <= 20000 THEN b.part END AS uuid, CASE WHEN b.uuid IS NOT NULL AND NOT coalesce(d * 1000 <= 20000, false) THEN 'NO' ELSE result END AS result
+FROM m LEFT JOIN b ON b.uuid = m.uuid AND n = 1 AND m.result = 'YES'""")
+def composite_by_distance(spark, sf):
+    placed = _sql(spark, sf, COMPOSITE, "lineitem").withColumns({c: F.col(c).cast("double") for c in ("lat", "lon")})
+    places = _sql(spark, sf, PLACES, "part").withColumns({c: F.col(c).cast("double") for c in ("plat", "plon")})
+    return linkage.resolve_composite_by_distance(placed, "uuid", "result", ("lon", "lat"), places, "u", ("plon", "plat"), "pos", "row", 20_000).select("row", "uuid", "result")
+
+
 @query(f"""WITH m AS ({MATCHES}) SELECT pos, CASE WHEN u IN (SELECT part FROM m WHERE result = 'YES' AND score >= 99) THEN 'YES' ELSE 'NO' END AS ismatch FROM ({RECORDS})""")
 def ismatch_flag(spark, sf):
     hits = _sql(spark, sf, MATCHES, "lineitem").filter("score >= 99")
@@ -737,10 +773,14 @@ def _shared(spark: SparkSession) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/files-{uuid.uuid4().hex}"
 
 
-@query("SELECT * FROM (VALUES ('moz', 1, 'g3_prov'), ('moz', 2, 'g3_dist'), ('moz', 3, 'g3_posto'), ('cod', 2, 'g3_ant'), ('cod', 4, 'g3_as'), ('nga', 3, 'g3_ward')) t(iso, lvl, label)")
+@query("""WITH t(iso, lvl, label) AS (VALUES ('moz', 1, 'g3_prov'), ('moz', 2, 'g3_dist'), ('moz', 3, 'g3_posto'), ('cod', 2, 'g3_ant'), ('cod', 4, 'g3_as'), ('nga', 3, 'g3_ward')),
+n AS (SELECT n_nationkey AS k, CASE n_nationkey % 3 WHEN 0 THEN 'moz' WHEN 1 THEN 'cod' ELSE 'nga' END AS iso, CAST(n_regionkey % 4 + 1 AS INT) AS lvl FROM nation)
+SELECT k, n.iso, n.lvl, label FROM n JOIN t ON t.iso = n.iso AND t.lvl = n.lvl""")
 def admin_labels(spark, sf):
-    rows = [(i, n, dictionaries.admin_label(i.upper(), n)) for i, n in (("moz", 1), ("moz", 2), ("moz", 3), ("cod", 2), ("cod", 4), ("nga", 3))]
-    return spark.createDataFrame(rows, "iso string, lvl int, label string")
+    """Labels of the countries and levels that nations ask for."""
+    asked = _sql(spark, sf, "SELECT n_nationkey AS k, CASE n_nationkey % 3 WHEN 0 THEN 'moz' WHEN 1 THEN 'cod' ELSE 'nga' END AS iso, CAST(n_regionkey % 4 + 1 AS INT) AS lvl FROM nation", "nation")
+    known = [(i, n, dictionaries.admin_label(i.upper(), n)) for i, n in (("moz", 1), ("moz", 2), ("moz", 3), ("cod", 2), ("cod", 4), ("nga", 3))]
+    return asked.join(F.broadcast(spark.createDataFrame(known, "iso string, lvl int, label string")), ["iso", "lvl"]).select("k", "iso", "lvl", "label")
 
 
 @query()
