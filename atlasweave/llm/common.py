@@ -8,12 +8,13 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from atlasweave.functions.ids import fresh_names
 from atlasweave.session import checkpointed, ensure_checkpoint_dir
 
-__all__ = ["TextBlocks", "checkpointed", "fresh_names", "no_cycle_collection", "read_table", "resident", "shared_path", "split_of", "written"]
+__all__ = ["TextBlocks", "checkpointed", "fresh_names", "no_cycle_collection", "own_key", "read_table", "resident", "sampled", "shared_path", "split_of", "written"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,19 +34,38 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def fresh_names(columns: Iterable[str], n: int) -> list[str]:
-    """``n`` names that no column has, in any case, and that need no quotes."""
-    start, taken = "__", [c.lower() for c in columns]
-    while any(c.startswith(start) for c in taken):
-        start += "_"
-    return [f"{start}x{i}" for i in range(n)]
-
-
 def split_of(doc_id: Column) -> Column:
     """Fold of a document: crc32 of its id as text, modulo 3 (1 is held out)."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 3
 
 
+def own_key(key: str, results: str) -> None:
+    """Raises if a key is named like one of the columns (a schema string) that a result has besides."""
+    if key.lower() in {x.split()[0].lower() for x in results.split(", ")}:
+        raise ValueError(f"the result has a column {key} of its own: rename the key")
+
+
+def sampled(rows: DataFrame, group: str, k: int) -> DataFrame:
+    """At most ``k`` rows of each group: its different rows with the least hashes of all their columns, so
+    that rows that share an id are chosen each by its own content, and copies of these only where room is left.
+
+    Different rows are counted by sketch, and about four times as many as are wanted are looked at, copies
+    as one; so no group is gathered, whatever it holds. There should be few groups.
+    """
+    own, of, rows_, copies, rank, before, kinds = fresh_names(rows.columns, 7)
+    names = [F.col(f"`{c}`") for c in rows.columns]
+    hashed = rows.withColumn(own, F.shiftrightunsigned(F.xxhash64(*names), 2))
+    counts = hashed.groupBy(F.col(f"`{group}`").alias(of)).agg(F.approx_count_distinct(own).alias(kinds))
+    share = F.least(F.lit(1.0), (4 * k + 64) / F.col(kinds))
+    near = hashed.join(F.broadcast(counts), F.col(f"`{group}`") == F.col(of)).filter(F.col(own) <= share * (1 << 62))
+    single = near.groupBy(of, own).agg(F.min(F.struct(*names)).alias(rows_), (F.count("*") - 1).alias(copies))
+    each = Window.partitionBy(of)
+    earlier = F.coalesce(F.sum(copies).over(each.orderBy(own).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = single.withColumns({rank: F.row_number().over(each.orderBy(own)), before: earlier, kinds: F.count("*").over(each)}).filter(F.col(rank) <= k)
+    again = F.greatest(F.lit(0).cast("long"), F.least(F.col(copies), k - F.col(kinds) - F.col(before)))
+    return placed.withColumn(copies, F.explode(F.sequence(F.lit(0).cast("long"), again))).select(f"{rows_}.*")
+
+
 @contextlib.contextmanager
 def no_cycle_collection() -> Iterator[None]:
     """Python's cycle collector off: walking millions of short strings again and again costs more

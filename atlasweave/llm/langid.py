@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atlasweave.llm.common import TextBlocks, read_table, resident, split_of
+from atlasweave.llm.common import TextBlocks, read_table, resident, sampled, split_of
 
 LETTER = re.compile(r"[^\W\d_]")
 UNDETERMINED = "und"
@@ -163,16 +163,13 @@ def worker_trees(key: str, shared) -> ContextTrees:
 
 
 def train(labelled: DataFrame, order: int = 4, per_language: int = 400, longest: int = 65_536, text: str = "text", lang: str = "lang", key: str = "doc_id") -> ContextTrees:
-    """Trees from about ``per_language`` whole texts of each language, none of over ``longest`` bytes:
-    those with the least hashes of their keys, of a share fixed by the language's count. Null
-    languages and null or empty texts teach nothing."""
+    """Trees from at most ``per_language`` whole texts of each language, none of over ``longest`` bytes: of
+    the different rows (key, language, text) those with the least hashes, copies only where room is left; rows
+    that share a key, or have none, are chosen each by its text. Null languages and null or empty texts teach nothing."""
     usable = labelled.filter(F.col(lang).isNotNull() & F.octet_length(F.col(text)).between(1, longest))
-    hashed = usable.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(key).alias("key"), F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 30)).alias("h"))
-    counts = {r[0]: r[1] for r in hashed.groupBy("lang").count().collect()}
-    share = F.create_map(*[F.lit(x) for lang_, n in sorted(counts.items()) for x in (lang_, min(1 << 30, per_language * (1 << 30) // n + 1))]) if counts else None
-    rows = hashed.filter(F.col("h") < share[F.col("lang")]).collect() if counts else []
+    rows = sampled(usable.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(key).alias("key")), "lang", per_language).collect()
     samples: dict[str, list[str]] = {}
-    for r in sorted(rows, key=lambda r: (r["lang"], r["h"], str(r["key"]), r["text"])):
+    for r in sorted(rows, key=lambda r: (r["lang"], r["text"], str(r["key"]))):
         samples.setdefault(r["lang"], []).append(r["text"])
     return ContextTrees(samples, order)
 

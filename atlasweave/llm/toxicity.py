@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atlasweave.llm.common import TextBlocks, fresh_names, no_cycle_collection, read_table, resident, split_of
+from atlasweave.llm.common import fresh_names, no_cycle_collection, read_table, resident, sampled, split_of, TextBlocks
 
 WORD = re.compile(r"\w+")
 WINDOW = 64
@@ -302,16 +302,14 @@ def _logistic(z: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = 1500, longest: int = 65_536) -> list:
-    """About ``per_class`` whole texts of each label, none of over ``longest`` bytes: those with the
-    least hashes of their ids. Null labels, ids and texts teach nothing; a document labelled more
-    than once counts as toxic if any label says so."""
+    """At most ``per_class`` whole texts of each label, none of over ``longest`` bytes: of that many ids, those
+    with the least hashes, and of their different documents again. Null labels, ids and texts teach nothing; an id
+    labelled more than once counts as toxic if any label says so."""
     own = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    hashed = own.withColumn("h", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)))
-    counts = {r[0]: r[1] for r in own.groupBy((F.col("toxic") > 0).alias("t")).count().collect()}
-    share = {t: min(1 << 30, per_class * (1 << 30) // max(1, n) + 1) for t, n in counts.items()}
-    chosen = hashed.filter(F.col("h") < F.when(F.col("toxic") > 0, share.get(True, 0)).otherwise(share.get(False, 0)))
+    chosen = sampled(own.withColumn("class", F.col("toxic") > 0), "class", per_class)
     usable = docs.select("doc_id", "text").filter(F.octet_length("text") <= longest)
-    return usable.join(F.broadcast(chosen.select("doc_id", "toxic")), "doc_id").collect()  # at most about 2 * per_class rows
+    # chosen has 2 * per_class rows at most, and so has the result, however many documents share an id
+    return sampled(usable.join(F.broadcast(chosen), "doc_id"), "class", per_class).select("doc_id", "text", "toxic").collect()
 
 
 def worker_model(key: str, shared) -> ToxicModel:
