@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atlasweave.llm.common import TextBlocks, read_table, resident
+from atlasweave.llm.common import own_key, read_table, resident, TextBlocks
 from atlasweave.llm.passages import Block, GramIndex, banded, best_spans, normal, normal_block, regions
 
 HIT = "item_id long, start int, end int, edits int, matched double"
@@ -166,6 +166,7 @@ def find_passages(
     columns are ignored. The items are gathered in blocks of ``block_chars`` characters, each
     broadcast in turn, so the benchmark may be of any size.
     """
+    own_key(key, HIT)
     spark, kind = docs.sparkSession, docs.schema[key].dataType.simpleString()
     names = [key, *(x.split()[0] for x in HIT.split(", "))]
 

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from atlasweave.llm.common import TextBlocks, read_table, resident
+from atlasweave.llm.common import own_key, read_table, resident, TextBlocks
 from atlasweave.llm.passages import Block, GramIndex, banded, best_spans, gram_keys, local, normal, normal_block, regions, unedited
 
 _AS_IS = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
@@ -231,16 +231,10 @@ class BodyIndex:
             for least, most, first, last, _ in runs:
                 yield int(key[own[0]] // len(self.names)), int(key[own[0]] % len(self.names)), least, most, first, last
 
-    def search(self, block: Block, whole: dict[int, list[Hit]] | None = None) -> dict[int, list[Hit]]:
-        """Parts of ``least`` characters and more; ``whole``: notices found, whose places are not looked at
-        again for bodies of which no more can be there, or of the same license little more."""
+    def search(self, block: Block) -> dict[int, list[Hit]]:
+        """Parts of ``least`` characters and more."""
         out: dict[int, list[Hit]] = {}
         for text, p, lo, hi, first, last in self.runs(block):
-            if whole and text in whole:
-                at = int(block.places[min(int(block.starts[text]) + max(0, lo + first), len(block.places) - 1)])
-                most = last + self.index.q - first + 2 * self.window
-                if any(w[2] <= at < w[3] and (2 * most <= 3 * w[5] if w[0] == self.names[p] else w[4] == 0 and most <= w[5]) for w in whole[text]):
-                    continue
             codes, pattern = block.codes[block.starts[text] : block.starts[text + 1]], self.index.patterns[p]
             a, b, margin = first, last + self.index.q, 48
             while True:  # on either side until the alignment ends by itself
@@ -282,7 +276,7 @@ class Scanner:
 
     def search(self, block: Block) -> dict[int, list[Hit]]:
         whole = self.whole.search(block)
-        for text, parts in (self.bodies.search(block, whole) if self.bodies.names else {}).items():
+        for text, parts in (self.bodies.search(block) if self.bodies.names else {}).items():
             own = whole.setdefault(text, [])
             # a part that says little more than a notice in it says nothing
             more = [p for p in parts if not any(p[0] == w[0] and p[2] < w[3] and w[2] < p[3] and 2 * p[5] <= 3 * w[5] for w in own)]
@@ -316,12 +310,15 @@ def scan_licenses(
     of the template. Templates of up to NOTICE characters are reported as wholes, from a coverage of
     ``coverage`` on; all of those are found. Longer ones are reported from ``least`` matched characters
     on; those that share body_q + body_window - 1 characters in a row with the text are found. Of matches that
-    overlap, those are dropped that another one covers with no fewer characters and fewer edits.
+    overlap, those are dropped that another one covers with no fewer characters and fewer edits. Of a body and a
+    notice of the same license at one place only the notice is reported if the body's part has no more than one
+    and a half times its characters; a notice within a part of half the body or more of another license is dropped.
 
     Null and empty texts match nothing; texts may be of any length; repeated rows are reported each; an
     empty table gives an empty result; other columns are ignored, whatever their names. Templates too
     short for a q-gram to survive the edits are aligned with every text in full; empty ones match nothing.
     """
+    own_key(key, FOUND)
     kind = docs.schema[key].dataType.simpleString()
     index = Scanner(TEMPLATES if templates is None else templates, q, window, coverage, body_q, body_window, least)
     shared, name = docs.sparkSession.sparkContext.broadcast(pickle.dumps(index)), uuid.uuid4().hex
