@@ -98,6 +98,18 @@ def match_columns(name: str) -> list[str]:
     return [f"{name}_{x}" for x in ("updated", "match_name", "match_uuid", "match_result", "match_score", "match_type")]
 
 
+def match_index(match: DataFrame, match_name: str, match_order: str, match_levels: Sequence[str] = (), kind: str | None = None) -> DataFrame:
+    """(block, clean, uuid, pos): what a match table is to the tables that are matched with it, one row for each clean name of
+    a block. Whoever matches more than one table with it should store this and use :func:`matched_with`."""
+    table = with_match_code(match, match_name, match_levels, kind)
+    theirs = table.select(
+        (unique_key(match_levels).cast("string") if match_levels else F.lit("")).alias("block"), F.col(f"{match_name}_cleaned").alias("clean"), F.col(f"{match_name}_uuid").alias("uuid"), F.col(match_order).cast("long").alias("pos")
+    ).filter("clean <> '' and block is not null")
+    # one row a uuid before they are gathered: a name that many records have is one entry
+    single = theirs.groupBy("block", "clean", "uuid").agg(F.min("pos").alias("pos"))
+    return single.groupBy("block", "clean").agg(joined_values(F.col("uuid"), F.col("pos")).alias("uuid"), F.min("pos").alias("pos"))
+
+
 def block_match(
     df: DataFrame, name: str, match: DataFrame, match_name: str, match_order: str, level: str = "", levels: Sequence[str] = (), match_levels: Sequence[str] = (), kind: str | None = None, measure: str = "rapid"
 ) -> DataFrame:
@@ -107,16 +119,13 @@ def block_match(
     once a block. Exactly equal names are found by a native join; only the others are scored. Rows
     whose block has no candidate get result NO with no name. Empty candidates aren't matched.
     """
+    return matched_with(df, name, checkpointed(match_index(match, match_name, match_order, match_levels, kind)), level, levels, measure)
+
+
+def matched_with(df: DataFrame, name: str, uuids: DataFrame, level: str = "", levels: Sequence[str] = (), measure: str = "rapid") -> DataFrame:
+    """:func:`block_match` with a stored :func:`match_index`."""
     df = df.drop(*match_columns(name))
     own = df.withColumn("__clean", preclean(F.col(name))).withColumn("__block", unique_key(levels).cast("string") if levels else F.lit(""))
-    table = with_match_code(match, match_name, match_levels, kind)
-    theirs = table.select(
-        (unique_key(match_levels).cast("string") if match_levels else F.lit("")).alias("block"), F.col(f"{match_name}_cleaned").alias("clean"), F.col(f"{match_name}_uuid").alias("uuid"), F.col(match_order).cast("long").alias("pos")
-    ).filter("clean <> '' and block is not null")
-    # one row a uuid before they are gathered: a name that many records have is one entry
-    single = theirs.groupBy("block", "clean", "uuid").agg(F.min("pos").alias("pos"))
-    uuids = single.groupBy("block", "clean").agg(joined_values(F.col("uuid"), F.col("pos")).alias("uuid"), F.min("pos").alias("pos"))
-    uuids = checkpointed(uuids)
     names = checkpointed(own.filter("__block is not null").select(F.col("__block").alias("block"), F.col("__clean").alias("clean")).distinct())
     equal = names.join(uuids.select("block", "clean"), ["block", "clean"], "left_semi")
     same = equal.select("block", "clean", F.col("clean").alias("name"), F.lit(100.0).alias("score"), F.lit("identical").alias("method"), F.lit("YES").alias("result"))

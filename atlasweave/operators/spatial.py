@@ -6,6 +6,8 @@ also into the neighbouring cells, and only points that share a cell are measured
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from atlasweave.functions.ids import fresh_names
 from atlasweave.functions.similarity import pair_measure
 from atlasweave.functions.text import preclean
 from atlasweave.operators.density import density_clusters
-from atlasweave.operators.nearest import METRES_PER_DEGREE, nearest_polygon, polygon_rings
+from atlasweave.operators.nearest import METRES_PER_DEGREE, SPOTS, nearest_polygon, polygon_rings
 from atlasweave.operators.skew import joined_by_key
 from atlasweave.session import checkpointed
 
@@ -113,21 +115,50 @@ def check_by_settlement(points: DataFrame, row_id: str, lon: str, lat: str, sett
 def border_distance(points: DataFrame, lon: str, lat: str, name: str, asked: Column, boundary: DataFrame, ring: str, order: str, boundary_name: str, out: str) -> DataFrame:
     """Km from each point for which ``asked`` holds to the nearest vertex of the boundary of its own
     ``name``, with all its parts and holes (rows of one clean name are parts, taken by ``order``);
-    nearest in degrees. Null elsewhere."""
-    clean = boundary.select(preclean(F.col(boundary_name)).alias("__n"), F.flatten(polygon_rings(boundary, ring)).alias("__v"), F.col(order).alias("__o")).filter("__v is not null")
-    whole = clean.groupBy("__n").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("__o", "__v"))), lambda r: r["__v"])).alias("__v"))
-    joined = points.join(whole, F.col(name) == F.col("__n"), "left")
-    x, y = F.col(lon), F.col(lat)
-
-    def nearer(best: Column, p: Column) -> Column:
-        d = (p["x"] - x) * (p["x"] - x) + (p["y"] - y) * (p["y"] - y)
-        here = F.struct(d.alias("d"), p["x"].alias("x"), p["y"].alias("y"))
-        return F.when(best["d"].isNull() | (d < best["d"]), here).otherwise(best)
+    nearest in degrees, of equals the first. Null elsewhere.
 
-    none = F.lit(None).cast("struct<d:double,x:double,y:double>")
-    vertex = F.aggregate(F.col("__v"), F.struct(F.lit(None).cast("double").alias("d"), F.lit(None).cast("double").alias("x"), F.lit(None).cast("double").alias("y")), nearer)
-    made = joined.withColumn("__p", F.when(asked & x.isNotNull() & y.isNotNull() & (x != 0) & (y != 0), vertex).otherwise(none))
-    return made.withColumn(out, geo.rounded_km(x, y, F.col("__p.x"), F.col("__p.y"))).drop("__n", "__v", "__p")
+    Vertices stay apart from the rows: different spots of a name meet its vertices once, in parts of bounded
+    size if they are many, and rows get the vertex found.
+    """
+    x, y = F.col(lon), F.col(lat)
+    own, px, py, n, k, vx, vy = fresh_names([*points.columns, out], 7)
+    where = asked & geo.is_point(x, y) & (x != 0) & (y != 0)
+    keyed = points.withColumns({own: F.when(where, F.col(name)), px: x.cast("double"), py: y.cast("double")})
+    spots = keyed.filter(F.col(own).isNotNull()).groupBy(F.col(own).alias("name"), F.col(px).alias("lon"), F.col(py).alias("lat")).agg(F.count("*").alias("n"))
+    spots = checkpointed(spots)
+    axis = lambda a: F.transform(F.flatten(polygon_rings(boundary, ring)), lambda p: p[a].cast("double"))
+    clean = boundary.select(preclean(F.col(boundary_name)).alias("name"), axis("x").alias("x"), axis("y").alias("y"), F.col(order).alias("o")).filter("x is not null")
+    counts = spots.groupBy("name").agg(F.ceil(F.count("*") / SPOTS).cast("int").alias("c"))
+    left = spots.join(counts, "name").withColumn("part", F.pmod(F.xxhash64("lon", "lat"), F.col("c")).cast("int")).drop("c")
+    right = clean.join(counts, "name").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("c") - 1))).drop("c")
+    found = left.groupBy("name", "part").cogroup(right.groupBy("name", "part")).applyInPandas(_nearest_vertex, "name string, lon double, lat double, n long, x double, y double")
+    made = checkpointed(found.select(F.col("name").alias(k), F.col("lon").alias(f"{k}x"), F.col("lat").alias(f"{k}y"), F.col("n").alias(n), F.col("x").alias(vx), F.col("y").alias(vy)))
+    joined = joined_by_key(keyed, made, {own: k, px: f"{k}x", py: f"{k}y"}, n)
+    return joined.withColumn(out, geo.rounded_km(x, y, F.col(vx), F.col(vy))).drop(own, px, py, k, f"{k}x", f"{k}y", vx, vy)
+
+
+def _nearest_vertex(spots: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
+    """Each spot of one name with the first of the vertices nearest in degrees. Vertices lie in order of their
+    x, and are looked at outward from the spot's until they are farther by that alone."""
+    parts = parts.sort_values("o", na_position="first")
+    x, y = (np.concatenate([np.zeros(0), *map(np.asarray, parts[c])]).astype(float) for c in ("x", "y"))
+    order = np.argsort(x, kind="stable")
+    sx, sy, rows = x[order], y[order], []
+    for a, b in zip(spots["lon"].tolist(), spots["lat"].tolist(), strict=True):
+        reach, at, best = 64, int(np.searchsorted(sx, a)), -1
+        while len(sx):
+            lo, hi = max(0, at - reach), min(len(sx), at + reach)
+            d = (sx[lo:hi] - a) ** 2 + (sy[lo:hi] - b) ** 2
+            least = d.min()
+            # nothing outside can be as near
+            if (lo == 0 or (a - sx[lo]) ** 2 > least) and (hi == len(sx) or (sx[hi - 1] - a) ** 2 > least):
+                best = int(order[lo:hi][d == least].min())
+                break
+            reach *= 4
+        rows.append((x[best], y[best]) if best >= 0 else (None, None))
+    out = spots[["name", "lon", "lat", "n"]].copy()
+    out["x"], out["y"] = [r[0] for r in rows], [r[1] for r in rows]
+    return out
 
 
 def mask_without_location(df: DataFrame, lon: str, lat: str, to_null: tuple[str, ...], to_na: tuple[str, ...], to_minus: tuple[str, ...]) -> DataFrame:
