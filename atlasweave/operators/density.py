@@ -135,17 +135,20 @@ def density_clusters(df: DataFrame, row_id: str, lon: str, lat: str, metres: flo
     spots = spots.withColumn("row", _row(F.col("lat"), step)).withColumn("col", _column(F.col("lon"), _columns(F.col("row"), step)))
     spots = checkpointed(spots)
     cells = spots.groupBy("row", "col").agg(F.sum("n").alias("rows"))
-    thick = cells.filter(F.col("rows") >= min_samples).select("row", "col")
-    thin = spots.join(cells.filter(F.col("rows") < min_samples).select("row", "col"), ["row", "col"])
     # spots of thin cells, at most min_samples - 1 a cell, and all spots around
+    thin = spots.join(cells.filter(F.col("rows") < min_samples).select("row", "col"), ["row", "col"])
     near = _around(cells.filter(F.col("rows") < min_samples), metres, step)
-    others = spots.select(F.col("row").alias("row2"), F.col("col").alias("col2"), F.col("lon").alias("lon2"), F.col("lat").alias("lat2"), F.col("n").alias("n2"))
     close = geo.haversine_km(F.col("lon"), F.col("lat"), F.col("lon2"), F.col("lat2")) <= km
-    around = thin.join(near, ["row", "col"]).join(others, ["row2", "col2"]).filter(close)
-    dense = around.groupBy("lon", "lat").agg(F.sum("n2").alias("rows")).filter(F.col("rows") >= min_samples).select("lon", "lat")
-    core = checkpointed(spots.join(thick, ["row", "col"], "left_semi").unionByName(spots.join(dense, ["lon", "lat"], "left_semi").join(thick, ["row", "col"], "left_anti").select(*spots.columns)))
+    if min_samples > 2:
+        others = spots.select(F.col("row").alias("row2"), F.col("col").alias("col2"), F.col("lon").alias("lon2"), F.col("lat").alias("lat2"), F.col("n").alias("n2"))
+        around = thin.join(near, ["row", "col"]).join(others, ["row2", "col2"]).filter(close)
+        dense = around.groupBy("lon", "lat").agg(F.sum("n2").alias("rows")).filter(F.col("rows") >= min_samples).select("lon", "lat")
+        thick = cells.filter(F.col("rows") >= min_samples).select("row", "col")
+        core = checkpointed(spots.join(thick, ["row", "col"], "left_semi").unionByName(thin.join(dense, ["lon", "lat"], "left_semi").select(*spots.columns)))
+    else:  # any two rows near each other are core: a spot alone is a cluster of too few rows
+        core = spots
     # a cell is known by its first core row
-    nodes = checkpointed(core.groupBy("row", "col").agg(F.min("first").alias("cell"), F.count("*").alias("na")))
+    nodes = checkpointed(core.groupBy("row", "col").agg(F.min("first").alias("cell"), F.count("*").alias("na"), F.sum("n").alias("rows")))
     count = _columns(F.col("row"), step)
     place = F.pmod(F.col("lon") + 180, F.lit(360.0)) / 360 * count - F.col("col")
     inside = lambda x: F.greatest(F.lit(0.0), F.least(F.lit(1 - 1e-12), x))
@@ -153,9 +156,10 @@ def density_clusters(df: DataFrame, row_id: str, lon: str, lat: str, metres: flo
     names = nodes.select(F.col("row").alias("row2"), F.col("col").alias("col2"), F.col("cell").alias("b"), F.col("na").alias("nb"))
     asked = checkpointed(_around(nodes, metres, step).join(nodes, ["row", "col"]).join(names, ["row2", "col2"]).select(F.col("cell").alias("a"), "b", "na", "nb").filter("a < b"))
     roots = components(_links(located, asked, metres).select(F.col("a").alias("u"), F.col("b").alias("v")))
-    named = nodes.join(roots, F.col("cell") == F.col("node"), "left").select("row", "col", F.coalesce("root", "cell").alias("root"))
-    numbers = with_row_id(named.select("root").distinct(), ["root"], "k").select("root", (F.col("k") + 1).alias("id"))
-    labelled = checkpointed(core.join(named.join(numbers, "root"), ["row", "col"]).select("lon", "lat", "n", "row", "col", F.col("id").alias("c")))
+    named = nodes.join(roots, F.col("cell") == F.col("node"), "left").select("row", "col", "rows", F.coalesce("root", "cell").alias("root"))
+    enough = named.groupBy("root").agg(F.sum("rows").alias("rows")).filter(F.col("rows") >= (1 if min_samples > 2 else min_samples))
+    numbers = with_row_id(enough.select("root"), ["root"], "k").select("root", (F.col("k") + 1).alias("id"))
+    labelled = checkpointed(core.join(named.drop("rows").join(numbers, "root"), ["row", "col"]).select("lon", "lat", "n", "row", "col", F.col("id").alias("c")))
     # the others are in thin cells: near a core spot, or of no cluster
     border = thin.join(labelled.select("lon", "lat"), ["lon", "lat"], "left_anti").join(near, ["row", "col"])
     reached = border.join(labelled.select(F.col("row").alias("row2"), F.col("col").alias("col2"), F.col("lon").alias("lon2"), F.col("lat").alias("lat2"), "c"), ["row2", "col2"]).filter(close)
