@@ -12,6 +12,7 @@ import struct
 from collections.abc import Mapping, Sequence
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -111,7 +112,14 @@ def load_polygons(spark: SparkSession, path: str) -> DataFrame:
     df = load_table(spark, path)
     if "ring" in df.columns or dict(df.dtypes).get("geometry") != "binary":
         return df
-    return df.withColumn("ring", F.udf(polygon_parts, "array<array<array<struct<x:double,y:double>>>>")("geometry"))
+
+    @F.arrow_udf("array<array<array<struct<x:double,y:double>>>>")
+    def parts(geometries: pa.Array) -> pa.Array:
+        made = [polygon_parts(g) for g in geometries.to_pylist()]
+        kind = pa.list_(pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))))
+        return pa.array([p and [[[{"x": x, "y": y} for x, y in ring] for ring in rings] for rings in p] for p in made], kind)
+
+    return df.withColumn("ring", parts("geometry"))
 
 
 def load_table(spark: SparkSession, path: str, lat: str = "", long: str = "", null: str | None = NULL_TOKEN, strip_headers: bool = True, schema: str | None = None) -> DataFrame:

@@ -104,7 +104,7 @@ def test_equal_to_plain(spark, block):
     for k, _, t in docs:
         expected[k].append(model.scores(t))
     df = spark.createDataFrame(docs, "key long, learned boolean, text string").repartition(3).selectExpr("*", "'x' AS shard", "1 AS block", "2 AS n_tokens")
-    close(pitman.language_model_scores(df, "learned", key="key", block=block).collect(), expected)
+    close(pitman.language_model_scores(df, "learned", key="key", block=block, shard=block).collect(), expected)
 
 
 def test_model_is_a_distribution():
