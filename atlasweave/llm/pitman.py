@@ -14,6 +14,7 @@ counts. Documents are scored in the shards, and the shards' sums meet by block o
 from __future__ import annotations
 
 import math
+import pickle
 import uuid
 from collections.abc import Iterator
 
@@ -21,21 +22,22 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atlasweave.llm.common import no_cycle_collection, read_table, shared_path, written
 
-#: Tokens of a block of documents, and, about, of a shard; one longer text is a block by itself.
-BLOCK = 4_000_000
+#: Tokens of a block of documents (one longer text is a block by itself) and, about, of a shard.
+BLOCK, SHARD = 4_000_000, 2_200_000
 #: Documents of a block.
 MOST_DOCS = 30_000
 #: Dishes up to this many customers are seated by exact weights, others by their limit.
 EXACT = 64
 #: The end of a text, which is also what stands before its first word. No word is empty.
 END = b""
-ROWS = "shard int, block long, u array<long>, f array<int>, w array<long>, n array<int>, m array<int>, d array<short>"
+ROWS = "shard int, block long, data binary, n array<int>"
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -63,6 +65,29 @@ def of_sorted(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(values[at] == wanted, at, -1)
 
 
+def packed(*arrays: np.ndarray) -> bytes:
+    """Arrays as bytes: whole numbers in as few bytes as hold them, first all first bytes, then all second ones."""
+    out = []
+    for x in arrays:
+        narrow = x if x.dtype.kind == "f" or not len(x) else x.astype(np.min_scalar_type(int(x.max())))
+        out.append((narrow.dtype.str, np.ascontiguousarray(narrow).view(np.uint8).reshape(len(x), narrow.itemsize).T.tobytes()))
+    return zstandard.compress(pickle.dumps(out, protocol=5), 3)
+
+
+def unpacked(data: bytes) -> list[np.ndarray]:
+    planes = [(np.dtype(t), np.frombuffer(x, np.uint8)) for t, x in pickle.loads(zstandard.decompress(data))]
+    return [np.ascontiguousarray(x.reshape(t.itemsize, -1).T).view(t).ravel() for t, x in planes]
+
+
+def steps(x: np.ndarray) -> np.ndarray:
+    """Rising hashes as the steps between them, which are smaller numbers."""
+    return np.diff(x, prepend=np.zeros(1, np.uint64))
+
+
+def climbed(x: np.ndarray) -> np.ndarray:
+    return np.cumsum(x, dtype=np.uint64)
+
+
 class Seats:
     """Numbers of tables of dishes under a discount."""
 
@@ -88,8 +113,9 @@ class Seats:
         ends = np.cumsum(counts)
         for size, lo, hi in zip(sizes.tolist(), (ends - counts).tolist(), ends.tolist(), strict=True):
             t = np.arange(1, size + 1)
-            for a in range(lo, hi, 100_000):
-                own = small[a : min(hi, a + 100_000)]
+            block = 1 + 400_000 // size
+            for a in range(lo, hi, block):
+                own = small[a : min(hi, a + block)]
                 logs = self.logs[size, 1 : size + 1] + t * np.log(weight[own])[:, None]
                 sums = np.cumsum(np.exp(logs - logs.max(axis=1, keepdims=True)), axis=1)
                 out[own] = 1 + (sums < x[own, None] * sums[:, -1:]).sum(axis=1)
@@ -127,13 +153,14 @@ class Block:
         self.keys.append(key)
         self.size += len(words) + 1
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Context, word, place of the document, and whether it is learned from, of every token."""
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes of the words, and of every token its context and word, as places among these, the place of its
+        document, and whether it is learned from."""
         hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in self.words), np.uint64, len(self.words))
-        w = hashes[np.concatenate(self.tokens)]
-        u = np.concatenate([hashes[:1], w[:-1]])  # an end stands before the next document
-        d = np.repeat(np.arange(len(self.tokens), dtype=np.int16), [len(t) for t in self.tokens])
-        return u, w, d, np.array(self.trained, bool)[d]
+        w = np.concatenate(self.tokens)
+        u = np.concatenate([np.zeros(1, np.int32), w[:-1]])  # an end stands before the next document
+        d = np.repeat(np.arange(len(self.tokens), dtype=np.uint16), [len(t) for t in self.tokens])
+        return hashes, u, w, d, np.array(self.trained, bool)[d]
 
 
 def blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Block]:
@@ -159,19 +186,39 @@ def as_hash(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x, np.int64).view(np.uint64)
 
 
+class Part:
+    """Pairs of a block in a shard: ``u`` and ``w`` of each, ``n`` tokens that are learned from, ``m`` tokens in all, and
+    the places ``d`` of their documents, pair by pair. Stored by context, as a list of words and places in it."""
+
+    def __init__(self, data: bytes):
+        contexts, follow, words, moves, self.n, self.m, self.d = unpacked(data)
+        moves = moves.astype(np.int64)
+        self.u, self.w = np.repeat(climbed(contexts), follow), climbed(words)[np.cumsum((moves >> 1) ^ -(moves & 1))]
+
+    @staticmethod
+    def of(u: np.ndarray, w: np.ndarray, d: np.ndarray, trained: np.ndarray) -> bytes:
+        """From tokens sorted by context and word."""
+        new = np.flatnonzero(np.concatenate([[True], (np.diff(u) != 0) | (np.diff(w) != 0)]))
+        pair = u[new]
+        first = np.flatnonzero(np.concatenate([[True], np.diff(pair) != 0]))
+        words, at = np.unique(w[new], return_inverse=True)
+        moves = np.diff(at, prepend=0)
+        return packed(steps(pair[first]), np.diff(np.append(first, len(new))), steps(words), (moves << 1) ^ (moves >> 63), np.add.reduceat(trained.astype(np.int64), new), np.diff(np.append(new, len(u))), d)
+
+
 class Frequent:
     """Contexts and pairs, sorted, that are dealt more finely."""
 
     def __init__(self, contexts: np.ndarray, pairs: np.ndarray):
         self.contexts, self.pairs = contexts, pairs
 
-    def shards(self, u: np.ndarray, w: np.ndarray, block: int, n: int) -> np.ndarray:
-        of = mixed(u)
-        crowded = np.flatnonzero(of_sorted(self.contexts, u) >= 0)
-        pair = paired(u[crowded], w[crowded])
+    def shards(self, hashes: np.ndarray, u: np.ndarray, w: np.ndarray, block: int, n: int) -> np.ndarray:
+        out = (mixed(hashes) % np.uint64(n)).astype(np.int32)[u]
+        crowded = np.flatnonzero((of_sorted(self.contexts, hashes) >= 0)[u])
+        pair = paired(hashes[u[crowded]], hashes[w[crowded]])
         by_block = of_sorted(self.pairs, pair) >= 0
-        of[crowded] = np.where(by_block, mixed(pair + np.uint64(block)), pair)
-        return (of % np.uint64(n)).astype(np.int32)
+        out[crowded] = np.where(by_block, mixed(pair + np.uint64(block)), pair) % np.uint64(n)
+        return out
 
 
 def frequent(docs: DataFrame, size: int, bar: float) -> Frequent:
@@ -184,12 +231,11 @@ def frequent(docs: DataFrame, size: int, bar: float) -> Frequent:
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with no_cycle_collection():
             for block in blocks(batches, size):
-                u, w, _, _ = block.pairs()
-                contexts, n = np.unique(u, return_counts=True)
+                hashes, u, w, _, _ = block.pairs()
+                n = np.bincount(u, minlength=len(hashes))
                 often = n >= max(2, bar / 2 * len(u))
-                contexts, n = contexts[often], n[often]
-                own = np.flatnonzero(of_sorted(contexts, u) >= 0)
-                pairs, m = np.unique(paired(u[own], w[own]), return_counts=True)
+                contexts, n, own = hashes[often], n[often], np.flatnonzero(often[u])
+                pairs, m = np.unique(paired(hashes[u[own]], hashes[w[own]]), return_counts=True)
                 often = m >= max(2, bar / 2 * len(u))
                 pairs, m = pairs[often], m[often]
                 kinds = [1] * len(contexts) + [2] * len(pairs) + [0]
@@ -203,59 +249,62 @@ def frequent(docs: DataFrame, size: int, bar: float) -> Frequent:
     return Frequent(*[np.sort(as_hash(np.array(found[k], np.int64))) for k in (1, 2)])
 
 
-def dealt(docs: DataFrame, often: Frequent, shards: int, size: int) -> DataFrame:
-    """Rows of every block for every shard (contexts, how many pairs each, their words, tokens learned from,
-    tokens, documents of the tokens), as ``ROWS``, and one of shard -1 with the keys of its documents in ``keys``
-    and their numbers of tokens in ``m``."""
+def labels(spark: SparkSession, n: int) -> np.ndarray:
+    """Numbers of ``n`` shards of which Spark deals one to each of ``n`` partitions."""
+    found = spark.range(40 * n + 400).select(F.col("id").cast("int").alias("id")).groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("p")).agg(F.min("id")).orderBy("p").collect()  # one row a shard
+    if len(found) < n:
+        raise ValueError(f"no numbers for {n} shards")
+    return np.array([r[1] for r in found], np.int32)
+
+
+def dealt(docs: DataFrame, often: Frequent, names: np.ndarray, size: int) -> DataFrame:
+    """A row of every block for every shard, with the pairs in ``data``, and one of shard -1 with the keys of its
+    documents in ``keys`` and their numbers of tokens in ``n``."""
     kind = docs.schema[0].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(often)
-    keys = pa.list_(pa.array([], docs.select(docs.columns[0]).limit(0).toArrow().schema.field(0).type).type)
+    shared = docs.sparkSession.sparkContext.broadcast((often, names))
+    keys = pa.list_(docs.limit(0).toArrow().schema.field(0).type)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, schema = TaskContext.get().partitionId(), None
+        task, (often, names) = TaskContext.get().partitionId(), shared.value
         with no_cycle_collection():
-            for k, block in enumerate(blocks(batches, size)):
-                number = (task << 24) + k
-                u, w, d, trained = block.pairs()
-                shard = shared.value.shards(u, w, number, shards)
-                order = np.lexsort((w, u, shard))
-                u, w, d, trained, shard = u[order], w[order], d[order], trained[order], shard[order]
-                del order
-                cuts = np.flatnonzero(np.diff(shard)) + 1
-                rows = [[], [], [], [], [], [], [], []]
-                for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(u)], strict=True):
-                    new = np.flatnonzero(np.concatenate([[True], (np.diff(u[lo:hi]) != 0) | (np.diff(w[lo:hi]) != 0)]))
-                    own_u = u[lo:hi][new]
-                    first = np.flatnonzero(np.concatenate([[True], np.diff(own_u) != 0]))
-                    values = (shard[lo], number, as_long(own_u[first]), np.diff(np.append(first, len(new))), as_long(w[lo:hi][new]), np.add.reduceat(trained[lo:hi].astype(np.int64), new), np.diff(np.append(new, hi - lo)), d[lo:hi])
-                    for column, value in zip(rows, values, strict=True):
-                        column.append(value)
-                rows[0].append(-1)
-                rows[1].append(number)
-                for column in rows[2:]:
-                    column.append(np.zeros(0, np.int64))
-                rows[6][-1] = np.array([len(t) for t in block.tokens])
-                listed = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int16())
-                arrays = [pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.int64()), *[pa.array(c, pa.list_(t)) for c, t in zip(rows[2:], listed, strict=True)]]
-                arrays.append(pa.array([None] * (len(rows[0]) - 1) + [block.keys], keys))
-                schema = schema or pa.schema([pa.field(n, a.type) for n, a in zip([f.split()[0] for f in ROWS.split(", ")] + ["keys"], arrays, strict=True)])
-                yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+            for count, block in enumerate(blocks(batches, size)):
+                number = (task << 24) + count
+                hashes, u, w, d, trained = block.pairs()
+                shard = often.shards(hashes, u, w, number, len(names))
+                order = np.argsort(shard, kind="stable")
+                starts = np.concatenate([[0], np.cumsum(np.bincount(shard, minlength=len(names)))])
+                own, parts = np.flatnonzero(np.diff(starts)), []
+                del shard
+                for k in own.tolist():
+                    some = order[starts[k] : starts[k + 1]]
+                    some = some[np.lexsort((hashes[w[some]], hashes[u[some]]))]
+                    parts.append(Part.of(hashes[u[some]], hashes[w[some]], d[some], trained[some]))
+                arrays = [
+                    pa.array([*names[own].tolist(), -1], pa.int32()),
+                    pa.array([number] * (len(own) + 1), pa.int64()),
+                    pa.array([*parts, None], pa.binary()),
+                    pa.array([None] * len(own) + [[len(t) for t in block.tokens]], pa.list_(pa.int32())),
+                    pa.array([None] * len(own) + [block.keys], keys),
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, ["shard", "block", "data", "n", "keys"])
 
     return docs.mapInArrow(deal, f"{ROWS}, keys array<{kind}>")
 
 
 def bucketed(df: DataFrame, n: int, column: str) -> DataFrame:
-    """``df`` as a table of the shared folder in ``n`` buckets, so that joins on ``column`` leave it where it is."""
+    """``df``, dealt by ``column`` to ``n`` partitions, as a table of the shared folder in as many buckets, so that joins on
+    the column leave it where it is."""
     name = f"buckets_{uuid.uuid4().hex}"
-    df.repartition(n, column).write.format("parquet").option("compression", "zstd").option("path", shared_path(df.sparkSession)).bucketBy(n, column).saveAsTable(name)
+    df.write.format("parquet").option("path", shared_path(df.sparkSession)).bucketBy(n, column).saveAsTable(name)
     return df.sparkSession.table(name)
 
 
 class Rules:
     """Parameters and totals that all shards know; ``rounds`` has (customers, tables) of the root in each round."""
 
-    def __init__(self, shards: int, often: Frequent, strength: float, root_strength: float):
-        self.shards, self.often, self.strength, self.root_strength = shards, often, strength, root_strength
+    def __init__(self, names: np.ndarray, often: Frequent, strength: float, root_strength: float):
+        self.names, self.often, self.strength, self.root_strength = names, often, strength, root_strength
+        self.shards = len(names)
         self.rounds: list[tuple[int, int]] = []
         #: customers of the frequent pairs, and customers and each round's tables of the frequent contexts
         self.pair_parts: tuple[np.ndarray, np.ndarray, np.ndarray] = (np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
@@ -274,13 +323,16 @@ class Rules:
 class Restaurants:
     """All pairs of a shard, from its rows of all blocks."""
 
-    def __init__(self, rows: pd.DataFrame, shard: int, rules: Rules):
+    def __init__(self, rows: pd.DataFrame, name: int, rules: Rules):
         self.rules = rules
-        us, ws, ns = [], [], []
-        for u, f, w, n in zip(rows["u"], rows["f"], rows["w"], rows["n"], strict=True):
-            us.append(np.repeat(as_hash(u), f))
-            ws.append(as_hash(w))
-            ns.append(np.asarray(n, np.int64))
+        shard = int(np.flatnonzero(rules.names == name)[0])
+        us, ws, ns, self.tokens = [], [], [], []
+        for data in rows["data"]:
+            part = Part(data)
+            us.append(part.u)
+            ws.append(part.w)
+            ns.append(part.n.astype(np.int64))
+            self.tokens.append((part.m, part.d))
         # frequent pairs of this shard, whether or not it has tokens of them
         pu, pw, pc = rules.pair_parts
         home = paired(pu, pw) % np.uint64(rules.shards) == np.uint64(shard)
@@ -288,10 +340,11 @@ class Restaurants:
         ws.append(pw[home])
         ns.append(np.zeros(int(home.sum()), np.int64))
         u, w, n = np.concatenate(us), np.concatenate(ws), np.concatenate(ns)
+        del us, ws, ns
         order = np.lexsort((w, u))
         new = np.concatenate([[True], (np.diff(u[order]) != 0) | (np.diff(w[order]) != 0)]) if len(u) else np.zeros(0, bool)
         at = np.flatnonzero(new)
-        self.type_of = np.empty(len(u), np.int64)
+        self.type_of = np.empty(len(u), np.int32)
         self.type_of[order] = np.cumsum(new) - 1
         self.u, self.w = u[order][at], w[order][at]
         self.c = np.add.reduceat(n[order], at) if len(at) else np.zeros(0, np.int64)
@@ -304,13 +357,15 @@ class Restaurants:
             spread = np.flatnonzero(among >= 0)
             self.c[spread] = pc[by][among[spread]]
             self.own[spread] = paired(self.u[spread], self.w[spread]) % np.uint64(rules.shards) == np.uint64(shard)
-        self.contexts, self.context_of = np.unique(self.u, return_inverse=True)
-        words, self.word_of = np.unique(self.w, return_inverse=True)
+        del u, w, n, order, new, at
+        self.contexts, context_of = np.unique(self.u, return_inverse=True)
+        self.context_of = context_of.astype(np.int32)
+        words, word_of = np.unique(self.w, return_inverse=True)
         home = (mixed(words) % np.uint64(rules.shards)).astype(np.int64)
         by = np.argsort(home, kind="stable")  # by shard of the root, then by word
-        place = np.empty(len(by), np.int64)
+        place = np.empty(len(by), np.int32)
         place[by] = np.arange(len(by))
-        self.words, self.home, self.word_of = words[by], home[by], place[self.word_of]
+        self.words, self.home, self.word_of = words[by], home[by], place[word_of]
         self.crowded = of_sorted(rules.often.contexts, self.contexts)
         self.customers = self.of_contexts(np.where(self.own, self.c, 0), rules.context_customers)
 
@@ -324,17 +379,22 @@ class Restaurants:
     def of_words(self, value: np.ndarray) -> np.ndarray:
         return np.bincount(self.word_of, weights=np.where(self.own, value, 0), minlength=len(self.words)).astype(np.int64)
 
-    def messages(self, shard: int, *values: np.ndarray) -> list[tuple]:
-        """(root, shard, words, sums of each value) for every shard of the root, and the sums of frequent
-        contexts for shard -1."""
-        sums = [self.of_words(v) for v in values]
+    def messages(self, name: int, *values: np.ndarray, words: bool) -> pd.DataFrame:
+        """For every shard of the root the sums of each value by word, with the words if they aren't known
+        there yet; and the sums of frequent contexts for root -1."""
+        sums, none = [self.of_words(v) for v in values], np.zeros(0, np.int64)
         cuts = np.flatnonzero(np.diff(self.home)) + 1
-        rows = [(int(self.home[lo]), shard, as_long(self.words[lo:hi]), *[s[lo:hi] for s in sums]) for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(self.words)], strict=True) if hi > lo]
+        spans = [(lo, hi) for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(self.words)], strict=True) if hi > lo]
+        rows = [(int(self.rules.names[self.home[lo]]), name, packed(*([steps(self.words[lo:hi])] if words else []), *[x[lo:hi] for x in sums]), none, none, none) for lo, hi in spans]
         crowded = np.flatnonzero(self.crowded >= 0)
         if len(crowded):
             mine = [np.bincount(self.context_of, weights=np.where(self.own, v, 0), minlength=len(self.contexts)).astype(np.int64)[crowded] for v in values]
-            rows.append((-1, shard, as_long(self.contexts[crowded]), *mine))
-        return rows
+            rows.append((-1, name, None, as_long(self.contexts[crowded]), mine[0], mine[-1]))
+        made = pd.DataFrame(rows, columns=["root", "shard", "data", "w", "a", "b"])
+        made["one"], made["two"] = 0, 0
+        if len(made) and words:
+            made.loc[0, ["one", "two"]] = [int(((self.c == k) & self.own).sum()) for k in (1, 2)]
+        return made
 
     def sweeps(self, answers: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Tables of all pairs and of all contexts in round 0, one a pair, and in every later round that the
@@ -354,17 +414,20 @@ class Restaurants:
 
 def answers_of(messages: pd.DataFrame, restaurants: Restaurants) -> list[tuple[np.ndarray, np.ndarray]]:
     """The root's counts by round, in the order of the shard's words."""
-    out = []
-    for k in sorted(messages["turn"].unique().tolist()):
-        own = messages[messages["turn"] == k].sort_values("root")
-        out.append(tuple(np.concatenate([np.asarray(x, np.int64) for x in own[c]]) for c in ("a", "b")))
+    place, out = {int(n): i for i, n in enumerate(restaurants.rules.names)}, []
+    for turn in sorted(messages["turn"].unique().tolist()):
+        own = messages[messages["turn"] == turn]
+        own = own.iloc[np.argsort([place[r] for r in own["root"]])]
+        both = [unpacked(x) for x in own["data"]]
+        out.append(tuple(np.concatenate([x[i] for x in both]).astype(np.int64) for i in (0, 1)))
         if len(out[-1][0]) != len(restaurants.words):
             raise ValueError("the root answered other words than it was told")
     return out
 
 
-MESSAGE = "root int, shard int, w array<long>, a array<int>, b array<int>, one long, two long"
-ANSWER = "shard int, root int, turn int, a array<int>, b array<int>, c long, t long, words long, one long, two long"
+MESSAGE = "root int, shard int, data binary, w array<long>, a array<long>, b array<long>, one long, two long"
+ANSWER = "shard int, root int, turn int, data binary, state binary, c long, t long, words long, one long, two long"
+COLUMNS = [f.split()[0] for f in ANSWER.split(", ")]
 
 
 def counted(of_pairs: DataFrame, rules: Rules) -> DataFrame:
@@ -372,13 +435,8 @@ def counted(of_pairs: DataFrame, rules: Rules) -> DataFrame:
     have one and two."""
 
     def count(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        shard = int(key[0])
-        own = Restaurants(rows, shard, rules)
-        made = pd.DataFrame(own.messages(shard, (own.c > 0).astype(np.int64), own.c), columns=["root", "shard", "w", "a", "b"])
-        made["one"], made["two"] = 0, 0
-        if len(made):
-            made.loc[0, ["one", "two"]] = [int(((own.c == k) & own.own).sum()) for k in (1, 2)]
-        return made
+        own = Restaurants(rows, int(key[0]), rules)
+        return own.messages(int(key[0]), (own.c > 0).astype(np.int64), own.c, words=True)
 
     return of_pairs.groupBy("shard").applyInPandas(count, MESSAGE)
 
@@ -387,44 +445,54 @@ def swept(of_pairs: DataFrame, answers: DataFrame, rules: Rules) -> DataFrame:
     """A later round's messages: how many tables serve a word."""
 
     def sweep(key: tuple, rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-        columns = ["root", "shard", "w", "a", "b", "one", "two"]
         if not len(rows):
-            return pd.DataFrame([], columns=columns)
-        shard = int(key[0])
-        own = Restaurants(rows, shard, rules)
-        *_, (tables, _) = own.sweeps(answers_of(told, own))
-        made = pd.DataFrame([(*m, np.zeros(0, np.int64), 0, 0) for m in own.messages(shard, tables)], columns=columns)
-        return made
+            return pd.DataFrame([], columns=[f.split()[0] for f in MESSAGE.split(", ")])
+        own = Restaurants(rows, int(key[0]), rules)
+        (pairs, _), *later = answers_of(told, own)
+        *_, (tables, _) = own.sweeps([(pairs, (pairs > 0).astype(np.int64)), *later])
+        return own.messages(int(key[0]), tables, words=False)
 
     return of_pairs.groupBy("shard").cogroup(answers.groupBy("shard")).applyInPandas(sweep, MESSAGE)
 
 
-def answered(messages: DataFrame, turn: int, rules: Rules) -> DataFrame:
-    """The root's side: what all shards say of a word, summed. In round 0 ``a`` is pairs (customers of the root) and ``b``
-    tokens; later ``a`` is customers and ``b`` the root's own tables, drawn. The row of a root shard's
-    first partner has its totals."""
+def first_answers(messages: DataFrame, rules: Rules) -> DataFrame:
+    """The root's side of round 0: pairs (customers of the root) and tokens of each word, over all shards, in ``data`` for
+    every shard; in ``state`` what the root keeps, the places of the shard's words among its own. The
+    first row of each shard of the root has its words and its totals."""
 
     def answer(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        root = int(key[0])
-        words = [as_hash(w) for w in rows["w"]]
-        known, place = np.unique(np.concatenate(words), return_inverse=True)
-        sums = lambda c: np.bincount(place, weights=np.concatenate([np.asarray(x, np.int64) for x in rows[c]]), minlength=len(known)).astype(np.int64)
-        a = sums("a")
-        if turn == 0:
-            b, t, taught = sums("b"), int((a > 0).sum()), a > 0
-        else:
-            weight = np.full(len(known), (rules.root_strength + rules.root_discount * rules.rounds[-1][1]) / (rules.words + 1))
-            b = np.where(a > 0, Seats(rules.root_discount).drawn(a, weight, uniform(known, known, 2 * turn), uniform(known, known, 2 * turn + 1)), 0)
-            t, taught = int(b.sum()), a > 0
-        at, out = 0, []
-        for shard, w in zip(rows["shard"].tolist(), words, strict=True):
-            own = place[at : at + len(w)]
-            at += len(w)
-            out.append((shard, root, turn, a[own], b[own], 0, 0, 0, 0, 0))
-        out[0] = (*out[0][:5], int(a.sum()), t if turn else int(b.sum()), int(taught.sum()), int((a == 1).sum()), int((a == 2).sum()))
-        return pd.DataFrame(out, columns=[f.split()[0] for f in ANSWER.split(", ")])
-
-    return messages.filter("root >= 0").groupBy("root").applyInPandas(answer, ANSWER)
+        told = [(climbed(w), *counts) for w, *counts in map(unpacked, rows["data"])]
+        known, place = np.unique(np.concatenate([x[0] for x in told]), return_inverse=True)
+        a, b = (np.bincount(place, weights=np.concatenate([x[i] for x in told]), minlength=len(known)).astype(np.int64) for i in (1, 2))
+        at, out, none = 0, [], np.zeros(0, np.uint64)
+        for shard, x in zip(rows["shard"].tolist(), told, strict=True):
+            own = place[at : at + len(x[0])]
+            at += len(x[0])
+            out.append((shard, int(key[0]), 0, packed(a[own], b[own]), packed(own, none if out else steps(known)), 0, 0, 0, 0, 0))
+        out[0] = (*out[0][:5], int(a.sum()), int(b.sum()), int((a > 0).sum()), int((a == 1).sum()), int((a == 2).sum()))
+        return pd.DataFrame(out, columns=COLUMNS)
+
+    return messages.filter("root >= 0").repartition(rules.shards, "root").groupBy("root").applyInPandas(answer, ANSWER)
+
+
+def later_answers(messages: DataFrame, first: DataFrame, turn: int, rules: Rules) -> DataFrame:
+    """The root's side of a later round: its customers, which are all shards' tables, and its own tables, drawn."""
+
+    def answer(key: tuple, rows: pd.DataFrame, kept: pd.DataFrame) -> pd.DataFrame:
+        told = {shard: unpacked(x)[0] for shard, x in zip(rows["shard"].tolist(), rows["data"], strict=True)}
+        states = {shard: unpacked(x) for shard, x in zip(kept["shard"].tolist(), kept["state"], strict=True)}
+        known = np.concatenate([climbed(s[1]) for s in states.values()])
+        a = np.zeros(len(known), np.int64)
+        for shard, x in told.items():
+            a[states[shard][0]] += x  # a shard's words are distinct
+        weight = np.full(len(known), (rules.root_strength + rules.root_discount * rules.rounds[-1][1]) / (rules.words + 1))
+        b = np.where(a > 0, Seats(rules.root_discount).drawn(a, weight, uniform(known, known, 2 * turn), uniform(known, known, 2 * turn + 1)), 0)
+        out = [(shard, int(key[0]), turn, packed(a[states[shard][0]], b[states[shard][0]]), None, 0, 0, 0, 0, 0) for shard in told]
+        if out:
+            out[0] = (*out[0][:5], int(a.sum()), int(b.sum()), 0, 0, 0)
+        return pd.DataFrame(out, columns=COLUMNS)
+
+    return messages.filter("root >= 0").groupBy("root").cogroup(first.groupBy("root")).applyInPandas(answer, ANSWER)
 
 
 def _discount(one: int, two: int) -> float:
@@ -447,19 +515,18 @@ def _pair_parts(of_pairs: DataFrame, rules: Rules) -> tuple[np.ndarray, np.ndarr
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for f, u, w, n in zip(*[batch.column(i) for i in range(4)], strict=True):
-                u = np.repeat(as_hash(u.values.to_numpy()), f.values.to_numpy())
-                own = np.flatnonzero(of_sorted(often.value.contexts, u) >= 0)
-                w, n = as_hash(w.values.to_numpy())[own], n.values.to_numpy()[own]
-                some = of_sorted(often.value.pairs, paired(u[own], w)) >= 0
-                yield pa.RecordBatch.from_arrays([pa.array(as_long(u[own][some])), pa.array(as_long(w[some])), pa.array(n[some].astype(np.int64))], ["u", "w", "n"])
-
-    rows = of_pairs.select("f", "u", "w", "n").mapInArrow(pick, "u long, w long, n long").groupBy("u", "w").agg(F.sum("n")).collect()
+            for data in batch.column(0).to_pylist():
+                part = Part(data)
+                own = np.flatnonzero(of_sorted(often.value.contexts, part.u) >= 0)
+                own = own[of_sorted(often.value.pairs, paired(part.u[own], part.w[own])) >= 0]
+                yield pa.RecordBatch.from_arrays([pa.array(as_long(part.u[own])), pa.array(as_long(part.w[own])), pa.array(part.n[own].astype(np.int64))], ["u", "w", "n"])
+
+    rows = of_pairs.select("data").mapInArrow(pick, "u long, w long, n long").groupBy("u", "w").agg(F.sum("n")).collect()  # no more than there are frequent pairs
     return as_hash(np.array([r[0] for r in rows], np.int64)), as_hash(np.array([r[1] for r in rows], np.int64)), np.array([r[2] for r in rows], np.int64)
 
 
 def language_model_scores(
-    docs: DataFrame, learned: str, text: str = "text", key: str = "doc_id", strength: float = 1.0, root_strength: float = 1.0, rounds: int = 3, averaged: int = 2, block: int = BLOCK
+    docs: DataFrame, learned: str, text: str = "text", key: str = "doc_id", strength: float = 1.0, root_strength: float = 1.0, rounds: int = 3, averaged: int = 2, block: int = BLOCK, shard: int = SHARD
 ) -> DataFrame:
     """(key, n_tokens, n_known, train_tokens, base_score, score) of every document, learning from those for which
     the boolean column ``learned`` holds.
@@ -471,20 +538,20 @@ def language_model_scores(
 
     Null texts are empty: an end alone. Null ``learned`` teaches nothing. Repeated rows are documents each; an
     empty table gives an empty result, and if nothing is learned all words are equally likely. Extra columns are
-    ignored. A block holds ``block`` tokens or one text, and so does a shard, about, whatever
-    the corpus; results depend on neither, but for the order of sums.
+    ignored. A block holds ``block`` tokens or one text, and a shard about ``shard``, whatever the
+    corpus; results depend on neither, but for the order of sums.
     """
     if not 1 <= averaged <= rounds:
         raise ValueError("averages are over the last of the rounds")
     spark = docs.sparkSession
     own = docs.select(F.col(key).alias("key"), F.coalesce(F.col(learned), F.lit(False)).alias("learned"), F.col(text).alias("text"))
     letters = own.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    shards = max(1, math.ceil(letters / 6.4 / block))
+    shards = max(1, math.ceil(letters / 6.4 / shard))
     often = frequent(own, block, 0.1 / shards)
-    table = dealt(own, often, shards, block)
-    buckets = bucketed(table, shards, "shard")
-    of_pairs = buckets.filter("shard >= 0").drop("keys")
-    rules = Rules(shards, often, strength, root_strength)
+    names = labels(spark, shards)
+    table = bucketed(dealt(own, often, names, block).repartition(shards, "shard"), shards, "shard")
+    of_pairs = table.filter("shard >= 0").select("shard", "block", "data")
+    rules = Rules(names, often, strength, root_strength)
     if len(often.pairs):
         rules.pair_parts = _pair_parts(of_pairs, rules)
 
@@ -493,31 +560,30 @@ def language_model_scores(
     rules.context_customers = _frequent_sums(told, rules, "b")
     one, two = told.agg(F.coalesce(F.sum("one"), F.lit(0)), F.coalesce(F.sum("two"), F.lit(0))).first()
     rules.discount = _discount(one, two)
-    answers = written(answered(told, 0, rules))
-    totals = answers.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("c", "t", "words", "one", "two")]).first()
+    first = bucketed(first_answers(told, rules), shards, "root")
+    totals = first.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("c", "t", "words", "one", "two")]).first()
     rules.tokens, rules.words, rules.root_discount = totals[1], totals[2], _discount(totals[3], totals[4])
-    rules.rounds.append((totals[0], totals[2]))
-    # round 0: each word has one table at the root
-    tokens = answers.select("shard", "root", F.lit(-1).alias("turn"), "a", "b")
-    every = tokens.unionByName(answers.select("shard", "root", "turn", "a", F.transform("a", lambda x: (x > 0).cast("int")).alias("b")))
+    rules.rounds.append((totals[0], totals[2]))  # each word has one table at the root
+    answers = first.select("shard", "root", "turn", "data")
     for turn in range(1, rounds + 1):
-        told = written(swept(of_pairs, every.filter("turn >= 0"), rules))
+        told = written(swept(of_pairs, answers, rules))
         rules.context_tables.append(_frequent_sums(told, rules, "a"))
-        answers = written(answered(told, turn, rules))
-        rules.rounds.append(tuple(answers.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum("t"), F.lit(0))).first()))
-        every = every.unionByName(answers.select("shard", "root", "turn", "a", "b"))
-    sums = scored(of_pairs, every, rules, range(rounds - averaged + 1, rounds + 1))
+        later = written(later_answers(told, first.select("root", "shard", "state"), turn, rules))
+        rules.rounds.append(tuple(later.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum("t"), F.lit(0))).first()))
+        answers = answers.unionByName(later.select("shard", "root", "turn", "data"))
+    sums = scored(of_pairs, answers, rules, range(rounds - averaged + 1, rounds + 1))
     kind = docs.schema[key].dataType.simpleString()
-    documents = buckets.filter("shard = -1").select("block", "keys", F.col("m").alias("n"), *[F.lit(None).cast(t).alias(c) for c, t in (("i", "array<short>"), ("base", "array<double>"), ("score", "array<double>"), ("known", "array<int>"))])
-    met = documents.unionByName(sums.select("block", F.lit(None).cast(f"array<{kind}>").alias("keys"), F.lit(None).cast("array<int>").alias("n"), "i", "base", "score", "known"))
+    documents = table.filter("shard = -1").select("block", "keys", "n", F.lit(None).cast("binary").alias("data"))
+    met = documents.unionByName(sums.select("block", F.lit(None).cast(f"array<{kind}>").alias("keys"), F.lit(None).cast("array<int>").alias("n"), "data"))
 
     def gather(rows: pd.DataFrame) -> pd.DataFrame:
         index = rows[rows["n"].notna()].iloc[0]
         n = len(index["n"])
         base, score, known = np.zeros(n), np.zeros(n), np.zeros(n, np.int64)
-        for i, b, s, k in zip(*[rows.loc[rows["n"].isna(), c] for c in ("i", "base", "score", "known")], strict=True):
+        for data in rows.loc[rows["n"].isna(), "data"]:
+            i, b, x, k = unpacked(data)
             base[i] += b
-            score[i] += s
+            score[i] += x
             known[i] += k
         return pd.DataFrame({"key": list(index["keys"]), "n_tokens": index["n"], "n_known": known, "base_score": base, "score": score})
 
@@ -527,33 +593,32 @@ def language_model_scores(
 
 
 def scored(of_pairs: DataFrame, answers: DataFrame, rules: Rules, sweeps: range) -> DataFrame:
-    """(block, i, base, score, known): what a shard's tokens add to each document of a block."""
+    """(block, data): what a shard's tokens add to each document of a block, as places, base, score, known."""
 
-    def score(rows: pd.DataFrame, told: pd.DataFrame, shard: int) -> pd.DataFrame:
-        own = Restaurants(rows, shard, rules)
-        (_, tokens), *answered = answers_of(told, own)
+    def score(key: tuple, rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows):
+            return pd.DataFrame([], columns=["block", "data"])
+        own = Restaurants(rows, int(key[0]), rules)
+        (pairs, tokens), *later = answers_of(told, own)
+        answered = [(pairs, (pairs > 0).astype(np.int64)), *later]
         log_base = np.log10((tokens + 0.5) / (rules.tokens + 0.5 * (rules.words + 1)))[own.word_of]
         total = np.zeros(len(own.u))
-        # the last round's answer completes its own sweep
         for k, (tables, contexts) in enumerate(own.sweeps(answered)):
             if k in sweeps:
-                p = rules.root(k, *answered[k])[own.word_of]
                 rest = rules.strength + rules.discount * contexts
+                p = rules.root(k, *answered[k])[own.word_of]
                 total += (own.c - rules.discount * tables + rest[own.context_of] * p) / (rules.strength + own.customers[own.context_of])
         log_model, known = np.log10(total / len(sweeps)), (tokens > 0)[own.word_of]
         out, at = [], 0
-        for block, w, m, d in zip(rows["block"].tolist(), rows["w"], rows["m"], rows["d"], strict=True):
-            of = np.repeat(own.type_of[at : at + len(w)], m)
-            at += len(w)
+        for block, (m, d) in zip(rows["block"].tolist(), own.tokens, strict=True):
+            of = np.repeat(own.type_of[at : at + len(m)], m)
+            at += len(m)
             i = np.unique(d)
-            sums = [np.bincount(d, weights=x[of])[i] for x in (log_base, log_model, known)]
-            out.append((block, i, sums[0], sums[1], sums[2].astype(np.int64)))
-        return pd.DataFrame(out, columns=["block", "i", "base", "score", "known"])
-
-    def run(key: tuple, rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-        return score(rows, told, int(key[0])) if len(rows) else pd.DataFrame([], columns=["block", "i", "base", "score", "known"])
+            base, model, some = (np.bincount(d, weights=x[of])[i] for x in (log_base, log_model, known))
+            out.append((block, packed(i, base, model, some.astype(np.int64))))
+        return pd.DataFrame(out, columns=["block", "data"])
 
-    return of_pairs.groupBy("shard").cogroup(answers.groupBy("shard")).applyInPandas(run, "block long, i array<short>, base array<double>, score array<double>, known array<int>")
+    return of_pairs.groupBy("shard").cogroup(answers.groupBy("shard")).applyInPandas(score, "block long, data binary")
 
 
 def op13_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
