@@ -19,7 +19,7 @@ from atlasweave.functions.ids import fresh_names
 from atlasweave.operators.components import components
 from atlasweave.operators.skew import joined_by_key
 from atlasweave.operators.tables import with_row_id
-from atlasweave.session import checkpointed
+from atlasweave.session import stored
 
 #: Pairs of spots of two cells that are compared without halving the cells first.
 PAIRS = 10_000
@@ -95,7 +95,7 @@ def _links(core: DataFrame, asked: DataFrame, metres: float) -> DataFrame:
         right = placed.select(F.col("cell").alias("b"), F.col("px").alias("bx"), F.col("py").alias("by"), F.col("lon").alias("x2"), F.col("lat").alias("y2"))
         small = parts.filter(F.col("na") * F.col("nb") <= PAIRS)
         close = small.join(left, ["a", "ax", "ay"]).join(right, ["b", "bx", "by"]).filter(geo.haversine_km(F.col("x"), F.col("y"), F.col("x2"), F.col("y2")) <= km)
-        found.append(checkpointed(close.select("a", "b").distinct()))
+        found.append(stored(close.select("a", "b").distinct()))
         large = parts.filter(F.col("na") * F.col("nb") > PAIRS)
         if large.isEmpty():
             out = found[0]
@@ -108,13 +108,13 @@ def _links(core: DataFrame, asked: DataFrame, metres: float) -> DataFrame:
         for c in ("ay", "bx", "by"):
             cut = cut.select(*[halves(c) if x == c else F.col(x) for x in cut.columns])
         halved = core.withColumns({"px": F.floor(F.col("fx") * scale).cast("long"), "py": F.floor(F.col("fy") * scale).cast("long")})
-        boxes = checkpointed(halved.groupBy("cell", "px", "py").agg(F.count("*").alias("n"), F.min("lon").alias("x0"), F.max("lon").alias("x1"), F.min("lat").alias("y0"), F.max("lat").alias("y1")))
+        boxes = stored(halved.groupBy("cell", "px", "py").agg(F.count("*").alias("n"), F.min("lon").alias("x0"), F.max("lon").alias("x1"), F.min("lat").alias("y0"), F.max("lat").alias("y1")))
         one = boxes.select(F.col("cell").alias("a"), F.col("px").alias("ax"), F.col("py").alias("ay"), F.col("n").alias("na"), *[F.col(c).alias(f"p{c}") for c in ("x0", "x1", "y0", "y1")])
         two = boxes.select(F.col("cell").alias("b"), F.col("px").alias("bx"), F.col("py").alias("by"), F.col("n").alias("nb"), *[F.col(c).alias(f"q{c}") for c in ("x0", "x1", "y0", "y1")])
         least, most = _bounds("p", "q")
-        met = checkpointed(cut.join(one, ["a", "ax", "ay"]).join(two, ["b", "bx", "by"]).filter(least <= km).withColumn("sure", most <= km))
+        met = stored(cut.join(one, ["a", "ax", "ay"]).join(two, ["b", "bx", "by"]).filter(least <= km).withColumn("sure", most <= km))
         # parts so near each other that any two of their spots are a close pair
-        found.append(checkpointed(met.filter("sure").select("a", "b").distinct()))
+        found.append(stored(met.filter("sure").select("a", "b").distinct()))
         parts = met.join(found[-1], ["a", "b"], "left_anti").select("a", "b", "ax", "ay", "bx", "by", "na", "nb")
 
 
@@ -133,7 +133,7 @@ def density_clusters(df: DataFrame, row_id: str, lon: str, lat: str, metres: flo
     turned = F.pmod(F.col("lon") + 180, F.lit(360.0)) - 180
     spots = placed.groupBy("lon", "lat").agg(F.min("id").alias("first"), F.count("*").alias("n"))
     spots = spots.withColumn("row", _row(F.col("lat"), step)).withColumn("col", _column(F.col("lon"), _columns(F.col("row"), step)))
-    spots = checkpointed(spots)
+    spots = stored(spots)
     cells = spots.groupBy("row", "col").agg(F.sum("n").alias("rows"))
     # spots of thin cells, at most min_samples - 1 a cell, and all spots around
     thin = spots.join(cells.filter(F.col("rows") < min_samples).select("row", "col"), ["row", "col"])
@@ -144,28 +144,28 @@ def density_clusters(df: DataFrame, row_id: str, lon: str, lat: str, metres: flo
         around = thin.join(near, ["row", "col"]).join(others, ["row2", "col2"]).filter(close)
         dense = around.groupBy("lon", "lat").agg(F.sum("n2").alias("rows")).filter(F.col("rows") >= min_samples).select("lon", "lat")
         thick = cells.filter(F.col("rows") >= min_samples).select("row", "col")
-        core = checkpointed(spots.join(thick, ["row", "col"], "left_semi").unionByName(thin.join(dense, ["lon", "lat"], "left_semi").select(*spots.columns)))
+        core = stored(spots.join(thick, ["row", "col"], "left_semi").unionByName(thin.join(dense, ["lon", "lat"], "left_semi").select(*spots.columns)))
     else:  # any two rows near each other are core: a spot alone is a cluster of too few rows
         core = spots
     # a cell is known by its first core row
-    nodes = checkpointed(core.groupBy("row", "col").agg(F.min("first").alias("cell"), F.count("*").alias("na"), F.sum("n").alias("rows")))
+    nodes = stored(core.groupBy("row", "col").agg(F.min("first").alias("cell"), F.count("*").alias("na"), F.sum("n").alias("rows")))
     count = _columns(F.col("row"), step)
     place = F.pmod(F.col("lon") + 180, F.lit(360.0)) / 360 * count - F.col("col")
     inside = lambda x: F.greatest(F.lit(0.0), F.least(F.lit(1 - 1e-12), x))
     located = core.join(nodes, ["row", "col"]).select("cell", inside(place).alias("fx"), inside(F.col("lat") / step - F.col("row")).alias("fy"), turned.alias("lon"), "lat")
     names = nodes.select(F.col("row").alias("row2"), F.col("col").alias("col2"), F.col("cell").alias("b"), F.col("na").alias("nb"))
-    asked = checkpointed(_around(nodes, metres, step).join(nodes, ["row", "col"]).join(names, ["row2", "col2"]).select(F.col("cell").alias("a"), "b", "na", "nb").filter("a < b"))
+    asked = stored(_around(nodes, metres, step).join(nodes, ["row", "col"]).join(names, ["row2", "col2"]).select(F.col("cell").alias("a"), "b", "na", "nb").filter("a < b"))
     roots = components(_links(located, asked, metres).select(F.col("a").alias("u"), F.col("b").alias("v")))
     named = nodes.join(roots, F.col("cell") == F.col("node"), "left").select("row", "col", "rows", F.coalesce("root", "cell").alias("root"))
     enough = named.groupBy("root").agg(F.sum("rows").alias("rows")).filter(F.col("rows") >= (1 if min_samples > 2 else min_samples))
     numbers = with_row_id(enough.select("root"), ["root"], "k").select("root", (F.col("k") + 1).alias("id"))
-    labelled = checkpointed(core.join(named.drop("rows").join(numbers, "root"), ["row", "col"]).select("lon", "lat", "n", "row", "col", F.col("id").alias("c")))
+    labelled = stored(core.join(named.drop("rows").join(numbers, "root"), ["row", "col"]).select("lon", "lat", "n", "row", "col", F.col("id").alias("c")))
     # the others are in thin cells: near a core spot, or of no cluster
     border = thin.join(labelled.select("lon", "lat"), ["lon", "lat"], "left_anti").join(near, ["row", "col"])
     reached = border.join(labelled.select(F.col("row").alias("row2"), F.col("col").alias("col2"), F.col("lon").alias("lon2"), F.col("lat").alias("lat2"), "c"), ["row2", "col2"]).filter(close)
     clustered = labelled.select("lon", "lat", "n", "c")
     if min_samples > 2:  # else all spots that are near one are core
-        clustered = checkpointed(clustered.unionAll(reached.groupBy("lon", "lat", "n").agg(F.min("c").alias("c"))))
+        clustered = stored(clustered.unionAll(reached.groupBy("lon", "lat", "n").agg(F.min("c").alias("c"))))
     rest = spots.join(clustered, ["lon", "lat"], "left_anti").select("lon", "lat")
     single = with_row_id(placed.join(rest, ["lon", "lat"], "left_semi").select("id"), ["id"], "k")
     x, y, own, of, alone, rows = fresh_names([*df.columns, out], 6)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from atlasweave.functions.ids import fresh_names
-from atlasweave.session import checkpointed
+from atlasweave.session import stored
 
 #: No more keys than this are broadcast.
 MOST_HOT = 20_000
@@ -52,7 +52,7 @@ def joined_by_key(df: DataFrame, table: DataFrame, keys: Mapping[str, str], size
     both = lambda left, right: reduce(and_, [F.col(f"`{a}`") == F.col(f"`{b}`") for a, b in zip(left, right, strict=True)])
     if size is None:
         counts = df.groupBy(*[F.col(f"`{a}`").alias(n) for a, n in zip(keys, names, strict=True)]).agg(F.count("*").alias(mine))
-        over = checkpointed(counts.filter(F.col(mine) > least))  # few keys have so many rows
+        over = stored(counts.filter(F.col(mine) > least))  # few keys have so many rows
         crowded = not over.isEmpty()
         hot = over.filter(F.col(mine) > max(least, df.count() // most)).select(*names) if crowded else None
         kept = table

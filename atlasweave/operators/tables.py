@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from atlasweave.functions.ids import fresh_names, unique_key
 from atlasweave.functions.text import transliterate
 from atlasweave.operators.skew import joined_by_key
-from atlasweave.session import checkpointed
+from atlasweave.session import stored
 
 
 def with_row_id(df: DataFrame, order: Sequence[str], out: str = "_rid") -> DataFrame:
@@ -18,7 +18,7 @@ def with_row_id(df: DataFrame, order: Sequence[str], out: str = "_rid") -> DataF
     rows: each partition counts its rows, and offsets are added to numbers within partitions. The
     sorted table is checkpointed, since a number refers to the partition that gave it."""
     ordered = df.withColumn("__o", F.struct(*order)).repartitionByRange("__o").sortWithinPartitions("__o")
-    placed = checkpointed(ordered.withColumn("__p", F.spark_partition_id()).withColumn("__n", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
+    placed = stored(ordered.withColumn("__p", F.spark_partition_id()).withColumn("__n", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
     sizes = placed.groupBy("__p").agg(F.count("*").alias("__c"))
     before = sizes.select("__p", F.coalesce(F.sum("__c").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__b"))
     return placed.join(before, "__p").withColumn(out, F.col("__b") + F.col("__n")).drop("__o", "__p", "__n", "__b")
@@ -61,7 +61,7 @@ def with_group_size(df: DataFrame, columns: Sequence[str], out: str = "count") -
     with many stay where they are in it."""
     k, j, n = fresh_names([*df.columns, out], 3)
     keyed = df.drop(out).withColumn(k, _as_text(unique_key(columns)))
-    sizes = checkpointed(keyed.groupBy(F.col(k).alias(j)).agg(F.count("*").alias(out)).withColumn(n, F.col(out)))
+    sizes = stored(keyed.groupBy(F.col(k).alias(j)).agg(F.count("*").alias(out)).withColumn(n, F.col(out)))
     return joined_by_key(keyed, sizes, {k: j}, n).drop(k, j)
 
 
@@ -98,7 +98,7 @@ def with_group_max(df: DataFrame, keys: Sequence[str], value: str, out: str) ->
     before it is joined back."""
     k, j, n, top = fresh_names([*df.columns, out], 4)
     keyed = df.withColumn(k, F.concat_ws("\x01", *[_as_text(F.col(f"`{c}`")) for c in keys]))
-    tops = checkpointed(keyed.groupBy(F.col(k).alias(j)).agg(F.max(value).alias(top), F.count("*").alias(n)))
+    tops = stored(keyed.groupBy(F.col(k).alias(j)).agg(F.max(value).alias(top), F.count("*").alias(n)))
     return joined_by_key(keyed.drop(out) if out not in keys else keyed, tops, {k: j}, n).withColumn(out, F.col(top)).drop(k, j, top)
 
 

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Tasks a core that rows are dealt to.
+SPREAD = 3
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "4g") -> SparkSession:
     """A local session with adaptive execution, UTC timestamps and a small shuffle width."""
@@ -38,3 +42,27 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared checkpoint folder, which outlives any executor."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` computed once, as a table in the shared checkpoint folder, which outlives any executor.
+
+    A checkpoint's rows keep the estimate of the plan that made them, and a join's estimate is the product of its
+    sides': over many joins and checkpoints the optimizer ends with numbers of millions of digits. A table has the size
+    that was written, is packed, and is read by columns. Columns that parquet has no type for make it a checkpoint.
+    """
+    kinds = df.schema.simpleString()
+    if not df.columns or "void" in kinds or "interval" in kinds:
+        return checkpointed(df)
+    ensure_checkpoint_dir(df.sparkSession)
+    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/stored-{uuid.uuid4().hex}"
+    # by place, since names may differ in case alone
+    numbered = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    numbered.write.parquet(path)
+    return df.sparkSession.read.schema(numbered.schema).parquet(path).toDF(*df.columns)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over several tasks a core. A scan has no more tasks than its files have row groups, so packed rows that
+    take long, such as names to be cleaned, would otherwise be the work of one or two."""
+    return df.repartition(SPREAD * df.sparkSession.sparkContext.defaultParallelism)
