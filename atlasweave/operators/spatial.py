@@ -1,11 +1,14 @@
 """Distance joins, nearest polygons, clusters and boundary checks over grid cells.
 
 No join compares all points: both sides are put into cells no smaller than the radius, one side
-also into the neighbouring cells, and only points that share a cell are measured.
+also into the neighbouring cells, and only points that share a cell are measured. Tasks are cut by
+how many pairs they measure, since few bytes may make many pairs.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -18,7 +21,10 @@ from atlasweave.functions.text import preclean
 from atlasweave.operators.density import density_clusters
 from atlasweave.operators.nearest import METRES_PER_DEGREE, SPOTS, nearest_polygon, polygon_rings
 from atlasweave.operators.skew import joined_by_key
-from atlasweave.session import checkpointed
+from atlasweave.session import spread, stored
+
+#: Pairs of points that a task measures, and most tasks of a join.
+PAIRS, TASKS = 5_000_000, 20_000
 
 
 def _cells(df: DataFrame, lon: str, lat: str, metres: float, around: bool) -> DataFrame:
@@ -36,8 +42,17 @@ def near_pairs(left: DataFrame, right: DataFrame, metres: float, left_point: tup
     with the unrounded distance in km. Rows without a point (null, NaN) pair with nothing."""
     a = _cells(left.filter(geo.is_point(*map(F.col, left_point))), *left_point, metres, False)
     b = _cells(right.filter(geo.is_point(*map(F.col, right_point))), *right_point, metres, True)
-    pairs = a.join(b, ["__row", "__col"]).withColumn(out, geo.haversine_km(F.col(left_point[0]), F.col(left_point[1]), F.col(right_point[0]), F.col(right_point[1])))
-    return pairs.filter(F.col(out) * 1000 <= metres).drop("__row", "__col")
+    na, nb = (t.groupBy("__row", "__col").agg(F.count("*").alias(n)) for t, n in ((a, "__na"), (b, "__nb")))
+    met = stored(na.join(nb, ["__row", "__col"]).select("__row", "__col", (F.col("__na") * F.col("__nb")).alias("__n")))
+    total, most = met.agg(F.sum(F.col("__n").cast("double")), F.max("__n")).first()
+    tasks, key = min(TASKS, max(1, math.ceil((total or 0) / PAIRS))), ["__row", "__col"]
+    if (most or 0) > PAIRS:  # rows of crowded cells are dealt, the others copied to each part
+        parts = met.select("__row", "__col", F.ceil(F.col("__n") / PAIRS).cast("int").alias("__parts"))
+        a = a.join(parts, key).withColumn("__part", F.pmod(F.monotonically_increasing_id(), F.col("__parts")).cast("int")).drop("__parts")
+        b = b.join(parts, key).withColumn("__part", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1))).drop("__parts")
+        key = [*key, "__part"]
+    pairs = a.repartition(tasks, *key).join(b.repartition(tasks, *key), key).withColumn(out, geo.haversine_km(F.col(left_point[0]), F.col(left_point[1]), F.col(right_point[0]), F.col(right_point[1])))
+    return pairs.filter(F.col(out) * 1000 <= metres).drop(*key)
 
 
 def clusters(df: DataFrame, row_id: str, lon: str, lat: str, metres: float, out: str | None = None, min_samples: int = 2) -> DataFrame:
@@ -48,11 +63,11 @@ def clusters(df: DataFrame, row_id: str, lon: str, lat: str, metres: float, out:
 def overlaps(df: DataFrame, row_id: str, name: str, lon: str, lat: str, metres: float = 1.0, out: str = "is_overlap") -> DataFrame:
     """YES on rows whose cluster has two rows at least and more than one value of ``name`` (null is one)."""
     c, of, mixed, n = fresh_names([*df.columns, out], 4)
-    made = checkpointed(clusters(df, row_id, lon, lat, metres, c))
+    made = stored(clusters(df, row_id, lon, lat, metres, c))
     value = F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit(""))
     # two values are told from one by the least and the greatest
     kinds = made.filter(F.col(c) > 0).groupBy(F.col(c).alias(of)).agg((F.min(value) < F.max(value)).alias(mixed), F.count("*").alias(n))
-    flagged = joined_by_key(made, checkpointed(kinds), {c: of}, n)
+    flagged = joined_by_key(made, stored(kinds), {c: of}, n)
     return flagged.withColumn(out, F.when(F.col(mixed), "YES").otherwise("NO")).drop(c, of, mixed)
 
 
@@ -99,7 +114,7 @@ def check_by_admin(points: DataFrame, row_id: str, lon: str, lat: str, name: str
     # the measures run once for each pair of names, not for each row
     pairs = near.select(F.col(name).alias("__a"), F.col(f"{prefix}_clean").alias("__c")).filter("__a <> '' and __c <> ''").distinct()
     scored = pairs.withColumn("__yes", (pair_measure("seq_ratio")("__a", "__c") >= 75) | (pair_measure("seq_token_set_ratio")("__a", "__c") >= 98))
-    joined = joined_by_key(near, checkpointed(scored), {name: "__a", f"{prefix}_clean": "__c"})
+    joined = joined_by_key(near, stored(scored), {name: "__a", f"{prefix}_clean": "__c"})
     return joined.withColumn(f"{prefix}Match", F.when(F.col("__yes"), "YES").otherwise("NO")).drop("__a", "__c", "__yes", "__b_name", "__b_ring", "__b_order")
 
 
@@ -125,14 +140,14 @@ def border_distance(points: DataFrame, lon: str, lat: str, name: str, asked: Col
     where = asked & geo.is_point(x, y) & (x != 0) & (y != 0)
     keyed = points.withColumns({own: F.when(where, F.col(name)), px: x.cast("double"), py: y.cast("double")})
     spots = keyed.filter(F.col(own).isNotNull()).groupBy(F.col(own).alias("name"), F.col(px).alias("lon"), F.col(py).alias("lat")).agg(F.count("*").alias("n"))
-    spots = checkpointed(spots)
+    spots = stored(spots)
     axis = lambda a: F.transform(F.flatten(polygon_rings(boundary, ring)), lambda p: p[a].cast("double"))
     clean = boundary.select(preclean(F.col(boundary_name)).alias("name"), axis("x").alias("x"), axis("y").alias("y"), F.col(order).alias("o")).filter("x is not null")
     counts = spots.groupBy("name").agg(F.ceil(F.count("*") / SPOTS).cast("int").alias("c"))
     left = spots.join(counts, "name").withColumn("part", F.pmod(F.xxhash64("lon", "lat"), F.col("c")).cast("int")).drop("c")
     right = clean.join(counts, "name").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("c") - 1))).drop("c")
     found = left.groupBy("name", "part").cogroup(right.groupBy("name", "part")).applyInPandas(_nearest_vertex, "name string, lon double, lat double, n long, x double, y double")
-    made = checkpointed(found.select(F.col("name").alias(k), F.col("lon").alias(f"{k}x"), F.col("lat").alias(f"{k}y"), F.col("n").alias(n), F.col("x").alias(vx), F.col("y").alias(vy)))
+    made = stored(found.select(F.col("name").alias(k), F.col("lon").alias(f"{k}x"), F.col("lat").alias(f"{k}y"), F.col("n").alias(n), F.col("x").alias(vx), F.col("y").alias(vy)))
     joined = joined_by_key(keyed, made, {own: k, px: f"{k}x", py: f"{k}y"}, n)
     return joined.withColumn(out, geo.rounded_km(x, y, F.col(vx), F.col(vy))).drop(own, px, py, k, f"{k}x", f"{k}y", vx, vy)
 
