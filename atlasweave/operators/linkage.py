@@ -14,12 +14,14 @@ from atlasweave.functions.ids import code_of, unique_key
 from atlasweave.functions.similarity import cascade, match_merged
 from atlasweave.functions.text import preclean
 from atlasweave.operators.skew import joined_by_key
-from atlasweave.operators.spatial import near_pairs
+from atlasweave.operators.spatial import keyed_pairs
 from atlasweave.operators.tables import joined_values, overlap
-from atlasweave.session import checkpointed
+from atlasweave.session import spread, stored
 
 #: Most names and most candidates that one task compares at a time.
 GROUP = 2000
+#: Pairs of spots that one task of a distance match measures: each brings the records of a spot.
+SPOT_PAIRS = 1_000_000
 MATCH = "struct<name:string,score:double,method:string,result:string>"
 #: Methods of each cascade from the first to the last.
 STAGES = {
@@ -119,21 +121,21 @@ def block_match(
     once a block. Exactly equal names are found by a native join; only the others are scored. Rows
     whose block has no candidate get result NO with no name. Empty candidates aren't matched.
     """
-    return matched_with(df, name, checkpointed(match_index(match, match_name, match_order, match_levels, kind)), level, levels, measure)
+    return matched_with(df, name, stored(match_index(match, match_name, match_order, match_levels, kind)), level, levels, measure)
 
 
 def matched_with(df: DataFrame, name: str, uuids: DataFrame, level: str = "", levels: Sequence[str] = (), measure: str = "rapid") -> DataFrame:
     """:func:`block_match` with a stored :func:`match_index`."""
     df = df.drop(*match_columns(name))
     own = df.withColumn("__clean", preclean(F.col(name))).withColumn("__block", unique_key(levels).cast("string") if levels else F.lit(""))
-    names = checkpointed(own.filter("__block is not null").select(F.col("__block").alias("block"), F.col("__clean").alias("clean")).distinct())
+    names = stored(own.filter("__block is not null").select(F.col("__block").alias("block"), F.col("__clean").alias("clean")).distinct())
     equal = names.join(uuids.select("block", "clean"), ["block", "clean"], "left_semi")
     same = equal.select("block", "clean", F.col("clean").alias("name"), F.lit(100.0).alias("score"), F.lit("identical").alias("method"), F.lit("YES").alias("result"))
     others = names.join(equal, ["block", "clean"], "left_anti")
     found = same.unionByName(best_in_blocks(others, uuids, measure))
     coded = found.join(uuids.select("block", F.col("clean").alias("name"), "uuid"), ["block", "name"], "left")
     coded = coded.select(F.col("block").alias("__fb"), F.col("clean").alias("__fc"), *[F.col(c).alias(f"__{c}") for c in ("name", "score", "method", "result", "uuid")])
-    joined = joined_by_key(own, checkpointed(coded), {"__block": "__fb", "__clean": "__fc"})
+    joined = joined_by_key(own, stored(coded), {"__block": "__fb", "__clean": "__fc"})
     label = F.concat(F.lit(f"{level}/ " if level else ""), F.col("__method"))
     result = F.coalesce(F.col("__result"), F.lit("NO"))
     columns = (F.when(result == "YES", F.col("__name")).otherwise(F.col("__clean")), F.col("__name"), F.col("__uuid"), result, F.col("__score"), label)
@@ -148,35 +150,45 @@ def distance_match(
     row; (long, lat) columns on both sides. One row a row; no candidate is NO with nothing else.
 
     Rows and records at one spot are folded: spots are paired, each spot with a row is a block whose
-    candidates are the distinct names around it, and a name is matched once a spot.
+    candidates are the distinct names around it, and a name is matched once a spot. Pairs are grouped in the tasks
+    that make them, so what is shuffled are spots with their records, not pairs.
     """
-    df = df.drop(*match_columns(name))
+    df, match = spread(df).drop(*match_columns(name)), spread(match)
     table = match.withColumn(f"{match_name}_cleaned", preclean(F.col(match_name)))
     if f"{match_name}_uuid" not in table.columns:
         table = table.withColumn(f"{match_name}_uuid", code_of(unique_key(code_columns)))
     theirs = table.select(F.col(f"{match_name}_cleaned").alias("clean"), F.col(f"{match_name}_uuid").alias("uuid"), F.col(match_order).cast("long").alias("pos"), F.col(match_point[0]).alias("__mlon"), F.col(match_point[1]).alias("__mlat")).filter("clean <> ''")
-    theirs = checkpointed(theirs.groupBy("__mlon", "__mlat", "clean", "uuid").agg(F.min("pos").alias("pos")))
+    theirs = stored(theirs.groupBy("__mlon", "__mlat", "clean", "uuid").agg(F.min("pos").alias("pos")))
     lon, lat = F.col(point[0]), F.col(point[1])
     spot = F.when(lon.isNotNull() & lat.isNotNull(), F.concat_ws(" ", lon.cast("string"), lat.cast("string")))
     own = df.withColumns({"__block": spot, "__clean": preclean(F.col(name))})
-    names = checkpointed(own.filter("__block is not null").groupBy("__block", "__clean").agg(F.first(lon).alias("__lon"), F.first(lat).alias("__lat")))
+    names = stored(own.filter("__block is not null").groupBy("__block", "__clean").agg(F.first(lon).alias("__lon"), F.first(lat).alias("__lat")))
     spots = names.groupBy("__block").agg(F.first("__lon").alias("__lon"), F.first("__lat").alias("__lat"))
-    around = near_pairs(spots, theirs.select("__mlon", "__mlat").distinct(), metres, ("__lon", "__lat"), ("__mlon", "__mlat")).select(F.col("__block").alias("block"), "__mlon", "__mlat")
-    single = around.join(theirs, ["__mlon", "__mlat"]).groupBy("block", "clean", "uuid").agg(F.min("pos").alias("pos"))
-    candidates = checkpointed(single.groupBy("block", "clean").agg(F.min("pos").alias("pos"), joined_values(F.col("uuid"), F.col("pos")).alias("uuid")))
+    # the records of a spot travel as one list, and are told apart where the pairs are made
+    places = theirs.groupBy("__mlon", "__mlat").agg(F.collect_list(F.struct("clean", "uuid", "pos")).alias("__l"))
+    around, cut = keyed_pairs(spots, places, metres, ("__lon", "__lat"), ("__mlon", "__mlat"), most_pairs=SPOT_PAIRS)
+    single = around.select(*cut, F.col("__block").alias("block"), F.explode("__l").alias("r")).groupBy(*cut, "block", "r.clean").agg(F.min("r.pos").alias("pos"))
+    candidates = stored(single.select("block", "clean", "pos"))
     asked = names.select(F.col("__block").alias("block"), F.col("__clean").alias("clean"))
     # the few names around most spots are one list; where they are more than a group, blocks are cut
     counts = candidates.groupBy("block").agg(F.count("*").alias("n"))
     crowded = counts.filter(F.col("n") > GROUP).select("block")
     few = candidates.join(counts.filter(F.col("n") <= GROUP).select("block"), "block", "left_semi")
     listed = few.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("pos", "clean"))).alias("l"))
-    matched = asked.join(listed, "block").withColumn("m", cascade(measure)(F.col("clean"), F.transform("l", lambda x: x["clean"])))
+    # scores take long for few bytes
+    matched = spread(asked.join(listed, "block")).withColumn("m", cascade(measure)(F.col("clean"), F.transform("l", lambda x: x["clean"])))
     found = matched.select("block", "clean", "m.name", "m.score", "m.method", "m.result")
     if not crowded.isEmpty():
         found = found.unionByName(best_in_blocks(asked.join(crowded, "block", "left_semi"), candidates.join(crowded, "block", "left_semi"), measure))
-    coded = found.join(candidates.select("block", F.col("clean").alias("name"), "uuid"), ["block", "name"], "left")
+    found = stored(found)
+    # codes are gathered for the names that were found, not for all candidates: asked around the spots once more
+    wanted = found.filter("name is not null").groupBy("block").agg(F.collect_set("name").alias("__names")).join(spots, F.col("block") == F.col("__block")).select("__block", "__names", "__lon", "__lat")
+    around, cut = keyed_pairs(wanted, places, metres, ("__lon", "__lat"), ("__mlon", "__mlat"), most_pairs=SPOT_PAIRS)
+    records = around.select(*cut, F.col("__block").alias("block"), F.explode(F.filter("__l", lambda x: F.array_contains("__names", x["clean"]))).alias("r"))
+    codes = records.groupBy(*cut, "block", "r.clean", "r.uuid").agg(F.min("r.pos").alias("pos")).groupBy(*cut, "block", "clean").agg(joined_values(F.col("uuid"), F.col("pos")).alias("uuid"))
+    coded = found.join(codes.select("block", F.col("clean").alias("name"), "uuid"), ["block", "name"], "left")
     coded = coded.select(F.col("block").alias("__fb"), F.col("clean").alias("__fc"), *[F.col(c).alias(f"__{c}") for c in ("name", "score", "method", "result", "uuid")])
-    joined = joined_by_key(own, checkpointed(coded), {"__block": "__fb", "__clean": "__fc"})
+    joined = joined_by_key(own, stored(coded), {"__block": "__fb", "__clean": "__fc"})
     result = F.coalesce(F.col("__result"), F.lit("NO"))
     radius = int(metres) if float(metres).is_integer() else metres
     # matched or not, the name is the best candidate's
@@ -195,7 +207,7 @@ def resolve_by_best_match(df: DataFrame, uuid: str, row_id: str, kind: str, scor
     one = df.join(top, (F.col(uuid) == F.col("__u")) & (F.col(kind) == F.col("__k")) & (F.col(result) == F.col("__r")), "left")
     one = one.withColumn(result, F.when(F.col(score).eqNullSafe(F.col("__max")) & F.col("__max").isNotNull(), F.col(result)).otherwise("NO")).drop("__u", "__k", "__r", "__max")
     rank = F.when(F.contains(F.col(kind), F.lit("partial")), 0).when(F.contains(F.col(kind), F.lit("identical")), 2).otherwise(1)
-    ranked = checkpointed(one.withColumn("__rank", F.coalesce(rank, F.lit(1))))
+    ranked = stored(one.withColumn("__rank", F.coalesce(rank, F.lit(1))))
     best = ranked.filter(F.col(uuid).isNotNull()).groupBy(F.col(uuid).alias("__u"), F.col(result).alias("__r")).agg(F.max("__rank").alias("__max"))
     two = ranked.join(best, (F.col(uuid) == F.col("__u")) & (F.col(result) == F.col("__r")), "left")
     two = two.withColumn(result, F.when(F.col("__rank") == F.col("__max"), F.col(result)).otherwise("NO")).drop("__u", "__r", "__max", "__rank")
@@ -212,15 +224,15 @@ def resolve_by_attribute(df: DataFrame, row_id: str, uuid: str, part: str, resul
     names = [f"__m{i}" for i in range(len(match_columns_))]
     first = match.groupBy(F.col(match_uuid).alias("__u")).agg(F.min_by(F.struct(*[F.col(c).alias(n) for c, n in zip(match_columns_, names, strict=True)]), match_order).alias("__s"))
     joined = joined_by_key(df, first.select("__u", "__s.*"), {part: "__u"})
-    scored = checkpointed(joined.withColumn("__n", overlap(columns, names)).drop("__u", *names))
+    scored = stored(joined.withColumn("__n", overlap(columns, names)).drop("__u", *names))
     ids = scored.filter(F.col(result) == "YES").groupBy(F.col(row_id).alias("__i")).agg(F.count("*").alias("c")).filter("c > 1 and __i is not null").select("__i")
     top = scored.join(ids, F.col(row_id) == F.col("__i"), "left_semi").groupBy(F.col(row_id).alias("__i")).agg(F.max("__n").alias("__max"))
     marked = scored.join(top, F.col(row_id) == F.col("__i"), "left")
-    kept = checkpointed(marked.filter(F.col("__max").isNull() | (F.col("__n") == F.col("__max"))))
+    kept = stored(marked.filter(F.col("__max").isNull() | (F.col("__n") == F.col("__max"))))
     single = kept.filter(F.col("__max").isNotNull()).groupBy(F.col("__i").alias("__j"), F.col(part).alias("__part")).agg(F.min(order).alias("__first"))
     lists = single.groupBy("__j").agg(joined_values(F.col("__part"), F.col("__first")).alias("__list"))
     one = kept.join(lists, F.col("__i") == F.col("__j"), "left").withColumn(uuid, F.coalesce("__list", uuid)).drop("__i", "__max", "__j", "__list")
-    one = checkpointed(one)
+    one = stored(one)
     parts = one.filter((F.col(result) == "YES") & F.col(part).isNotNull() & (F.col(part) != " ")).groupBy(F.col(part).alias("__p")).agg(F.count("*").alias("c")).filter("c > 1").select("__p")
     held = one.join(parts, F.col(part) == F.col("__p"), "left_semi").groupBy(F.col(part).alias("__p"), F.col(row_id).alias("__i")).agg(F.max("__n").alias("__n"))
     best = held.groupBy("__p").agg(F.max("__n").alias("__max"))
@@ -277,12 +289,12 @@ def resolve_by_distance(df: DataFrame, row_id: str, part: str, result: str, poin
     """First, ids with more than one YES row keep their nearest part if it is within ``metres``, and
     lose the rows of the others. Then, parts with more than one YES row keep their nearest id, if
     near enough, as YES; the other rows become NO."""
-    measured = checkpointed(match_distance(df, part, point, match, match_uuid, match_point, match_order, "__d"))
+    measured = stored(match_distance(df, part, point, match, match_uuid, match_point, match_order, "__d"))
     yes = F.col(result) == "YES"
     ids = measured.filter(yes).groupBy(F.col(row_id).alias("__i")).agg(F.count("*").alias("c"), F.min_by(F.struct("__d", F.col(part).alias("p")), F.struct(F.col("__d").isNull(), "__d", order)).alias("b")).filter("c > 1")
     near = ids.filter(F.col("b.__d") * 1000 <= metres).select("__i", F.col("b.p").alias("__keep"))
     one = measured.join(near, F.col(row_id) == F.col("__i"), "left").filter(F.col("__keep").isNull() | (F.col(part) == F.col("__keep"))).drop("__i", "__keep")
-    one = checkpointed(one)
+    one = stored(one)
     parts = one.filter(yes & (F.col(part) != " ")).groupBy(F.col(part).alias("__p")).agg(F.count("*").alias("c"), F.min_by(F.struct("__d", F.col(row_id).alias("i")), F.struct(F.col("__d").isNull(), "__d", order)).alias("b")).filter("c > 1")
     won = parts.filter(F.col("b.__d") * 1000 <= metres).select("__p", F.col("b.i").alias("__win"))
     two = one.join(won, F.col(part) == F.col("__p"), "left")

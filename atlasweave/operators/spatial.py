@@ -40,19 +40,27 @@ def _cells(df: DataFrame, lon: str, lat: str, metres: float, around: bool) -> Da
 def near_pairs(left: DataFrame, right: DataFrame, metres: float, left_point: tuple[str, str], right_point: tuple[str, str], out: str = "dist_km") -> DataFrame:
     """All pairs within ``metres`` (points are (long, lat) columns; the tables share no column name),
     with the unrounded distance in km. Rows without a point (null, NaN) pair with nothing."""
+    pairs, key = keyed_pairs(left, right, metres, left_point, right_point, out)
+    return pairs.drop(*key)
+
+
+def keyed_pairs(left: DataFrame, right: DataFrame, metres: float, left_point: tuple[str, str], right_point: tuple[str, str], out: str = "dist_km", most_pairs: int | None = None) -> tuple[DataFrame, list[str]]:
+    """:func:`near_pairs` with the columns by which its tasks are cut. All pairs of a left row have the same values of
+    these, so groups of such a row that are made with them need no shuffle of pairs."""
+    bar = PAIRS if most_pairs is None else most_pairs
     a = _cells(left.filter(geo.is_point(*map(F.col, left_point))), *left_point, metres, False)
     b = _cells(right.filter(geo.is_point(*map(F.col, right_point))), *right_point, metres, True)
     na, nb = (t.groupBy("__row", "__col").agg(F.count("*").alias(n)) for t, n in ((a, "__na"), (b, "__nb")))
     met = stored(na.join(nb, ["__row", "__col"]).select("__row", "__col", (F.col("__na") * F.col("__nb")).alias("__n")))
     total, most = met.agg(F.sum(F.col("__n").cast("double")), F.max("__n")).first()
-    tasks, key = min(TASKS, max(1, math.ceil((total or 0) / PAIRS))), ["__row", "__col"]
-    if (most or 0) > PAIRS:  # rows of crowded cells are dealt, the others copied to each part
-        parts = met.select("__row", "__col", F.ceil(F.col("__n") / PAIRS).cast("int").alias("__parts"))
+    tasks, key = min(TASKS, max(1, math.ceil((total or 0) / bar))), ["__row", "__col"]
+    if (most or 0) > bar:  # rows of crowded cells are dealt, the others copied to each part
+        parts = met.select("__row", "__col", F.ceil(F.col("__n") / bar).cast("int").alias("__parts"))
         a = a.join(parts, key).withColumn("__part", F.pmod(F.monotonically_increasing_id(), F.col("__parts")).cast("int")).drop("__parts")
         b = b.join(parts, key).withColumn("__part", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1))).drop("__parts")
         key = [*key, "__part"]
     pairs = a.repartition(tasks, *key).join(b.repartition(tasks, *key), key).withColumn(out, geo.haversine_km(F.col(left_point[0]), F.col(left_point[1]), F.col(right_point[0]), F.col(right_point[1])))
-    return pairs.filter(F.col(out) * 1000 <= metres).drop(*key)
+    return pairs.filter(F.col(out) * 1000 <= metres), key
 
 
 def clusters(df: DataFrame, row_id: str, lon: str, lat: str, metres: float, out: str | None = None, min_samples: int = 2) -> DataFrame:
@@ -111,11 +119,13 @@ def check_by_admin(points: DataFrame, row_id: str, lon: str, lat: str, name: str
     own = boundary.select(F.col(boundary_name).alias("__b_name"), F.col(ring).alias("__b_ring"), F.col(order).alias("__b_order"))
     near = nearest_polygon(points, row_id, lon, lat, own, "__b_ring", "__b_order", metres, f"dist_to_{prefix}")
     near = near.withColumn(f"{prefix}_clean", F.when(F.col("__b_name").isNotNull(), preclean(F.col("__b_name"))))
+    # several steps read it: polygons are looked for once
+    near = stored(near.drop("__b_ring"))
     # the measures run once for each pair of names, not for each row
     pairs = near.select(F.col(name).alias("__a"), F.col(f"{prefix}_clean").alias("__c")).filter("__a <> '' and __c <> ''").distinct()
     scored = pairs.withColumn("__yes", (pair_measure("seq_ratio")("__a", "__c") >= 75) | (pair_measure("seq_token_set_ratio")("__a", "__c") >= 98))
     joined = joined_by_key(near, stored(scored), {name: "__a", f"{prefix}_clean": "__c"})
-    return joined.withColumn(f"{prefix}Match", F.when(F.col("__yes"), "YES").otherwise("NO")).drop("__a", "__c", "__yes", "__b_name", "__b_ring", "__b_order")
+    return joined.withColumn(f"{prefix}Match", F.when(F.col("__yes"), "YES").otherwise("NO")).drop("__a", "__c", "__yes", "__b_name", "__b_order")
 
 
 def check_by_settlement(points: DataFrame, row_id: str, lon: str, lat: str, settlements: DataFrame, ring: str, order: str, kind: str, metres: float = 100_000.0, outside: float = 250.0) -> DataFrame:
