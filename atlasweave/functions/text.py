@@ -74,8 +74,8 @@ def preclean(c: Column, remove_accent: bool = True) -> Column:
     for pattern, by in ((r" And\b", " and"), (r"`S\b", " `s"), (r" Iii\b", " 3"), (r" Ii\b", " 2"), (r" I\b", " 1"), (r" Iv\b", " 4"), (r" V\b", " 5")):
         c = F.regexp_replace(c, pattern, by)
     c = F.regexp_replace(c, "([0-9]+)", " $1 ")
-    c = F.regexp_replace(c, r"\.", "")
-    return squeeze(F.regexp_replace(c, "[^a-zA-Z0-9()']", " "))
+    # a run of signs is one space, so there is one at either end at most
+    return F.trim(F.regexp_replace(F.replace(c, F.lit("."), F.lit("")), "[^a-zA-Z0-9()']+", " "))
 
 
 def correct_spelling(c: Column, dictionary: Mapping[str, Iterable[str]]) -> Column:

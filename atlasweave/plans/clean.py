@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from atlasweave.functions import text
 from atlasweave.functions.ids import with_required_fields
 from atlasweave.functions.similarity import best_of, seq_ratio
+from atlasweave.session import spread
 from atlasweave.sources.dictionaries import Dictionaries, admin_label, poi_labels
 from atlasweave.sources.tables import check_columns
 
@@ -59,10 +60,11 @@ def map_type(df: DataFrame, column: str, out: str, score: str, dictionary: Dicti
 
 
 def clean(df: DataFrame, config: CleanConfig, dictionary: Dictionaries) -> DataFrame:
-    """``df`` with standard boundary names, name, type, scores, metadata and checks, without a shuffle."""
+    """``df`` with standard boundary names, name, type, scores, metadata and checks. One shuffle deals
+    the rows over all cores, since cleaning takes long for few bytes."""
     check_columns(df, "input", [config.name, config.type, config.lat, config.long, *config.boundaries.values()])
     name, kind = poi_labels(config.poi_kind)
-    out = text.with_standard_names(df, {c: admin_label(config.iso, level) for level, c in sorted(config.boundaries.items()) if c})
+    out = text.with_standard_names(spread(df), {c: admin_label(config.iso, level) for level, c in sorted(config.boundaries.items()) if c})
     out = out.withColumn("clean_name", text.preclean(F.col(config.name)))
     out = out.withColumn("corrected_name", text.correct_spelling(F.col("clean_name"), dictionary.spelling))
     out = out.withColumn("corrected_name", text.clean_type_info(F.col("corrected_name"), dictionary.types, dictionary.abbreviations))
