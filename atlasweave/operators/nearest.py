@@ -21,7 +21,7 @@ from pyspark.sql.types import ArrayType
 from atlasweave.functions import geo
 from atlasweave.functions.ids import fresh_names
 from atlasweave.operators.skew import joined_by_key
-from atlasweave.session import checkpointed
+from atlasweave.session import spread, stored
 
 METRES_PER_DEGREE = geo.EARTH_KM * 1000 * math.pi / 180
 #: Polygons, and corners of polygons, of a tile on average; more only where there would be over TILES tiles.
@@ -176,7 +176,7 @@ def nearest_candidates(spots: DataFrame, boxed: DataFrame, n: int, metres: float
     """(lon, lat, tile, pid, rank, d, measured): the best polygon of every one of ``n`` tiles that each of the distinct
     ``spots(lon, lat)`` had to ask, with how many polygons were measured there."""
     placed = boxed.withColumn("curve", _curve((F.col("x0") + F.col("x1")) / 2, (F.col("y0") + F.col("y1")) / 2))
-    tiles = checkpointed(placed.repartitionByRange(n, "curve", "pid").withColumn("tile", F.spark_partition_id()).drop("curve"))
+    tiles = stored(placed.repartitionByRange(n, "curve", "pid").withColumn("tile", F.spark_partition_id()).drop("curve"))
     listed = sorted(map(tuple, tiles.groupBy("tile").agg(F.min("x0"), F.min("y0"), F.max("x1"), F.max("y1")).collect()))  # at most TILES rows
     names = np.array([r[0] for r in listed], np.int32)
     boxes = Boxes(*[np.array([r[k] for r in listed], float) for k in (1, 2, 3, 4)])
@@ -200,8 +200,8 @@ def nearest_candidates(spots: DataFrame, boxed: DataFrame, n: int, metres: float
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, (pa.float64(), pa.float64(), pa.int32(), pa.float64()), strict=True)], ["lon", "lat", "tile", "d"])
 
     schema = "lon double, lat double, tile int, d double"
-    found = checkpointed(_asked(checkpointed(spots.select(F.col("lon").cast("double"), F.col("lat").cast("double")).mapInArrow(first, schema)), tiles))
-    more = checkpointed(found.select("lon", "lat", "tile", "d").mapInArrow(others, schema))
+    found = stored(_asked(stored(spots.select(F.col("lon").cast("double"), F.col("lat").cast("double")).mapInArrow(first, schema)), tiles))
+    more = stored(found.select("lon", "lat", "tile", "d").mapInArrow(others, schema))
     return found.unionByName(_asked(more, tiles))
 
 
@@ -211,11 +211,11 @@ def nearest_polygon(points: DataFrame, row_id: str, lon: str, lat: str, polygons
 
     ``ring`` is any column that :func:`polygon_rings` takes. Distances are flat around the point, across the
     180th meridian as well; polygons without a corner and rows without a point (null, NaN) meet nothing.
-    Polygons that fill one tile, of bounded size, are broadcast, and points stay where they are; else
+    Polygons that fill one tile, of bounded size, are broadcast, and points are dealt over all cores; else
     points at one spot ask once.
     """
     x, y, d, best, pid, named = fresh_names([*points.columns, *polygons.columns, out], 6)
-    numbered = checkpointed(polygons.withColumn(pid, F.monotonically_increasing_id()))
+    numbered = stored(polygons.withColumn(pid, F.monotonically_increasing_id()))
     boxed = _boxed(numbered, pid, order, ring)
     n = tile_count(boxed)
     there = geo.is_point(F.col(lon), F.col(lat))
@@ -231,16 +231,16 @@ def nearest_polygon(points: DataFrame, row_id: str, lon: str, lat: str, polygons
                 yield pd.DataFrame({"d": [r[1] if r[0] >= 0 else None for r in rows], "pid": pd.array([tile.pids[r[0]] if r[0] >= 0 else None for r in rows], "Int64")})
 
         place = lambda c: F.when(there, F.col(c).cast("double"))
-        asked = points.withColumn(best, nearest(place(lon), place(lat))).withColumns({d: F.col(f"{best}.d"), best: F.col(f"{best}.pid")})
+        asked = spread(points).withColumn(best, nearest(place(lon), place(lat))).withColumns({d: F.col(f"{best}.d"), best: F.col(f"{best}.pid")})
         made = asked.join(F.broadcast(parts), F.col(best) == F.col(pid), "left")
     else:
         spots = points.filter(there).select(F.col(lon).cast("double").alias("lon"), F.col(lat).cast("double").alias("lat")).groupBy("lon", "lat").agg(F.count("*").alias("rows"))
-        spots = checkpointed(spots)
+        spots = stored(spots)
         met = nearest_candidates(spots, boxed, n, metres).filter("pid is not null")
         least = met.groupBy("lon", "lat").agg(F.min_by(F.struct("d", "pid"), F.struct("d", "rank", "pid")).alias("s"))
         size = fresh_names([x, y, d, best, pid, named, *points.columns], 1)[0]
-        known = checkpointed(least.join(spots, ["lon", "lat"]).select(F.col("lon").alias(x), F.col("lat").alias(y), F.col("s.d").alias(d), F.col("s.pid").alias(best), F.col("rows").alias(size)))
+        known = stored(least.join(spots, ["lon", "lat"]).select(F.col("lon").alias(x), F.col("lat").alias(y), F.col("s.d").alias(d), F.col("s.pid").alias(best), F.col("rows").alias(size)))
         asked = joined_by_key(points, known, {lon: x, lat: y}, size)
         counted = known.groupBy(F.col(best).alias(pid)).agg(F.sum(size).alias(size))
-        made = joined_by_key(asked, checkpointed(parts.join(counted, pid)), {best: pid}, size)
+        made = joined_by_key(asked, stored(parts.join(counted, pid)), {best: pid}, size)
     return made.select(*[F.col(f"`{c}`") for c in points.columns], *[F.col(named).getField(c).alias(c) for c in polygons.columns], F.col(d).alias(out))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from atlasweave.operators import linkage, tables
-from atlasweave.session import checkpointed
+from atlasweave.session import spread, stored
 from atlasweave.sources.tables import check_columns
 
 
@@ -43,6 +43,7 @@ def match(df: DataFrame, other: DataFrame, config: MatchConfig) -> tuple[DataFra
     c = config
     check_columns(df, "input", [c.row_id, c.name])
     check_columns(other, "match table", [c.match_order, c.match_name])
+    df, other = spread(df), spread(other)
     a1, a2, kind = c.admin1, c.admin2, c.type
     m1, m2, mkind = c.match_admin1, c.match_admin2, c.match_type
     if a1 not in df.columns:
@@ -60,16 +61,16 @@ def match(df: DataFrame, other: DataFrame, config: MatchConfig) -> tuple[DataFra
     table = other
     for column, levels in ((m1, []), (m2, [f"{m1}_cleaned"])):
         table = linkage.with_match_code(table, column, levels, None)
-    table = checkpointed(linkage.with_match_code(table, mname, [f"{m1}_cleaned", f"{m2}_cleaned"], mkind))
+    table = stored(linkage.with_match_code(table, mname, [f"{m1}_cleaned", f"{m2}_cleaned"], mkind))
     left, done, rest = table, [], df
     if c.by_distance:
-        near = checkpointed(linkage.distance_match(df, c.row_id, name, c.point, table, mname, c.match_point, c.match_order, [], c.metres))
+        near = stored(linkage.distance_match(df, c.row_id, name, c.point, table, mname, c.match_point, c.match_order, [], c.metres))
         done.append(near.filter(F.col(result) == "YES"))
         left = linkage.excluded(table, muuid, near, uuid, (F.col(score) >= c.least_score) & (F.col(result) == "YES"))
         rest = near.filter(F.col(result) == "NO")
 
-    rest = checkpointed(linkage.block_match(rest, a1, table, m1, c.match_order))
-    rest = checkpointed(linkage.block_match(rest, a2, table, m2, c.match_order, "admin1", [f"{a1}_updated"], [f"{m1}_cleaned"]))
+    rest = stored(linkage.block_match(rest, a1, table, m1, c.match_order))
+    rest = stored(linkage.block_match(rest, a2, table, m2, c.match_order, "admin1", [f"{a1}_updated"], [f"{m1}_cleaned"]))
     admin2 = ([f"{a1}_updated", f"{a2}_updated"], [f"{m1}_cleaned", f"{m2}_cleaned"])
     inside = rest.filter(F.col(f"{a2}_match_result") == "YES")
     attributes, match_attributes = [a1, a2, kind], [m1, m2, mkind]
@@ -79,31 +80,31 @@ def match(df: DataFrame, other: DataFrame, config: MatchConfig) -> tuple[DataFra
         by_attribute = linkage.resolve_by_attribute(rows, c.row_id, uuid, part, result, attributes, table, muuid, match_attributes, c.match_order, c.row_id)
         return linkage.resolve_by_best_match(by_attribute, part, c.row_id, method, score, result, uuid)
 
-    pass1 = checkpointed(linkage.block_match(inside, name, left, mname, c.match_order, "admin2", *admin2, mkind))
+    pass1 = stored(linkage.block_match(inside, name, left, mname, c.match_order, "admin2", *admin2, mkind))
     yes1 = pass1.filter(F.col(result) == "YES")
     if c.by_distance:
         yes1 = linkage.resolve_composite_by_distance(yes1, uuid, result, c.point, table, muuid, c.match_point, c.match_order, c.row_id, c.metres)
-    single = checkpointed(resolved(tables.expand(yes1, uuid, part)))
+    single = stored(resolved(tables.expand(yes1, uuid, part)))
     kept_ids = single.filter(F.col(result) == "YES").select(c.row_id).distinct()
     lost_ids = tables.drop_where(single.filter(F.col(result) == "NO").select(c.row_id).distinct(), kept_ids, c.row_id)
     left = linkage.excluded(left, muuid, single, part, (F.col(result) == "YES") & (F.col(score) >= c.least_score))
 
     again = tables.keep_where(inside, lost_ids, c.row_id)
-    pass2 = checkpointed(linkage.block_match(again, name, left, mname, c.match_order, "admin2", *admin2, mkind))
+    pass2 = stored(linkage.block_match(again, name, left, mname, c.match_order, "admin2", *admin2, mkind))
     yes2 = pass2.filter(F.col(result) == "YES")
     left = linkage.excluded(left, muuid, yes2, uuid, F.col(score) >= c.least_score)
     done += [tables.keep_where(yes1, kept_ids, c.row_id), yes2]
 
     wider = tables.union_all([rest.filter(F.col(f"{a2}_match_result") == "NO"), pass1.filter(F.col(result) == "NO"), pass2.filter(F.col(result) == "NO")])
     last = linkage.block_match(wider, name, left, mname, c.match_order, "admin1", [f"{a1}_updated"], [f"{m1}_cleaned"], mkind)
-    merged = checkpointed(tables.union_all([*done, last]).withColumn("orig_result", F.col(result)))
+    merged = stored(tables.union_all([*done, last]).withColumn("orig_result", F.col(result)))
 
     out = tables.expand(merged, uuid, part)
     if c.by_distance:
         out = linkage.resolve_by_distance(out, c.row_id, part, result, c.point, table, muuid, c.match_point, c.match_order, c.row_id, c.metres)
         out = linkage.match_distance(out, part, c.point, table, muuid, c.match_point, c.match_order)
-    out = checkpointed(resolved(checkpointed(out)))
+    out = stored(resolved(stored(out)))
     out = out.withColumns({part: F.coalesce(part, F.lit(" ")), uuid: F.coalesce(uuid, F.lit(" "))})
     out = tables.with_group_size(tables.with_group_size(out, [part], "one_to_many_dup"), [c.row_id], "many_to_one_dup")
-    out = checkpointed(out)
+    out = stored(out)
     return tables.drop_prefixed(out, "dummy"), tables.drop_prefixed(linkage.with_is_match(table, muuid, out, part, result), "dummy")
