@@ -30,7 +30,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     Alternating large and small stars: each round is two joins on a key's minimum, which is
     aggregated before the shuffle; the minima of hubs are broadcast, a bounded number of them, so
     the edges of a hub stay where they are. Rounds grow with the logarithm of the number of nodes.
-    Every round is checkpointed. Loops (u = v), repeated and null edges are ignored; no edges
+    Every round is stored. Loops (u = v), repeated and null edges are ignored; no edges
     give an empty result.
     """
     known = edges.filter("u is not null and v is not null and u <> v")

@@ -220,7 +220,7 @@ def resolve_by_attribute(df: DataFrame, row_id: str, uuid: str, part: str, resul
     ``uuid`` becomes those parts joined. Then, of parts with more than one YES row a single id that
     shares most leaves all rows of the other ids NO.
 
-    Tables that several steps read are checkpointed, so that nothing is worked out twice."""
+    Tables that several steps read are stored, so that nothing is worked out twice."""
     names = [f"__m{i}" for i in range(len(match_columns_))]
     first = match.groupBy(F.col(match_uuid).alias("__u")).agg(F.min_by(F.struct(*[F.col(c).alias(n) for c, n in zip(match_columns_, names, strict=True)]), match_order).alias("__s"))
     joined = joined_by_key(df, first.select("__u", "__s.*"), {part: "__u"})

@@ -16,7 +16,7 @@ from atlasweave.session import stored
 def with_row_id(df: DataFrame, order: Sequence[str], out: str = "_rid") -> DataFrame:
     """Numbers rows from 0 in the order of ``order``. The sort is by ranges, so no task sees all
     rows: each partition counts its rows, and offsets are added to numbers within partitions. The
-    sorted table is checkpointed, since a number refers to the partition that gave it."""
+    sorted table is stored, since a number refers to the partition that gave it."""
     ordered = df.withColumn("__o", F.struct(*order)).repartitionByRange("__o").sortWithinPartitions("__o")
     placed = stored(ordered.withColumn("__p", F.spark_partition_id()).withColumn("__n", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
     sizes = placed.groupBy("__p").agg(F.count("*").alias("__c"))

@@ -38,7 +38,7 @@ def match(df: DataFrame, other: DataFrame, config: MatchConfig) -> tuple[DataFra
     Order: by distance if asked for; admin1, then admin2 within admin1, both on the whole match table;
     names within admin2; losers of duplicates once more within admin2, without the records that are
     taken; what is left within admin1; then duplicates over everything. Tables that several later
-    steps read are checkpointed, so that names are scored once.
+    steps read are stored, so that names are scored once.
     """
     c = config
     check_columns(df, "input", [c.row_id, c.name])

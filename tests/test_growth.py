@@ -38,3 +38,12 @@ def test_rows_of_one_file_are_dealt_to_all_cores(spark):
     points = rows.select(F.col("id").alias("k"), (F.col("id") * 0.001).alias("lon"), F.lit(0.0).alias("lat"), F.lit("Box").alias("own"))
     box = spark.createDataFrame([(1, "Box", [(0.0, -0.1), (1.0, -0.1), (1.0, 0.1), (0.0, 0.1)])], "bid long, nm string, ring array<struct<x:double,y:double>>")
     assert tasks(spatial.check_by_admin(points, "k", "lon", "lat", "own", box, "ring", "bid", "nm", "b").select("bMatch", "k")) > 4
+
+
+def test_pairs_of_a_row_stay_in_one_task(spark, monkeypatch):
+    left = spark.range(80).select(F.col("id").alias("a"), (F.col("id") % 9 * 0.0001).alias("x"), (F.col("id") % 7 * 0.0001).alias("y"))
+    right = spark.range(70).select(F.col("id").alias("b"), (F.col("id") % 8 * 0.0001).alias("x2"), (F.col("id") % 5 * 0.0001).alias("y2"))
+    pairs, key = spatial.keyed_pairs(left, right, 60, ("x", "y"), ("x2", "y2"), most_pairs=100)
+    placed = pairs.withColumn("task", F.spark_partition_id()).groupBy("a").agg(F.countDistinct("task", *key).alias("n"), F.count("*").alias("pairs"))
+    assert {r["n"] for r in placed.collect()} == {1}
+    assert key[-1] == "__part" and pairs.count() == spatial.near_pairs(left, right, 60, ("x", "y"), ("x2", "y2")).count()
