@@ -5,10 +5,11 @@ share the root, whose customers are their tables and whose dishes come from a un
 draws how many tables each dish of each restaurant has, given the restaurant's other tables and the
 parent's predictive probabilities, then the root's. Predictive probabilities are averaged over sweeps.
 
-Restaurants are dealt to shards by context and stored in buckets, with the places of all documents' tokens;
-frequent contexts are dealt by pair, and frequent pairs by block of documents. The root is dealt by word. A
-round passes two messages: shards tell the root how many tables serve a word, the root answers with its own
-counts. Documents are scored in the shards, and the shards' sums meet by block of documents.
+Restaurants are dealt to shards by context, merged over all blocks of documents and stored in buckets, with
+the places of every block's pairs among them; frequent contexts are dealt by pair, and frequent pairs by
+block. Common words are known to all tasks and go by rank, others by hash. The root is dealt by word. A round
+passes two messages: shards tell the root how many tables serve a word, the root answers with its own counts.
+Shards score the pairs of a block, and the block, which keeps the documents of its tokens, sums them up.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -33,11 +35,15 @@ from atlasweave.llm.common import no_cycle_collection, read_table, shared_path,
 BLOCK, SHARD = 4_000_000, 2_200_000
 #: Documents of a block.
 MOST_DOCS = 30_000
+#: Words with this share of all tokens or more are common.
+COMMON = 2e-6
+#: Lowest bits of a score that aren't sent: 36 of a double's 52 bits behind the point are, a relative error under 7.3e-12.
+CUT = np.uint64(16)
 #: Dishes up to this many customers are seated by exact weights, others by their limit.
 EXACT = 64
 #: The end of a text, which is also what stands before its first word. No word is empty.
 END = b""
-ROWS = "shard int, block long, data binary, n array<int>"
+ROWS = "shard int, block long, pairs binary, places binary, n array<int>"
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -88,6 +94,15 @@ def climbed(x: np.ndarray) -> np.ndarray:
     return np.cumsum(x, dtype=np.uint64)
 
 
+def short(x: np.ndarray) -> np.ndarray:
+    """Doubles, rounded to the bits above CUT, as whole numbers."""
+    return (x.view(np.uint64) + (np.uint64(1) << (CUT - np.uint64(1)))) >> CUT
+
+
+def long(x: np.ndarray) -> np.ndarray:
+    return (x.astype(np.uint64) << CUT).view(np.float64)
+
+
 class Seats:
     """Numbers of tables of dishes under a discount."""
 
@@ -186,46 +201,81 @@ def as_hash(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x, np.int64).view(np.uint64)
 
 
-class Part:
-    """Pairs of a block in a shard: ``u`` and ``w`` of each, ``n`` tokens that are learned from, ``m`` tokens in all, and
-    the places ``d`` of their documents, pair by pair. Stored by context, as a list of words and places in it."""
+def firsts(x: np.ndarray) -> np.ndarray:
+    """Where sorted numbers change."""
+    return np.flatnonzero(np.diff(x, prepend=x[:1] - 1))
 
-    def __init__(self, data: bytes):
-        contexts, follow, words, moves, self.n, self.m, self.d = unpacked(data)
-        moves = moves.astype(np.int64)
-        self.u, self.w = np.repeat(climbed(contexts), follow), climbed(words)[np.cumsum((moves >> 1) ^ -(moves & 1))]
+
+class Part:
+    """Distinct pairs ``u``, ``w`` in rising order with ``n`` tokens each that are learned from. Words are the ranks of
+    common ones, then places among the part's others; ``known`` has the hashes of both."""
+
+    def __init__(self, data: bytes, common: np.ndarray):
+        rare, contexts, follow, moves, n = unpacked(data)
+        follow, ends = follow.astype(np.int64), np.cumsum(follow, dtype=np.int64)
+        sums = np.cumsum(moves, dtype=np.int64)
+        before = np.concatenate([np.zeros(1, np.int64), sums])[ends - follow]
+        self.u, self.w = np.repeat(np.cumsum(contexts, dtype=np.int64), follow), sums - np.repeat(before, follow)
+        self.n, self.rare = n.astype(np.int64), climbed(rare)
+        self.known = np.concatenate([common, self.rare])
 
     @staticmethod
-    def of(u: np.ndarray, w: np.ndarray, d: np.ndarray, trained: np.ndarray) -> bytes:
-        """From tokens sorted by context and word."""
-        new = np.flatnonzero(np.concatenate([[True], (np.diff(u) != 0) | (np.diff(w) != 0)]))
-        pair = u[new]
-        first = np.flatnonzero(np.concatenate([[True], np.diff(pair) != 0]))
-        words, at = np.unique(w[new], return_inverse=True)
-        moves = np.diff(at, prepend=0)
-        return packed(steps(pair[first]), np.diff(np.append(first, len(new))), steps(words), (moves << 1) ^ (moves >> 63), np.add.reduceat(trained.astype(np.int64), new), np.diff(np.append(new, len(u))), d)
+    def of(u: np.ndarray, w: np.ndarray, n: np.ndarray, rare: np.ndarray, common: int) -> bytes:
+        """From pairs whose numbers from ``common`` on are places among the sorted hashes ``rare``, of which those in
+        use are stored."""
+        first = firsts(u)
+        contexts = u[first]
+        used = np.unique(np.concatenate([contexts[contexts >= common], w[w >= common]]))
+        contexts, w = (np.where(x >= common, common + np.searchsorted(used, x), x) for x in (contexts, w))
+        moves = np.diff(w, prepend=0)
+        moves[first] = w[first]
+        return packed(steps(rare[used - common]), np.diff(contexts, prepend=0), np.diff(np.append(first, len(u))), moves, n)
+
+
+def merged(parts: list[bytes], common: np.ndarray) -> tuple[bytes, list[bytes]]:
+    """The pairs of all parts as one, and the places of each part's among them."""
+    own = [Part(data, common) for data in parts]
+    rare, keys, k = np.unique(np.concatenate([x.rare for x in own])), [], len(common)
+    for x in own:
+        number = np.concatenate([np.arange(k), k + np.searchsorted(rare, x.rare)])
+        keys.append((number[x.u] << 32) | number[x.w])
+    pairs, place = np.unique(np.concatenate(keys), return_inverse=True)
+    n = np.bincount(place, weights=np.concatenate([x.n for x in own]), minlength=len(pairs)).astype(np.int64)
+    places = np.split(place, np.cumsum([len(x) for x in keys])[:-1])
+    return Part.of(pairs >> 32, pairs & 0xFFFFFFFF, n, rare, k), [packed(np.diff(x, prepend=0)) for x in places]
 
 
 class Frequent:
-    """Contexts and pairs, sorted, that are dealt more finely."""
-
-    def __init__(self, contexts: np.ndarray, pairs: np.ndarray):
-        self.contexts, self.pairs = contexts, pairs
-
-    def shards(self, hashes: np.ndarray, u: np.ndarray, w: np.ndarray, block: int, n: int) -> np.ndarray:
+    """Contexts and pairs, sorted, that are dealt more finely, and the common words by falling frequency."""
+
+    def __init__(self, contexts: np.ndarray, pairs: np.ndarray, common: np.ndarray):
+        self.contexts, self.pairs, self.common = contexts, pairs, common
+        self.rank = np.argsort(common)
+
+    def numbers(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ranks of common words, places behind these of all others, and the others' hashes, sorted."""
+        at = of_sorted(self.common[self.rank], hashes)
+        found, rare = np.flatnonzero(at >= 0), np.unique(hashes[at < 0])
+        out = len(self.common) + np.searchsorted(rare, hashes)
+        out[found] = self.rank[at[found]]
+        return out, rare
+
+    def shards(self, hashes: np.ndarray, u: np.ndarray, w: np.ndarray, block: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Shards of pairs, and the shards that are home to the frequent ones."""
         out = (mixed(hashes) % np.uint64(n)).astype(np.int32)[u]
         crowded = np.flatnonzero((of_sorted(self.contexts, hashes) >= 0)[u])
         pair = paired(hashes[u[crowded]], hashes[w[crowded]])
         by_block = of_sorted(self.pairs, pair) >= 0
         out[crowded] = np.where(by_block, mixed(pair + np.uint64(block)), pair) % np.uint64(n)
-        return out
+        return out, np.unique(pair[by_block] % np.uint64(n)).astype(np.int64)
 
 
 def frequent(docs: DataFrame, size: int, bar: float) -> Frequent:
-    """Contexts and pairs with a share of tokens over about ``bar``, or 1 in 100,000 if that is more.
+    """Contexts and pairs with a share of tokens over about ``bar``, or 1 in 100,000 if that is more, and the words
+    with one over about COMMON.
 
     A block reports those over half that share of its own tokens, a bounded number; a word's reports
-    therefore lack no more than half the bar. So no more than 200,000 of each are collected."""
+    therefore lack no more than half the bar. So no more than 200,000 of each and 1,000,000 words are collected."""
     bar = max(bar, 1e-5)
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,19 +284,23 @@ def frequent(docs: DataFrame, size: int, bar: float) -> Frequent:
                 hashes, u, w, _, _ = block.pairs()
                 n = np.bincount(u, minlength=len(hashes))
                 often = n >= max(2, bar / 2 * len(u))
-                contexts, n, own = hashes[often], n[often], np.flatnonzero(often[u])
+                own = np.flatnonzero(often[u])
                 pairs, m = np.unique(paired(hashes[u[own]], hashes[w[own]]), return_counts=True)
                 often = m >= max(2, bar / 2 * len(u))
                 pairs, m = pairs[often], m[often]
+                often = n >= max(2, min(bar, COMMON) / 2 * len(u))
+                contexts, n = hashes[often], n[often]
                 kinds = [1] * len(contexts) + [2] * len(pairs) + [0]
                 yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(as_long(np.concatenate([contexts, pairs, np.zeros(1, np.uint64)]))), pa.array([*n.tolist(), *m.tolist(), len(u)], pa.int64())], ["kind", "key", "n"])
 
     totals = written(docs.mapInArrow(report, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")))
     whole = totals.filter("kind = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    found = {1: [], 2: []}
-    for r in totals.filter("kind > 0").filter(F.col("n") >= bar * whole / 2).select("kind", "key").collect():  # under 2 / bar of each kind
-        found[r[0]].append(r[1])
-    return Frequent(*[np.sort(as_hash(np.array(found[k], np.int64))) for k in (1, 2)])
+    bars = F.when(F.col("kind") == 1, min(bar, COMMON)).otherwise(bar)
+    found = totals.filter("kind > 0").filter(F.col("n") >= bars * whole / 2).select("kind", "key", "n").toArrow()  # under 2 / bar of each kind
+    kind, key, n = (found.column(i).to_numpy() for i in range(3))
+    key = as_hash(key)
+    words, of_word = key[kind == 1], n[kind == 1]
+    return Frequent(np.sort(words[of_word >= bar * whole / 2]), np.sort(key[kind == 2]), words[np.lexsort((words, -of_word))])
 
 
 def labels(spark: SparkSession, n: int) -> np.ndarray:
@@ -257,9 +311,15 @@ def labels(spark: SparkSession, n: int) -> np.ndarray:
     return np.array([r[1] for r in found], np.int32)
 
 
+def home_of(block: int, names: np.ndarray) -> int:
+    """The shard that keeps a block's documents."""
+    return int(names[int(mixed(np.array([block], np.uint64))[0]) % len(names)])
+
+
 def dealt(docs: DataFrame, often: Frequent, names: np.ndarray, size: int) -> DataFrame:
-    """A row of every block for every shard, with the pairs in ``data``, and one of shard -1 with the keys of its
-    documents in ``keys`` and their numbers of tokens in ``n``."""
+    """A row of every block for every shard with its ``pairs``, and one with the keys of its documents in ``keys``,
+    their numbers of tokens in ``n``, and in ``places`` the documents of all tokens, shard by shard and pair by pair, and how
+    many tokens each pair has."""
     kind = docs.schema[0].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast((often, names))
     keys = pa.list_(docs.limit(0).toArrow().schema.field(0).type)
@@ -270,27 +330,58 @@ def dealt(docs: DataFrame, often: Frequent, names: np.ndarray, size: int) -> Dat
             for count, block in enumerate(blocks(batches, size)):
                 number = (task << 24) + count
                 hashes, u, w, d, trained = block.pairs()
-                shard = often.shards(hashes, u, w, number, len(names))
-                order = np.argsort(shard, kind="stable")
-                starts = np.concatenate([[0], np.cumsum(np.bincount(shard, minlength=len(names)))])
-                own, parts = np.flatnonzero(np.diff(starts)), []
-                del shard
+                shard, homes = often.shards(hashes, u, w, number, len(names))
+                codes, rare = often.numbers(hashes)
+                pair = (codes[u] << 32) | codes[w]
+                order = np.argsort(pair)
+                order = order[np.argsort(shard[order].astype(np.min_scalar_type(len(names))), kind="stable")]
+                pair, shard = pair[order], shard[order]
+                new = np.flatnonzero((np.diff(pair, prepend=-1) != 0) | (np.diff(shard, prepend=-1) != 0))
+                n, m = np.add.reduceat(trained[order].astype(np.int64), new), np.diff(np.append(new, len(pair)))
+                places = packed(d[order], m)
+                pair, starts = pair[new], np.searchsorted(shard[new], np.arange(len(names) + 1))
+                del order, shard, d, trained, u, w
+                own, parts = np.union1d(np.flatnonzero(np.diff(starts)), homes), []
                 for k in own.tolist():
-                    some = order[starts[k] : starts[k + 1]]
-                    some = some[np.lexsort((hashes[w[some]], hashes[u[some]]))]
-                    parts.append(Part.of(hashes[u[some]], hashes[w[some]], d[some], trained[some]))
+                    some = slice(starts[k], starts[k + 1])
+                    parts.append(Part.of(pair[some] >> 32, pair[some] & 0xFFFFFFFF, n[some], rare, len(often.common)))
+                none = [None] * len(own)
                 arrays = [
-                    pa.array([*names[own].tolist(), -1], pa.int32()),
+                    pa.array([*names[own].tolist(), home_of(number, names)], pa.int32()),
                     pa.array([number] * (len(own) + 1), pa.int64()),
                     pa.array([*parts, None], pa.binary()),
-                    pa.array([None] * len(own) + [[len(t) for t in block.tokens]], pa.list_(pa.int32())),
-                    pa.array([None] * len(own) + [block.keys], keys),
+                    pa.array([*none, places], pa.binary()),
+                    pa.array([*none, [len(t) for t in block.tokens]], pa.list_(pa.int32())),
+                    pa.array([*none, block.keys], keys),
                 ]
-                yield pa.RecordBatch.from_arrays(arrays, ["shard", "block", "data", "n", "keys"])
+                yield pa.RecordBatch.from_arrays(arrays, ["shard", "block", "pairs", "places", "n", "keys"])
 
     return docs.mapInArrow(deal, f"{ROWS}, keys array<{kind}>")
 
 
+def gathered(rows: DataFrame, often: Frequent, shards: int) -> DataFrame:
+    """The dealt rows by shard: one with the ``pairs`` of all blocks, and for every block the ``places`` of its own among
+    them. Rows of documents stay as they are."""
+    shared = rows.sparkSession.sparkContext.broadcast(often.common)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple[int, bytes]]] = {}
+        for batch in batches:
+            for shard, block, pairs in zip(*[batch.column(c).to_pylist() for c in ("shard", "block", "pairs")], strict=True):
+                if pairs is not None:
+                    held.setdefault(shard, []).append((block, pairs))
+            yield batch.filter(pc.is_valid(batch.column("keys")))
+            schema = batch.schema
+        while held:  # all rows of a shard are in one partition
+            shard, own = held.popitem()
+            pairs, places = merged([x for _, x in own], shared.value)
+            n = len(own)
+            arrays = [[shard] * (n + 1), [-1, *[b for b, _ in own]], [pairs, *[None] * n], [None, *places], [None] * (n + 1), [None] * (n + 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(arrays, schema, strict=True)], schema=schema)
+
+    return rows.repartition(shards, "shard").mapInArrow(gather, rows.schema)
+
+
 def bucketed(df: DataFrame, n: int, column: str) -> DataFrame:
     """``df``, dealt by ``column`` to ``n`` partitions, as a table of the shared folder in as many buckets, so that joins on
     the column leave it where it is."""
@@ -320,47 +411,41 @@ class Rules:
         return (customers - d * tables + (s + d * t) / (self.words + 1)) / (s + c)
 
 
+def numbered(codes: np.ndarray, known: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes, sorted, of codes and more hashes, and the places of these among them."""
+    used = np.zeros(len(known), bool)
+    used[codes] = True
+    number = np.cumsum(used) - 1
+    values, place = np.unique(np.concatenate([known[used], more]), return_inverse=True)
+    place = place.astype(np.int32)
+    return values, np.concatenate([place[number[codes]], place[len(place) - len(more) :]])
+
+
 class Restaurants:
-    """All pairs of a shard, from its rows of all blocks."""
+    """All pairs of a shard, as they are stored, then frequent ones that it counts without having any."""
 
     def __init__(self, rows: pd.DataFrame, name: int, rules: Rules):
         self.rules = rules
-        shard = int(np.flatnonzero(rules.names == name)[0])
-        us, ws, ns, self.tokens = [], [], [], []
-        for data in rows["data"]:
-            part = Part(data)
-            us.append(part.u)
-            ws.append(part.w)
-            ns.append(part.n.astype(np.int64))
-            self.tokens.append((part.m, part.d))
-        # frequent pairs of this shard, whether or not it has tokens of them
-        pu, pw, pc = rules.pair_parts
-        home = paired(pu, pw) % np.uint64(rules.shards) == np.uint64(shard)
-        us.append(pu[home])
-        ws.append(pw[home])
-        ns.append(np.zeros(int(home.sum()), np.int64))
-        u, w, n = np.concatenate(us), np.concatenate(ws), np.concatenate(ns)
-        del us, ws, ns
-        order = np.lexsort((w, u))
-        new = np.concatenate([[True], (np.diff(u[order]) != 0) | (np.diff(w[order]) != 0)]) if len(u) else np.zeros(0, bool)
-        at = np.flatnonzero(new)
-        self.type_of = np.empty(len(u), np.int32)
-        self.type_of[order] = np.cumsum(new) - 1
-        self.u, self.w = u[order][at], w[order][at]
-        self.c = np.add.reduceat(n[order], at) if len(at) else np.zeros(0, np.int64)
+        self.shard = int(np.flatnonzero(rules.names == name)[0])
+        part = Part(rows.loc[rows["pairs"].notna(), "pairs"].iloc[0], rules.often.common)
+        u, w, self.c = part.known[part.u], part.known[part.w], part.n
         # customers of frequent pairs are counted over all shards; they are this shard's if it is their home
-        self.own = np.ones(len(self.u), bool)
+        pu, pw, customers = rules.pair_parts
+        pairs = paired(pu, pw)
+        by = np.argsort(pairs)
+        home = pairs % np.uint64(rules.shards) == np.uint64(self.shard)
+        self.own = np.ones(len(u), bool)
         if len(pu):
-            pairs = paired(pu, pw)
-            by = np.argsort(pairs)
-            among = of_sorted(pairs[by], paired(self.u, self.w))
+            among = of_sorted(pairs[by], paired(u, w))
             spread = np.flatnonzero(among >= 0)
-            self.c[spread] = pc[by][among[spread]]
-            self.own[spread] = paired(self.u[spread], self.w[spread]) % np.uint64(rules.shards) == np.uint64(shard)
-        del u, w, n, order, new, at
-        self.contexts, context_of = np.unique(self.u, return_inverse=True)
-        self.context_of = context_of.astype(np.int32)
-        words, word_of = np.unique(self.w, return_inverse=True)
+            at = by[among[spread]]
+            self.c[spread], self.own[spread] = customers[at], home[at]
+            home[at] = False
+        more = np.flatnonzero(home)
+        self.u, self.w = np.concatenate([u, pu[more]]), np.concatenate([w, pw[more]])
+        self.c, self.own = np.concatenate([self.c, customers[more]]), np.concatenate([self.own, np.ones(len(more), bool)])
+        self.contexts, self.context_of = numbered(part.u, part.known, pu[more])
+        words, word_of = numbered(part.w, part.known, pw[more])
         home = (mixed(words) % np.uint64(rules.shards)).astype(np.int64)
         by = np.argsort(home, kind="stable")  # by shard of the root, then by word
         place = np.empty(len(by), np.int32)
@@ -516,12 +601,13 @@ def _pair_parts(of_pairs: DataFrame, rules: Rules) -> tuple[np.ndarray, np.ndarr
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data in batch.column(0).to_pylist():
-                part = Part(data)
-                own = np.flatnonzero(of_sorted(often.value.contexts, part.u) >= 0)
-                own = own[of_sorted(often.value.pairs, paired(part.u[own], part.w[own])) >= 0]
-                yield pa.RecordBatch.from_arrays([pa.array(as_long(part.u[own])), pa.array(as_long(part.w[own])), pa.array(part.n[own].astype(np.int64))], ["u", "w", "n"])
+                part = Part(data, often.value.common)
+                own = np.flatnonzero((of_sorted(often.value.contexts, part.known) >= 0)[part.u])
+                u, w = part.known[part.u[own]], part.known[part.w[own]]
+                often_ = of_sorted(often.value.pairs, paired(u, w)) >= 0
+                yield pa.RecordBatch.from_arrays([pa.array(as_long(u[often_])), pa.array(as_long(w[often_])), pa.array(part.n[own][often_])], ["u", "w", "n"])
 
-    rows = of_pairs.select("data").mapInArrow(pick, "u long, w long, n long").groupBy("u", "w").agg(F.sum("n")).collect()  # no more than there are frequent pairs
+    rows = of_pairs.select("pairs").mapInArrow(pick, "u long, w long, n long").groupBy("u", "w").agg(F.sum("n")).collect()  # no more than there are frequent pairs
     return as_hash(np.array([r[0] for r in rows], np.int64)), as_hash(np.array([r[1] for r in rows], np.int64)), np.array([r[2] for r in rows], np.int64)
 
 
@@ -549,8 +635,8 @@ def language_model_scores(
     shards = max(1, math.ceil(letters / 6.4 / shard))
     often = frequent(own, block, 0.1 / shards)
     names = labels(spark, shards)
-    table = bucketed(dealt(own, often, names, block).repartition(shards, "shard"), shards, "shard")
-    of_pairs = table.filter("shard >= 0").select("shard", "block", "data")
+    table = bucketed(gathered(dealt(own, often, names, block), often, shards), shards, "shard")
+    of_pairs = table.filter("pairs IS NOT NULL").select("shard", "pairs")
     rules = Rules(names, often, strength, root_strength)
     if len(often.pairs):
         rules.pair_parts = _pair_parts(of_pairs, rules)
@@ -571,54 +657,51 @@ def language_model_scores(
         later = written(later_answers(told, first.select("root", "shard", "state"), turn, rules))
         rules.rounds.append(tuple(later.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum("t"), F.lit(0))).first()))
         answers = answers.unionByName(later.select("shard", "root", "turn", "data"))
-    sums = scored(of_pairs, answers, rules, range(rounds - averaged + 1, rounds + 1))
+    sums = scored(table.filter("keys IS NULL").select("shard", "block", "pairs", "places"), answers, rules, range(rounds - averaged + 1, rounds + 1))
     kind = docs.schema[key].dataType.simpleString()
-    documents = table.filter("shard = -1").select("block", "keys", "n", F.lit(None).cast("binary").alias("data"))
-    met = documents.unionByName(sums.select("block", F.lit(None).cast(f"array<{kind}>").alias("keys"), F.lit(None).cast("array<int>").alias("n"), "data"))
-
-    def gather(rows: pd.DataFrame) -> pd.DataFrame:
-        index = rows[rows["n"].notna()].iloc[0]
-        n = len(index["n"])
-        base, score, known = np.zeros(n), np.zeros(n), np.zeros(n, np.int64)
-        for data in rows.loc[rows["n"].isna(), "data"]:
-            i, b, x, k = unpacked(data)
-            base[i] += b
-            score[i] += x
-            known[i] += k
-        return pd.DataFrame({"key": list(index["keys"]), "n_tokens": index["n"], "n_known": known, "base_score": base, "score": score})
+    documents = table.filter("keys IS NOT NULL").select("shard", "block", "keys", "n", "places")
+    tokens, words = rules.tokens, rules.words
+
+    def gather(of_home: tuple, rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        out, told = [], dict(list(told.groupby("block")))
+        for block, keys, lengths, places in zip(rows["block"], rows["keys"], rows["n"], rows["places"], strict=True):
+            d, m = unpacked(places)
+            own = [unpacked(x) for x in told[block].sort_values("part")["data"]]
+            model, seen = (np.repeat(np.concatenate([x[i] for x in own]), m) for i in (0, 1))
+            base = np.log10((seen + 0.5) / (tokens + 0.5 * (words + 1)))
+            base, score, known = (np.bincount(d, weights=x, minlength=len(keys)) for x in (base, long(model), seen > 0))
+            out.append(pd.DataFrame({"key": list(keys), "n_tokens": lengths, "n_known": known.astype(np.int64), "base_score": base, "score": score}))
+        return pd.concat(out) if out else pd.DataFrame([], columns=["key", "n_tokens", "n_known", "base_score", "score"])
 
     schema = f"key {kind}, n_tokens long, n_known long, base_score double, score double"
-    made = met.groupBy("block").applyInPandas(gather, schema)
+    made = documents.groupBy("shard").cogroup(sums.groupBy("shard")).applyInPandas(gather, schema)
     return made.select(F.col("key").alias(key), "n_tokens", "n_known", F.lit(rules.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
-def scored(of_pairs: DataFrame, answers: DataFrame, rules: Rules, sweeps: range) -> DataFrame:
-    """(block, data): what a shard's tokens add to each document of a block, as places, base, score, known."""
+def scored(of_blocks: DataFrame, answers: DataFrame, rules: Rules, sweeps: range) -> DataFrame:
+    """(shard, block, part, data): for the shard that keeps a block's documents, the scores of the block's pairs of
+    one shard, the ``part``, and how often their words are learned from."""
 
     def score(key: tuple, rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         if not len(rows):
-            return pd.DataFrame([], columns=["block", "data"])
+            return pd.DataFrame([], columns=["shard", "block", "part", "data"])
         own = Restaurants(rows, int(key[0]), rules)
         (pairs, tokens), *later = answers_of(told, own)
         answered = [(pairs, (pairs > 0).astype(np.int64)), *later]
-        log_base = np.log10((tokens + 0.5) / (rules.tokens + 0.5 * (rules.words + 1)))[own.word_of]
         total = np.zeros(len(own.u))
         for k, (tables, contexts) in enumerate(own.sweeps(answered)):
             if k in sweeps:
                 rest = rules.strength + rules.discount * contexts
                 p = rules.root(k, *answered[k])[own.word_of]
                 total += (own.c - rules.discount * tables + rest[own.context_of] * p) / (rules.strength + own.customers[own.context_of])
-        log_model, known = np.log10(total / len(sweeps)), (tokens > 0)[own.word_of]
-        out, at = [], 0
-        for block, (m, d) in zip(rows["block"].tolist(), own.tokens, strict=True):
-            of = np.repeat(own.type_of[at : at + len(m)], m)
-            at += len(m)
-            i = np.unique(d)
-            base, model, some = (np.bincount(d, weights=x[of])[i] for x in (log_base, log_model, known))
-            out.append((block, packed(i, base, model, some.astype(np.int64))))
-        return pd.DataFrame(out, columns=["block", "data"])
-
-    return of_pairs.groupBy("shard").cogroup(answers.groupBy("shard")).applyInPandas(score, "block long, data binary")
+        model, seen = short(np.log10(total / len(sweeps))), tokens[own.word_of]
+        out = []
+        for block, data in rows.loc[rows["places"].notna(), ["block", "places"]].itertuples(index=False):
+            at = np.cumsum(unpacked(data)[0], dtype=np.int64)
+            out.append((home_of(block, rules.names), block, own.shard, packed(model[at], seen[at])))
+        return pd.DataFrame(out, columns=["shard", "block", "part", "data"])
+
+    return of_blocks.groupBy("shard").cogroup(answers.groupBy("shard")).applyInPandas(score, "shard int, block long, part int, data binary")
 
 
 def op13_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

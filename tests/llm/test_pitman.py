@@ -161,3 +161,55 @@ def test_odd_rows(spark, odd, none):
     nothing = spark.createDataFrame([(1, None, "a b"), (2, False, "")], "doc_id long, learned boolean, text string")
     rows = {r["doc_id"]: r for r in pitman.language_model_scores(nothing, "learned").collect()}
     assert (rows[1]["n_tokens"], rows[1]["n_known"], rows[1]["train_tokens"], rows[1]["score"]) == (3, 0, 0, pytest.approx(0))
+
+
+def test_what_moves_does_not_grow_with_the_shards(spark, monkeypatch):
+    """Bytes a token that are dealt to shards and that come back as scores, with few shards and with many."""
+    r, sizes = random.Random(4), {}
+    docs = [(i, i % 5 != 1, " ".join(f"w{r.randrange(2000)}" for _ in range(150))) for i in range(800)]
+    df = spark.createDataFrame(docs, "doc_id long, learned boolean, text string").coalesce(1)
+
+    def measured(name):
+        made = getattr(pitman, name)
+
+        def wrapper(*args):
+            out = made(*args)
+            held = [f"coalesce(octet_length({f.name}), 0)" for f in out.schema if f.dataType.simpleString() == "binary"]
+            sizes.setdefault(name, []).append(out.selectExpr(f"sum({' + '.join(held)}) / {151 * len(docs)}").first()[0])
+            return out
+
+        monkeypatch.setattr(pitman, name, wrapper)
+
+    measured("dealt")
+    measured("scored")
+    rows = [sorted(pitman.language_model_scores(df, "learned", shard=shard).collect()) for shard in (40_000, 1500)]
+    assert [x["score"] for x in rows[0]] == pytest.approx([x["score"] for x in rows[1]], rel=1e-9)
+    for few, many in sizes.values():
+        assert many < 1.5 * few, sizes
+    assert sizes["scored"][1] < 9, sizes
+
+
+def test_parts_meet():
+    """Pairs of blocks with common and other words, merged, are those of all blocks, and every block finds its own."""
+    r = np.random.default_rng(5)
+    common, blocks = r.integers(1, 1 << 63, 40).astype(np.uint64), []
+    others = r.integers(1, 1 << 63, 60).astype(np.uint64)
+    often = pitman.Frequent(np.zeros(0, np.uint64), np.zeros(0, np.uint64), common)
+    for n in (0, 1, 300):
+        hashes = np.concatenate([common, r.permutation(others)[:30]])
+        codes, rare = often.numbers(hashes)
+        pairs = np.unique(r.integers(0, len(hashes), (n, 2)), axis=0)
+        pairs = pairs[np.lexsort((codes[pairs[:, 1]], codes[pairs[:, 0]]))]
+        u, w = codes[pairs[:, 0]], codes[pairs[:, 1]]
+        counts = r.integers(0, 300, len(u))
+        blocks.append((hashes[pairs[:, 0]], hashes[pairs[:, 1]], counts, pitman.Part.of(u, w, counts, rare, len(common))))
+    data, places = pitman.merged([b[3] for b in blocks], common)
+    whole, expected = pitman.Part(data, common), Counter()
+    for (u, w, n, _), own in zip(blocks, places, strict=True):
+        at = np.cumsum(pitman.unpacked(own)[0], dtype=np.int64)
+        assert (whole.known[whole.u[at]] == u).all() and (whole.known[whole.w[at]] == w).all()
+        for pair, c in zip(zip(u.tolist(), w.tolist(), strict=True), n.tolist(), strict=True):
+            expected[pair] += c
+    assert dict(zip(zip(whole.known[whole.u].tolist(), whole.known[whole.w].tolist(), strict=True), whole.n.tolist(), strict=True)) == dict(expected)
+    x = np.log10(r.random(1000))
+    assert pitman.long(pitman.short(x)) == pytest.approx(x, rel=7.3e-12)
