@@ -17,7 +17,8 @@ from __future__ import annotations
 import math
 import pickle
 import uuid
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -35,6 +36,10 @@ from atlasweave.llm.common import no_cycle_collection, read_table, shared_path,
 BLOCK, SHARD = 4_000_000, 2_200_000
 #: Documents of a block.
 MOST_DOCS = 30_000
+#: Words of a block that are known by more than their hashes at a time, but for one text's.
+MOST_WORDS = 1 << 16
+#: Tokens that are hashed or sorted at a time, so that a task's arrays of 64-bit numbers are short; a 16th of a block, if that is more.
+AT_ONCE = 1 << 18
 #: Words with this share of all tokens or more are common.
 COMMON = 2e-6
 #: Lowest bits of a score that aren't sent: 36 of a double's 52 bits behind the point are, a relative error under 7.3e-12.
@@ -75,7 +80,7 @@ def packed(*arrays: np.ndarray) -> bytes:
     """Arrays as bytes: whole numbers in as few bytes as hold them, first all first bytes, then all second ones."""
     out = []
     for x in arrays:
-        narrow = x if x.dtype.kind == "f" or not len(x) else x.astype(np.min_scalar_type(int(x.max())))
+        narrow = x if x.dtype.kind == "f" or not len(x) else x.astype(np.min_scalar_type(int(x.max())), copy=False)
         out.append((narrow.dtype.str, np.ascontiguousarray(narrow).view(np.uint8).reshape(len(x), narrow.itemsize).T.tobytes()))
     return zstandard.compress(pickle.dumps(out, protocol=5), 3)
 
@@ -152,39 +157,54 @@ class Seats:
 
 
 class Block:
-    """Tokens of consecutive documents: numbers of words, and their hashes."""
+    """Tokens of consecutive documents: numbers of words, and their hashes. After MOST_WORDS words are known, hashes take
+    their place and they get new numbers, so that memory is bounded by tokens and not by words."""
 
     def __init__(self):
         self.words: dict[bytes, int] = {END: 0}
-        self.tokens: list[np.ndarray] = []
+        self.hashes: list[np.ndarray] = []
+        self.hashed = 0
+        self.tokens = array("i", [0])  # an end stands before the first document
+        self.lengths: list[int] = []
         self.trained: list[bool] = []
         self.keys: list = []
-        self.size = 0
+
+    @property
+    def size(self) -> int:
+        return len(self.tokens) - 1
 
     def add(self, key, trained: bool, words: list[bytes]) -> None:
-        number = self.words
-        self.tokens.append(np.fromiter([number.setdefault(w, len(number)) for w in words] + [0], np.int32, len(words) + 1))
+        number, before = self.words, self.hashed
+        self.tokens.extend([number.setdefault(w, before + len(number)) for w in words])
+        self.tokens.append(number[END])
+        self.lengths.append(len(words) + 1)
         self.trained.append(trained)
         self.keys.append(key)
-        self.size += len(words) + 1
+        if len(number) > MOST_WORDS:
+            self.settle()
+
+    def settle(self) -> None:
+        self.hashes.append(np.fromiter(map(xxhash.xxh64_intdigest, self.words), np.uint64, len(self.words)))
+        self.hashed += len(self.words)
+        self.words = {END: self.hashed}
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Hashes of the words, and of every token its context and word, as places among these, the place of its
-        document, and whether it is learned from."""
-        hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in self.words), np.uint64, len(self.words))
-        w = np.concatenate(self.tokens)
-        u = np.concatenate([np.zeros(1, np.int32), w[:-1]])  # an end stands before the next document
-        d = np.repeat(np.arange(len(self.tokens), dtype=np.uint16), [len(t) for t in self.tokens])
-        return hashes, u, w, d, np.array(self.trained, bool)[d]
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes of the words, sorted, and of every token its context and word, as places among these, and the place of its
+        document."""
+        self.settle()
+        hashes, place = np.unique(np.concatenate(self.hashes), return_inverse=True)
+        tokens = place.astype(np.int32)[np.frombuffer(self.tokens, np.int32)]
+        return hashes, tokens[:-1], tokens[1:], np.repeat(np.arange(len(self.lengths), dtype=np.uint16), self.lengths)
 
 
 def blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Block]:
     """Blocks of (key, learned from, text) batches: words are runs without a space or the control characters
-    that break lines or cells, with A-Z in lower case."""
+    that break lines or cells, with A-Z in lower case. Texts become bytes of Python one at a time."""
     block = Block()
     for batch in batches:
-        for key, trained, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+        texts = batch.column(2).cast(pa.large_binary())
+        for key, trained, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts, strict=True):
+            words = (text.as_py() or b"").lower().split()
             if block.keys and (block.size + len(words) >= size or len(block.keys) >= MOST_DOCS):
                 yield block
                 block = Block()
@@ -193,6 +213,17 @@ def blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Block]:
         yield block
 
 
+def of_blocks(batches: Iterator[pa.RecordBatch], size: int, made: Callable[[Block, int], Iterator[pa.RecordBatch]]) -> Iterator[pa.RecordBatch]:
+    """What is made of every block and its place among the task's. A block and all that came of it are let go before the next
+    one is gathered."""
+    with no_cycle_collection():
+        own, count = blocks(batches, size), 0
+        while (block := next(own, None)) is not None:
+            out, block = made(block, count), None
+            yield from out
+            out, count = None, count + 1
+
+
 def as_long(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x, np.uint64).view(np.int64)
 
@@ -262,12 +293,15 @@ class Frequent:
 
     def shards(self, hashes: np.ndarray, u: np.ndarray, w: np.ndarray, block: int, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Shards of pairs, and the shards that are home to the frequent ones."""
-        out = (mixed(hashes) % np.uint64(n)).astype(np.int32)[u]
-        crowded = np.flatnonzero((of_sorted(self.contexts, hashes) >= 0)[u])
-        pair = paired(hashes[u[crowded]], hashes[w[crowded]])
-        by_block = of_sorted(self.pairs, pair) >= 0
-        out[crowded] = np.where(by_block, mixed(pair + np.uint64(block)), pair) % np.uint64(n)
-        return out, np.unique(pair[by_block] % np.uint64(n)).astype(np.int64)
+        out = (mixed(hashes) % np.uint64(n)).astype(np.min_scalar_type(n))[u]
+        crowded, homes = of_sorted(self.contexts, hashes) >= 0, np.zeros(n, bool)
+        for lo in range(0, len(u), AT_ONCE):
+            own = lo + np.flatnonzero(crowded[u[lo : lo + AT_ONCE]])
+            pair = paired(hashes[u[own]], hashes[w[own]])
+            by_block = of_sorted(self.pairs, pair) >= 0
+            homes[pair[by_block] % np.uint64(n)] = True
+            out[own] = np.where(by_block, mixed(pair + np.uint64(block)), pair) % np.uint64(n)
+        return out, np.flatnonzero(homes)
 
 
 def frequent(docs: DataFrame, size: int, bar: float) -> Frequent:
@@ -278,22 +312,23 @@ def frequent(docs: DataFrame, size: int, bar: float) -> Frequent:
     therefore lack no more than half the bar. So no more than 200,000 of each and 1,000,000 words are collected."""
     bar = max(bar, 1e-5)
 
-    def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with no_cycle_collection():
-            for block in blocks(batches, size):
-                hashes, u, w, _, _ = block.pairs()
-                n = np.bincount(u, minlength=len(hashes))
-                often = n >= max(2, bar / 2 * len(u))
-                own = np.flatnonzero(often[u])
-                pairs, m = np.unique(paired(hashes[u[own]], hashes[w[own]]), return_counts=True)
-                often = m >= max(2, bar / 2 * len(u))
-                pairs, m = pairs[often], m[often]
-                often = n >= max(2, min(bar, COMMON) / 2 * len(u))
-                contexts, n = hashes[often], n[often]
-                kinds = [1] * len(contexts) + [2] * len(pairs) + [0]
-                yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(as_long(np.concatenate([contexts, pairs, np.zeros(1, np.uint64)]))), pa.array([*n.tolist(), *m.tolist(), len(u)], pa.int64())], ["kind", "key", "n"])
-
-    totals = written(docs.mapInArrow(report, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")))
+    def report(block: Block, _: int) -> Iterator[pa.RecordBatch]:
+        hashes, u, w, _ = block.pairs()
+        n = np.bincount(u, minlength=len(hashes))
+        often = n >= max(2, bar / 2 * len(u))
+        own = np.flatnonzero(often[u] & often[w])  # a word is as often a context
+        pairs, m = np.unique(paired(hashes[u[own]], hashes[w[own]]), return_counts=True)
+        often = m >= max(2, bar / 2 * len(u))
+        pairs, m = pairs[often], m[often]
+        often = n >= max(2, min(bar, COMMON) / 2 * len(u))
+        contexts, n = hashes[often], n[often]
+        kinds = [1] * len(contexts) + [2] * len(pairs) + [0]
+        yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(as_long(np.concatenate([contexts, pairs, np.zeros(1, np.uint64)]))), pa.array([*n.tolist(), *m.tolist(), len(u)], pa.int64())], ["kind", "key", "n"])
+
+    def reports(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return of_blocks(batches, size, report)
+
+    totals = written(docs.mapInArrow(reports, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")))
     whole = totals.filter("kind = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     bars = F.when(F.col("kind") == 1, min(bar, COMMON)).otherwise(bar)
     found = totals.filter("kind > 0").filter(F.col("n") >= bars * whole / 2).select("kind", "key", "n").toArrow()  # under 2 / bar of each kind
@@ -324,39 +359,43 @@ def dealt(docs: DataFrame, often: Frequent, names: np.ndarray, size: int) -> Dat
     shared = docs.sparkSession.sparkContext.broadcast((often, names))
     keys = pa.list_(docs.limit(0).toArrow().schema.field(0).type)
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, (often, names) = TaskContext.get().partitionId(), shared.value
-        with no_cycle_collection():
-            for count, block in enumerate(blocks(batches, size)):
-                number = (task << 24) + count
-                hashes, u, w, d, trained = block.pairs()
-                shard, homes = often.shards(hashes, u, w, number, len(names))
-                codes, rare = often.numbers(hashes)
-                pair = (codes[u] << 32) | codes[w]
-                order = np.argsort(pair)
-                order = order[np.argsort(shard[order].astype(np.min_scalar_type(len(names))), kind="stable")]
-                pair, shard = pair[order], shard[order]
-                new = np.flatnonzero((np.diff(pair, prepend=-1) != 0) | (np.diff(shard, prepend=-1) != 0))
-                n, m = np.add.reduceat(trained[order].astype(np.int64), new), np.diff(np.append(new, len(pair)))
-                places = packed(d[order], m)
-                pair, starts = pair[new], np.searchsorted(shard[new], np.arange(len(names) + 1))
-                del order, shard, d, trained, u, w
-                own, parts = np.union1d(np.flatnonzero(np.diff(starts)), homes), []
-                for k in own.tolist():
-                    some = slice(starts[k], starts[k + 1])
-                    parts.append(Part.of(pair[some] >> 32, pair[some] & 0xFFFFFFFF, n[some], rare, len(often.common)))
-                none = [None] * len(own)
-                arrays = [
-                    pa.array([*names[own].tolist(), home_of(number, names)], pa.int32()),
-                    pa.array([number] * (len(own) + 1), pa.int64()),
-                    pa.array([*parts, None], pa.binary()),
-                    pa.array([*none, places], pa.binary()),
-                    pa.array([*none, [len(t) for t in block.tokens]], pa.list_(pa.int32())),
-                    pa.array([*none, block.keys], keys),
-                ]
-                yield pa.RecordBatch.from_arrays(arrays, ["shard", "block", "pairs", "places", "n", "keys"])
-
-    return docs.mapInArrow(deal, f"{ROWS}, keys array<{kind}>")
+    def rows(shards, number: int, **values: list) -> pa.RecordBatch:
+        kinds = {"pairs": pa.binary(), "places": pa.binary(), "n": pa.list_(pa.int32()), "keys": keys}
+        arrays = [pa.array(values.get(c, [None] * len(shards)), kind) for c, kind in kinds.items()]
+        return pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array([number] * len(shards), pa.int64()), *arrays], ["shard", "block", *kinds])
+
+    def deal(block: Block, number: int, often: Frequent, names: np.ndarray) -> Iterator[pa.RecordBatch]:
+        hashes, u, w, d = block.pairs()
+        shard, homes = often.shards(hashes, u, w, number, len(names))
+        codes, rare = often.numbers(hashes)
+        trained = np.array(block.trained, bool)
+        ends = np.cumsum(np.bincount(shard, minlength=len(names)))
+        own = np.union1d(np.flatnonzero(np.diff(ends, prepend=0)), homes)
+        documents, m, done = np.empty_like(d), [], 0
+        # consecutive shards that hold about AT_ONCE tokens together, 16 such groups at most and one more
+        group = ends[own] // max(AT_ONCE, len(u) // 16 + 1)
+        for some in np.split(own, firsts(group)[1:]):
+            at = np.flatnonzero((shard >= some[0]) & (shard <= some[-1]))
+            pair, of_shard = (codes[u[at]] << 32) | codes[w[at]], shard[at]
+            order = np.argsort(pair)
+            order = order[np.argsort(of_shard[order], kind="stable")]
+            pair, of_shard, place = pair[order], of_shard[order].astype(np.int64), d[at[order]]
+            new = np.flatnonzero((np.diff(pair, prepend=-1) != 0) | (np.diff(of_shard, prepend=-1) != 0))
+            n = np.add.reduceat(trained[place].astype(np.int64), new) if len(new) else new
+            documents[done : done + len(place)] = place
+            done += len(place)
+            m.append(np.diff(np.append(new, len(pair))).astype(np.uint32))
+            pair, lows = pair[new], np.searchsorted(of_shard[new], some)
+            parts = [Part.of(pair[lo:hi] >> 32, pair[lo:hi] & 0xFFFFFFFF, n[lo:hi], rare, len(often.common)) for lo, hi in zip(lows.tolist(), [*lows[1:].tolist(), len(pair)], strict=True)]
+            yield rows(names[some], number, pairs=parts)
+        del u, w, d, shard
+        yield rows([home_of(number, names)], number, places=[packed(documents, np.concatenate(m))], n=[block.lengths], keys=[block.keys])
+
+    def deals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, known = TaskContext.get().partitionId(), shared.value
+        return of_blocks(batches, size, lambda block, count: deal(block, (task << 24) + count, *known))
+
+    return docs.mapInArrow(deals, f"{ROWS}, keys array<{kind}>")
 
 
 def gathered(rows: DataFrame, often: Frequent, shards: int) -> DataFrame:

@@ -3,9 +3,12 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -213,3 +216,54 @@ def test_parts_meet():
     assert dict(zip(zip(whole.known[whole.u].tolist(), whole.known[whole.w].tolist(), strict=True), whole.n.tolist(), strict=True)) == dict(expected)
     x = np.log10(r.random(1000))
     assert pitman.long(pitman.short(x)) == pytest.approx(x, rel=7.3e-12)
+
+
+def held(spark, monkeypatch, batch, often, at_once, words):
+    """Of a task that reports blocks of 60,000 tokens, and of one that deals them to 40 shards: its rows, and the most bytes a
+    token of a block that it held at once."""
+    made, empty = [], spark.createDataFrame([], "key long, learned boolean, text string")
+
+    def kept(df, function, schema):
+        made.append(function)
+        return spark.createDataFrame([], schema)
+
+    with monkeypatch.context() as m:
+        m.setattr(pitman, "AT_ONCE", at_once, raising=False)
+        m.setattr(pitman, "MOST_WORDS", words, raising=False)
+        m.setattr(pitman, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 3)))
+        m.setattr(type(empty), "mapInArrow", kept)
+        pitman.frequent(empty, 60_000, 1e-3)
+        pitman.dealt(empty, often, np.arange(40, dtype=np.int32), 60_000)
+        out = []
+        for function in made:
+            tracemalloc.start()
+            rows = list(function(iter([batch])))  # Arrow's memory isn't traced
+            most = tracemalloc.get_traced_memory()[1] / 60_000
+            tracemalloc.stop()
+            out.append(([r for x in rows for r in x.to_pylist()], most))
+    return out
+
+
+def test_a_task_holds_little_besides_its_tokens(spark, monkeypatch):
+    """Words and numbers of 64 bits come and go, whatever a block holds, and what is reported and dealt stays the same."""
+    r = random.Random(6)
+    texts = [" ".join(r.choice(("the", "of", f"w{r.randrange(300)}", f"é{r.randrange(10**9)}")) for _ in range(600)) for _ in range(400)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400)), pa.array([i % 5 != 1 for i in range(400)]), pa.array([*texts[:-1], None])], ["key", "learned", "text"])
+    hashes = np.array([xxhash.xxh64_intdigest(w) for w in (b"the", b"of", b"w1", b"")], np.uint64)
+    often = pitman.Frequent(np.sort(hashes[:2]), np.sort(pitman.paired(hashes[:2], hashes[1::-1])), hashes[:3])
+    (reported, report_bytes), (dealt, deal_bytes) = held(spark, monkeypatch, batch, often, 1 << 12, 1 << 10)
+    assert report_bytes < 60
+    assert deal_bytes < 60
+    (reported_whole, _), (dealt_whole, _) = held(spark, monkeypatch, batch, often, 1 << 30, 1 << 30)
+
+    def documents(rows):
+        out = []
+        for x in rows:
+            d, m = pitman.unpacked(x["places"])
+            out.append((x["block"], x["n"], x["keys"], sorted(zip(np.repeat(np.arange(len(m)), m).tolist(), d.tolist(), strict=True))))
+        return out
+
+    assert sorted(map(str, reported)) == sorted(map(str, reported_whole))
+    assert [(x["shard"], x["block"], x["pairs"]) for x in dealt if x["pairs"]] == [(x["shard"], x["block"], x["pairs"]) for x in dealt_whole if x["pairs"]]
+    assert documents([x for x in dealt if x["keys"]]) == documents([x for x in dealt_whole if x["keys"]])
+    assert len({x["block"] for x in dealt}) == 5
