@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from atlasweave.functions import geo
 from atlasweave.functions.candidates import Candidates, match, match_part
-from atlasweave.functions.ids import code_of, unique_key
+from atlasweave.functions.ids import code_of, fresh_names, unique_key
 from atlasweave.functions.similarity import cascade, match_merged
 from atlasweave.functions.text import preclean
 from atlasweave.operators.skew import joined_by_key
@@ -85,9 +85,19 @@ def best_in_blocks(names: DataFrame, candidates: DataFrame, kind: str = "rapid",
     return late.select("block", "clean", F.when((F.col("m.result") == "YES") | F.col("p.result").isNull(), F.col("m")).otherwise(F.col("p")).alias("m")).select("block", "clean", "m.*")
 
 
-def with_match_code(match: DataFrame, name: str, levels: Sequence[str], kind: str | None) -> DataFrame:
-    """``match`` with ``<name>_cleaned`` and, if missing, ``<name>_uuid`` from block, type and clean name."""
-    out = match.withColumn(f"{name}_cleaned", preclean(F.col(name)))
+def with_clean_values(df: DataFrame, column: str, out: str) -> DataFrame:
+    """``df`` with the clean form of ``column`` as ``out``: each value is cleaned once, not each row."""
+    mine, theirs, made, n = fresh_names([*df.columns, out], 4)
+    value = F.coalesce(F.col(column).cast("string"), F.lit(""))
+    values = spread(df.groupBy(value.alias(theirs)).agg(F.count("*").alias(n)))
+    joined = joined_by_key(df.withColumn(mine, value), stored(values.withColumn(made, preclean(F.col(theirs)))), {mine: theirs}, n)
+    return joined.withColumn(out, F.col(made)).drop(mine, theirs, made)
+
+
+def with_match_code(match: DataFrame, name: str, levels: Sequence[str], kind: str | None, cleaned: bool = False) -> DataFrame:
+    """``match`` with ``<name>_cleaned``, unless that was made before, and, if missing, ``<name>_uuid`` from block, type and
+    clean name."""
+    out = match if cleaned else match.withColumn(f"{name}_cleaned", preclean(F.col(name)))
     if f"{name}_uuid" in out.columns:
         return out
     parts = [unique_key(levels)] if levels else []
@@ -103,9 +113,15 @@ def match_columns(name: str) -> list[str]:
 def match_index(match: DataFrame, match_name: str, match_order: str, match_levels: Sequence[str] = (), kind: str | None = None) -> DataFrame:
     """(block, clean, uuid, pos): what a match table is to the tables that are matched with it, one row for each clean name of
     a block. Whoever matches more than one table with it should store this and use :func:`matched_with`."""
-    table = with_match_code(match, match_name, match_levels, kind)
+    coded = f"{match_name}_uuid" in match.columns
+    keys = list(dict.fromkeys([*match_levels, match_name, *([f"{match_name}_uuid"] if coded else [kind] if kind else [])]))
+    # names are cleaned after records that are alike are one
+    (first,) = fresh_names(match.columns, 1)
+    alike = match.groupBy(*keys).agg(F.min(F.col(match_order).cast("long")).alias(first))
+    # stored, lest the filter below be asked of every record
+    table = stored(with_match_code(spread(alike), match_name, match_levels, kind))
     theirs = table.select(
-        (unique_key(match_levels).cast("string") if match_levels else F.lit("")).alias("block"), F.col(f"{match_name}_cleaned").alias("clean"), F.col(f"{match_name}_uuid").alias("uuid"), F.col(match_order).cast("long").alias("pos")
+        (unique_key(match_levels).cast("string") if match_levels else F.lit("")).alias("block"), F.col(f"{match_name}_cleaned").alias("clean"), F.col(f"{match_name}_uuid").alias("uuid"), F.col(first).alias("pos")
     ).filter("clean <> '' and block is not null")
     # one row a uuid before they are gathered: a name that many records have is one entry
     single = theirs.groupBy("block", "clean", "uuid").agg(F.min("pos").alias("pos"))
@@ -124,23 +140,38 @@ def block_match(
     return matched_with(df, name, stored(match_index(match, match_name, match_order, match_levels, kind)), level, levels, measure)
 
 
+def _asked(own: DataFrame) -> DataFrame:
+    """(__fb, __fr, __n, __clean): each ``__block`` and ``__raw`` name of ``own``, in how many rows, and the clean name."""
+    asked = own.groupBy(F.col("__block").alias("__fb"), F.col("__raw").alias("__fr")).agg(F.count("*").alias("__n"))
+    return stored(spread(asked).withColumn("__clean", preclean(F.col("__fr"))))
+
+
+def _told(own: DataFrame, asked: DataFrame, coded: DataFrame) -> DataFrame:
+    """``own`` with its clean names and what was found for them in their blocks (__cb, __cc, ...)."""
+    told = asked.join(coded, (F.col("__fb") == F.col("__cb")) & (F.col("__clean") == F.col("__cc")), "left").drop("__cb", "__cc")
+    return joined_by_key(own, stored(told), {"__block": "__fb", "__raw": "__fr"}, "__n")
+
+
 def matched_with(df: DataFrame, name: str, uuids: DataFrame, level: str = "", levels: Sequence[str] = (), measure: str = "rapid") -> DataFrame:
     """:func:`block_match` with a stored :func:`match_index`."""
     df = df.drop(*match_columns(name))
-    own = df.withColumn("__clean", preclean(F.col(name))).withColumn("__block", unique_key(levels).cast("string") if levels else F.lit(""))
-    names = stored(own.filter("__block is not null").select(F.col("__block").alias("block"), F.col("__clean").alias("clean")).distinct())
+    # rows are known by what they have, each of which is cleaned once; a null block is unlike any
+    block = F.coalesce(F.concat(F.lit("="), unique_key(levels).cast("string")), F.lit("")) if levels else F.lit("=")
+    own = df.withColumns({"__block": block, "__raw": F.coalesce(F.col(name).cast("string"), F.lit(""))})
+    asked = _asked(own)
+    names = stored(asked.filter("__fb <> ''").select(F.expr("substr(__fb, 2)").alias("block"), F.col("__clean").alias("clean")).distinct())
     equal = names.join(uuids.select("block", "clean"), ["block", "clean"], "left_semi")
     same = equal.select("block", "clean", F.col("clean").alias("name"), F.lit(100.0).alias("score"), F.lit("identical").alias("method"), F.lit("YES").alias("result"))
     others = names.join(equal, ["block", "clean"], "left_anti")
     found = same.unionByName(best_in_blocks(others, uuids, measure))
     coded = found.join(uuids.select("block", F.col("clean").alias("name"), "uuid"), ["block", "name"], "left")
-    coded = coded.select(F.col("block").alias("__fb"), F.col("clean").alias("__fc"), *[F.col(c).alias(f"__{c}") for c in ("name", "score", "method", "result", "uuid")])
-    joined = joined_by_key(own, stored(coded), {"__block": "__fb", "__clean": "__fc"})
+    coded = coded.select(F.concat(F.lit("="), "block").alias("__cb"), F.col("clean").alias("__cc"), *[F.col(c).alias(f"__{c}") for c in ("name", "score", "method", "result", "uuid")])
+    joined = _told(own, asked, coded)
     label = F.concat(F.lit(f"{level}/ " if level else ""), F.col("__method"))
     result = F.coalesce(F.col("__result"), F.lit("NO"))
     columns = (F.when(result == "YES", F.col("__name")).otherwise(F.col("__clean")), F.col("__name"), F.col("__uuid"), result, F.col("__score"), label)
     made = joined.withColumns(dict(zip(match_columns(name), columns, strict=True)))
-    return made.drop("__clean", "__block", "__fb", "__fc", "__name", "__score", "__method", "__result", "__uuid")
+    return made.drop("__clean", "__block", "__raw", "__fb", "__fr", "__name", "__score", "__method", "__result", "__uuid")
 
 
 def distance_match(
@@ -154,32 +185,34 @@ def distance_match(
     that make them, so what is shuffled are spots with their records, not pairs.
     """
     df, match = spread(df).drop(*match_columns(name)), spread(match)
-    table = match.withColumn(f"{match_name}_cleaned", preclean(F.col(match_name)))
+    table = with_clean_values(match, match_name, f"{match_name}_cleaned")
     if f"{match_name}_uuid" not in table.columns:
         table = table.withColumn(f"{match_name}_uuid", code_of(unique_key(code_columns)))
     theirs = table.select(F.col(f"{match_name}_cleaned").alias("clean"), F.col(f"{match_name}_uuid").alias("uuid"), F.col(match_order).cast("long").alias("pos"), F.col(match_point[0]).alias("__mlon"), F.col(match_point[1]).alias("__mlat")).filter("clean <> ''")
     theirs = stored(theirs.groupBy("__mlon", "__mlat", "clean", "uuid").agg(F.min("pos").alias("pos")))
     lon, lat = F.col(point[0]), F.col(point[1])
     spot = F.when(lon.isNotNull() & lat.isNotNull(), F.concat_ws(" ", lon.cast("string"), lat.cast("string")))
-    own = df.withColumns({"__block": spot, "__clean": preclean(F.col(name))})
-    names = stored(own.filter("__block is not null").groupBy("__block", "__clean").agg(F.first(lon).alias("__lon"), F.first(lat).alias("__lat")))
+    own = df.withColumns({"__block": F.coalesce(spot, F.lit("")), "__raw": F.coalesce(F.col(name).cast("string"), F.lit(""))})
+    asked = own.groupBy(F.col("__block").alias("__fb"), F.col("__raw").alias("__fr")).agg(F.count("*").alias("__n"), F.first(lon).alias("__lon"), F.first(lat).alias("__lat"))
+    asked = stored(spread(asked).withColumn("__clean", preclean(F.col("__fr"))))
+    names = stored(asked.filter("__fb <> ''").groupBy(F.col("__fb").alias("__block"), "__clean").agg(F.first("__lon").alias("__lon"), F.first("__lat").alias("__lat")))
     spots = names.groupBy("__block").agg(F.first("__lon").alias("__lon"), F.first("__lat").alias("__lat"))
     # the records of a spot travel as one list, and are told apart where the pairs are made
     places = theirs.groupBy("__mlon", "__mlat").agg(F.collect_list(F.struct("clean", "uuid", "pos")).alias("__l"))
     around, cut = keyed_pairs(spots, places, metres, ("__lon", "__lat"), ("__mlon", "__mlat"), most_pairs=SPOT_PAIRS)
     single = around.select(*cut, F.col("__block").alias("block"), F.explode("__l").alias("r")).groupBy(*cut, "block", "r.clean").agg(F.min("r.pos").alias("pos"))
     candidates = stored(single.select("block", "clean", "pos"))
-    asked = names.select(F.col("__block").alias("block"), F.col("__clean").alias("clean"))
+    wished = names.select(F.col("__block").alias("block"), F.col("__clean").alias("clean"))
     # the few names around most spots are one list; where they are more than a group, blocks are cut
     counts = candidates.groupBy("block").agg(F.count("*").alias("n"))
     crowded = counts.filter(F.col("n") > GROUP).select("block")
     few = candidates.join(counts.filter(F.col("n") <= GROUP).select("block"), "block", "left_semi")
     listed = few.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("pos", "clean"))).alias("l"))
     # scores take long for few bytes
-    matched = spread(asked.join(listed, "block")).withColumn("m", cascade(measure)(F.col("clean"), F.transform("l", lambda x: x["clean"])))
+    matched = spread(wished.join(listed, "block")).withColumn("m", cascade(measure)(F.col("clean"), F.transform("l", lambda x: x["clean"])))
     found = matched.select("block", "clean", "m.name", "m.score", "m.method", "m.result")
     if not crowded.isEmpty():
-        found = found.unionByName(best_in_blocks(asked.join(crowded, "block", "left_semi"), candidates.join(crowded, "block", "left_semi"), measure))
+        found = found.unionByName(best_in_blocks(wished.join(crowded, "block", "left_semi"), candidates.join(crowded, "block", "left_semi"), measure))
     found = stored(found)
     # codes are gathered for the names that were found, not for all candidates: asked around the spots once more
     wanted = found.filter("name is not null").groupBy("block").agg(F.collect_set("name").alias("__names")).join(spots, F.col("block") == F.col("__block")).select("__block", "__names", "__lon", "__lat")
@@ -187,14 +220,14 @@ def distance_match(
     records = around.select(*cut, F.col("__block").alias("block"), F.explode(F.filter("__l", lambda x: F.array_contains("__names", x["clean"]))).alias("r"))
     codes = records.groupBy(*cut, "block", "r.clean", "r.uuid").agg(F.min("r.pos").alias("pos")).groupBy(*cut, "block", "clean").agg(joined_values(F.col("uuid"), F.col("pos")).alias("uuid"))
     coded = found.join(codes.select("block", F.col("clean").alias("name"), "uuid"), ["block", "name"], "left")
-    coded = coded.select(F.col("block").alias("__fb"), F.col("clean").alias("__fc"), *[F.col(c).alias(f"__{c}") for c in ("name", "score", "method", "result", "uuid")])
-    joined = joined_by_key(own, stored(coded), {"__block": "__fb", "__clean": "__fc"})
+    coded = coded.select(F.col("block").alias("__cb"), F.col("clean").alias("__cc"), *[F.col(c).alias(f"__{c}") for c in ("name", "score", "method", "result", "uuid")])
+    joined = _told(own, asked.drop("__lon", "__lat"), coded)
     result = F.coalesce(F.col("__result"), F.lit("NO"))
     radius = int(metres) if float(metres).is_integer() else metres
     # matched or not, the name is the best candidate's
     columns = (F.col("__name"), F.col("__name"), F.col("__uuid"), result, F.col("__score"), F.concat(F.col("__method"), F.lit(f" in {radius} distance")))
     made = joined.withColumns(dict(zip(match_columns(name), columns, strict=True)))
-    return made.drop("__block", "__clean", "__fb", "__fc", "__name", "__score", "__method", "__result", "__uuid")
+    return made.drop("__block", "__raw", "__clean", "__fb", "__fr", "__name", "__score", "__method", "__result", "__uuid")
 
 
 def resolve_by_best_match(df: DataFrame, uuid: str, row_id: str, kind: str, score: str, result: str, order: str) -> DataFrame:
