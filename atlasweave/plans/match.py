@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from atlasweave.operators import linkage, tables
+from atlasweave.operators import linkage, settle, tables
 from atlasweave.session import spread, stored
 from atlasweave.sources.tables import check_columns
 
@@ -59,9 +59,9 @@ def match(df: DataFrame, other: DataFrame, config: MatchConfig) -> tuple[DataFra
     muuid, part = f"{mname}_uuid", "match_uuid_expand"
 
     table = other
-    for column, levels in ((m1, []), (m2, [f"{m1}_cleaned"])):
-        table = linkage.with_match_code(table, column, levels, None)
-    table = stored(linkage.with_match_code(table, mname, [f"{m1}_cleaned", f"{m2}_cleaned"], mkind))
+    for column, levels, of in ((m1, [], None), (m2, [f"{m1}_cleaned"], None), (mname, [f"{m1}_cleaned", f"{m2}_cleaned"], mkind)):
+        table = linkage.with_match_code(linkage.with_clean_values(table, column, f"{column}_cleaned"), column, levels, of, cleaned=True)
+    table = stored(table)
     left, done, rest = table, [], df
     if c.by_distance:
         near = stored(linkage.distance_match(df, c.row_id, name, c.point, table, mname, c.match_point, c.match_order, [], c.metres))
@@ -73,21 +73,20 @@ def match(df: DataFrame, other: DataFrame, config: MatchConfig) -> tuple[DataFra
     rest = stored(linkage.block_match(rest, a2, table, m2, c.match_order, "admin1", [f"{a1}_updated"], [f"{m1}_cleaned"]))
     admin2 = ([f"{a1}_updated", f"{a2}_updated"], [f"{m1}_cleaned", f"{m2}_cleaned"])
     inside = rest.filter(F.col(f"{a2}_match_result") == "YES")
-    attributes, match_attributes = [a1, a2, kind], [m1, m2, mkind]
-
-    def resolved(rows: DataFrame) -> DataFrame:
-        """Duplicates settled by attribute, then by best match."""
-        by_attribute = linkage.resolve_by_attribute(rows, c.row_id, uuid, part, result, attributes, table, muuid, match_attributes, c.match_order, c.row_id)
-        return linkage.resolve_by_best_match(by_attribute, part, c.row_id, method, score, result, uuid)
+    attributes = [a1, a2, kind]
+    records = settle.code_records(table, muuid, [m1, m2, mkind], c.match_point if c.by_distance else None, c.match_order)
+    columns = settle.Columns(c.row_id, uuid, part, result, score, method, attributes)
 
     pass1 = stored(linkage.block_match(inside, name, left, mname, c.match_order, "admin2", *admin2, mkind))
     yes1 = pass1.filter(F.col(result) == "YES")
     if c.by_distance:
         yes1 = linkage.resolve_composite_by_distance(yes1, uuid, result, c.point, table, muuid, c.match_point, c.match_order, c.row_id, c.metres)
-    single = stored(resolved(tables.expand(yes1, uuid, part)))
-    kept_ids = single.filter(F.col(result) == "YES").select(c.row_id).distinct()
-    lost_ids = tables.drop_where(single.filter(F.col(result) == "NO").select(c.row_id).distinct(), kept_ids, c.row_id)
-    left = linkage.excluded(left, muuid, single, part, (F.col(result) == "YES") & (F.col(score) >= c.least_score))
+    yes1 = settle.numbered(yes1)
+    single = stored(settle.settled(yes1, columns, records))
+    yes1 = yes1.drop("__row")
+    kept_ids = single.filter("__r = 'YES'").select(F.col("__i").alias(c.row_id)).distinct()
+    lost_ids = tables.drop_where(single.filter("__r = 'NO'").select(F.col("__i").alias(c.row_id)).distinct(), kept_ids, c.row_id)
+    left = linkage.excluded(left, muuid, single, "__p", (F.col("__r") == "YES") & (F.col("__s") >= c.least_score))
 
     again = tables.keep_where(inside, lost_ids, c.row_id)
     pass2 = stored(linkage.block_match(again, name, left, mname, c.match_order, "admin2", *admin2, mkind))
@@ -97,13 +96,10 @@ def match(df: DataFrame, other: DataFrame, config: MatchConfig) -> tuple[DataFra
 
     wider = tables.union_all([rest.filter(F.col(f"{a2}_match_result") == "NO"), pass1.filter(F.col(result) == "NO"), pass2.filter(F.col(result) == "NO")])
     last = linkage.block_match(wider, name, left, mname, c.match_order, "admin1", [f"{a1}_updated"], [f"{m1}_cleaned"], mkind)
-    merged = stored(tables.union_all([*done, last]).withColumn("orig_result", F.col(result)))
-
-    out = tables.expand(merged, uuid, part)
+    merged = tables.union_all([*done, last]).withColumn("orig_result", F.col(result))
     if c.by_distance:
-        out = linkage.resolve_by_distance(out, c.row_id, part, result, c.point, table, muuid, c.match_point, c.match_order, c.row_id, c.metres)
-        out = linkage.match_distance(out, part, c.point, table, muuid, c.match_point, c.match_order)
-    out = stored(resolved(stored(out)))
+        columns = replace(columns, point=c.point, metres=c.metres)
+    out = stored(settle.settled_rows(merged, columns, records))
     out = out.withColumns({part: F.coalesce(part, F.lit(" ")), uuid: F.coalesce(uuid, F.lit(" "))})
     out = tables.with_group_size(tables.with_group_size(out, [part], "one_to_many_dup"), [c.row_id], "many_to_one_dup")
     out = stored(out)
