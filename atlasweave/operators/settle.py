@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from atlasweave.functions import geo
 from atlasweave.operators.skew import joined_by_key
-from atlasweave.session import stored
+from atlasweave.session import stored, stored_lists
 
 #: Codes of a match table up to which all tasks know them; more are joined by a shuffle.
 MOST_CODES = 200_000
@@ -112,15 +112,15 @@ def settled(rows: DataFrame, columns: Columns, records: DataFrame) -> DataFrame:
     return best.withColumn("__first", first).filter((F.col("__r") == "YES") | F.col("__first")).select("__row", "__i", "__at", "__p", "__r", "__s", "__d", "__list")
 
 
-def numbered(rows: DataFrame) -> DataFrame:
+def numbered(rows: DataFrame, uuid: str) -> DataFrame:
     """``rows`` stored with their numbers."""
-    return stored(rows.withColumn("__row", F.monotonically_increasing_id()))
+    return stored_lists(rows.withColumn("__row", F.monotonically_increasing_id()), uuid)
 
 
 def settled_rows(rows: DataFrame, columns: Columns, records: DataFrame, distance: str = "dist_to_match_km") -> DataFrame:
     """``rows`` with the column of parts, once for each pair that :func:`settled` leaves, and the distance if there is a point."""
     c = columns
-    rows = numbered(rows)
+    rows = numbered(rows, c.uuid)
     pairs = stored(settled(rows, c, records))
     own = pairs.select(F.col("__row").alias("__x"), "__at", F.col("__p").alias(c.part), "__r", "__list", *([F.col("__d").alias(distance)] if c.point else []))
     out = rows.join(own, F.col("__row") == F.col("__x")).withColumns({c.result: F.col("__r"), c.uuid: F.coalesce("__list", c.uuid)})

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from atlasweave.operators import linkage, settle, tables
-from atlasweave.session import spread, stored
+from atlasweave.session import spread, stored, stored_lists
 from atlasweave.sources.tables import check_columns
 
 
@@ -64,7 +64,7 @@ def match(df: DataFrame, other: DataFrame, config: MatchConfig) -> tuple[DataFra
     table = stored(table)
     left, done, rest = table, [], df
     if c.by_distance:
-        near = stored(linkage.distance_match(df, c.row_id, name, c.point, table, mname, c.match_point, c.match_order, [], c.metres))
+        near = stored_lists(linkage.distance_match(df, c.row_id, name, c.point, table, mname, c.match_point, c.match_order, [], c.metres), uuid)
         done.append(near.filter(F.col(result) == "YES"))
         left = linkage.excluded(table, muuid, near, uuid, (F.col(score) >= c.least_score) & (F.col(result) == "YES"))
         rest = near.filter(F.col(result) == "NO")
@@ -81,7 +81,7 @@ def match(df: DataFrame, other: DataFrame, config: MatchConfig) -> tuple[DataFra
     yes1 = pass1.filter(F.col(result) == "YES")
     if c.by_distance:
         yes1 = linkage.resolve_composite_by_distance(yes1, uuid, result, c.point, table, muuid, c.match_point, c.match_order, c.row_id, c.metres)
-    yes1 = settle.numbered(yes1)
+    yes1 = settle.numbered(yes1, uuid)
     single = stored(settle.settled(yes1, columns, records))
     yes1 = yes1.drop("__row")
     kept_ids = single.filter("__r = 'YES'").select(F.col("__i").alias(c.row_id)).distinct()

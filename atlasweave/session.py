@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Tasks a core that rows are dealt to.
 SPREAD = 3
@@ -62,6 +63,12 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(numbered.schema).parquet(path).toDF(*df.columns)
 
 
+def stored_lists(df: DataFrame, column: str, sep: str = "/") -> DataFrame:
+    """:func:`stored` for a ``column`` of joined values: as arrays on disk, where a value that many rows list is written once a
+    block and then goes by a short number. What is read is joined again."""
+    return stored(df.withColumn(column, F.split(F.col(column), sep))).withColumn(column, F.array_join(F.col(column), sep))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` dealt over several tasks a core. A scan has no more tasks than its files have row groups, so packed rows that
     take long, such as names to be cleaned, would otherwise be the work of one or two."""
